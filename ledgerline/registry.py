@@ -1,0 +1,196 @@
+"""Registered queries: one Spark builder and one DuckDB oracle per key.
+
+Each builder takes ``(spark, root)`` (root = folder of the test tables) and
+returns a lazy DataFrame over whole tables.  Each oracle is independent SQL
+over the same tables, with the fixture views inlined as CTEs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline import labels as L
+from ledgerline.context import RunContext
+from ledgerline.oracle import snapshot_arms, two_arm, window_filter
+from ledgerline.plans.bus import bus_ledger
+from ledgerline.plans.inputs import fixture_inputs
+from ledgerline.plans.truck import truck_ledger
+from ledgerline.schema import for_compare
+from ledgerline.sources import fixtures as fx
+from ledgerline.sources.snapshot import at_snapshot, month_in, snapshot_union
+
+# fixed values: the two test run dates (mid-month, month close)
+MID_MONTH = RunContext(as_of=date(2001, 7, 15))
+MONTH_CLOSE = RunContext(as_of=date(2001, 8, 1))
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql
+        return fn
+
+    return deco
+
+
+# =========================================================================== snapshots
+def _snapshot_rows(df: DataFrame) -> DataFrame:
+    return df.select(
+        F.to_date("event_ts").alias("date"), F.col("bank").alias("buyer"),
+        F.col("price").cast("double").alias("price"), F.col("id").alias("obu_id"),
+    ).distinct()
+
+
+def _snapshot_sql(ctx: RunContext, window: bool) -> str:
+    sel = "CAST(event_ts AS DATE) AS date, bank AS buyer, CAST(price AS DOUBLE) AS price, id AS obu_id"
+    body = two_arm(sel, floor=ctx.floor_month)
+    outer = f" WHERE {window_filter(ctx)}" if window else ""
+    return fx.with_fixtures(f"SELECT * FROM ({body}) t{outer}", ["fx_snapshot"], snapshot_arms(ctx))
+
+
+@register("snapshot_mtd", _snapshot_sql(MID_MONTH, window=True))
+def snapshot_mtd(spark: SparkSession, root: str) -> DataFrame:
+    """Month-to-date rows of today's snapshot, deduplicated."""
+    snap = fx.fx_snapshot(spark, root)
+    return _snapshot_rows(snapshot_union(snap, "event_ts", MID_MONTH, mode="incremental"))
+
+
+@register("snapshot_month_close", _snapshot_sql(MONTH_CLOSE, window=True))
+def snapshot_month_close(spark: SparkSession, root: str) -> DataFrame:
+    """On the 1st, the closing month and the new month, one snapshot."""
+    snap = fx.fx_snapshot(spark, root)
+    return _snapshot_rows(snapshot_union(snap, "event_ts", MONTH_CLOSE, mode="incremental"))
+
+
+@register("snapshot_rebuild", _snapshot_sql(MONTH_CLOSE, window=False))
+def snapshot_rebuild(spark: SparkSession, root: str) -> DataFrame:
+    """S4, S5 rebuild mode, F2: every closed month since the first close."""
+    snap = fx.fx_snapshot(spark, root)
+    return _snapshot_rows(snapshot_union(snap, "event_ts", MONTH_CLOSE, mode="rebuild"))
+
+
+@register("snapshot_pinned", fx.with_fixtures(
+    "SELECT DISTINCT CAST(event_ts AS DATE) AS date, bank AS buyer, CAST(price AS DOUBLE) AS price, "
+    "CAST(vehicle_id AS VARCHAR) AS obu_id FROM fx_snapshot WHERE ds = '20010701' "
+    "AND strftime(event_ts, '%Y-%m') BETWEEN '2001-03' AND '2001-05'", ["fx_snapshot"]))
+def snapshot_pinned(spark: SparkSession, root: str) -> DataFrame:
+    """A pinned historic snapshot, closed month range, distinct."""
+    snap = fx.fx_snapshot(spark, root)
+    x = at_snapshot(snap, "20010701")
+    x = x.where(month_in(snap, "event_ts", "2001-03", "2001-05"))
+    return x.select(
+        F.to_date("event_ts").alias("date"), F.col("bank").alias("buyer"),
+        F.col("price").cast("double").alias("price"), F.col("vehicle_id").cast("string").alias("obu_id"),
+    ).distinct()
+
+
+# =========================================================================== ledgers
+def _ledger_sel(date_expr, scene, buyer, price, key, data_type, adjust_type, segment, scene2, preinstall="NULL"):
+    return (f"CAST({date_expr} AS DATE) AS date, {scene} AS scene, {buyer} AS buyer, "
+            f"CAST({price} AS DECIMAL(18,2)) AS price, CAST({preinstall} AS VARCHAR) AS preinstall, "
+            f"CAST({key} AS VARCHAR) AS obu_id, '{data_type}' AS data_type, '{adjust_type}' AS adjust_type, "
+            f"'{segment}' AS segment, {scene2} AS scene2, strftime(CAST({date_expr} AS DATE), '%Y-%m') AS month")
+
+
+def _truck_sql(ctx: RunContext) -> str:
+    fl = ctx.floor_month
+    R, A, T = L.RECEIVABLE, L.ADJUSTMENT, L.TRUCK
+    ev = "event_ts"
+    key11 = ("CASE WHEN event_ts < TIMESTAMP '2001-03-01 00:00:00' THEN vehicle_id "
+             "WHEN event_ts >= TIMESTAMP '2001-03-01 00:00:00' AND remark = 'increase' THEN vehicle_id END")
+    arms = [
+        two_arm(_ledger_sel(ev, "'signing'", "bank", "CASE WHEN strftime(event_ts, '%Y-%m') >= '2001-07' AND bank = 'bank_a' THEN 70 ELSE price END",
+                            "id", R, R, T, "'signing_active'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'signing'", "'bank_a_first_use'", "CASE WHEN strftime(event_ts, '%Y-%m') >= '2001-07' THEN 70 ELSE price END",
+                            "id", R, R, T, "'first_use'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'signing'", "bank", "180", "id", R, R, T, "'partner_product'"), where="dept = '1-URGENT'", floor=fl),
+        two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "CASE WHEN remark = 'decrease' THEN -180 WHEN remark = 'increase' THEN 180 ELSE price END",
+                            "id", R, R, T, "'new_paid'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'after_sales'", "'person'", "CASE WHEN price = -180 THEN -180 ELSE 180 END", "id", R, R, T, "'after_sales'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'cancellation'", "bank", "price", "id", R, R, T, "'cancellation'"), distinct=False, floor=fl),
+        two_arm(_ledger_sel(ev, "'waiver'", "bank", "0", "id", R, R, T, "'waiver'"), where="dept = '2-HIGH'", distinct=False),
+        "SELECT " + _ledger_sel("gmt_payment", "'card_swap'", "'card_swap'", "equipment_amount", "coalesce(provider_id, id)", R, R, T,
+                                "'card_swap_received'")
+        + " FROM fx_equipment WHERE pay_state = 'SUCCESS' AND category = 'card_swap' AND department = 'data' "
+          f"AND sale_department = 'data' AND strftime(gmt_payment, '%Y-%m') >= '{fl}'",
+        two_arm(_ledger_sel(ev, "'signing'", "bank", "price", "id", A, L.INCREASE, T, "'signing_increase'"), where="remark = 'increase'", floor=fl),
+        two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "price", "id", A, L.INCREASE, T, "'new_paid_increase'"),
+                where="remark = 'increase' AND price > 0", floor=fl),
+        two_arm(_ledger_sel(ev, "'signing'", "'bank_a_first_use'", "-70", key11, A, L.DECREASE, T, "'signing_decrease'"),
+                where=f"({key11}) IS NOT NULL", floor=fl),
+        two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'new_paid_decrease'"),
+                where="remark = 'decrease'", floor=fl),
+        two_arm(_ledger_sel(ev, "'after_sales'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'after_sales_decrease'"),
+                where="remark = 'offline'", floor=fl),
+        two_arm(_ledger_sel(ev, "'cancellation'", "bank", "0 - price", "coalesce(provider_id, id)", A, L.DECREASE, T, "'cancellation_decrease'"),
+                where="remark IS NULL", distinct=False, floor=fl),
+        "SELECT " + _ledger_sel("gmt_refund", "'card_swap'", "'card_swap'", "0 - equipment_amount", "coalesce(provider_id, id)", R, R, T,
+                                "'card_swap_refund'")
+        + " FROM fx_equipment WHERE refund_state = 'REFUND_SUCCESS' AND category = 'card_swap' AND department = 'data' "
+          f"AND strftime(gmt_refund, '%Y-%m') >= '{fl}'",
+        "SELECT " + _ledger_sel(ev, "'all_devices'", "bank", "0", "id", R, R, T, "'all_devices'")
+        + f" FROM fx_snapshot WHERE ds = '{ctx.ds}' AND strftime(event_ts, '%Y-%m') >= '{fl}' AND dept <> '5-LOW'",
+    ]
+    body = "\nUNION ALL\n".join(f"SELECT * FROM ({a}) a{i}" for i, a in enumerate(arms))
+    return fx.with_fixtures(
+        "SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, adjust_type, "
+        f"segment, scene2, month FROM ({body}) u WHERE {window_filter(ctx)}", ["fx_snapshot", "fx_equipment"], snapshot_arms(ctx))
+
+
+def _bus_sql(ctx: RunContext) -> str:
+    fl = ctx.floor_month
+    R, A, B = L.RECEIVABLE, L.ADJUSTMENT, L.BUS
+    ev = "event_ts"
+    dec = "remark = 'decrease'"
+    adj_scene = "CASE scene WHEN 'new_paid' THEN 'new_paid' WHEN 'prepaid' THEN 'cancel_paid' END"
+    adj_label = "CASE scene WHEN 'new_paid' THEN 'new_paid_person_decrease' WHEN 'prepaid' THEN 'cancel_person_decrease' END"
+    arms = [
+        two_arm(_ledger_sel(ev, "'signing'", "bank", "price", "id", R, R, B, "'bus_signing'", preinstall="''"), floor=fl),
+        two_arm(_ledger_sel(ev, "'signing'", "'first_use'",
+                            "CASE WHEN remark = 'offline' THEN price WHEN strftime(event_ts, '%Y-%m') >= '2001-07' THEN 70 ELSE 80 END",
+                            "id", R, R, B, "'bus_first_use'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "price", "id", R, R, B, "'bus_new_paid'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'after_sales_paid'", "'person'", "price", "id", R, R, B, "'bus_after_sales'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'cancel_paid'", "'person'", "price", "id", R, R, B, "'bus_cancellation'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'buy_out'", "bank || '|' || agent", "price", "id", R, R, B, "'bus_buy_out'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'prepaid'", "'prepaid_payer'", "price", "id", R, R, B, "'bus_prepaid'"),
+                where="CASE WHEN CAST(event_ts AS DATE) < DATE '2001-06-01' THEN 1 WHEN agent LIKE '%test%' THEN 0 ELSE 1 END = 1",
+                floor=fl),
+        two_arm(_ledger_sel(ev, "'signing'", "bank", "0 - price", "id", A, L.DECREASE, B, "'bus_signing_decrease'"), where=dec, floor=fl),
+        two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "0 - price", "id", A, L.DECREASE, B, "'bus_new_paid_decrease'"), where=dec, floor=fl),
+        two_arm(_ledger_sel(ev, "'after_sales_paid'", "'person'", "0 - price", "id", A, L.DECREASE, B, "'bus_after_sales_decrease'"),
+                where=dec, floor=fl),
+        two_arm(_ledger_sel(ev, "'cancel_paid'", "'person'", "0 - price", "id", A, L.DECREASE, B, "'bus_cancel_decrease'"), where=dec, floor=fl),
+        "SELECT " + _ledger_sel("date", adj_scene, "'person'", "price", "obu_id", A, L.DECREASE, B, adj_label)
+        + " FROM fx_ledger WHERE data_type = 'adjustment' AND segment = 'bus'",
+        "SELECT " + _ledger_sel("date", adj_scene, "'live_stream'", "0 - price", "obu_id", A, L.INCREASE, B, adj_label)
+        + " FROM fx_ledger WHERE data_type = 'adjustment' AND segment = 'bus' AND price < 0",
+    ]
+    body = "\nUNION ALL\n".join(f"SELECT * FROM ({a}) a{i}" for i, a in enumerate(arms))
+    return fx.with_fixtures(
+        "SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, adjust_type, "
+        f"segment, scene2, month FROM ({body}) u WHERE {window_filter(ctx)}", ["fx_snapshot", "fx_ledger"], snapshot_arms(ctx))
+
+
+TRUCK_SQL = _truck_sql(MONTH_CLOSE)
+BUS_SQL = _bus_sql(MONTH_CLOSE)
+
+
+@register("ledger_truck", TRUCK_SQL)
+def ledger_truck(spark: SparkSession, root: str) -> DataFrame:
+    """All 16 truck feeds, conformed, unioned by name, rewrite window."""
+    return for_compare(truck_ledger(fixture_inputs(spark, root), MONTH_CLOSE))
+
+
+@register("ledger_bus", BUS_SQL)
+def ledger_bus(spark: SparkSession, root: str) -> DataFrame:
+    """All 13 bus feeds (11 snapshot feeds, 2 manual adjustment feeds)."""
+    return for_compare(bus_ledger(fixture_inputs(spark, root), MONTH_CLOSE))
