@@ -29,6 +29,9 @@ BUILDERS = {
     "shop_items": fx.fx_shop_items,
     "device": fx.fx_device,
     "order_map": fx.fx_order_map,
+    "corrections": fx.fx_corrections,
+    "adjust_file": fx.fx_adjust_file,
+    "current_ledger": fx.fx_ledger,
 }
 
 

@@ -436,6 +436,36 @@ def with_fixtures(sql_body: str, names: list[str], extra_ctes: str | None = None
         "fx_shop_items": FX_SHOP_ITEMS_SQL,
         "fx_device": FX_DEVICE_SQL,
         "fx_order_map": FX_ORDER_MAP_SQL,
+        "fx_corrections": FX_CORRECTIONS_SQL,
+        "fx_adjust_file": FX_ADJUST_FILE_SQL,
     }
     ctes = ",\n".join([f"{n} AS ({texts[n]})" for n in names] + ([extra_ctes] if extra_ctes else []))
     return f"WITH {ctes}\n{sql_body}"
+
+
+# --------------------------------------------------------------------------- merge inputs
+def fx_corrections(spark: SparkSession, root: str) -> DataFrame:
+    """Ledger-shaped correction table (with net price): reverses adjustment rows."""
+    lg = fx_ledger(spark, root)
+    return lg.where(F.col("data_type") == "adjustment").select(
+        "date", "scene", "buyer", (-F.col("price")).alias("price"), "preinstall", "obu_id", "data_type",
+        F.lit("increase").alias("adjust_type"), "segment", F.lit("quarter_correction").alias("scene2"),
+        F.lit(0).cast("decimal(18,6)").alias("net_price"), "month",
+    )
+
+
+FX_CORRECTIONS_SQL = """
+SELECT date, scene, buyer, 0 - price AS price, preinstall, obu_id, data_type, 'increase' AS adjust_type, segment,
+       'quarter_correction' AS scene2, CAST(0 AS DECIMAL(18,6)) AS net_price, month
+FROM fx_ledger WHERE data_type = 'adjustment'
+"""
+
+
+def fx_adjust_file(spark: SparkSession, root: str) -> DataFrame:
+    """Adjustment file needing label mapping: device, signed amount, month."""
+    lg = fx_ledger(spark, root)
+    return lg.where((F.col("scene2") == "cancellation") & (F.col("segment") == "bus")).select(
+        "obu_id", "price", "month")
+
+
+FX_ADJUST_FILE_SQL = "SELECT obu_id, price, month FROM fx_ledger WHERE scene2 = 'cancellation' AND segment = 'bus'"
