@@ -313,3 +313,212 @@ def feed_composite_buyer(spark: SparkSession, root: str) -> DataFrame:
     part = F.when(c("o_orderpriority") != F.lit("5-LOW"), c("o_orderpriority"))
     return x.where(rule).select(c("o_orderkey").alias("order_id"), F.to_date("o_orderdate").alias("date"),
                                 F.concat(c("c_mktsegment"), F.lit("|"), part).alias("buyer"))
+
+
+# =========================================================================== merge and reports
+from ledgerline.operators.adjustments import adjustment, constant_rows, self_correction  # noqa: E402
+from ledgerline.plans import merge as M  # noqa: E402
+from ledgerline.plans import reports as R  # noqa: E402
+from ledgerline.schema import LEDGER, MERGED, conform  # noqa: E402
+
+
+def _tax_part(goods: int, service: int) -> str:
+    return f"CAST(round({goods}/1.13, 6) AS DECIMAL(18,6)) + CAST(round({service}/1.06, 6) AS DECIMAL(18,6))"
+
+
+TAX_SQL = f"""CASE
+  WHEN segment = 'bus' AND scene = 'signing' AND price = 80 THEN {_tax_part(50, 30)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = -80 THEN {_tax_part(-50, -30)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = 70 THEN {_tax_part(50, 20)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = -70 THEN {_tax_part(-50, -20)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = 150 THEN {_tax_part(94, 56)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = -150 THEN {_tax_part(-94, -56)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = 130 THEN {_tax_part(94, 36)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = -130 THEN {_tax_part(-94, -36)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = 180 THEN {_tax_part(94, 86)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = -180 THEN {_tax_part(-94, -86)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = 195 THEN {_tax_part(94, 101)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = -195 THEN {_tax_part(-94, -116)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = 210 THEN {_tax_part(94, 116)}
+  WHEN segment = 'bus' AND scene = 'signing' AND price = -210 THEN {_tax_part(-94, -116)}
+  WHEN segment = 'bus' AND scene = 'new_paid' AND price = 180 THEN {_tax_part(94, 86)}
+  WHEN segment = 'bus' AND scene = 'new_paid' AND price = -180 THEN {_tax_part(-94, -86)}
+  WHEN segment = 'bus' AND scene = 'new_paid' AND price <> 180 THEN CAST(round(price / 1.06, 6) AS DECIMAL(18,6))
+  WHEN segment = 'bus' AND scene = 'prepaid' THEN CAST(round(73 / 1.06, 6) AS DECIMAL(18,6))
+  ELSE CAST(0 AS DECIMAL(18,6)) END"""
+
+
+def _province_sql(col: str) -> str:
+    return (f"CASE substr({col}, 1, 2) WHEN '44' THEN 'Guangdong' WHEN '45' THEN 'Guangxi' WHEN '13' THEN 'Hebei' "
+            "WHEN '37' THEN 'Shandong' WHEN '15' THEN 'Inner Mongolia' WHEN '86' THEN 'Tianjin' WHEN '65' THEN 'Xinjiang' "
+            "WHEN '53' THEN 'Yunnan' WHEN '40' THEN 'Guangdong' WHEN '20' THEN 'Guangdong' WHEN '19' THEN 'Guangdong' "
+            "WHEN '36' THEN 'Jiangxi' WHEN '33' THEN 'Zhejiang' WHEN '51' THEN 'Sichuan' WHEN '22' THEN 'Guangdong' "
+            "ELSE 'other' END")
+
+
+_MERGED_OUT = ("SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, adjust_type, "
+               "segment, scene2, CAST(net_price AS DOUBLE) AS net_price, month")
+_L_COLS = "date, scene, buyer, price, preinstall, obu_id, data_type, adjust_type, segment, scene2, month"
+_MERGED_CTE = f"merged AS (SELECT date, scene, buyer, price, preinstall, obu_id, data_type, adjust_type, segment, scene2, {TAX_SQL} AS net_price, month FROM fx_ledger)"
+_SELF_IDS = ", ".join(f"'{i}'" for i in M.self_correction_ids())
+_CONST_ARM = ("SELECT DATE '2001-07-06' AS date, 'signing' AS scene, 'bank_c' AS buyer, CAST(-180 AS DECIMAL(18,2)) AS price, "
+              "'not_preinstalled' AS preinstall, 'DEV-CORR-0001' AS obu_id, 'adjustment' AS data_type, 'decrease' AS adjust_type, "
+              "'truck' AS segment, 'signing_quarter_correction' AS scene2, '2001-07' AS month")
+_RECODE_ARM = ("SELECT DATE '2001-07-31' AS date, 'signing' AS scene, 'bank_b' AS buyer, CAST(price AS DECIMAL(18,2)) AS price, "
+               "CAST(NULL AS VARCHAR) AS preinstall, obu_id, 'adjustment' AS data_type, "
+               "CASE WHEN price > 0 THEN 'increase' WHEN price < 0 THEN 'decrease' END AS adjust_type, 'bus' AS segment, "
+               "CASE WHEN month IN ('2001-04', '2001-05', '2001-06') THEN 'q2_bus_bank' "
+               "WHEN month IN ('2001-07', '2001-08', '2001-09') THEN 'q3_bus_bank' END AS scene2, '2001-07' AS month "
+               "FROM fx_adjust_file")
+_SELF_ARM = ("SELECT DATE '2001-07-31' AS date, 'signing' AS scene, 'bank_a_first_use' AS buyer, CAST(-80 AS DECIMAL(18,2)) AS price, "
+             "'not_preinstalled' AS preinstall, obu_id, 'adjustment' AS data_type, 'decrease' AS adjust_type, 'bus' AS segment, "
+             "'q2_bus_bank_first_use' AS scene2, '2001-07' AS month FROM fx_ledger "
+             f"WHERE scene = 'signing' AND data_type = 'receivable' AND obu_id IN ({_SELF_IDS}) AND month < '2001-07'")
+
+
+def _merged_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The merged ledger table the reports read (fixture ledger + tax split)."""
+    return M.with_net_price(fx.fx_ledger(spark, root))
+
+
+@register("adjust_constant_row", fx.with_fixtures(
+    f"SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, adjust_type, segment, "
+    f"scene2, month FROM (SELECT {_L_COLS} FROM fx_ledger UNION ALL {_CONST_ARM}) u WHERE {window_filter(MONTH_CLOSE)}",
+    ["fx_ledger"]))
+def adjust_constant_row(spark: SparkSession, root: str) -> DataFrame:
+    """S10 + U1: a constant correction row stacked onto a ledger, rewrite window."""
+    ledger = conform(fx.fx_ledger(spark, root), {c: f"@{c}" for c in LEDGER.fieldNames()}, LEDGER)
+    row = {k: v for k, v in M.CONSTANT_CORRECTION.items() if k != "net_price"}
+    u = union_feeds([ledger, constant_rows(spark, [row], LEDGER)])
+    return for_compare(rewrite_window(u, MONTH_CLOSE))
+
+
+@register("adjust_recode", fx.with_fixtures(
+    f"SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, adjust_type, segment, "
+    f"scene2, CAST(0 AS DOUBLE) AS net_price, month FROM ({_RECODE_ARM}) u", ["fx_ledger", "fx_adjust_file"]))
+def adjust_recode(spark: SparkSession, root: str) -> DataFrame:
+    """Adjustment file with recoded labels and direction."""
+    return for_compare(M.merge_arms(spark, *([fx.fx_ledger(spark, root)] * 2), fx.fx_corrections(spark, root),
+                                    fx.fx_adjust_file(spark, root), fx.fx_ledger(spark, root))[4])
+
+
+@register("adjust_self_correction", fx.with_fixtures(
+    f"SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, adjust_type, segment, "
+    f"scene2, CAST(0 AS DOUBLE) AS net_price, month FROM ({_SELF_ARM}) u", ["fx_ledger"]))
+def adjust_self_correction(spark: SparkSession, root: str) -> DataFrame:
+    """Corrections derived from the ledger being rewritten."""
+    return for_compare(M.merge_arms(spark, *([fx.fx_ledger(spark, root)] * 2), fx.fx_corrections(spark, root),
+                                    fx.fx_adjust_file(spark, root), fx.fx_ledger(spark, root))[5])
+
+
+@register("ledger_merge", fx.with_fixtures(f"""
+{_MERGED_OUT} FROM (
+  SELECT {_L_COLS}, {TAX_SQL} AS net_price FROM (
+    SELECT {_L_COLS} FROM fx_ledger WHERE segment = 'truck'
+    UNION ALL SELECT {_L_COLS} FROM fx_ledger WHERE segment = 'bus' AND obu_id IS NOT NULL
+    UNION ALL SELECT {_L_COLS} FROM fx_corrections
+    UNION ALL {_CONST_ARM}
+    UNION ALL {_RECODE_ARM}
+    UNION ALL {_SELF_ARM}
+  ) a
+) u WHERE {window_filter(MONTH_CLOSE)}""", ["fx_ledger", "fx_corrections", "fx_adjust_file"]))
+def ledger_merge(spark: SparkSession, root: str) -> DataFrame:
+    """Truck + bus ledgers, four adjustment arms, tax split, rewrite window."""
+    inputs = fixture_inputs(spark, root)
+    lg = inputs["ledger_table"]
+    truck = lg.where(F.col("segment") == L.TRUCK)
+    bus = lg.where(F.col("segment") == L.BUS)
+    return for_compare(M.merge_ledger(spark, inputs, MONTH_CLOSE, truck, bus))
+
+
+@register("ledger_tax_split", fx.with_fixtures(
+    f"{_MERGED_OUT} FROM (SELECT {_L_COLS}, {TAX_SQL} AS net_price FROM fx_ledger) u", ["fx_ledger"]))
+def ledger_tax_split(spark: SparkSession, root: str) -> DataFrame:
+    """After-tax price of every ledger row."""
+    return for_compare(_merged_ledger(spark, root))
+
+
+@register("ledger_settlement_slice", fx.with_fixtures(
+    f"{_MERGED_OUT} FROM merged WHERE segment = 'truck' AND CASE WHEN scene2 = 'signing_active' AND buyer = 'bank_a' "
+    "THEN 0 WHEN scene2 = 'waiver' THEN 0 ELSE 1 END = 1", ["fx_ledger"], _MERGED_CTE))
+def ledger_settlement_slice(spark: SparkSession, root: str) -> DataFrame:
+    """Settlement slice of the truck ledger."""
+    return for_compare(R.settlement_slice(_merged_ledger(spark, root)))
+
+
+@register("waiver_summary", fx.with_fixtures(f"""
+SELECT t1.date, t1.province, t1.buyer, CASE WHEN t2.obu_id IS NOT NULL THEN 'yes' ELSE 'no' END AS mark,
+       count(t1.obu_id) AS amt
+FROM (SELECT date, {_province_sql('obu_id')} AS province, buyer, obu_id FROM fx_ledger
+      WHERE segment = 'truck' AND scene2 = 'all_devices' GROUP BY 1, 2, 3, 4) t1
+LEFT JOIN (SELECT obu_id, buyer FROM fx_ledger WHERE segment = 'truck' AND scene2 = 'waiver' GROUP BY 1, 2) t2
+  ON t1.obu_id = t2.obu_id AND t1.buyer = t2.buyer
+GROUP BY 1, 2, 3, 4""", ["fx_ledger"]))
+def waiver_summary(spark: SparkSession, root: str) -> DataFrame:
+    """Devices per day/province/buyer, waived or not."""
+    return R.waiver_summary(fx.fx_ledger(spark, root))
+
+
+_ENRICH_CTES = _MERGED_CTE + """,
+members AS (SELECT lasted_obu AS device FROM fx_external_channel GROUP BY 1
+            UNION
+            SELECT s.sn FROM fx_shop_orders o JOIN fx_shop_serials s ON s.o_id = o.o_id
+                         JOIN fx_shop_items i ON i.uuid = o.uuid GROUP BY 1),
+names AS (SELECT obuid, max(openname) AS openname FROM fx_device GROUP BY 1),
+enriched AS (
+  SELECT a.*,
+         CASE WHEN a.segment = 'bus' AND a.scene <> 'signing' THEN 'etc'
+              WHEN a.segment = 'bus' AND b.device IS NOT NULL THEN 'live_stream'
+              WHEN a.segment = 'bus' AND c.openname LIKE '%smart_etc%' THEN 'smart_device'
+              WHEN a.segment = 'bus' THEN 'etc'
+              WHEN a.segment = 'truck' THEN 'data' END AS department,
+         """ + _province_sql("a.obu_id") + """ AS province
+  FROM merged a LEFT JOIN members b ON a.obu_id = b.device LEFT JOIN names c ON a.obu_id = c.obuid)"""
+_ENRICH_FX = ["fx_ledger", "fx_external_channel", "fx_shop_orders", "fx_shop_serials", "fx_shop_items", "fx_device"]
+
+
+def _enriched(spark: SparkSession, root: str) -> DataFrame:
+    inputs = fixture_inputs(spark, root)
+    members = R.channel_members(inputs["external_channel"], inputs["shop_orders"], inputs["shop_serials"],
+                                inputs["shop_items"])
+    return R.enrich(_merged_ledger(spark, root), members, inputs["device"])
+
+
+@register("enrich_department", fx.with_fixtures(
+    f"SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, adjust_type, segment, "
+    "scene2, CAST(net_price AS DOUBLE) AS net_price, month, department, province FROM enriched", _ENRICH_FX, _ENRICH_CTES))
+def enrich_department(spark: SparkSession, root: str) -> DataFrame:
+    """Department and province for every row."""
+    return for_compare(_enriched(spark, root))
+
+
+@register("ledger_summary", fx.with_fixtures(
+    "SELECT date, scene, buyer, preinstall, data_type, adjust_type, segment, scene2, department, province, "
+    "CAST(price AS DOUBLE) AS price, count(obu_id) AS obu_amt, CAST(sum(price) AS BIGINT) AS money "
+    "FROM enriched GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11", _ENRICH_FX, _ENRICH_CTES))
+def ledger_summary(spark: SparkSession, root: str) -> DataFrame:
+    """Devices and money per 11 keys over the enriched ledger."""
+    return for_compare(R.ledger_summary(_enriched(spark, root)))
+
+
+@register("enrich_latest_name", fx.with_fixtures("""
+SELECT l.date, l.obu_id, l.price, n.openname, CASE WHEN n.openname LIKE 'smart_etc%' THEN 'yes' ELSE 'no' END AS smart
+FROM fx_ledger l LEFT JOIN (SELECT obuid, max(openname) AS openname FROM fx_device GROUP BY 1) n ON l.obu_id = n.obuid""",
+    ["fx_ledger", "fx_device"]))
+def enrich_latest_name(spark: SparkSession, root: str) -> DataFrame:
+    """Latest open name per device (max), prefix test."""
+    return R.latest_name(fx.fx_ledger(spark, root), fx.fx_device(spark, root))
+
+
+@register("backfill_resolve_id", fx.with_fixtures(f"""
+{_LEDGER_COLS.replace("obu_id", "CASE WHEN b.scene2 = 'order_keyed' THEN coalesce(m.device_id, b.obu_id) ELSE b.obu_id END AS obu_id")}
+FROM (SELECT DISTINCT CAST(event_ts AS DATE) AS date, 'signing' AS scene, bank AS buyer, CAST(price AS DECIMAL(18,2)) AS price,
+             CAST(NULL AS VARCHAR) AS preinstall, id AS obu_id, 'receivable' AS data_type, 'receivable' AS adjust_type,
+             'truck' AS segment, CASE WHEN bank = 'bank_a' THEN 'order_keyed' ELSE 'device_keyed' END AS scene2,
+             strftime(CAST(event_ts AS DATE), '%Y-%m') AS month
+      FROM fx_snapshot WHERE ds = '20010701' AND strftime(event_ts, '%Y-%m') BETWEEN '2001-03' AND '2001-06') b
+LEFT JOIN fx_order_map m ON b.obu_id = m.order_id""", ["fx_snapshot", "fx_order_map"]))
+def backfill_resolve_id(spark: SparkSession, root: str) -> DataFrame:
+    """Pinned-snapshot backfill with order-id -> device-id
+    resolution for one scene (fan-out kept, as modelled)."""
+    return for_compare(R.backfill(fx.fx_snapshot(spark, root), fx.fx_order_map(spark, root)))
