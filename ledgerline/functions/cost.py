@@ -18,6 +18,10 @@ WALLET_CHANNEL = "channel_wallet"
 LOAN = "loan"
 DEPOSIT_RATE = Decimal("0.032")
 DAYS_PER_YEAR = 365
+# decimal types that keep cost arithmetic exact
+AMOUNT = "decimal(18,2)"
+RATE = "decimal(9,6)"
+COST = "decimal(30,8)"
 
 
 
@@ -39,9 +43,12 @@ def partner_cost(
 ) -> Column:
     """P19.  flag '0': service fee x rate; flag '1' on the bank channel: split
     x rate; loans add bill x 0.049 %; anything else (and unknown product) 0."""
-    rate = effective_rate(bill_date, cut, rate_old, rate_new)
+    # Operands are bounded to DECIMAL(18,2) / DECIMAL(9,6) so every product
+    # and sum stays exact (no precision-loss rounding above 38 digits).
+    rate = effective_rate(bill_date, cut, rate_old.cast(RATE), rate_new.cast(RATE))
     loan = loan_type == F.lit(LOAN)
-    surcharge = bill_amount * F.lit(LOAN_RATE)
+    surcharge = bill_amount.cast(AMOUNT) * F.lit(LOAN_RATE)
+    service_fee, split_amount = service_fee.cast(AMOUNT), split_amount.cast(AMOUNT)
 
     def with_loan(base: Column) -> Column:
         return F.when(loan, surcharge + base * rate).otherwise(base * rate)
@@ -50,14 +57,15 @@ def partner_cost(
         F.when(part_flag == F.lit("0"), with_loan(service_fee))
         .when((part_flag == F.lit("1")) & (pay_channel == F.lit(BANK_CHANNEL)), with_loan(split_amount))
         .otherwise(_zero())
-    )
+    ).cast(COST)
 
 
 def channel_cost(channel_flag: Column, pay_channel: Column, split_amount: Column, channel_rate: Column) -> Column:
     """Split x channel rate on the wallet channel when flagged, else 0."""
     return F.when(
-        (channel_flag == F.lit("1")) & (pay_channel == F.lit(WALLET_CHANNEL)), split_amount * channel_rate
-    ).otherwise(_zero())
+        (channel_flag == F.lit("1")) & (pay_channel == F.lit(WALLET_CHANNEL)),
+        split_amount.cast(AMOUNT) * channel_rate.cast(RATE),
+    ).otherwise(_zero()).cast(COST)
 
 
 def profit(service_fee: Column, late_fee: Column, part_cb: Column, channel_cb: Column) -> Column:

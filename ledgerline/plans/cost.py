@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.context import RunContext
 from ledgerline.functions.cost import (
     BANK_CHANNEL,
+    COST,
     WALLET_CHANNEL,
     channel_cost,
     deposit_interest,
@@ -92,19 +93,18 @@ def daily_profit(cost_detail: DataFrame, deposits: DataFrame) -> DataFrame:
     """Per bill day and type: fees, costs, profit; plus one prepaid-card
     row per deposit day with a day of interest on the deposit balance."""
     c = F.col
-    money = "decimal(38,8)"
+    money = COST
+    sums = ("service_fee", "late_fee", "part_cb", "channel_cb")
     res = (cost_detail.groupBy(F.to_date("bill_date").alias("bz_date"), "big_bill_type")
-           .agg(F.sum("service_fee").alias("service_fee"), F.sum("late_fee").alias("late_fee"),
-                F.sum("part_cb").alias("part_cb"), F.sum("channel_cb").alias("channel_cb"))
+           .agg(*[F.sum(n).cast(money).alias(n) for n in sums])
            .where(c("big_bill_type").isNotNull()))
     res = res.select(
-        "bz_date", "big_bill_type",
-        *[c(n).cast(money).alias(n) for n in ("service_fee", "late_fee", "part_cb", "channel_cb")],
+        "bz_date", "big_bill_type", *sums,
         profit(c("service_fee"), c("late_fee"), c("part_cb"), c("channel_cb")).cast(money).alias("profit"),
         F.lit(0).cast(money).alias("cdzj"),
     )
     dep = (deposits.groupBy(F.to_date("bz_date", "yyyyMMdd").alias("bz_date"))
-           .agg(F.sum(c("amount").cast("decimal(38,2)")).alias("cdzj")))
+           .agg(F.sum(c("amount").cast("decimal(28,2)")).alias("cdzj")))
     zero = F.lit(0).cast(money)
     dep = dep.select(
         "bz_date", F.lit(PREPAID_CARD).alias("big_bill_type"),

@@ -522,3 +522,220 @@ def backfill_resolve_id(spark: SparkSession, root: str) -> DataFrame:
     """Pinned-snapshot backfill with order-id -> device-id
     resolution for one scene (fan-out kept, as modelled)."""
     return for_compare(R.backfill(fx.fx_snapshot(spark, root), fx.fx_order_map(spark, root)))
+
+
+# =========================================================================== service movements
+from ledgerline.plans import services as S  # noqa: E402
+
+_D9_FILTER = ("ds = '20010801' AND service_scene2 NOT IN ('new', 'replace', 'cancel', 'rebind_refund') "
+              "AND coalesce(openname, '1') NOT IN ('excluded_channel', 'excluded_bank_wechat', 'excluded_bank_app') "
+              "AND stock_type IS NULL")
+_D9_GROUP = " GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10"
+_D9_SQL = f"""
+SELECT sale_department, service_scene2, CAST(date AS DATE) AS date, obu_id, CAST(price AS DOUBLE) AS price, id, ds,
+       scene, data_type, month
+FROM (
+  SELECT sale_department, service_scene2, obu_should_time AS date, obu_id, CAST(should_amount AS DECIMAL(18,2)) AS price,
+         id, ds, 'receivable' AS scene, 'normal' AS data_type, strftime(obu_should_time, '%Y-%m') AS month
+  FROM fx_detail WHERE {_D9_FILTER} AND service_type = 'collect' AND obu_should_time IS NOT NULL
+       AND should_amount <> 0 AND should_amount IS NOT NULL{_D9_GROUP}
+  UNION ALL
+  SELECT sale_department, service_scene2, should_refund_time, obu_id, CAST(0 - should_amount AS DECIMAL(18,2)),
+         id, ds, 'receivable_decrease', 'normal', strftime(should_refund_time, '%Y-%m')
+  FROM fx_detail WHERE {_D9_FILTER} AND service_type = 'refund' AND should_refund_time IS NOT NULL
+       AND should_amount <> 0 AND should_amount IS NOT NULL{_D9_GROUP}
+  UNION ALL
+  SELECT sale_department, service_scene2, CAST(actual_time AS DATE), obu_id, CAST(actual_amount AS DECIMAL(18,2)),
+         id, ds, 'received', 'normal', strftime(actual_time, '%Y-%m')
+  FROM fx_detail WHERE {_D9_FILTER} AND service_type = 'collect' AND actual_time IS NOT NULL{_D9_GROUP}
+  UNION ALL
+  SELECT sale_department, service_scene2, CAST(actual_time AS DATE), obu_id, CAST(0 - actual_amount AS DECIMAL(18,2)),
+         id, ds, 'received_decrease', 'normal', strftime(actual_time, '%Y-%m')
+  FROM fx_detail WHERE {_D9_FILTER} AND service_type = 'refund' AND actual_time IS NOT NULL{_D9_GROUP}
+) u
+WHERE strftime(date, '%Y-%m') >= '{MONTH_CLOSE.window_start}' AND obu_id IS NOT NULL AND trim(obu_id) <> ''"""
+
+
+@register("movements_other", fx.with_fixtures(_D9_SQL, ["fx_detail"]))
+def movements_other(spark: SparkSession, root: str) -> DataFrame:
+    """Four movement arms from one scan, deduplicated."""
+    return for_compare(S.other_movements(fx.fx_detail(spark, root), MONTH_CLOSE))
+
+
+@register("movements_other_summary", fx.with_fixtures(
+    "SELECT data_type, sale_department, service_scene2, scene, date, price, count(obu_id) AS obu_amt, "
+    f"sum(price) AS money FROM ({_D9_SQL}) m GROUP BY 1, 2, 3, 4, 5, 6", ["fx_detail"]))
+def movements_other_summary(spark: SparkSession, root: str) -> DataFrame:
+    """A3 over D9."""
+    return for_compare(S.other_summary(S.other_movements(fx.fx_detail(spark, root), MONTH_CLOSE)))
+
+
+def _d11_arm(data_type, scene, adjust, date_expr, key, price, where, id_expr="id"):
+    return (f"SELECT '{data_type}' AS data_type, '{scene}' AS scene, '{adjust}' AS adjust_type, sale_department, "
+            f"{date_expr} AS date, {key} AS obu_id, CAST({price} AS DECIMAL(18,2)) AS price, {id_expr} AS id, ds "
+            f"FROM fx_detail WHERE ds = '20010801' AND sale_department <> 'etc' AND {where} GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9")
+
+
+_AMT = "should_amount <> 0 AND should_amount IS NOT NULL"
+_D11_SQL = "SELECT data_type, scene, adjust_type, sale_department, CAST(date AS DATE) AS date, obu_id, " \
+    "CAST(price AS DOUBLE) AS price, id, ds, strftime(date, '%Y-%m') AS month FROM (\n" + "\nUNION ALL\n".join([
+        _d11_arm("receivable", "after_sales_paid", "receivable", "CAST(obu_should_time AS DATE)", "obu_id", "should_amount",
+                 f"service_scene = 'replace' AND service_type = 'collect' AND obu_should_time IS NOT NULL AND {_AMT}"),
+        _d11_arm("received", "after_sales_paid", "received", "CAST(actual_time AS DATE)", "obu_id", "actual_amount",
+                 "service_scene = 'replace' AND service_type = 'collect' AND actual_time IS NOT NULL"),
+        _d11_arm("receivable", "cancel_paid", "receivable", "CAST(coalesce(obu_should_time, card_should_time) AS DATE)",
+                 "coalesce(obu_id, id)", "coalesce(should_amount, 0)",
+                 "service_scene = 'cancel' AND service_type = 'collect' AND coalesce(obu_should_time, card_should_time) IS NOT NULL"),
+        _d11_arm("received", "cancel_paid", "received", "CAST(actual_time AS DATE)", "coalesce(obu_id, id)", "actual_amount",
+                 "service_scene = 'cancel' AND service_type = 'collect' AND actual_time IS NOT NULL"),
+        _d11_arm("receivable", "after_sales_paid", "decrease", "should_refund_time", "obu_id", "0 - should_amount",
+                 f"service_scene2 = 'replace' AND service_type = 'refund' AND should_refund_time IS NOT NULL AND {_AMT}"),
+        _d11_arm("receivable", "cancel_paid", "decrease", "should_refund_time", "coalesce(obu_id, id)", "0 - should_amount",
+                 f"service_scene2 = 'cancel' AND service_type = 'refund' AND should_refund_time IS NOT NULL AND {_AMT}"),
+        _d11_arm("received", "after_sales_paid", "decrease", "CAST(actual_time AS DATE)", "obu_id", "0 - actual_amount",
+                 "service_scene2 = 'replace' AND service_type = 'refund' AND actual_time IS NOT NULL"),
+        _d11_arm("received", "cancel_paid", "decrease", "CAST(actual_time AS DATE)", "obu_id", "0 - actual_amount",
+                 "service_scene2 = 'cancel' AND service_type = 'refund' AND actual_time IS NOT NULL"),
+    ]) + f"\n) u WHERE strftime(date, '%Y-%m') >= '{MONTH_CLOSE.window_start}'"
+
+
+@register("movements_aftersales", fx.with_fixtures(_D11_SQL, ["fx_detail"]))
+def movements_aftersales(spark: SparkSession, root: str) -> DataFrame:
+    """D11, P10, P28 fixed: eight after-sales/cancellation arms, one scan."""
+    return for_compare(S.aftersales_movements(fx.fx_detail(spark, root), MONTH_CLOSE))
+
+
+@register("movements_aftersales_summary", fx.with_fixtures(
+    "SELECT data_type, scene, adjust_type, sale_department, date, price, count(obu_id) AS obu_amt, "
+    f"sum(price) AS money FROM ({_D11_SQL}) m GROUP BY 1, 2, 3, 4, 5, 6", ["fx_detail"]))
+def movements_aftersales_summary(spark: SparkSession, root: str) -> DataFrame:
+    """A3 over D11."""
+    return for_compare(S.aftersales_summary(S.aftersales_movements(fx.fx_detail(spark, root), MONTH_CLOSE)))
+
+
+@register("monthly_debit_refund", fx.with_fixtures("""
+SELECT strftime(gmt_payment, '%Y-%m') AS month, 'debit' AS type, CAST(sum(equipment_amount) AS DOUBLE) AS money
+FROM fx_equipment WHERE pay_state = 'SUCCESS' AND department = 'etc' AND strftime(gmt_payment, '%Y-%m') >= '2000-03'
+GROUP BY 1
+UNION ALL
+SELECT strftime(gmt_refund, '%Y-%m') AS month, 'refund' AS type, CAST(sum(equipment_amount) AS DOUBLE) AS money
+FROM fx_equipment WHERE pay_state = 'SUCCESS' AND department = 'etc' AND strftime(gmt_refund, '%Y-%m') >= '2000-03'
+GROUP BY 1""", ["fx_equipment"]))
+def monthly_debit_refund(spark: SparkSession, root: str) -> DataFrame:
+    """Monthly debit and refund totals, one scan + one aggregate."""
+    return for_compare(S.debit_refund_totals(fx.fx_equipment(spark, root)))
+
+
+# =========================================================================== cost job
+from ledgerline.operators.joins import restrict_to_keys  # noqa: E402
+from ledgerline.plans import cost as C  # noqa: E402
+
+# fixed values: cost-job run day (its "yesterday" is 1998-03-01)
+COST_DAY = RunContext(as_of=date(1998, 3, 2))
+_PART_RATE = "CASE WHEN fg.bill_date >= DATE '1999-01-01' THEN dpc.part_rate_new ELSE dpc.part_rate_old END"
+_BILL = "CAST(fg.bill_amount AS DECIMAL(18,2))"
+_FEE = "CAST(fg.service_fee AS DECIMAL(18,2))"
+_SPLIT = "CAST(cr.split_amount AS DECIMAL(18,2))"
+_COST_CTE = f"""cost AS (
+SELECT fg.statement_id, fg.flow, fg.bill_date, fg.product_id, fg.loan_type, fg.big_bill_type, fg.bill_amount,
+       fg.service_fee, fg.late_fee, cr.pay_channel, cr.split_amount,
+       CAST(CASE WHEN dpc.part_flag = '0' THEN
+                   CASE WHEN fg.loan_type = 'loan' THEN {_BILL} * 0.00049 + {_FEE} * {_PART_RATE} ELSE {_FEE} * {_PART_RATE} END
+                 WHEN dpc.part_flag = '1' AND cr.pay_channel = 'channel_bank' THEN
+                   CASE WHEN fg.loan_type = 'loan' THEN {_BILL} * 0.00049 + {_SPLIT} * {_PART_RATE} ELSE {_SPLIT} * {_PART_RATE} END
+                 ELSE 0 END AS DECIMAL(30,8)) AS part_cb,
+       CAST(CASE WHEN dpc.channel_flag = '1' AND cr.pay_channel = 'channel_wallet' THEN {_SPLIT} * dpc.channel_rate
+                 ELSE 0 END AS DECIMAL(30,8)) AS channel_cb
+FROM (SELECT statement_id, flow, count(1) AS n FROM fx_bill_lines
+      WHERE bill_time >= TIMESTAMP '1998-01-01 00:00:00' AND card_type = 'card_l' GROUP BY statement_id, flow) fb
+JOIN fx_bill fg ON fb.statement_id = fg.statement_id AND fb.flow = fg.flow
+LEFT JOIN (SELECT business_id, pay_channel, sum(split_amount) AS split_amount FROM fx_settlement
+           WHERE pay_channel IN ('channel_bank', 'channel_wallet') GROUP BY business_id, pay_channel) cr
+  ON fg.statement_id = cr.business_id
+LEFT JOIN fx_product dpc ON fg.product_id = dpc.product_id)"""
+_COST_FX = ["fx_bill", "fx_bill_lines", "fx_settlement", "fx_product"]
+_DEPOSIT_BODY = f"""
+SELECT sum(balance_cents) / 100 AS amount, 'center_bank_deposit' AS precipitate_money, '{COST_DAY.yesterday:%Y%m%d}' AS bz_date
+FROM fx_accounts WHERE accno LIKE 'BZ9%' OR accno LIKE '9%' AND bank_name = 'bank_a'
+UNION ALL
+SELECT sum(balance_cents) / 100, 'center_online_deposit', '{COST_DAY.yesterday:%Y%m%d}' FROM fx_accounts WHERE accno LIKE '5%'
+UNION ALL
+SELECT CAST(sum(wallet_balance) AS DOUBLE), 'wallet_deposit', '{COST_DAY.yesterday:%Y%m%d}' FROM fx_wallet"""
+
+
+def _cost_detail(spark: SparkSession, root: str) -> DataFrame:
+    i = fixture_inputs(spark, root)
+    return C.bill_cost_detail(i["bill"], i["bill_lines"], i["settlement"], i["product"])
+
+
+@register("cost_bill_detail", fx.with_fixtures(
+    "SELECT statement_id, flow, bill_date, product_id, loan_type, big_bill_type, CAST(bill_amount AS DOUBLE) AS bill_amount, "
+    "CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee, pay_channel, "
+    "CAST(split_amount AS DOUBLE) AS split_amount, CAST(part_cb AS DOUBLE) AS part_cb, CAST(channel_cb AS DOUBLE) AS channel_cb "
+    "FROM cost", _COST_FX, _COST_CTE))
+def cost_bill_detail(spark: SparkSession, root: str) -> DataFrame:
+    """Bill cost detail."""
+    return for_compare(_cost_detail(spark, root))
+
+
+@register("cost_semi_only", """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderdate
+FROM (SELECT l_orderkey, count(1) AS n FROM lineitem
+      WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00' AND l_linestatus = 'F' GROUP BY l_orderkey) fb
+JOIN orders o ON fb.l_orderkey = o.o_orderkey""")
+def cost_semi_only(spark: SparkSession, root: str) -> DataFrame:
+    """Grouped-key INNER JOIN rewritten as LEFT SEMI (count unused)."""
+    li = fx.load_table(spark, root, "lineitem")
+    o = fx.load_table(spark, root, "orders")
+    keys = li.where((F.col("l_shipdate") >= F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
+                    & (F.col("l_linestatus") == "F"))
+    return restrict_to_keys(o, keys, ["o_orderkey"], ["l_orderkey"]).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+
+
+@register("deposit_totals", fx.with_fixtures(_DEPOSIT_BODY, ["fx_accounts", "fx_wallet"]))
+def deposit_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Three deposit totals (one scan of the accounts)."""
+    i = fixture_inputs(spark, root)
+    return C.deposit_totals(i["accounts"], i["wallet"], COST_DAY)
+
+
+_PROFIT_SQL = f"""
+SELECT bz_date, big_bill_type, CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee,
+       CAST(part_cb AS DOUBLE) AS part_cb, CAST(channel_cb AS DOUBLE) AS channel_cb, CAST(profit AS DOUBLE) AS profit,
+       CAST(cdzj AS DOUBLE) AS cdzj
+FROM (
+  SELECT bz_date, big_bill_type, service_fee, late_fee, part_cb, channel_cb,
+         service_fee + coalesce(late_fee, 0) - part_cb - channel_cb AS profit, CAST(0 AS DECIMAL(30,8)) AS cdzj
+  FROM (SELECT CAST(bill_date AS DATE) AS bz_date, big_bill_type,
+               CAST(sum(service_fee) AS DECIMAL(30,8)) AS service_fee, CAST(sum(late_fee) AS DECIMAL(30,8)) AS late_fee,
+               CAST(sum(part_cb) AS DECIMAL(30,8)) AS part_cb, CAST(sum(channel_cb) AS DECIMAL(30,8)) AS channel_cb
+        FROM cost GROUP BY 1, 2) a
+  WHERE big_bill_type IS NOT NULL
+  UNION ALL
+  SELECT bz_date, 'prepaid_card', 0, 0, 0, 0, CAST(round(cdzj * 0.032 / 365, 6) AS DECIMAL(30,8)), cdzj
+  FROM (SELECT CAST(strptime(bz_date, '%Y%m%d') AS DATE) AS bz_date, sum(CAST(amount AS DECIMAL(28,2))) AS cdzj
+        FROM ({_DEPOSIT_BODY}) d GROUP BY 1) p
+) u"""
+
+
+@register("daily_profit", fx.with_fixtures(_PROFIT_SQL, _COST_FX + ["fx_accounts", "fx_wallet"], _COST_CTE))
+def daily_profit(spark: SparkSession, root: str) -> DataFrame:
+    """Daily profit plus deposit interest."""
+    i = fixture_inputs(spark, root)
+    return for_compare(C.daily_profit(_cost_detail(spark, root), C.deposit_totals(i["accounts"], i["wallet"], COST_DAY)))
+
+
+_EXTRACT_SQL = f"""
+SELECT bill_date, flow, big_bill_type, CAST(bill_amount AS DOUBLE) AS bill_amount, product_id,
+       CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee, CAST(part_cb AS DOUBLE) AS part_cb,
+       CAST(channel_cb AS DOUBLE) AS channel_cb,
+       CAST(service_fee + coalesce(late_fee, 0) - part_cb - channel_cb AS DOUBLE) AS profit,
+       '0' AS cdzj, '{COST_DAY.yesterday:%Y%m%d}' AS bz_date
+FROM cost WHERE bill_date = DATE '{COST_DAY.yesterday}'"""
+
+
+@register("cost_daily_extract", fx.with_fixtures(_EXTRACT_SQL, _COST_FX, _COST_CTE))
+def cost_daily_extract(spark: SparkSession, root: str) -> DataFrame:
+    """D15, F18 (fixed: compared as dates): yesterday's cost lines + profit."""
+    return for_compare(C.daily_extract(_cost_detail(spark, root), COST_DAY))
