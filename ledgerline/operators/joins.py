@@ -15,14 +15,25 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import labels as L
 
+# NULL keys never match, but hashed together they would all land in one
+# reducer.  They are replaced by a salt that cannot occur in real data (it
+# starts with a NUL character) and is derived from the row's content, so it
+# is deterministic under task retries and spreads NULL rows evenly.
+NULL_SALT_PREFIX = "\u0000null-"
+NULL_SALT_BUCKETS = 4096
 
-def _on(left_keys: list[str], right_keys: list[str], right_alias: str = "r") -> list[tuple[str, str]]:
-    if len(left_keys) != len(right_keys):
-        raise ValueError("key lists differ in length")
-    return list(zip(left_keys, right_keys))
+
+def spread_null_key(df: DataFrame, key: str) -> Column:
+    """Join key column for ``key`` that is never NULL (string keys only)."""
+    c = df[key]
+    if not isinstance(df.schema[key].dataType, T.StringType):
+        return c
+    salt = F.pmod(F.xxhash64(*[df[n] for n in df.columns]), F.lit(NULL_SALT_BUCKETS)).cast("string")
+    return F.coalesce(c, F.concat(F.lit(NULL_SALT_PREFIX), salt))
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, left_on: list[str], right_on: list[str] | None = None) -> DataFrame:
@@ -42,25 +53,28 @@ def flag_existence(df: DataFrame, right: DataFrame, left_on: list[str], right_on
     """J9 + P18: add ``name`` = yes/no for whether the key exists in ``right``."""
     marks = right.select(*[F.col(r).alias(f"__m{i}") for i, r in enumerate(right_on)]).distinct() \
         .withColumn("__hit", F.lit(True))
-    cond = reduce(lambda a, b: a & b, [df[l] == marks[f"__m{i}"] for i, l in enumerate(left_on)])
-    out = df.join(marks, cond, "left")
-    return out.select(*[df[c] for c in df.columns],
+    keyed = df.select("*", *[spread_null_key(df, l).alias(f"__l{i}") for i, l in enumerate(left_on)])
+    cond = reduce(lambda a, b: a & b, [keyed[f"__l{i}"] == marks[f"__m{i}"] for i in range(len(left_on))])
+    out = keyed.join(marks, cond, "left")
+    return out.select(*[keyed[c] for c in df.columns],
                       F.when(F.col("__hit").isNotNull(), F.lit(yes)).otherwise(F.lit(no)).alias(name))
 
 
 def member_of(df: DataFrame, members: DataFrame, left_key: str, member_key: str, name: str) -> DataFrame:
     """Boolean column ``name`` = key is in the distinct member set."""
     m = members.select(F.col(member_key).alias("__member")).distinct()
-    out = df.join(m, df[left_key] == m["__member"], "left")
-    return out.select(*[df[c] for c in df.columns], F.col("__member").isNotNull().alias(name))
+    keyed = df.select("*", spread_null_key(df, left_key).alias("__lk"))
+    out = keyed.join(m, keyed["__lk"] == m["__member"], "left")
+    return out.select(*[keyed[c] for c in df.columns], F.col("__member").isNotNull().alias(name))
 
 
 def attach_one_per_key(df: DataFrame, right: DataFrame, left_key: str, right_key: str,
                        values: dict[str, Column]) -> DataFrame:
     """J8 + A8: aggregate ``right`` to one row per key, then LEFT JOIN it."""
     agg = right.groupBy(F.col(right_key).alias("__key")).agg(*[c.alias(n) for n, c in values.items()])
-    out = df.join(agg, df[left_key] == agg["__key"], "left")
-    return out.drop("__key")
+    keyed = df.select("*", spread_null_key(df, left_key).alias("__lk"))
+    out = keyed.join(agg, keyed["__lk"] == agg["__key"], "left")
+    return out.drop("__key", "__lk")
 
 
 def resolve_id(df: DataFrame, mapping: DataFrame, key: str, map_key: str, map_value: str,
@@ -74,8 +88,9 @@ def resolve_id(df: DataFrame, mapping: DataFrame, key: str, map_key: str, map_va
     m = mapping.select(F.col(map_key).alias("__from"), F.col(map_value).alias("__to"))
     if unique:
         m = m.groupBy("__from").agg(F.min("__to").alias("__to"))
-    joined = df.join(m, df[key] == m["__from"], "left")
-    swapped = F.coalesce(F.col("__to"), df[key])
+    keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
+    joined = keyed.join(m, keyed["__lk"] == m["__from"], "left")
+    swapped = F.coalesce(F.col("__to"), keyed[key])
     if when is not None:
-        swapped = F.when(when, swapped).otherwise(df[key])
-    return joined.select(*[swapped.alias(c) if c == key else df[c] for c in df.columns])
+        swapped = F.when(when, swapped).otherwise(keyed[key])
+    return joined.select(*[swapped.alias(c) if c == key else keyed[c] for c in df.columns])

@@ -14,6 +14,11 @@ PLAN_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what was measured: no broadcast from static (file-size)
+    # estimates; AQE turns a join into a broadcast join only after the side's
+    # shuffle stage has run and its real size is below this bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Ledger event times are timestamp_ntz in the inputs; the zone matters
     # only where a caller supplies zoned timestamps.
     "spark.sql.session.timeZone": "UTC",

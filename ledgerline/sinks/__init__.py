@@ -32,10 +32,18 @@ def _quote(v: str) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
+def clustered(df: DataFrame, partition_col: str) -> DataFrame:
+    """Group rows of one partition value into few, evenly sized tasks before a
+    partitioned write (AQE rebalance: big partition values are split, small
+    ones coalesced), so each output partition gets few files of target size
+    instead of one small file per task."""
+    return df.hint("rebalance", partition_col)
+
+
 def create_partitioned(df: DataFrame, table: str, partition_col: str, path: str | None = None,
                        fmt: str = "parquet") -> None:
     """K7: initial create of a partitioned table (rebuild); replaces the table."""
-    w = df.write.mode("overwrite").format(fmt).partitionBy(partition_col)
+    w = clustered(df, partition_col).write.mode("overwrite").format(fmt).partitionBy(partition_col)
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
@@ -60,7 +68,7 @@ def overwrite_partitions(df: DataFrame, table: str, partition_col: str = "month"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {_quote(value)})")
     cols = spark.table(table).columns
     with dynamic_overwrite(spark):
-        df.select(*cols).write.mode("overwrite").insertInto(table)
+        clustered(df.select(*cols), partition_col).write.mode("overwrite").insertInto(table)
 
 
 def replace_day(df: DataFrame, table: str, day: str, partition_col: str = "bz_date", path: str | None = None,
