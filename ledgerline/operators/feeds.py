@@ -40,6 +40,9 @@ class FeedSpec:
     distinct: bool = True
     floor: bool = True
     where: Column | None = None
+    # deduplicate on the raw event value (a feed that keeps time of day in
+    # its key), then cast; default: cast to date first, as most feeds do
+    dedup_raw_event: bool = False
     extra: dict = field(default_factory=dict)
 
 
@@ -70,10 +73,20 @@ def build_feed(spec: FeedSpec, df: DataFrame, ctx: RunContext, mode: str = "incr
         "segment": spec.segment,
         "scene2": spec.scene2,
     }
+    if spec.distinct and spec.dedup_raw_event:
+        raw = x.select("*", F.col(spec.event).alias("__raw_event"))
+        out = conform(raw, {**values, "__raw_event": F.col("__raw_event")}, _with_raw(raw))
+        return out.distinct().drop("__raw_event")
     out = conform(x, values, LEDGER)
     return out.distinct() if spec.distinct else out
 
 
+def _with_raw(df: DataFrame):
+    from pyspark.sql import types as T
+
+    return T.StructType(LEDGER.fields + [T.StructField("__raw_event", df.schema["__raw_event"].dataType)])
+
+
 def union_feeds(frames: list[DataFrame]) -> DataFrame:
     """Stack conformed frames by column name."""
     return reduce(lambda a, b: a.unionByName(b), frames)

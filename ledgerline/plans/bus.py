@@ -38,7 +38,7 @@ def bus_specs() -> list[FeedSpec]:
     adjustment_rows = (c("data_type") == F.lit(L.ADJUSTMENT)) & (c("segment") == F.lit(L.BUS))
     return [
         FeedSpec("U1_signing", **snap, scene2="bus_signing", scene=L.SIGNING, buyer=c("bank"), price=c("price"),
-                 key=c("id"), preinstall=""),
+                 key=c("id"), preinstall="", dedup_raw_event=True),
         FeedSpec("U2_first_use", **snap, scene2="bus_first_use", scene=L.SIGNING, buyer="first_use",
                  price=ordered_rule([(c("remark") == F.lit(OFFLINE_SOURCE), c("price")),
                                      (ev_month >= F.lit(PRICE_CHANGE_MONTH), CHANGED_PRICE)], OLD_PRICE),

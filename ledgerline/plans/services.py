@@ -33,8 +33,11 @@ def _month_and_date(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*out, F.date_format("date", "yyyy-MM").alias("month"))
 
 
-def other_movements(detail: DataFrame, ctx: RunContext, parity_constant_id: bool = False) -> DataFrame:
-    """Receivable, receivable decrease, received, received decrease."""
+def other_movements(detail: DataFrame, ctx: RunContext, parity_constant_id: bool = False,
+                    adjustments: DataFrame | None = None) -> DataFrame:
+    """Receivable, receivable decrease, received, received decrease, plus
+    an optional hand-loaded adjustment table already shaped like the output
+    (selected by name); the window and device filters apply to all of them."""
     c = F.col
     x = today(detail, ctx).where(
         not_in(c("service_scene2"), MAIN_SCENES)
@@ -61,7 +64,9 @@ def other_movements(detail: DataFrame, ctx: RunContext, parity_constant_id: bool
     ]
     rows = expand_movements(x, arms, OTHER_COLUMNS, TYPES)
     out = _month_and_date(rows, OTHER_COLUMNS)
-    return out.where((c("month") >= F.lit(ctx.window_start)) & not_blank(c("obu_id")))
+    if adjustments is not None:
+        out = out.unionByName(adjustments.select(*[c(n).cast(out.schema[n].dataType) for n in out.columns]))
+    return out.where((F.date_format("date", "yyyy-MM") >= F.lit(ctx.window_start)) & not_blank(c("obu_id")))
 
 
 def other_summary(movements: DataFrame) -> DataFrame:

@@ -56,3 +56,31 @@ def test_q11_precedence_and_binds_first(spark):
     rows = {r["precipitate_money"]: r["amount"] for r in
             C.deposit_totals(accounts, wallet, RunContext(as_of=date(2001, 1, 2))).collect()}
     assert rows == {"center_bank_deposit": 101.0, "center_online_deposit": 0.07, "wallet_deposit": None}
+
+
+def test_q14_raw_event_dedup_keeps_same_day_events(spark):
+    from datetime import datetime
+    from ledgerline.context import RunContext
+    from ledgerline.operators.feeds import FeedSpec, build_feed
+    rows = [("a", datetime(2001, 7, 3, 9), 80, "20010715"), ("a", datetime(2001, 7, 3, 17), 80, "20010715"),
+            ("a", datetime(2001, 7, 3, 17), 80, "20010715")]
+    df = spark.createDataFrame(rows, "id string, event_ts timestamp_ntz, price int, ds string")
+    ctx = RunContext(as_of=date(2001, 7, 15))
+    base = dict(name="f", source="s", event="event_ts", segment=L.BUS, scene2="x", scene=L.SIGNING, buyer="b",
+                price=F.col("price"), key=F.col("id"))
+    assert build_feed(FeedSpec(**base), df, ctx).count() == 1
+    assert build_feed(FeedSpec(**base, dedup_raw_event=True), df, ctx).count() == 2
+
+
+def test_d9_adjustment_arm_passes_window_and_device_filters(spark, sf):
+    detail = fx.fx_detail(spark, sf)
+    base = S.other_movements(detail, MONTH_CLOSE)
+    adj = spark.createDataFrame(
+        [("etc", "upgrade", date(2001, 7, 20), "777", -5.0, "adj1", "20010801", "receivable", "adjustment"),
+         ("etc", "upgrade", date(2001, 6, 20), "778", -5.0, "adj2", "20010801", "receivable", "adjustment"),
+         ("etc", "upgrade", date(2001, 7, 20), " ", -5.0, "adj3", "20010801", "receivable", "adjustment")],
+        "sale_department string, service_scene2 string, date date, obu_id string, price double, id string, "
+        "ds string, scene string, data_type string").withColumn("month", F.date_format("date", "yyyy-MM"))
+    out = S.other_movements(detail, MONTH_CLOSE, adjustments=adj)
+    assert out.count() == base.count() + 1
+    assert out.where("id = 'adj1'").count() == 1
