@@ -3,6 +3,8 @@ ledger (D7), ledger summary (D8) and the historic backfill (D3)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ledgerline import labels as L
 from ledgerline.context import RunContext
 from ledgerline.functions.department import department
 from ledgerline.functions.geo import province
-from ledgerline.functions.rules import keep
+from ledgerline.functions.rules import direction, keep, not_like, ordered_rule, recode
 from ledgerline.operators.joins import attach_one_per_key, flag_existence, member_of, resolve_id
 from ledgerline.schema import LEDGER, conform
 from ledgerline.sources.snapshot import at_snapshot, month_in
@@ -78,20 +80,95 @@ def latest_name(ledger: DataFrame, device: DataFrame, smart_text: str = "smart_e
 
 
 # --------------------------------------------------------------------------- D3 backfill
-BACKFILL_DS = "20010701"
+# fixed values: backfill windows, pinned snapshot days, labels and rules
+BACKFILL_DS = "20010701"          # pinned snapshot of the backed-up feeds
+DETAIL_DS = "20010801"            # pinned snapshot of the id map
+LEDGER_FROM, LEDGER_TO = "2001-07", "2001-09"   # months re-keyed in the current ledger
 BACKFILL_FROM, BACKFILL_TO = "2001-03", "2001-06"
-SWAP_SCENE = "order_keyed"
-
-
-def backfill(snapshot: DataFrame, order_map: DataFrame, unique: bool = False) -> DataFrame:
-    """D3: historic months from a pinned snapshot; rows keyed by order id are
-    re-keyed to the device id through the order map (one scene only)."""
+CANCEL_INCOME = "cancellation_income"
+PREPAID_CORRECTION_UNTIL = "2001-04-30"
+OLD_PREPAID_PRICE, NEW_PREPAID_PRICE = 87, 82
+PREINSTALLED_TEXT = "%LOW%"       # rows whose channel text contains it are pre-installed
+FIRST_USE_BANKS = ["bank_a", "bank_c"]
+FIRST_USE_PRICE = 80
+AUDIT_EXCLUDED_DEVICE = "4400000017"
+AUDIT_BUYER = {"person": "personal_payer", "bank_a": "bank_a_corp"}
+
+
+def backfill_arms(ledger: DataFrame, snapshot: DataFrame, audit: DataFrame) -> DataFrame:
+    """D3 inputs: the current ledger's bus rows of the re-keyed months, plus
+    the backed-up feeds of the historic months (a pinned snapshot)."""
+    c = F.col
+    s = at_snapshot(snapshot, BACKFILL_DS)
+    dev = F.concat(F.lit("D"), c("id"))  # device-keyed arms
+    bus = dict(data_type=L.RECEIVABLE, adjust_type=L.RECEIVABLE, segment=L.BUS)
+    day = c("event_ts")
+
+    def arm(df, values, distinct=False):
+        out = conform(df, values, LEDGER)
+        return out.distinct() if distinct else out
+
+    current = ledger.where((c("segment") == F.lit(L.BUS)) & (c("month") >= F.lit(LEDGER_FROM))
+                           & (c("month") <= F.lit(LEDGER_TO)))
+    backed_up = [
+        arm(s, {"date": day, "scene": L.BUY_OUT, "buyer": "receiver", "price": 0, "obu_id": dev, **bus,
+                "scene2": L.BUY_OUT}),
+        arm(s, {"date": day, "scene": L.PREPAID, "buyer": "prepaid_payer",
+                "price": ordered_rule([((F.to_date(day) <= F.lit(PREPAID_CORRECTION_UNTIL).cast("date"))
+                                        & (c("price") == F.lit(OLD_PREPAID_PRICE)), NEW_PREPAID_PRICE)], c("price")),
+                "obu_id": dev, **bus, "scene2": L.PREPAID}, distinct=True),
+        arm(s.where((c("price") != 0) & not_like(c("dept"), PREINSTALLED_TEXT)),
+            {"date": day, "scene": L.SIGNING, "buyer": c("bank"), "price": c("price"), "obu_id": dev, **bus,
+             "scene2": "signing_active"}, distinct=True),
+        arm(s, {"date": day, "scene": L.NEW_PAID, "buyer": "person", "price": c("price"), "obu_id": dev, **bus,
+                "scene2": "new_paid_income"}),
+        arm(s, {"date": day, "scene": L.CANCEL_PAID, "buyer": "person", "price": c("price"), "obu_id": c("id"), **bus,
+                "scene2": CANCEL_INCOME}),
+        arm(s.where(c("bank").isin(FIRST_USE_BANKS) & not_like(c("remark"), "%offline%") & (c("price") != 0)),
+            {"date": day, "scene": L.SIGNING, "buyer": "bank_a_first_use", "price": FIRST_USE_PRICE,
+             "obu_id": c("vehicle_id").cast("string"), **bus, "scene2": "first_use"}),
+        audit_adjustments(audit),
+    ]
+    m = F.date_format("date", "yyyy-MM")
+    historic = reduce(lambda a, b: a.unionByName(b), backed_up).where(
+        (m >= F.lit(BACKFILL_FROM)) & (m <= F.lit(BACKFILL_TO)))
+    return conform(current, {n: f"@{n}" for n in LEDGER.fieldNames()}, LEDGER).unionByName(historic)
+
+
+def audit_adjustments(audit: DataFrame) -> DataFrame:
+    """P13 + P14 + F10: an audit adjustment file with ordered keep/drop rules,
+    a buyer recode, a direction from the sign and a label per case."""
+    c = F.col
+    rule = keep([
+        ((c("data_type") == F.lit(L.ADJUSTMENT)) & (c("adjust_type") == F.lit(L.DECREASE)), True),
+        (c("obu_id") == F.lit(AUDIT_EXCLUDED_DEVICE), False),
+        ((c("buyer") == F.lit("bank_b")) & (c("price") > 0), False),
+    ])
+    x = audit.where(rule & (c("segment") == F.lit(L.BUS)) & (c("scene") != F.lit(L.PREPAID)))
+    return conform(x, {
+        "date": c("date"), "scene": c("scene"), "buyer": recode(c("buyer"), AUDIT_BUYER, c("buyer")),
+        "price": c("price"), "obu_id": c("obu_id"), "data_type": L.ADJUSTMENT,
+        "adjust_type": direction(c("price"), L.INCREASE, L.DECREASE), "segment": L.BUS,
+        "scene2": ordered_rule([(c("buyer") == F.lit("bank_a"), "signing_decrease"),
+                                (c("scene") == F.lit(L.NEW_PAID), "new_paid_person_decrease"),
+                                (c("scene") == F.lit(L.SIGNING), "signing_person_decrease")], has_default=False),
+    }, LEDGER)
+
+
+def id_map(detail: DataFrame, order_map: DataFrame) -> DataFrame:
+    """J4 (nested): detail id -> its device, or the device of its order when
+    the detail row has none.  Not deduplicated (as modelled)."""
+    d = at_snapshot(detail, DETAIL_DS).select("id", "obu_id")
+    m = d.join(order_map, d["id"] == order_map["order_id"], "left")
+    return m.select(F.col("id"), F.coalesce(d["obu_id"], F.col("device_id")).alias("device"))
+
+
+def backfill(ledger: DataFrame, snapshot: DataFrame, audit: DataFrame, detail: DataFrame, order_map: DataFrame,
+             unique: bool = False) -> DataFrame:
+    """D3: re-keyed current months plus historic months (each its own window,
+    F3); cancellation-income rows keyed by a detail id are re-keyed to the
+    device (J5 + P12).  A key with several mappings fans out unless unique."""
     c = F.col
-    x = at_snapshot(snapshot, BACKFILL_DS).where(month_in(snapshot, "event_ts", BACKFILL_FROM, BACKFILL_TO))
-    base = conform(x, {
-        "date": c("event_ts"), "scene": L.SIGNING, "buyer": c("bank"), "price": c("price"), "obu_id": c("id"),
-        "data_type": L.RECEIVABLE, "adjust_type": L.RECEIVABLE, "segment": L.TRUCK,
-        "scene2": F.when(c("bank") == F.lit("bank_a"), F.lit(SWAP_SCENE)).otherwise(F.lit("device_keyed")),
-    }, LEDGER).distinct()
-    return resolve_id(base, order_map, "obu_id", "order_id", "device_id",
-                      when=c("scene2") == F.lit(SWAP_SCENE), unique=unique)
+    rows = backfill_arms(ledger, snapshot, audit)
+    return resolve_id(rows, id_map(detail, order_map), "obu_id", "id", "device",
+                      when=c("scene2") == F.lit(CANCEL_INCOME), unique=unique)

@@ -510,18 +510,59 @@ def enrich_latest_name(spark: SparkSession, root: str) -> DataFrame:
     return R.latest_name(fx.fx_ledger(spark, root), fx.fx_device(spark, root))
 
 
-@register("backfill_resolve_id", fx.with_fixtures(f"""
-{_LEDGER_COLS.replace("obu_id", "CASE WHEN b.scene2 = 'order_keyed' THEN coalesce(m.device_id, b.obu_id) ELSE b.obu_id END AS obu_id")}
-FROM (SELECT DISTINCT CAST(event_ts AS DATE) AS date, 'signing' AS scene, bank AS buyer, CAST(price AS DECIMAL(18,2)) AS price,
-             CAST(NULL AS VARCHAR) AS preinstall, id AS obu_id, 'receivable' AS data_type, 'receivable' AS adjust_type,
-             'truck' AS segment, CASE WHEN bank = 'bank_a' THEN 'order_keyed' ELSE 'device_keyed' END AS scene2,
-             strftime(CAST(event_ts AS DATE), '%Y-%m') AS month
-      FROM fx_snapshot WHERE ds = '20010701' AND strftime(event_ts, '%Y-%m') BETWEEN '2001-03' AND '2001-06') b
-LEFT JOIN fx_order_map m ON b.obu_id = m.order_id""", ["fx_snapshot", "fx_order_map"]))
+_BF_SEL = ("CAST(event_ts AS DATE) AS date, {scene} AS scene, {buyer} AS buyer, CAST({price} AS DECIMAL(18,2)) AS price, "
+           "CAST(NULL AS VARCHAR) AS preinstall, CAST({key} AS VARCHAR) AS obu_id, 'receivable' AS data_type, "
+           "'receivable' AS adjust_type, 'bus' AS segment, {scene2} AS scene2, "
+           "strftime(CAST(event_ts AS DATE), '%Y-%m') AS month")
+_BF_SNAP = "(SELECT * FROM fx_snapshot WHERE ds = '20010701')"
+_BACKFILL_SQL = f"""
+{_LEDGER_COLS.replace("obu_id", "CASE WHEN b.scene2 = 'cancellation_income' THEN coalesce(m.device, b.obu_id) ELSE b.obu_id END AS obu_id")}
+FROM (
+  SELECT {_L_COLS} FROM fx_ledger WHERE segment = 'bus' AND month >= '2001-07' AND month <= '2001-09'
+  UNION ALL
+  SELECT * FROM (
+    SELECT {_BF_SEL.format(scene="'buy_out'", buyer="'receiver'", price="0", key="'D' || id", scene2="'buy_out'")} FROM {_BF_SNAP} s
+    UNION ALL
+    SELECT DISTINCT {_BF_SEL.format(scene="'prepaid'", buyer="'prepaid_payer'",
+        price="CASE WHEN CAST(event_ts AS DATE) <= DATE '2001-04-30' AND price = 87 THEN 82 ELSE price END",
+        key="'D' || id", scene2="'prepaid'")} FROM {_BF_SNAP} s
+    UNION ALL
+    SELECT DISTINCT {_BF_SEL.format(scene="'signing'", buyer="bank", price="price", key="'D' || id", scene2="'signing_active'")}
+    FROM {_BF_SNAP} s WHERE price <> 0 AND coalesce(dept, '') NOT LIKE '%LOW%'
+    UNION ALL
+    SELECT {_BF_SEL.format(scene="'new_paid'", buyer="'person'", price="price", key="'D' || id", scene2="'new_paid_income'")} FROM {_BF_SNAP} s
+    UNION ALL
+    SELECT {_BF_SEL.format(scene="'cancel_paid'", buyer="'person'", price="price", key="id", scene2="'cancellation_income'")} FROM {_BF_SNAP} s
+    UNION ALL
+    SELECT {_BF_SEL.format(scene="'signing'", buyer="'bank_a_first_use'", price="80", key="vehicle_id", scene2="'first_use'")}
+    FROM {_BF_SNAP} s WHERE bank IN ('bank_a', 'bank_c') AND coalesce(remark, '') NOT LIKE '%offline%' AND price <> 0
+    UNION ALL
+    SELECT date, scene, CASE buyer WHEN 'person' THEN 'personal_payer' WHEN 'bank_a' THEN 'bank_a_corp' ELSE buyer END AS buyer,
+           CAST(price AS DECIMAL(18,2)) AS price, preinstall, obu_id, 'adjustment' AS data_type,
+           CASE WHEN price > 0 THEN 'increase' WHEN price < 0 THEN 'decrease' END AS adjust_type, 'bus' AS segment,
+           CASE WHEN buyer = 'bank_a' THEN 'signing_decrease' WHEN scene = 'new_paid' THEN 'new_paid_person_decrease'
+                WHEN scene = 'signing' THEN 'signing_person_decrease' END AS scene2, month
+    FROM fx_ledger
+    WHERE CASE WHEN data_type = 'adjustment' AND adjust_type = 'decrease' THEN 1
+               WHEN obu_id = '4400000017' THEN 0
+               WHEN buyer = 'bank_b' AND price > 0 THEN 0 ELSE 1 END = 1
+      AND segment = 'bus' AND scene <> 'prepaid'
+  ) h WHERE strftime(date, '%Y-%m') >= '2001-03' AND strftime(date, '%Y-%m') <= '2001-06'
+) b
+LEFT JOIN (SELECT d.id, coalesce(d.obu_id, om.device_id) AS device
+           FROM (SELECT id, obu_id FROM fx_detail WHERE ds = '20010801') d
+           LEFT JOIN fx_order_map om ON d.id = om.order_id) m
+  ON b.obu_id = m.id"""
+
+
+@register("backfill_resolve_id", fx.with_fixtures(_BACKFILL_SQL, ["fx_snapshot", "fx_ledger", "fx_detail", "fx_order_map"]))
 def backfill_resolve_id(spark: SparkSession, root: str) -> DataFrame:
-    """Pinned-snapshot backfill with order-id -> device-id
-    resolution for one scene (fan-out kept, as modelled)."""
-    return for_compare(R.backfill(fx.fx_snapshot(spark, root), fx.fx_order_map(spark, root)))
+    """D3, J4 (nested), J5, P12, P8, F3, F5, F9, F14, P13, P14, F10: current
+    months re-keyed plus seven backed-up historic feeds; cancellation-income
+    rows keyed by a detail id are re-keyed to the device (fan-out kept)."""
+    i = fixture_inputs(spark, root)
+    return for_compare(R.backfill(i["ledger_table"], i["snapshot"], i["ledger_table"], i["service_detail"],
+                                  i["order_map"]))
 
 
 # =========================================================================== service movements
