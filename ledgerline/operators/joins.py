@@ -3,10 +3,11 @@
 None of these hints a broadcast: the right sides here are derived from data
 and have no proven size bound.  With AQE on, Spark measures each shuffled
 side at run time and turns a join into a broadcast join only when that side
-is below ``spark.sql.autoBroadcastJoinThreshold``; otherwise it stays a
-sort-merge join.  Every right side is made unique per key first (distinct or
-aggregate), so a hot key on the left cannot fan out, and AQE's skew-join
-handling may split a hot left partition without changing the result.
+is below the AQE broadcast threshold; otherwise it stays a sort-merge join.
+Right sides are made unique per key first (distinct or aggregate), except
+``resolve_id(unique=False)``, which keeps the modelled fan-out; so a hot key
+on the left cannot multiply rows, and AQE's skew-join handling may split a
+hot left partition without changing the result.
 """
 
 from __future__ import annotations
