@@ -16,16 +16,16 @@ def summarise(df: DataFrame, keys: list, count_col: str, sum_col: str,
     return df.groupBy(*keys).agg(F.count(count_col).alias(count_name), F.sum(sum_col).alias(sum_name))
 
 
-def monthly_flows(df: DataFrame, flows: list[tuple[str, Column, Column]], amount: Column,
+def monthly_flows(df: DataFrame, flows: list[tuple], amount: Column,
                   month_name: str = "month", type_name: str = "type", sum_name: str = "money") -> DataFrame:
-    """A5: several (label, predicate, event column) flows summed per month.
-
-    One scan: each row emits the flows it belongs to, then one aggregate.
-    """
-    structs = [
-        F.when(pred & ev.isNotNull(), F.struct(F.date_format(ev, "yyyy-MM").alias(month_name),
-                                               F.lit(label).alias(type_name), amount.alias("__amount")))
-        for label, pred, ev in flows
-    ]
+    """A5: several (label, predicate, event column[, amount]) flows summed per
+    month.  One scan: each row emits the flows it belongs to, then one
+    aggregate.  A flow without its own amount uses ``amount``."""
+    structs = []
+    for flow in flows:
+        label, pred, ev = flow[:3]
+        amt = flow[3] if len(flow) > 3 else amount
+        structs.append(F.when(pred & ev.isNotNull(), F.struct(
+            F.date_format(ev, "yyyy-MM").alias(month_name), F.lit(label).alias(type_name), amt.alias("__amount"))))
     rows = df.select(F.inline(F.array_compact(F.array(*structs))))
     return rows.groupBy(month_name, type_name).agg(F.sum("__amount").alias(sum_name))

@@ -49,9 +49,10 @@ def self_correction_ids() -> list[str]:
 def merge_arms(spark: SparkSession, truck: DataFrame, bus: DataFrame, corrections: DataFrame,
                adjust_file: DataFrame, current: DataFrame) -> list[DataFrame]:
     c = F.col
+    no_net = F.lit(None).cast("decimal(18,6)")
     arms = [
-        truck.withColumn("net_price", F.lit(None).cast("decimal(18,6)")).select(*MERGED.fieldNames()),
-        bus.where(c("obu_id").isNotNull()).withColumn("net_price", F.lit(None).cast("decimal(18,6)")).select(*MERGED.fieldNames()),
+        ledger_shaped(truck.withColumn("net_price", no_net), MERGED),
+        ledger_shaped(bus.where(c("obu_id").isNotNull()).withColumn("net_price", no_net), MERGED),
         ledger_shaped(corrections, MERGED),
         constant_rows(spark, [CONSTANT_CORRECTION], MERGED),
         adjustment(adjust_file, {
@@ -73,11 +74,19 @@ def merge_arms(spark: SparkSession, truck: DataFrame, bus: DataFrame, correction
 
 
 def merge_ledger(spark: SparkSession, inputs, ctx: RunContext, truck: DataFrame, bus: DataFrame,
-                 window: bool = True) -> DataFrame:
+                 window: bool = True, strict: bool = True) -> DataFrame:
+    """``strict`` (Q6 fix): the rewrite window is also applied to the
+    partition column ``month``.  An adjustment whose date is in the window but
+    whose month names an older partition would otherwise replace that whole
+    partition with the corrections alone; such rows are left out.
+    ``strict=False`` keeps the modelled behaviour (window on the date only)."""
     arms = merge_arms(spark, truck, bus, inputs["corrections"], inputs["adjust_file"], inputs["current_ledger"])
     u = union_feeds(arms)
     u = u.withColumn("net_price", net_price(F.col("segment"), F.col("scene"), F.col("price")))
-    return rewrite_window(u, ctx) if window else u
+    if not window:
+        return u
+    u = rewrite_window(u, ctx)
+    return u.where(F.col("month") >= F.lit(ctx.window_start)) if strict else u
 
 
 def with_net_price(ledger: DataFrame) -> DataFrame:

@@ -120,13 +120,24 @@ def aftersales_summary(movements: DataFrame) -> DataFrame:
                      "obu_id", "price")
 
 
-def debit_refund_totals(equipment: DataFrame, floor: str = DEBIT_FLOOR) -> DataFrame:
+REFUND_DONE = "REFUND_SUCCESS"
+
+
+def debit_refund_totals(equipment: DataFrame, floor: str = DEBIT_FLOOR, strict: bool = False) -> DataFrame:
     """Monthly debit (by pay time) and refund (by refund time) totals of
-    successful payments of one department (refunds filter the pay state and
-    are not negated, as modelled)."""
+    successful payments of one department, one scan + one aggregate.
+
+    Default (as modelled, Q4): refunds filter the *pay* state and are summed
+    as positive amounts.  ``strict=True``: refunds filter the refund state and
+    are negated, like the card-swap refund feed.
+    """
     c = F.col
-    base = (c("pay_state") == F.lit("SUCCESS")) & (c("department") == F.lit(DEBIT_DEPARTMENT))
+    dept = c("department") == F.lit(DEBIT_DEPARTMENT)
+    paid = (c("pay_state") == F.lit("SUCCESS")) & dept
+    refunded = ((c("refund_state") == F.lit(REFUND_DONE)) & dept) if strict else paid
+    amount = c("equipment_amount")
     return monthly_flows(equipment, [
-        ("debit", base & (F.date_format("gmt_payment", "yyyy-MM") >= F.lit(floor)), c("gmt_payment")),
-        ("refund", base & (F.date_format("gmt_refund", "yyyy-MM") >= F.lit(floor)), c("gmt_refund")),
-    ], c("equipment_amount"))
+        ("debit", paid & (F.date_format("gmt_payment", "yyyy-MM") >= F.lit(floor)), c("gmt_payment"), amount),
+        ("refund", refunded & (F.date_format("gmt_refund", "yyyy-MM") >= F.lit(floor)), c("gmt_refund"),
+         -amount if strict else amount),
+    ], amount)

@@ -84,3 +84,34 @@ def test_d9_adjustment_arm_passes_window_and_device_filters(spark, sf):
     out = S.other_movements(detail, MONTH_CLOSE, adjustments=adj)
     assert out.count() == base.count() + 1
     assert out.where("id = 'adj1'").count() == 1
+
+
+def test_q4_strict_refunds_use_refund_state_and_negate(spark, sf):
+    eq = fx.fx_equipment(spark, sf)
+    kept = {(r["month"], r["type"]): r["money"] for r in S.debit_refund_totals(eq).collect()}
+    fixed = {(r["month"], r["type"]): r["money"] for r in S.debit_refund_totals(eq, strict=True).collect()}
+    assert {k: v for k, v in kept.items() if k[1] == "debit"} == {k: v for k, v in fixed.items() if k[1] == "debit"}
+    assert all(v > 0 for k, v in kept.items() if k[1] == "refund")
+    assert all(v < 0 for k, v in fixed.items() if k[1] == "refund")
+
+
+def test_q6_strict_merge_keeps_old_partitions_out(spark, sf):
+    from decimal import Decimal
+    from ledgerline.plans import merge as M
+    from ledgerline.plans.inputs import Inputs
+    stray = spark.createDataFrame(
+        [("o1", Decimal("5.00"), "2001-07")], "obu_id string, price decimal(18,2), month string")
+    i = Inputs(spark, sf, {"adjust_file": stray})
+    lg = i["ledger_table"]
+    truck, bus = lg.where(F.col("segment") == L.TRUCK), lg.where(F.col("segment") == L.BUS)
+    old = M.ADJUSTMENT_MONTH
+    try:
+        M.ADJUSTMENT_MONTH = "2001-01"  # an adjustment dated in the window, filed under an old month
+        parity = M.merge_ledger(spark, i, MONTH_CLOSE, truck, bus, strict=False)
+        fixed = M.merge_ledger(spark, i, MONTH_CLOSE, truck, bus)
+        # the stray adjustment and the self-corrections are all filed under 2001-01
+        assert parity.where((F.col("month") == "2001-01") & (F.col("obu_id") == "o1")).count() == 1
+        assert fixed.where(F.col("month") == "2001-01").count() == 0
+        assert dict(fixed.dtypes)["price"] == "decimal(18,2)"
+    finally:
+        M.ADJUSTMENT_MONTH = old
