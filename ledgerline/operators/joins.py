@@ -95,3 +95,28 @@ def resolve_id(df: DataFrame, mapping: DataFrame, key: str, map_key: str, map_va
     if when is not None:
         swapped = F.when(when, swapped).otherwise(keyed[key])
     return joined.select(*[swapped.alias(c) if c == key else keyed[c] for c in df.columns])
+
+
+def attach_dimensions(df: DataFrame, key: str, dimensions: list[tuple[DataFrame, str, dict]]) -> DataFrame:
+    """LEFT JOIN several right sides that are unique per key, all on ``key``.
+
+    The (NULL-spread) key is computed once, so after the first join the left
+    side stays hash-partitioned on it and every further join shuffles only its
+    right side: one shuffle of the large table, not one per dimension.
+    Each dimension is ``(frame, its key column, {output name: Column})``;
+    an empty mapping means "membership": the output is a boolean column named
+    after the frame's key column alias given as ``{"<name>": None}``.
+    """
+    keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
+    out = keyed
+    for i, (right, right_key, values) in enumerate(dimensions):
+        rk = f"__rk{i}"
+        if all(v is None for v in values.values()):
+            (name,) = values.keys()
+            r = right.select(F.col(right_key).alias(rk)).distinct().withColumn(name, F.lit(True))
+            out = out.join(r, out["__lk"] == r[rk], "left").drop(rk) \
+                .withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+        else:
+            r = right.groupBy(F.col(right_key).alias(rk)).agg(*[c.alias(n) for n, c in values.items()])
+            out = out.join(r, out["__lk"] == r[rk], "left").drop(rk)
+    return out.drop("__lk")

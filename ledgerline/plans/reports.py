@@ -13,7 +13,7 @@ from ledgerline.context import RunContext
 from ledgerline.functions.department import department
 from ledgerline.functions.geo import province
 from ledgerline.functions.rules import direction, keep, not_like, ordered_rule, recode
-from ledgerline.operators.joins import attach_one_per_key, flag_existence, member_of, resolve_id
+from ledgerline.operators.joins import attach_dimensions, attach_one_per_key, flag_existence, resolve_id
 from ledgerline.schema import LEDGER, conform
 from ledgerline.sources.snapshot import at_snapshot, month_in
 
@@ -48,17 +48,20 @@ def waiver_summary(ledger: DataFrame) -> DataFrame:
 def channel_members(external: DataFrame, shop_orders: DataFrame, shop_serials: DataFrame,
                     shop_items: DataFrame) -> DataFrame:
     """Devices sold through the live-stream channel (distinct)."""
-    a = external.select(F.col("lasted_obu").alias("device")).distinct()
-    chain = (shop_orders.join(shop_serials, "o_id").join(shop_items, "uuid")
-             .select(F.col("sn").alias("device")).distinct())
+    a = external.select(F.col("lasted_obu").alias("device"))
+    chain = shop_orders.join(shop_serials, "o_id").join(shop_items, "uuid").select(F.col("sn").alias("device"))
+    # one distinct over both sources (partial aggregation removes repeats
+    # before the shuffle)
     return a.unionByName(chain).distinct()
 
 
 def enrich(ledger: DataFrame, members: DataFrame, device: DataFrame) -> DataFrame:
     """Add department (P17) and province (P16) to every ledger row."""
     c = F.col
-    x = member_of(ledger, members, "obu_id", "device", "__in_channel")
-    x = attach_one_per_key(x, device, "obu_id", "obuid", {"openname": F.max("openname")})
+    x = attach_dimensions(ledger, "obu_id", [
+        (members, "device", {"__in_channel": None}),
+        (device, "obuid", {"openname": F.max("openname")}),
+    ])
     return x.select(*ledger.columns,
                     department(c("segment"), c("scene"), c("__in_channel"), c("openname")).alias("department"),
                     province(c("obu_id")).alias("province"))

@@ -51,3 +51,8 @@ def test_no_nested_loop_or_cartesian(spark, sf, name):
         pytest.skip("sink query: writes on build")
     p = plan(QUERIES[name](spark, sf))
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_enrichment_shuffles_the_ledger_once(spark, sf):
+    p = plan(QUERIES["enrich_department"](spark, sf))
+    assert p.count("Exchange hashpartitioning(__lk") == 1
