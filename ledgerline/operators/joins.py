@@ -61,14 +61,6 @@ def flag_existence(df: DataFrame, right: DataFrame, left_on: list[str], right_on
                       F.when(F.col("__hit").isNotNull(), F.lit(yes)).otherwise(F.lit(no)).alias(name))
 
 
-def member_of(df: DataFrame, members: DataFrame, left_key: str, member_key: str, name: str) -> DataFrame:
-    """Boolean column ``name`` = key is in the distinct member set."""
-    m = members.select(F.col(member_key).alias("__member")).distinct()
-    keyed = df.select("*", spread_null_key(df, left_key).alias("__lk"))
-    out = keyed.join(m, keyed["__lk"] == m["__member"], "left")
-    return out.select(*[keyed[c] for c in df.columns], F.col("__member").isNotNull().alias(name))
-
-
 def attach_one_per_key(df: DataFrame, right: DataFrame, left_key: str, right_key: str,
                        values: dict[str, Column]) -> DataFrame:
     """J8 + A8: aggregate ``right`` to one row per key, then LEFT JOIN it."""
