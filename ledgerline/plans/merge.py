@@ -21,7 +21,7 @@ from ledgerline.functions.rules import direction, recode
 from ledgerline.functions.tax import net_price
 from ledgerline.operators.adjustments import adjustment, constant_rows, ledger_shaped, self_correction
 from ledgerline.operators.feeds import rewrite_window, union_feeds
-from ledgerline.schema import LEDGER, MERGED
+from ledgerline.schema import LEDGER, MERGED, conform
 
 # fixed values: the constant correction row
 CONSTANT_CORRECTION = {
@@ -90,6 +90,7 @@ def merge_ledger(spark: SparkSession, inputs, ctx: RunContext, truck: DataFrame,
 
 
 def with_net_price(ledger: DataFrame) -> DataFrame:
-    """P15 alone: add the after-tax price to ledger rows."""
-    cols = [c for c in LEDGER.fieldNames() if c != "month"]
-    return ledger.select(*cols, net_price(F.col("segment"), F.col("scene"), F.col("price")).alias("net_price"), "month")
+    """P15 alone: ledger rows in the merged schema with their after-tax price."""
+    values = {c: f"@{c}" for c in LEDGER.fieldNames()}
+    values["net_price"] = net_price(F.col("segment"), F.col("scene"), F.col("price"))
+    return conform(ledger, values, MERGED)

@@ -494,7 +494,7 @@ def enrich_department(spark: SparkSession, root: str) -> DataFrame:
 
 @register("ledger_summary", fx.with_fixtures(
     "SELECT date, scene, buyer, preinstall, data_type, adjust_type, segment, scene2, department, province, "
-    "CAST(price AS DOUBLE) AS price, count(obu_id) AS obu_amt, CAST(sum(price) AS BIGINT) AS money "
+    "CAST(price AS DOUBLE) AS price, count(obu_id) AS obu_amt, CAST(sum(price) AS DOUBLE) AS money "
     "FROM enriched GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11", _ENRICH_FX, _ENRICH_CTES))
 def ledger_summary(spark: SparkSession, root: str) -> DataFrame:
     """Devices and money per 11 keys over the enriched ledger."""

@@ -23,3 +23,24 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.fixture(scope="module")
+def small_duck():
+    from compare import duck
+
+    return duck("/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_output_types_pair_up(spark, small_duck, name):
+    """Same column names and the same type family on both engines (no
+    DECIMAL / int-vs-double drift that a value hash could trip on)."""
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    rel = small_duck.sql(ORACLE[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
