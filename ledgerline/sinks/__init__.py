@@ -12,6 +12,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.session import checkpoint_root
+
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -59,16 +61,30 @@ def full_refresh(df: DataFrame, table: str, path: str | None = None, fmt: str =
 
 def overwrite_partitions(df: DataFrame, table: str, partition_col: str = "month", clear=()) -> None:
     """K2: replace exactly the partitions ``df`` has rows for; columns are
-    matched by name to the target.  ``clear`` lists partitions of the run's
-    window that must end up holding only the new rows: they are dropped first,
-    so a window month with no new rows is emptied too (dynamic overwrite alone
-    would leave it untouched).  Re-running gives the same target."""
+    matched by name to the target.
+
+    ``clear`` lists the partitions of the run's window that must end up
+    holding only the new rows; one that receives no new rows is emptied
+    (dynamic overwrite alone would leave it untouched, Q18).  For that the
+    new rows are first checkpointed to the shared checkpoint folder: this
+    cuts lineage, so ``df`` may read the target itself (the self-correction
+    arm does); the write then replaces partitions; only after it succeeds are
+    the empty window partitions dropped.  Re-running gives the same target.
+    """
     spark = df.sparkSession
-    for value in clear:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {_quote(value)})")
     cols = spark.table(table).columns
+    data = df.select(*cols)
+    written = None
+    if clear:
+        checkpoint_root(spark)
+        data = data.checkpoint(eager=True)
+        # the partition values written: a handful of strings
+        written = {r[0] for r in data.select(partition_col).distinct().collect()}
     with dynamic_overwrite(spark):
-        clustered(df.select(*cols), partition_col).write.mode("overwrite").insertInto(table)
+        clustered(data, partition_col).write.mode("overwrite").insertInto(table)
+    for value in clear:
+        if value not in written:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {_quote(value)})")
 
 
 def replace_day(df: DataFrame, table: str, day: str, partition_col: str = "bz_date", path: str | None = None,

@@ -56,3 +56,11 @@ def test_extract_csv_round_trip(spark):
     K.extract_csv(df, path)
     back = spark.read.option("header", "true").schema(df.schema).csv(path)
     assert back.collect() == df.collect()
+
+
+def test_rewrite_that_reads_its_own_target(spark):
+    name = _table(spark, [(1, "2001-06"), (2, "2001-07"), (3, "2001-08")])
+    new = spark.table(name).where(F.col("month") >= "2001-07").select((F.col("v") * 10).alias("v"), "month") \
+        .where(F.col("month") == "2001-07")
+    K.overwrite_partitions(new, name, "month", clear=["2001-07", "2001-08"])
+    assert _rows(spark, name) == [(1, "2001-06"), (20, "2001-07")]
