@@ -46,7 +46,14 @@ class FeedSpec:
     extra: dict = field(default_factory=dict)
 
 
-def build_feed(spec: FeedSpec, df: DataFrame, ctx: RunContext, mode: str = "incremental") -> DataFrame:
+def build_feed(spec: FeedSpec, df: DataFrame, ctx: RunContext, mode: str = "incremental",
+               window: bool = False) -> DataFrame:
+    """``window=True``: the caller applies the rewrite window (F1) to this
+    feed; it is also given to the scan as a typed range on the raw event
+    column so non-snapshot sources skip old row groups (snapshot slices are
+    already bounded by month)."""
+    if spec.slice != "snapshot" and window:
+        df = df.where(month_from(df, spec.event, ctx.window_start))
     if spec.slice == "snapshot":
         x = snapshot_union(df, spec.event, ctx, mode=mode, floor=spec.floor)
     elif spec.slice == "today":

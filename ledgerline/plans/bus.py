@@ -72,6 +72,6 @@ def bus_specs() -> list[FeedSpec]:
 
 
 def bus_ledger(inputs, ctx: RunContext, mode: str = "incremental") -> DataFrame:
-    frames = [build_feed(s, inputs[s.source], ctx, mode) for s in bus_specs()]
+    frames = [build_feed(s, inputs[s.source], ctx, mode, window=(mode == "incremental")) for s in bus_specs()]
     out = union_feeds(frames)
     return rewrite_window(out, ctx) if mode == "incremental" else out

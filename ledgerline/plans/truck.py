@@ -82,6 +82,6 @@ def truck_specs() -> list[FeedSpec]:
 
 
 def truck_ledger(inputs, ctx: RunContext, mode: str = "incremental") -> DataFrame:
-    frames = [build_feed(s, inputs[s.source], ctx, mode) for s in truck_specs()]
+    frames = [build_feed(s, inputs[s.source], ctx, mode, window=(mode == "incremental")) for s in truck_specs()]
     out = union_feeds(frames)
     return rewrite_window(out, ctx) if mode == "incremental" else out
