@@ -9,13 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import labels as L
-from ledgerline.context import RunContext
 from ledgerline.functions.department import department
 from ledgerline.functions.geo import province
 from ledgerline.functions.rules import direction, keep, not_like, ordered_rule, recode
 from ledgerline.operators.joins import attach_dimensions, attach_one_per_key, flag_existence, resolve_id
 from ledgerline.schema import LEDGER, conform
-from ledgerline.sources.snapshot import at_snapshot, month_in
+from ledgerline.sources.snapshot import at_snapshot
 
 # fixed values: scene2 labels the reports select on
 ALL_DEVICES = "all_devices"

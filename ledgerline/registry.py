@@ -100,12 +100,14 @@ def _ledger_sel(date_expr, scene, buyer, price, key, data_type, adjust_type, seg
             f"'{segment}' AS segment, {scene2} AS scene2, strftime(CAST({date_expr} AS DATE), '%Y-%m') AS month")
 
 
+_KEY11 = ("CASE WHEN event_ts < TIMESTAMP '2001-03-01 00:00:00' THEN vehicle_id "
+          "WHEN event_ts >= TIMESTAMP '2001-03-01 00:00:00' AND remark = 'increase' THEN vehicle_id END")
+
+
 def _truck_body(ctx: RunContext) -> str:
     fl = ctx.floor_month
     R, A, T = L.RECEIVABLE, L.ADJUSTMENT, L.TRUCK
     ev = "event_ts"
-    key11 = ("CASE WHEN event_ts < TIMESTAMP '2001-03-01 00:00:00' THEN vehicle_id "
-             "WHEN event_ts >= TIMESTAMP '2001-03-01 00:00:00' AND remark = 'increase' THEN vehicle_id END")
     arms = [
         two_arm(_ledger_sel(ev, "'signing'", "bank", "CASE WHEN strftime(event_ts, '%Y-%m') >= '2001-07' AND bank = 'bank_a' THEN 70 ELSE price END",
                             "id", R, R, T, "'signing_active'"), floor=fl),
@@ -124,8 +126,8 @@ def _truck_body(ctx: RunContext) -> str:
         two_arm(_ledger_sel(ev, "'signing'", "bank", "price", "id", A, L.INCREASE, T, "'signing_increase'"), where="remark = 'increase'", floor=fl),
         two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "price", "id", A, L.INCREASE, T, "'new_paid_increase'"),
                 where="remark = 'increase' AND price > 0", floor=fl),
-        two_arm(_ledger_sel(ev, "'signing'", "'bank_a_first_use'", "-70", key11, A, L.DECREASE, T, "'signing_decrease'"),
-                where=f"({key11}) IS NOT NULL", floor=fl),
+        two_arm(_ledger_sel(ev, "'signing'", "'bank_a_first_use'", "-70", _KEY11, A, L.DECREASE, T, "'signing_decrease'"),
+                where=f"({_KEY11}) IS NOT NULL", floor=fl),
         two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'new_paid_decrease'"),
                 where="remark = 'decrease'", floor=fl),
         two_arm(_ledger_sel(ev, "'after_sales'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'after_sales_decrease'"),
@@ -246,8 +248,6 @@ def _spec(name):
     return next(s for s in truck_specs() if s.name == name)
 
 
-_KEY11 = ("CASE WHEN event_ts < TIMESTAMP '2001-03-01 00:00:00' THEN vehicle_id "
-          "WHEN event_ts >= TIMESTAMP '2001-03-01 00:00:00' AND remark = 'increase' THEN vehicle_id END")
 _DECREASE_ARMS = [
     two_arm(_ledger_sel("event_ts", "'signing'", "'bank_a_first_use'", "-70", _KEY11, L.ADJUSTMENT, L.DECREASE, L.TRUCK,
                         "'signing_decrease'"), where=f"({_KEY11}) IS NOT NULL", floor="2001-05"),
@@ -316,10 +316,10 @@ def feed_composite_buyer(spark: SparkSession, root: str) -> DataFrame:
 
 
 # =========================================================================== merge and reports
-from ledgerline.operators.adjustments import adjustment, constant_rows, self_correction  # noqa: E402
+from ledgerline.operators.adjustments import constant_rows  # noqa: E402
 from ledgerline.plans import merge as M  # noqa: E402
 from ledgerline.plans import reports as R  # noqa: E402
-from ledgerline.schema import LEDGER, MERGED, conform  # noqa: E402
+from ledgerline.schema import LEDGER, conform  # noqa: E402
 
 
 def _tax_part(goods: int, service: int) -> str:

@@ -2,7 +2,6 @@
 
 import uuid
 
-from ledgerline.context import RunContext
 from ledgerline.plans import jobs as J
 from ledgerline.plans import reports as R
 from ledgerline.plans.inputs import fixture_inputs

@@ -3,7 +3,6 @@ join, the movement arms scan their source once, no nested-loop joins."""
 
 import pytest
 
-from ledgerline.context import RunContext
 from ledgerline.plans import services as S
 from ledgerline.registry import MONTH_CLOSE, QUERIES
 from ledgerline.sources import fixtures as fx

@@ -5,7 +5,6 @@ import uuid
 from datetime import date, datetime
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from ledgerline import labels as L
@@ -20,7 +19,7 @@ from ledgerline.plans import merge as M
 from ledgerline.plans import services as S
 from ledgerline.plans.inputs import Inputs
 from ledgerline.registry import MONTH_CLOSE
-from ledgerline.schema import LEDGER, MERGED
+from ledgerline.schema import LEDGER
 from ledgerline.session import scratch_path
 from ledgerline.sources.snapshot import snapshot_union
 
