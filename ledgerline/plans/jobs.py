@@ -11,6 +11,7 @@ Dependency graph of the income job:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,8 +67,25 @@ def write_months(df: DataFrame, table: str, ctx: RunContext, mode: str, partitio
         overwrite_partitions(df, table, partition_col, clear=ctx.window_months)
 
 
+Publisher = Callable[[DataFrame, str], None]
+
+
+def jdbc_publisher(url: str, properties: dict, schema: str = "public") -> Publisher:
+    """K5: publish each summary table to a serving database (truncate + insert)."""
+    from ledgerline.sinks import publish_jdbc
+
+    return lambda df, table: publish_jdbc(df, url, f"{schema}.{table}", properties)
+
+
+def _publish(spark: SparkSession, publish: Publisher | None, table: str) -> None:
+    if publish is not None:
+        publish(spark.table(table), table)
+
+
 def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables: IncomeTables,
-                   mode: str = "incremental", locations: dict | None = None) -> None:
+                   mode: str = "incremental", locations: dict | None = None,
+                   publish: Publisher | None = None) -> None:
+    """``publish`` (K5) receives every summary table after it was written."""
     loc = (locations or {}).get
     write_months(truck_ledger(inputs, ctx, mode), tables.truck, ctx, mode, location=loc("truck"))
     write_months(bus_ledger(inputs, ctx, mode), tables.bus, ctx, mode, location=loc("bus"))
@@ -81,22 +99,28 @@ def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables:
     ledger = spark.table(tables.ledger)
     full_refresh(R.settlement_slice(ledger), tables.settlement, path=loc("settlement"))
     full_refresh(R.waiver_summary(ledger), tables.waiver, path=loc("waiver"))
+    _publish(spark, publish, tables.waiver)
     members = R.channel_members(inputs["external_channel"], inputs["shop_orders"], inputs["shop_serials"],
                                 inputs["shop_items"])
     full_refresh(R.enrich(ledger, members, inputs["device"]), tables.enriched, path=loc("enriched"))
     full_refresh(R.ledger_summary(spark.table(tables.enriched)), tables.summary, path=loc("summary"))
+    _publish(spark, publish, tables.summary)
 
     write_months(S.other_movements(inputs["service_detail"], ctx), tables.other, ctx, mode, location=loc("other"))
     full_refresh(S.other_summary(spark.table(tables.other)), tables.other_summary, path=loc("other_summary"))
+    _publish(spark, publish, tables.other_summary)
     full_refresh(S.debit_refund_totals(inputs["equipment"]), tables.debit_refund, path=loc("debit_refund"))
+    _publish(spark, publish, tables.debit_refund)
     write_months(S.aftersales_movements(inputs["service_detail"], ctx), tables.aftersales, ctx, mode,
                  location=loc("aftersales"))
     full_refresh(S.aftersales_summary(spark.table(tables.aftersales)), tables.aftersales_summary,
                  path=loc("aftersales_summary"))
+    _publish(spark, publish, tables.aftersales_summary)
 
 
 def run_cost_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables: CostTables,
-                 extract_path: str | None = None, locations: dict | None = None) -> None:
+                 extract_path: str | None = None, locations: dict | None = None,
+                 publish: Publisher | None = None) -> None:
     loc = (locations or {}).get
     full_refresh(C.bill_cost_detail(inputs["bill"], inputs["bill_lines"], inputs["settlement"], inputs["product"]),
                  tables.detail, path=loc("detail"))
@@ -105,5 +129,6 @@ def run_cost_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables: C
                 path=loc("deposits"))
     full_refresh(C.daily_profit(spark.table(tables.detail), spark.table(tables.deposits)), tables.profit,
                  path=loc("profit"))
+    _publish(spark, publish, tables.profit)
     if extract_path:
         extract_csv(C.daily_extract(spark.table(tables.detail), ctx), extract_path)

@@ -38,8 +38,11 @@ def test_cost_job_is_repeatable(spark):
     names = [t.detail, t.deposits, t.profit]
     locations = {f: scratch_path(spark, f) for f in ("detail", "deposits", "profit")}
     out = scratch_path(spark, "extract")
-    J.run_cost_job(spark, fixture_inputs(spark, SMALL), COST_DAY, t, extract_path=out, locations=locations)
+    published = []
+    J.run_cost_job(spark, fixture_inputs(spark, SMALL), COST_DAY, t, extract_path=out, locations=locations,
+                   publish=lambda df, table: published.append((table, df.count())))
     first = _snapshot(spark, names)
+    assert published == [(t.profit, len(first[t.profit]))]
     assert len(first[t.deposits]) == 3
     J.run_cost_job(spark, fixture_inputs(spark, SMALL), COST_DAY, t, extract_path=out, locations=locations)
     assert _snapshot(spark, names) == first
