@@ -51,3 +51,12 @@ class Inputs(dict):
 
 def fixture_inputs(spark: SparkSession, root: str) -> Inputs:
     return Inputs(spark, root)
+
+
+def catalog_inputs(spark: SparkSession, tables: dict[str, str]) -> Inputs:
+    """Production inputs: each input name read from a catalog table.
+
+    ``tables`` maps input names (the keys of ``BUILDERS``) to table names;
+    reads are lazy, so only the inputs a job uses are touched.
+    """
+    return Inputs(spark, "", {name: spark.table(table) for name, table in tables.items()})
