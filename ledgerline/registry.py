@@ -31,11 +31,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+# Output date columns per query (default: "date"); both sides present them
+# as midnight timestamps (see schema.for_compare).
+DATE_OUTPUTS = {
+    "cost_bill_detail": ["bill_date"],
+    "cost_daily_extract": ["bill_date"],
+    "extract_csv": ["bill_date"],
+    "daily_profit": ["bz_date"],
+    "cost_semi_only": [],
+    "deposit_totals": [],
+    "replace_day": [],
+    "monthly_debit_refund": [],
+}
+
+
+def _dates_as_timestamps(name: str, sql: str) -> str:
+    cols = DATE_OUTPUTS.get(name, ["date"])
+    if not cols:
+        return sql
+    repl = ", ".join(f"CAST({c} AS TIMESTAMP) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) q"
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def query(spark: SparkSession, root: str) -> DataFrame:
+            return for_compare(fn(spark, root))
+
+        query.__name__, query.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = query
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = _dates_as_timestamps(name, sql)
         return fn
 
     return deco
@@ -446,14 +472,17 @@ def ledger_settlement_slice(spark: SparkSession, root: str) -> DataFrame:
     return for_compare(R.settlement_slice(_merged_ledger(spark, root)))
 
 
-@register("waiver_summary", fx.with_fixtures(f"""
+_WAIVER_SQL = fx.with_fixtures(f"""
 SELECT t1.date, t1.province, t1.buyer, CASE WHEN t2.obu_id IS NOT NULL THEN 'yes' ELSE 'no' END AS mark,
        count(t1.obu_id) AS amt
 FROM (SELECT date, {_province_sql('obu_id')} AS province, buyer, obu_id FROM fx_ledger
       WHERE segment = 'truck' AND scene2 = 'all_devices' GROUP BY 1, 2, 3, 4) t1
 LEFT JOIN (SELECT obu_id, buyer FROM fx_ledger WHERE segment = 'truck' AND scene2 = 'waiver' GROUP BY 1, 2) t2
   ON t1.obu_id = t2.obu_id AND t1.buyer = t2.buyer
-GROUP BY 1, 2, 3, 4""", ["fx_ledger"]))
+GROUP BY 1, 2, 3, 4""", ["fx_ledger"])
+
+
+@register("waiver_summary", _WAIVER_SQL)
 def waiver_summary(spark: SparkSession, root: str) -> DataFrame:
     """Devices per day/province/buyer, waived or not."""
     return R.waiver_summary(fx.fx_ledger(spark, root))
@@ -502,12 +531,13 @@ def ledger_summary(spark: SparkSession, root: str) -> DataFrame:
 
 
 @register("enrich_latest_name", fx.with_fixtures("""
-SELECT l.date, l.obu_id, l.price, n.openname, CASE WHEN n.openname LIKE 'smart_etc%' THEN 'yes' ELSE 'no' END AS smart
+SELECT l.date, l.obu_id, CAST(l.price AS DOUBLE) AS price, n.openname,
+       CASE WHEN n.openname LIKE 'smart_etc%' THEN 'yes' ELSE 'no' END AS smart
 FROM fx_ledger l LEFT JOIN (SELECT obuid, max(openname) AS openname FROM fx_device GROUP BY 1) n ON l.obu_id = n.obuid""",
     ["fx_ledger", "fx_device"]))
 def enrich_latest_name(spark: SparkSession, root: str) -> DataFrame:
     """Latest open name per device (max), prefix test."""
-    return R.latest_name(fx.fx_ledger(spark, root), fx.fx_device(spark, root))
+    return R.latest_name(_merged_ledger(spark, root), fx.fx_device(spark, root))
 
 
 _BF_SEL = ("CAST(event_ts AS DATE) AS date, {scene} AS scene, {buyer} AS buyer, CAST({price} AS DECIMAL(18,2)) AS price, "
@@ -824,7 +854,7 @@ def replace_day(spark: SparkSession, root: str) -> DataFrame:
     return spark.table(name)
 
 
-@register("full_refresh", ORACLE["waiver_summary"])
+@register("full_refresh", _WAIVER_SQL)
 def full_refresh(spark: SparkSession, root: str) -> DataFrame:
     """K1: a summary table fully replaced twice holds one copy."""
     name = _table_name("waiver_summary")

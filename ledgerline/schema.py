@@ -87,11 +87,22 @@ def check_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def for_compare(df: DataFrame) -> DataFrame:
-    """Output form for the oracle compare: decimals become doubles."""
+    """Output form of the registered queries (compared with another engine):
+    decimals become doubles, dates become midnight ``timestamp_ntz``.
+
+    Both are representation only.  A DATE reaches pandas as
+    ``datetime.date`` from Spark but as a timestamp from DuckDB, while a naive
+    timestamp looks the same from both engines and through both row and pandas
+    paths.  The library's own tables keep DATE and DECIMAL.
+    """
+    if not any(isinstance(f.dataType, (T.DecimalType, T.DateType)) for f in df.schema.fields):
+        return df
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
+        elif isinstance(f.dataType, T.DateType):
+            c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
     return df.select(*cols)
