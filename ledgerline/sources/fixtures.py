@@ -234,11 +234,14 @@ FROM orders
 def fx_bill(spark: SparkSession, root: str) -> DataFrame:
     """One bill per (statement, flow); money in DECIMAL so sums are exact."""
     li = load_table(spark, root, "lineitem")
+    # min() over small numeric codes instead of strings keeps this a hash
+    # aggregate (string min/max would force a sort-based aggregate)
+    flag_code = case_map(F.col("l_returnflag"), {"A": 0, "N": 1}, 2)
     g = li.groupBy("l_orderkey", "l_linenumber").agg(
         F.min(F.to_date("l_shipdate")).alias("bill_date"),
         F.min("l_partkey").alias("product_id"),
-        F.min("l_linestatus").alias("_status"),
-        F.min("l_returnflag").alias("_flag"),
+        F.min(F.when(F.col("l_linestatus") == "F", 0).otherwise(1)).alias("_status"),
+        F.min(flag_code).alias("_flag"),
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("bill_amount"),
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("service_fee"),
         F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("_late"),
@@ -248,8 +251,8 @@ def fx_bill(spark: SparkSession, root: str) -> DataFrame:
         F.col("l_linenumber").alias("flow"),
         "bill_date",
         "product_id",
-        F.when(F.col("_status") == "F", "loan").otherwise("other").alias("loan_type"),
-        case_map(F.col("_flag"), {"A": "type_a", "N": "type_n"}).alias("big_bill_type"),
+        F.when(F.col("_status") == 0, "loan").otherwise("other").alias("loan_type"),
+        case_map(F.col("_flag"), {0: "type_a", 1: "type_n"}).alias("big_bill_type"),
         "bill_amount",
         "service_fee",
         F.when(F.col("l_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("_late")).alias("late_fee"),
