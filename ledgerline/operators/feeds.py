@@ -9,11 +9,12 @@ the columns it does not use.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import labels as L
 from ledgerline.context import RunContext
@@ -23,6 +24,13 @@ from ledgerline.sources.snapshot import month_from, snapshot_union, today
 
 @dataclass
 class FeedSpec:
+    """One feed.  ``source`` names the input; ``event`` is the raw event column
+    the slice and the floor use; ``segment`` .. ``key`` give the ledger fields
+    (a Column, a literal, or ``"@col"``); ``slice`` is ``snapshot`` (today's
+    month-to-date plus closed months), ``today`` (today's snapshot only) or
+    ``table`` (a plain table); ``distinct`` deduplicates the conformed rows;
+    ``floor`` applies the context's lowest month; ``where`` filters the source."""
+
     name: str
     source: str
     event: str
@@ -43,7 +51,6 @@ class FeedSpec:
     # deduplicate on the raw event value (a feed that keeps time of day in
     # its key), then cast; default: cast to date first, as most feeds do
     dedup_raw_event: bool = False
-    extra: dict = field(default_factory=dict)
 
 
 def build_feed(spec: FeedSpec, df: DataFrame, ctx: RunContext, mode: str = "incremental",
@@ -88,9 +95,7 @@ def build_feed(spec: FeedSpec, df: DataFrame, ctx: RunContext, mode: str = "incr
     return out.distinct() if spec.distinct else out
 
 
-def _with_raw(df: DataFrame):
-    from pyspark.sql import types as T
-
+def _with_raw(df: DataFrame) -> T.StructType:
     return T.StructType(LEDGER.fields + [T.StructField("__raw_event", df.schema["__raw_event"].dataType)])
 
 
