@@ -15,6 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.context import RunContext
 from ledgerline.plans import cost as C
@@ -57,12 +58,16 @@ class CostTables:
 
 
 def write_months(df: DataFrame, table: str, ctx: RunContext, mode: str, partition_col: str = "month",
-                 location: str | None = None) -> None:
-    """Month-partitioned target: rebuild replaces it, an incremental run
-    replaces only its window months (emptying window months without rows)."""
+                 location: str | None = None, months: list[str] | None = None) -> None:
+    """Month-partitioned target.  An incremental run replaces only its window
+    months (emptying window months without rows); a rebuild replaces the
+    table, or with ``months`` only those months (Q16: re-close a month whose
+    run on the 1st was missed)."""
     spark = df.sparkSession
-    if mode == "rebuild" or not spark.catalog.tableExists(table):
+    if not spark.catalog.tableExists(table) or (mode == "rebuild" and not months):
         create_partitioned(df, table, partition_col, path=location)
+    elif mode == "rebuild":
+        overwrite_partitions(df.where(F.col(partition_col).isin(months)), table, partition_col, clear=months)
     else:
         overwrite_partitions(df, table, partition_col, clear=ctx.window_months)
 
@@ -84,17 +89,18 @@ def _publish(spark: SparkSession, publish: Publisher | None, table: str) -> None
 
 def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables: IncomeTables,
                    mode: str = "incremental", locations: dict | None = None,
-                   publish: Publisher | None = None) -> None:
-    """``publish`` (K5) receives every summary table after it was written."""
+                   publish: Publisher | None = None, months: list[str] | None = None) -> None:
+    """``publish`` (K5) receives every summary table after it was written.
+    ``mode="rebuild", months=[...]`` re-closes only those months."""
     loc = (locations or {}).get
-    write_months(truck_ledger(inputs, ctx, mode), tables.truck, ctx, mode, location=loc("truck"))
-    write_months(bus_ledger(inputs, ctx, mode), tables.bus, ctx, mode, location=loc("bus"))
+    write_months(truck_ledger(inputs, ctx, mode), tables.truck, ctx, mode, location=loc("truck"), months=months)
+    write_months(bus_ledger(inputs, ctx, mode), tables.bus, ctx, mode, location=loc("bus"), months=months)
 
     if spark.catalog.tableExists(tables.ledger):
         inputs["current_ledger"] = spark.table(tables.ledger)
     merged = merge_ledger(spark, inputs, ctx, spark.table(tables.truck), spark.table(tables.bus),
                           window=(mode == "incremental"))
-    write_months(merged, tables.ledger, ctx, mode, location=loc("ledger"))
+    write_months(merged, tables.ledger, ctx, mode, location=loc("ledger"), months=months)
 
     ledger = spark.table(tables.ledger)
     full_refresh(R.settlement_slice(ledger), tables.settlement, path=loc("settlement"))

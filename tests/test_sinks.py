@@ -64,3 +64,15 @@ def test_rewrite_that_reads_its_own_target(spark):
         .where(F.col("month") == "2001-07")
     K.overwrite_partitions(new, name, "month", clear=["2001-07", "2001-08"])
     assert _rows(spark, name) == [(1, "2001-06"), (20, "2001-07")]
+
+
+def test_rebuild_of_listed_months_only(spark):
+    from datetime import date as d
+
+    from ledgerline.context import RunContext
+    from ledgerline.plans.jobs import write_months
+
+    name = _table(spark, [(1, "2001-06"), (2, "2001-07"), (3, "2001-08")])
+    rebuilt = spark.createDataFrame([(60, "2001-06"), (70, "2001-07"), (80, "2001-08")], "v int, month string")
+    write_months(rebuilt, name, RunContext(as_of=d(2001, 8, 2)), "rebuild", months=["2001-07"])
+    assert _rows(spark, name) == [(1, "2001-06"), (3, "2001-08"), (70, "2001-07")]
