@@ -31,6 +31,7 @@ def main(argv=None) -> None:
     src.add_argument("--fixtures", help="folder of the test tables (fixture views)")
     src.add_argument("--tables", help="JSON file: input name -> catalog table")
     ap.add_argument("--extract", help="folder for the daily cost extract (CSV)")
+    ap.add_argument("--months", help="with --mode rebuild: comma-separated yyyy-MM months to rewrite only")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
@@ -39,7 +40,8 @@ def main(argv=None) -> None:
               else catalog_inputs(spark, json.load(open(args.tables))))
     ctx = RunContext(as_of=args.as_of, first_close=args.first_close, floor_month=args.floor_month)
     if args.job == "income":
-        J.run_income_job(spark, inputs, ctx, J.IncomeTables().prefixed(args.prefix), mode=args.mode)
+        months = args.months.split(",") if args.months else None
+        J.run_income_job(spark, inputs, ctx, J.IncomeTables().prefixed(args.prefix), mode=args.mode, months=months)
     else:
         J.run_cost_job(spark, inputs, ctx, J.CostTables().prefixed(args.prefix), extract_path=args.extract)
 
