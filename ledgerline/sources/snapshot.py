@@ -75,6 +75,9 @@ def month_to_date(df: DataFrame, event: str, ctx: RunContext, ds: str = "ds") ->
 
 
 def _closed_predicate(df: DataFrame, event: str, ctx: RunContext, ds: str) -> Column:
+    """Snapshots taken on a 1st, from the first close up to the run date
+    (closes after ``as_of`` are ignored, so a back-dated run sees the data as
+    it was on that day), each contributing the month before it."""
     d = F.col(ds)
     closes = (F.substring(d, 7, 2) == F.lit("01")) & (d >= F.lit(ctx.first_close)) & (d <= F.lit(ctx.ds))
     prev_month = F.date_format(F.add_months(F.to_date(d, "yyyyMMdd"), -1), "yyyy-MM")
