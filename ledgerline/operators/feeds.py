@@ -105,5 +105,6 @@ def union_feeds(frames: list[DataFrame]) -> DataFrame:
 
 
 def rewrite_window(df: DataFrame, ctx: RunContext, column: str = "date") -> DataFrame:
-    """keep the months an incremental run rewrites (lower bound only)."""
-    return df.where(F.date_format(F.col(column), "yyyy-MM") >= F.lit(ctx.window_start))
+    """keep the months an incremental run rewrites (lower bound only),
+    as a typed comparison with the first day of the window."""
+    return df.where(month_from(df, column, ctx.window_start))

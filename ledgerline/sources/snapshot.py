@@ -80,8 +80,15 @@ def _closed_predicate(df: DataFrame, event: str, ctx: RunContext, ds: str) -> Co
     it was on that day), each contributing the month before it."""
     d = F.col(ds)
     closes = (F.substring(d, 7, 2) == F.lit("01")) & (d >= F.lit(ctx.first_close)) & (d <= F.lit(ctx.ds))
-    prev_month = F.date_format(F.add_months(F.to_date(d, "yyyyMMdd"), -1), "yyyy-MM")
-    return closes & (month_of(event) == prev_month)
+    # the month before the snapshot day, as a typed range on the raw event
+    # column: [1st of previous month, snapshot day) -- no per-row formatting
+    day = F.to_date(d, "yyyyMMdd")
+    dtype = df.schema[event].dataType
+    lo, hi = F.add_months(day, -1), day
+    if not isinstance(dtype, T.DateType):
+        lo, hi = (lo.cast("string"), hi.cast("string")) if isinstance(dtype, T.StringType) else (lo.cast(dtype), hi.cast(dtype))
+    e = F.col(event)
+    return closes & (e >= lo) & (e < hi)
 
 
 def closed_months(df: DataFrame, event: str, ctx: RunContext, ds: str = "ds") -> DataFrame:

@@ -54,3 +54,14 @@ def test_window_months():
     assert RunContext(as_of=date(2001, 8, 2)).window_months == ["2001-08"]
     # before the first close nothing older is rewritten
     assert RunContext(as_of=date(2001, 5, 1), first_close="20010601").window_months == ["2001-05"]
+
+
+def test_string_and_timestamp_event_columns_slice_alike(daily_snapshots):
+    ctx = RunContext(as_of=date(2001, 8, 1), first_close="20010601", floor_month="2001-05")
+    as_text = daily_snapshots.withColumn("event_ts", F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"))
+    for mode in ("incremental", "rebuild"):
+        a = sorted(tuple(r) for r in snapshot_union(daily_snapshots, "event_ts", ctx, mode=mode)
+                   .select("id", "ds").collect())
+        b = sorted(tuple(r) for r in snapshot_union(as_text, "event_ts", ctx, mode=mode).select("id", "ds").collect())
+        assert a == b and len(a) > 0
+    assert closed_months(as_text, "event_ts", ctx).count() == closed_months(daily_snapshots, "event_ts", ctx).count()
