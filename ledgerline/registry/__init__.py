@@ -7,7 +7,7 @@ area modules registers their queries (in this order).
 """
 
 from ledgerline.registry.base import DATE_OUTPUTS, MID_MONTH, MONTH_CLOSE, ORACLE, QUERIES, register
-from ledgerline.registry import snapshots, ledgers, reports, services, cost, sinks  # noqa: F401,E402
-from ledgerline.registry.cost import COST_DAY  # noqa: E402
+from ledgerline.registry import snapshots, ledgers, reports, services, cost, sinks  # noqa: F401  (registers the queries)
+from ledgerline.registry.cost import COST_DAY
 
 __all__ = ["QUERIES", "ORACLE", "DATE_OUTPUTS", "MID_MONTH", "MONTH_CLOSE", "COST_DAY", "register"]
