@@ -55,3 +55,28 @@ def prefix_rule(df: DataFrame, column: str, n: int, rules: DataFrame, out: str,
 def rules_frame(spark, rows: dict, key: str, out: str) -> DataFrame:
     """A two-column rule table from a mapping (for rule data kept in code)."""
     return spark.createDataFrame(list(rows.items()), f"{key} string, {out} string")
+
+
+def rate_from_table(df: DataFrame, rates: DataFrame, key: str, day: str, out: str, rate_key: str = "key",
+                    max_broadcast_rows: int = MAX_BROADCAST_RULES) -> DataFrame:
+    """P20, general form: the rate valid on ``day`` from a table of versions
+    ``(rate_key, valid_from, valid_to, rate)``; ``valid_to`` is exclusive and
+    NULL means open-ended.  Versions of one key must not overlap, so each row
+    matches at most one version (no fan-out).  Rows with no valid version,
+    or a NULL key, get NULL.
+
+    An equi-join on the key plus a range condition: Spark has no range join,
+    but each key has only a few versions, so the per-key candidates are tiny.
+    The rate table is broadcast only after its size was checked.
+    """
+    r = rates.select(F.col(rate_key).alias("__rk"), F.col("valid_from").alias("__from"),
+                     F.col("valid_to").alias("__to"), F.col("rate").alias("__rate"))
+    if _small_enough(r, max_broadcast_rows):
+        r = F.broadcast(r)
+        keyed = df.select("*", F.col(key).alias("__lk"))
+    else:
+        keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
+    d = F.to_date(keyed[day])
+    cond = (keyed["__lk"] == r["__rk"]) & (d >= r["__from"]) & (r["__to"].isNull() | (d < r["__to"]))
+    joined = keyed.join(r, cond, "left")
+    return joined.select(*[keyed[c] for c in df.columns], F.col("__rate").alias(out))

@@ -25,6 +25,7 @@ ORACLE: dict[str, str] = {}
 DATE_OUTPUTS = {
     "cost_bill_detail": ["bill_date"],
     "cost_daily_extract": ["bill_date"],
+    "cost_rate_table": ["bill_date"],
     "extract_csv": ["bill_date"],
     "daily_profit": ["bz_date"],
     "cost_semi_only": [],

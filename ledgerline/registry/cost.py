@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.context import RunContext
 from ledgerline.operators.joins import restrict_to_keys
+from ledgerline.operators.lookup import rate_from_table
 from ledgerline.plans import cost as C
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.registry.base import register
@@ -17,6 +18,7 @@ from ledgerline.sources import fixtures as fx
 
 # fixed values: cost-job run day (its "yesterday" is 1998-03-01)
 COST_DAY = RunContext(as_of=date(1998, 3, 2))
+RATE_EPOCH = date(1900, 1, 1)  # first day of the oldest rate version
 _PART_RATE = "CASE WHEN fg.bill_date >= DATE '1999-01-01' THEN dpc.part_rate_new ELSE dpc.part_rate_old END"
 _BILL = "CAST(fg.bill_amount AS DECIMAL(18,2))"
 _FEE = "CAST(fg.service_fee AS DECIMAL(18,2))"
@@ -124,3 +126,20 @@ FROM cost WHERE bill_date = DATE '{COST_DAY.yesterday}'"""
 def cost_daily_extract(spark: SparkSession, root: str) -> DataFrame:
     """D15, F18 (fixed: compared as dates): yesterday's cost lines + profit."""
     return for_compare(C.daily_extract(_cost_detail(spark, root), COST_DAY))
+
+
+@register("cost_rate_table", fx.with_fixtures("""
+SELECT fg.statement_id, fg.flow, fg.bill_date, fg.product_id,
+       CAST(CASE WHEN fg.bill_date >= DATE '1999-01-01' THEN dpc.part_rate_new ELSE dpc.part_rate_old END AS DOUBLE) AS part_rate
+FROM fx_bill fg LEFT JOIN fx_product dpc ON fg.product_id = dpc.product_id""", ["fx_bill", "fx_product"]))
+def cost_rate_table(spark: SparkSession, root: str) -> DataFrame:
+    """P20, general form: the partner rate of every bill looked up in a
+    rate-version table (old rate until the cut day, new from it)."""
+    i = fixture_inputs(spark, root)
+    p = i["product"]
+    old = p.select(F.col("product_id").alias("key"), F.lit(RATE_EPOCH).alias("valid_from"),
+                   F.lit(C.RATE_CUT).alias("valid_to"), F.col("part_rate_old").alias("rate"))
+    new = p.select(F.col("product_id").alias("key"), F.lit(C.RATE_CUT).alias("valid_from"),
+                   F.lit(None).cast("date").alias("valid_to"), F.col("part_rate_new").alias("rate"))
+    bills = i["bill"].select("statement_id", "flow", "bill_date", "product_id")
+    return rate_from_table(bills, old.unionByName(new), "product_id", "bill_date", "part_rate")

@@ -27,3 +27,25 @@ def test_equality_rule_duplicates_do_not_fan_out(spark):
     rules = spark.createDataFrame([("a", "x"), ("a", "w"), ("b", "y")], "k string, label string")
     got = _rows(equality_rule(df, rules, ["k"], "label", default="none"), ["k", "v", "label"])
     assert got == sorted([("a", 1, "w"), ("b", 2, "y"), (None, 3, "none")], key=repr)
+
+
+def test_rate_table_equals_the_single_cut_rule(spark):
+    from datetime import date
+
+    from ledgerline.functions.rules import effective_rate
+    from ledgerline.operators.lookup import rate_from_table
+
+    bills = spark.createDataFrame(
+        [(1, date(1998, 12, 31)), (1, date(1999, 1, 1)), (2, date(2000, 5, 5)), (3, date(2000, 1, 1)), (None, date(2000, 1, 1))],
+        "product_id bigint, bill_date date")
+    products = spark.createDataFrame([(1, 0.1, 0.2), (2, 0.3, 0.4)], "product_id bigint, old double, new double")
+    cut = date(1999, 1, 1)
+    rates = products.selectExpr("product_id AS key", "DATE '1900-01-01' AS valid_from", f"DATE '{cut}' AS valid_to",
+                                "old AS rate").unionByName(
+        products.selectExpr("product_id AS key", f"DATE '{cut}' AS valid_from", "CAST(NULL AS DATE) AS valid_to",
+                            "new AS rate"))
+    want = (bills.join(products, "product_id", "left")
+            .select("product_id", "bill_date", effective_rate(F.col("bill_date"), cut, F.col("old"), F.col("new")).alias("rate")))
+    for limit in (100, 1):
+        got = rate_from_table(bills, rates, "product_id", "bill_date", "rate", max_broadcast_rows=limit)
+        assert _rows(got, ["product_id", "bill_date", "rate"]) == _rows(want, ["product_id", "bill_date", "rate"])
