@@ -45,13 +45,39 @@ def settlement_by_channel(settlement: DataFrame) -> DataFrame:
             .groupBy("business_id", "pay_channel").agg(F.sum("split_amount").alias("split_amount")))
 
 
+def settlement_pivoted(settlement: DataFrame) -> DataFrame:
+    """A7, one row per business id: the bank and wallet split sums side by
+    side (conditional aggregation, one pass, no pivot value scan)."""
+    c = F.col
+    return (settlement.where(c("pay_channel").isin(BANK_CHANNEL, WALLET_CHANNEL))
+            .groupBy("business_id")
+            .agg(F.sum(F.when(c("pay_channel") == BANK_CHANNEL, c("split_amount"))).alias("split_bank"),
+                 F.sum(F.when(c("pay_channel") == WALLET_CHANNEL, c("split_amount"))).alias("split_wallet")))
+
+
 def bill_cost_detail(bill: DataFrame, bill_lines: DataFrame, settlement: DataFrame, product: DataFrame,
-                     cut: date = RATE_CUT) -> DataFrame:
+                     cut: date = RATE_CUT, pivot: bool = False) -> DataFrame:
     """Bills restricted to the bill-line key set (semi join), left-joined
     to per-channel settlements (a bill paid through both channels yields two
-    rows) and to the product cost dimension; partner and channel cost."""
+    rows, Q8) and to the product cost dimension; partner and channel cost.
+
+    ``pivot=True`` (Q8 option): one row per bill with ``split_bank`` and
+    ``split_wallet``; a flag-'0' partner cost is then counted once."""
     c = F.col
     b = restrict_to_keys(bill, bill_keys(bill_lines), ["statement_id", "flow"])
+    if pivot:
+        s = settlement_pivoted(settlement)
+        x = b.join(s, b["statement_id"] == s["business_id"], "left").drop("business_id")
+        x = x.join(product, "product_id", "left")
+        bank = F.when(c("split_bank").isNotNull(), F.lit(BANK_CHANNEL))
+        wallet = F.when(c("split_wallet").isNotNull(), F.lit(WALLET_CHANNEL))
+        return x.select(
+            "statement_id", "flow", "bill_date", "product_id", "loan_type", "big_bill_type", "bill_amount",
+            "service_fee", "late_fee", "split_bank", "split_wallet",
+            partner_cost(c("part_flag"), bank, c("loan_type"), c("bill_amount"), c("service_fee"),
+                         c("split_bank"), c("bill_date"), c("part_rate_old"), c("part_rate_new"), cut).alias("part_cb"),
+            channel_cost(c("channel_flag"), wallet, c("split_wallet"), c("channel_rate")).alias("channel_cb"),
+        )
     s = settlement_by_channel(settlement)
     x = b.join(s, b["statement_id"] == s["business_id"], "left").drop("business_id")
     x = x.join(product, "product_id", "left")

@@ -26,6 +26,7 @@ DATE_OUTPUTS = {
     "cost_bill_detail": ["bill_date"],
     "cost_daily_extract": ["bill_date"],
     "cost_rate_table": ["bill_date"],
+    "cost_bill_detail_pivot": ["bill_date"],
     "extract_csv": ["bill_date"],
     "daily_profit": ["bz_date"],
     "cost_semi_only": [],

@@ -143,3 +143,35 @@ def cost_rate_table(spark: SparkSession, root: str) -> DataFrame:
                    F.lit(None).cast("date").alias("valid_to"), F.col("part_rate_new").alias("rate"))
     bills = i["bill"].select("statement_id", "flow", "bill_date", "product_id")
     return rate_from_table(bills, old.unionByName(new), "product_id", "bill_date", "part_rate")
+
+
+_SPLIT_BANK = "CAST(cr.split_bank AS DECIMAL(18,2))"
+
+
+@register("cost_bill_detail_pivot", fx.with_fixtures(f"""
+SELECT fg.statement_id, fg.flow, fg.bill_date, fg.product_id, fg.loan_type, fg.big_bill_type,
+       CAST(fg.bill_amount AS DOUBLE) AS bill_amount, CAST(fg.service_fee AS DOUBLE) AS service_fee,
+       CAST(fg.late_fee AS DOUBLE) AS late_fee, CAST(cr.split_bank AS DOUBLE) AS split_bank,
+       CAST(cr.split_wallet AS DOUBLE) AS split_wallet,
+       CAST(CAST(CASE WHEN dpc.part_flag = '0' THEN
+                        CASE WHEN fg.loan_type = 'loan' THEN {_BILL} * 0.00049 + {_FEE} * {_PART_RATE} ELSE {_FEE} * {_PART_RATE} END
+                      WHEN dpc.part_flag = '1' AND cr.split_bank IS NOT NULL THEN
+                        CASE WHEN fg.loan_type = 'loan' THEN {_BILL} * 0.00049 + {_SPLIT_BANK} * {_PART_RATE}
+                             ELSE {_SPLIT_BANK} * {_PART_RATE} END
+                      ELSE 0 END AS DECIMAL(30,8)) AS DOUBLE) AS part_cb,
+       CAST(CAST(CASE WHEN dpc.channel_flag = '1' AND cr.split_wallet IS NOT NULL
+                      THEN CAST(cr.split_wallet AS DECIMAL(18,2)) * dpc.channel_rate ELSE 0 END AS DECIMAL(30,8)) AS DOUBLE) AS channel_cb
+FROM (SELECT statement_id, flow, count(1) AS n FROM fx_bill_lines
+      WHERE bill_time >= TIMESTAMP '1998-01-01 00:00:00' AND card_type = 'card_l' GROUP BY statement_id, flow) fb
+JOIN fx_bill fg ON fb.statement_id = fg.statement_id AND fb.flow = fg.flow
+LEFT JOIN (SELECT business_id,
+                  sum(CASE WHEN pay_channel = 'channel_bank' THEN split_amount END) AS split_bank,
+                  sum(CASE WHEN pay_channel = 'channel_wallet' THEN split_amount END) AS split_wallet
+           FROM fx_settlement WHERE pay_channel IN ('channel_bank', 'channel_wallet') GROUP BY business_id) cr
+  ON fg.statement_id = cr.business_id
+LEFT JOIN fx_product dpc ON fg.product_id = dpc.product_id""", _COST_FX))
+def cost_bill_detail_pivot(spark: SparkSession, root: str) -> DataFrame:
+    """D12 with the Q8 option: settlements pivoted per bill (conditional
+    aggregation), one row per bill, flag-'0' partner cost counted once."""
+    i = fixture_inputs(spark, root)
+    return C.bill_cost_detail(i["bill"], i["bill_lines"], i["settlement"], i["product"], pivot=True)

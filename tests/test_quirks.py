@@ -115,3 +115,18 @@ def test_q6_strict_merge_keeps_old_partitions_out(spark, sf):
         assert dict(fixed.dtypes)["price"] == "decimal(18,2)"
     finally:
         M.ADJUSTMENT_MONTH = old
+
+
+def test_q8_pivot_option_one_row_per_bill_and_costs_agree(spark, sf):
+    i = fixture_inputs(spark, sf)
+    fan = C.bill_cost_detail(i["bill"], i["bill_lines"], i["settlement"], i["product"])
+    one = C.bill_cost_detail(i["bill"], i["bill_lines"], i["settlement"], i["product"], pivot=True)
+    assert one.groupBy("statement_id", "flow").count().where("count > 1").count() == 0
+    assert one.count() == fan.select("statement_id", "flow").distinct().count()
+    # channel cost and flag-'1' partner cost agree; flag-'0' cost is counted once instead of per channel row
+    f = fan.groupBy("statement_id", "flow").agg(F.sum("channel_cb").alias("ch"), F.count("*").alias("n"),
+                                                F.sum("part_cb").alias("pc"))
+    j = one.join(f, ["statement_id", "flow"])
+    assert j.where(F.col("channel_cb") != F.col("ch")).count() == 0
+    assert j.where((F.col("n") == 1) & (F.col("part_cb") != F.col("pc"))).count() == 0
+    assert j.where((F.col("n") == 2) & (F.col("part_cb") > F.col("pc"))).count() == 0
