@@ -40,9 +40,24 @@ def partner_cost(
     rate_old: Column,
     rate_new: Column,
     cut: date,
+    float_rates: bool = False,
 ) -> Column:
     """P19.  flag '0': service fee x rate; flag '1' on the bank channel: split
-    x rate; loans add bill x 0.049 %; anything else (and unknown product) 0."""
+    x rate; loans add bill x 0.049 %; anything else (and unknown product) 0.
+
+    ``float_rates=True`` is the parity mode of Q9: rates are cast to 32-bit
+    float as the modelled job does, and the result is a double."""
+    if float_rates:
+        rate = effective_rate(bill_date, cut, rate_old.cast("float"), rate_new.cast("float"))
+        loan = loan_type == F.lit(LOAN)
+        surcharge = bill_amount * F.lit(float(LOAN_RATE))
+
+        def with_loan_f(base: Column) -> Column:
+            return F.when(loan, surcharge + base * rate).otherwise(base * rate)
+
+        return (F.when(part_flag == F.lit("0"), with_loan_f(service_fee))
+                .when((part_flag == F.lit("1")) & (pay_channel == F.lit(BANK_CHANNEL)), with_loan_f(split_amount))
+                .otherwise(F.lit(0.0))).cast("double")
     # Operands are bounded to DECIMAL(18,2) / DECIMAL(9,6) so every product
     # and sum stays exact (no precision-loss rounding above 38 digits).
     rate = effective_rate(bill_date, cut, rate_old.cast(RATE), rate_new.cast(RATE))
@@ -60,8 +75,13 @@ def partner_cost(
     ).cast(COST)
 
 
-def channel_cost(channel_flag: Column, pay_channel: Column, split_amount: Column, channel_rate: Column) -> Column:
-    """Split x channel rate on the wallet channel when flagged, else 0."""
+def channel_cost(channel_flag: Column, pay_channel: Column, split_amount: Column, channel_rate: Column,
+                 float_rates: bool = False) -> Column:
+    """Split x channel rate on the wallet channel when flagged, else 0.
+    ``float_rates=True``: Q9 parity (rate as 32-bit float, double result)."""
+    if float_rates:
+        return F.when((channel_flag == F.lit("1")) & (pay_channel == F.lit(WALLET_CHANNEL)),
+                      split_amount * channel_rate.cast("float")).otherwise(F.lit(0.0)).cast("double")
     return F.when(
         (channel_flag == F.lit("1")) & (pay_channel == F.lit(WALLET_CHANNEL)),
         split_amount.cast(AMOUNT) * channel_rate.cast(RATE),

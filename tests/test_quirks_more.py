@@ -165,3 +165,11 @@ def test_q30_sink_sets_dynamic_mode_even_if_session_is_static(spark):
         assert spark.conf.get(K.OVERWRITE_MODE) == "static"
     finally:
         spark.conf.unset(K.OVERWRITE_MODE)
+
+
+def test_q9_float_parity_mode(spark):
+    df = spark.createDataFrame([(100.1,)], "fee double")
+    col = partner_cost(F.lit("0"), F.lit("x"), F.lit("other"), F.lit(0.0), F.col("fee"), F.lit(None),
+                       F.lit(date(2001, 1, 1)), F.lit(Decimal("0.006")), F.lit(Decimal("0.006")), date(2000, 1, 1),
+                       float_rates=True)
+    assert df.select(col).first()[0] == 0.6006000052206217
