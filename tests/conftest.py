@@ -1,3 +1,6 @@
+"""Shared fixtures: one local Spark session (UI off, UTC, its own warehouse and
+checkpoint folders) and a DuckDB connection over the sf0.01 tables."""
+
 import os
 import sys
 
