@@ -107,12 +107,18 @@ def replace_day(df: DataFrame, table: str, day: str, partition_col: str = "bz_da
         rows.select(*cols).write.mode("overwrite").insertInto(table)
 
 
-def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict) -> None:
+def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict, max_connections: int = 8,
+                 batch_size: int = 10_000) -> None:
     """K5: publish a summary to a serving database (truncate + insert).
 
-    Connection details come from the caller; nothing is embedded here.
+    Connection details come from the caller; nothing is embedded here.  At
+    most ``max_connections`` tasks write at once (Spark's JDBC writer
+    coalesces to ``numPartitions``), so a large cluster cannot open one
+    connection per partition against the serving database; rows are sent in
+    batches of ``batch_size``.
     """
     (df.write.mode("overwrite").option("truncate", "true")
+     .option("numPartitions", str(max_connections)).option("batchsize", str(batch_size))
      .jdbc(url=url, table=table, properties=properties))
 
 
