@@ -124,5 +124,7 @@ def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict, max_conn
 
 def extract_csv(df: DataFrame, path: str) -> None:
     """K6: a detail extract for people, written in parallel as CSV files with
-    a header (no collect to the driver)."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    a header (no collect to the driver).  The extract keeps one day of a large
+    plan, so it is rebalanced first (AQE sizes the partitions): a few files of
+    sensible size instead of one tiny file per upstream partition."""
+    df.hint("rebalance").write.mode("overwrite").option("header", "true").csv(path)
