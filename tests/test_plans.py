@@ -45,11 +45,13 @@ def test_movements_scan_source_once(spark, sf):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_nested_loop_or_cartesian(spark, sf, name):
+def test_no_nested_loop_cartesian_cap_or_sample(spark, sf, name):
+    """No pair-emitting joins, and whole tables: no row cap, no sampling."""
     if name in ("overwrite_partitions", "replace_day", "full_refresh", "extract_csv"):
         pytest.skip("sink query: writes on build")
     p = plan(QUERIES[name](spark, sf))
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert "Limit" not in p and "Sample" not in p
 
 
 def test_enrichment_shuffles_the_ledger_once(spark, sf):
