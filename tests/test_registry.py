@@ -22,3 +22,10 @@ def test_oracle_reads_the_given_tables(name):
     sql = ORACLE[name].lower()
     assert "select" in sql and any(re.search(rf"\bfrom {t}\b|\bjoin {t}\b", sql) for t in TABLES)
     assert " limit " not in sql and "tablesample" not in sql
+
+
+def test_public_api_resolves():
+    import ledgerline
+
+    missing = [n for n in ledgerline.__all__ if not hasattr(ledgerline, n)]
+    assert not missing
