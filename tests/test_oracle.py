@@ -36,16 +36,6 @@ def small_duck():
     return duck("/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_output_types_pair_up(spark, small_duck, name):
-    """Same column names and the same type family on both engines (no
-    DECIMAL / int-vs-double drift that a value hash could trip on)."""
-    df = QUERIES[name](spark, "/root/testdata/sf0.001")
-    rel = small_duck.sql(ORACLE[name])
-    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
-    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
-
-
 def _naive_hash(pdf):
     import hashlib
 
@@ -58,9 +48,12 @@ def _naive_hash(pdf):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_naive_pandas_hash_matches(spark, small_duck, name):
-    """Strictest form of the gate: toPandas() vs DuckDB .df(), every value
-    hashed as str() without rounding or date normalisation."""
-    a = _naive_hash(QUERIES[name](spark, "/root/testdata/sf0.001").toPandas())
-    b = _naive_hash(small_duck.sql(ORACLE[name]).df())
-    assert a == b
+def test_types_pair_up_and_strict_hash_matches(spark, small_duck, name):
+    """Same column names and type family on both engines, and the strictest
+    form of the gate: toPandas() vs DuckDB .df(), every value hashed as str()
+    without rounding or date normalisation (sf0.001)."""
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    rel = small_duck.sql(ORACLE[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
+    assert _naive_hash(df.toPandas()) == _naive_hash(small_duck.sql(ORACLE[name]).df())
