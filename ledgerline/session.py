@@ -41,8 +41,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    try:  # a classic session; a Spark Connect session has no SparkContext
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises a session-specific error
+        sc = None
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
