@@ -44,7 +44,8 @@ def main() -> None:
     queries, oracles = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0
-    for name in only or list(queries):
+    names = only or list(queries)
+    for name in names:
         t = time.time()
         df = queries[name](spark, sf_dir)
         problems, rows = compare(df, con, oracles[name])
@@ -52,7 +53,7 @@ def main() -> None:
             problems = ["strict hash differs"]
         bad += bool(problems)
         print(f"{name:32s} rows={rows:8d} {time.time() - t:5.1f}s {'OK' if not problems else problems}")
-    print(f"{len(queries)} queries, {len(oracles)} oracles, {bad} mismatches")
+    print(f"{len(names)} checked of {len(queries)} queries ({len(oracles)} oracles), {bad} mismatches")
 
 
 if __name__ == "__main__":
