@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,9 +28,12 @@ def main() -> None:
     from ledgerline.registry import QUERIES
     from ledgerline.session import apply_defaults
 
+    # a local benchmark: its tables go to a fresh scratch warehouse unless one is configured
+    warehouse = os.environ.get("BENCH_WAREHOUSE") or tempfile.mkdtemp(prefix="ledgerline-bench-wh-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ledgerline-bench")
+        .config("spark.sql.warehouse.dir", warehouse)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus * 2))
         .config("spark.sql.adaptive.enabled", "true")
