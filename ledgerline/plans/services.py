@@ -22,6 +22,7 @@ EXCLUDED_OPEN_NAMES = ["excluded_channel", "excluded_bank_wechat", "excluded_ban
 ETC_DEPARTMENT = "etc"
 DEBIT_DEPARTMENT = "etc"
 DEBIT_FLOOR = "2000-03"
+REFUND_DONE = "REFUND_SUCCESS"  # refund state used by the strict refund totals
 
 OTHER_COLUMNS = ["sale_department", "service_scene2", "date", "obu_id", "price", "id", "ds", "scene", "data_type"]
 AFTERSALES_COLUMNS = ["data_type", "scene", "adjust_type", "sale_department", "date", "obu_id", "price", "id", "ds"]
@@ -120,9 +121,6 @@ def aftersales_summary(movements: DataFrame) -> DataFrame:
                      "obu_id", "price")
 
 
-REFUND_DONE = "REFUND_SUCCESS"
-
-
 def debit_refund_totals(equipment: DataFrame, floor: str = DEBIT_FLOOR, strict: bool = False) -> DataFrame:
     """Monthly debit (by pay time) and refund (by refund time) totals of
     successful payments of one department, one scan + one aggregate.
