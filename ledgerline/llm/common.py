@@ -164,7 +164,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[
             out.append(np.unique(shingles[at[r] : at[r + 1]]))
         elif words[r]:
             h = hashes[word_at[r] : word_at[r + 1]]
-            out.append(mix(np.array([(h * _SHINGLE_C[: len(h)]).sum() + _SHINGLE_C[8 + len(h) % 8]], np.uint64)))
+            out.append(mix((h * _SHINGLE_C[: len(h)]).sum(keepdims=True) + _SHINGLE_C[8 + len(h) % 8]))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -179,41 +179,24 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     at most the same, takes a logarithmic number of rounds, and needs grouping
     with map-side combine and a join only, so no group is ever held in memory.
     """
-    e = (
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
-    )
-    e = cut(e)
+    e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(rounds):
-        # large star: each vertex points its larger neighbours at its smallest one
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
-        large = (
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
-        # small star: each vertex points itself and its smaller neighbours at the smallest
-        large = cut(large)
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")))
-        small = (
-            large.join(least, "u")
-            .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-            .select("x.u", "x.v")
-            .where("u <> v")
-            .distinct()
-        )
-        e_next = cut(small)
-        # a forest of stars: no vertex points at two, none that is pointed at points on
-        deep = e_next.groupBy("u").agg(F.count("*").alias("k")).where("k > 1").limit(1)
-        chained = e_next.join(e_next.select(F.col("u").alias("w")), F.col("v") == F.col("w"), "left_semi").limit(1)
-        e = e_next
-        if deep.isEmpty() and chained.isEmpty():
+        # done when every vertex has one smaller neighbour, which has none itself
+        least = cut(e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")))
+        if least.where("k > 1").isEmpty() and e.join(least.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             break
+        # small star: a vertex points itself and its smaller neighbours at the smallest
+        pair = lambda a, b: F.struct(F.col(a).alias("u"), F.col(b).alias("v"))
+        small = e.join(least, "u").select(F.explode(F.array(pair("u", "m"), pair("v", "m"))).alias("x")).select("x.u", "x.v")
+        small = cut(small.where("u <> v").distinct())
+        # large star: a vertex points its larger neighbours at its smallest
+        both = small.unionByName(small.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = cut(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
+        e = cut(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
     else:
         raise RuntimeError("components did not settle")
-    return e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(
-        e.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
-    )
+    roots = e.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
+    return e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(roots)
 
 
 def fresh(names, wanted: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import quality
+from ledgerline.llm import minhash, quality
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,9 @@ FROM judged, policy JOIN rule ON (mask & bit) <> 0 GROUP BY policy, version, rul
 def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each rule of each policy version rejects, alone and with others."""
     return quality.ablations(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@register("op2_minhash_near_duplicates")
+def op2_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets overlap by 85 % or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
