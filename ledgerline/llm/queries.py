@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import minhash, quality
+from ledgerline.llm import minhash, quality, substrings
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,14 @@ def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets overlap by 85 % or more."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op3_repeated_substrings")
+def op3_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that a 50-byte string of an earlier document covers."""
+    out = substrings.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
