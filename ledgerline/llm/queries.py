@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import minhash, quality, substrings
+from ledgerline.llm import minhash, quality, secrets, substrings
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,15 @@ def op3_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def _secret_forest(docs: DataFrame) -> list:
+    return secrets.fit_forest(secrets.weak_labels(secrets.plausible(docs, path="source")))
+
+
+@register("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret of every text with the forest's score and verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secrets.findings(docs, _secret_forest(docs), path="source")
+    return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
