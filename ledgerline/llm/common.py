@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: bytes of text that one numpy step handles; a longer single text is handled alone
 CHUNK_BYTES = 1 << 21
+#: ids that a join may broadcast; more are shuffled
+BROADCAST_IDS = 1 << 20
 
 _U = np.uint64
 _M1, _M2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -29,22 +31,34 @@ _SHINGLE_C = _rng.integers(1, 1 << 63, 16, dtype=np.uint64) * _U(2) + _U(1)
 _powers: dict[str, np.ndarray] = {}
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session
-    names in ``spark.checkpoint.dir``.  Only a local master without that setting
-    (tests) gets a folder of its own; a cluster without it raises."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in ``spark.checkpoint.dir``, which driver and
+    executors share.  Only a local master without that setting (tests) gets a folder
+    of its own; a cluster without it raises."""
     sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerline-test-")
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            folder = tempfile.mkdtemp(prefix="ledgerline-test-")
         sc.setCheckpointDir(folder)
+    return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def few_or_shuffled(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """A column of ids for a join: broadcast if it was counted to be at most ``limit``
+    (8 MB of longs), else left for Spark to shuffle."""
+    ids = cut(ids)
+    return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

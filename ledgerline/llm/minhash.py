@@ -21,7 +21,8 @@ chance that no tree finds a pair at 0.85 is 3e-7 on the first level.
 Defined results: null, empty and white-space-only texts have the empty set and
 are linked with nothing; repeated rows (one key twice) count once per row in
 ``signatures`` and join their class; ties go to the smallest key; other columns
-are not read.  An empty table gives an empty result.
+are not read; a null key is linked with nothing and kept.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import components, cut, map_text, mix, shingle_sets
+from ledgerline.llm.common import components, cut, few_or_shuffled, map_text, mix, shingle_sets
 
 TREES = 8
 SKETCH = 32
@@ -39,8 +40,6 @@ SKETCH = 32
 SMALL = 24
 #: levels of branching after the roots' children
 LEVELS = 4
-#: ids that a semi join may broadcast (8 MB of longs); more are shuffled
-BROADCAST_IDS = 1 << 20
 #: minwise values that a pair must share before its full sets are read; a pair at
 #: 0.85 has fewer than 16 of 32 with a probability of about 1e-6
 AGREE = 16
@@ -136,12 +135,10 @@ def _children(level: int):
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int, key: str, text: str, width: int) -> DataFrame:
     """Of ``pairs(a, b)`` those whose full sets have 100 * intersection >= percent * union."""
-    wanted = cut(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = texts.join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+    wanted = few_or_shuffled(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
     sets = map_text(texts, "text", _sets(width), "shingles array<bigint>").drop("text")
-    # a key on several rows names one document; its largest set stands for it
+    # a pair holds if any of the texts under its keys does
     sets = cut(sets)
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
@@ -152,6 +149,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int, key: str, text: st
         .select("a", "b", inter.alias("i"), (F.size("sa") + F.size("sb") - inter).alias("u"))
         .where(F.col("i") * 100 >= F.col("u") * percent)
         .select("a", "b")
+        .distinct()
     )
 
 
@@ -160,7 +158,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     with 100 * intersection >= percent * union, components their closure."""
     sig = cut(signatures(docs, key, text, width))
     fp = ["fp1", "fp2", "n_shingles"]
-    classes = cut(sig.where("n_shingles > 0").groupBy(*fp).agg(F.min("doc_id").alias("class_id")))
+    classes = cut(sig.where("n_shingles > 0 and doc_id is not null").groupBy(*fp).agg(F.min("doc_id").alias("class_id")))
     members = classes.join(sig.select(F.col("doc_id").alias("class_id"), "roots", "sketch"), "class_id")
     members = cut(members.dropDuplicates(["class_id"]).select(F.col("class_id").alias("id"), "roots", "sketch"))
     sketches = members.select("id", "sketch")
@@ -196,7 +194,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     # the signatures are the side that may hold one class a third of the time; both
     # sides are shuffled straight from files, so the join can split it
     out = sig.select("doc_id", *fp).join(own, fp, "left")
-    component = F.coalesce("c", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 

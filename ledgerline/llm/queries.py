@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerline.llm import minhash, packing, quality, secrets, substrings
 from ledgerline.llm.common import table
 
@@ -131,3 +132,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 1024 tokens."""
     pieces = packing.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over ``documents``."""
+    return corpus_pipeline.run(spark, sf_dir)
