@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import minhash, packing, quality, secrets, substrings
+from ledgerline.llm import language, minhash, packing, quality, secrets, substrings
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from two thirds of the documents."""
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    model = language.fit(docs.where("not held_out"))
+    return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 QUALITY_SQL = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
