@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import language, minhash, packing, quality, secrets, substrings
+from ledgerline.llm import language, minhash, packing, quality, secrets, substrings, vectors
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +136,12 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
 
 
+@register("op9_embedding_near_duplicates")
+def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of equally labelled vectors with cosine of 0.98 or more."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @register("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 1024 tokens."""
