@@ -9,10 +9,14 @@ exhaustively, large ones branch on.  Links are confirmed on the full sets.
 * In each node every class is first compared with the node's smallest class
   only; classes that are then connected need no further comparison, so a large
   group of near copies costs one comparison a member instead of all pairs.
-* Only nodes that still hold two unconnected components go on: small ones are
-  compared in full, large ones branch on two further minwise tokens.  Nodes that
-  reach the last level are compared in full in blocks, so no pair is lost to a
-  size limit.
+* Nodes that still hold two unconnected components go on.  Large ones branch on
+  two further minwise tokens.  Small ones are compared exhaustively, by sketches
+  first: a member stays open if its sketch agrees with one of another component.
+  The full sets of a node's open members are then compared in blocks, and only a
+  spanning forest of the links leaves the task.  A pair that meets in several
+  small nodes is looked at in the first.
+* A node that is large on the last level is compared in blocks as well, so no
+  pair is lost to a size limit.
 
 A pair at similarity s meets in a tree's root children with probability s, and
 passes each later level with 1 - (1 - s)**2.  With the default eight trees the
@@ -35,14 +39,16 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import components, cut, few_or_shuffled, map_text, mix, shingle_sets
 
 TREES = 8
-SKETCH = 32
+SKETCH = 128
 #: a node of at most so many classes is compared exhaustively
-SMALL = 24
+SMALL = 512
+#: members of one block of full sets
+BLOCK = 128
 #: levels of branching after the roots' children
 LEVELS = 4
-#: minwise values that a pair must share before its full sets are read; a pair at
-#: 0.85 has fewer than 16 of 32 with a probability of about 1e-6
-AGREE = 16
+#: of SKETCH minwise bytes, those that a pair must share before its full sets are
+#: read; a pair at 0.85 has fewer than 92 of 128 with a probability of about 1e-5
+AGREE = 92
 
 _SALT = np.random.default_rng(85).integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -67,7 +73,7 @@ def _signatures(width: int):
             b[full] = np.add.reduceat(mix(everything ^ _SALT[0]), at)
         roots = mix(low[:, :TREES] + np.arange(1, TREES + 1, dtype=np.uint64) * _SALT[1])
         lists = pa.ListArray.from_arrays(np.arange(0, n * TREES + 1, TREES, dtype=np.int32), pa.array(roots.ravel().view(np.int64)))
-        sketch = (low >> np.uint64(32)).astype(np.uint32)
+        sketch = (low >> np.uint64(40)).astype(np.uint8)
         return [sizes, a.view(np.int64), b.view(np.int64), lists, [row.tobytes() for row in sketch]]
 
     return run
@@ -90,27 +96,48 @@ def _sets(width: int):
     return run
 
 
-def _agreeing(batches):
-    """Pairs across components inside each listed node whose sketches agree enough."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _bytes(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _whole_nodes(batches):
+    """Batches cut at node borders; the rows come sorted by node."""
+    rest = None
     for batch in batches:
-        left, right = [], []
-        nodes = batch.column(0)
-        offsets = np.asarray(nodes.offsets)
-        inner = nodes.values
-        ids, comps = np.asarray(inner.field(0)), np.asarray(inner.field(1))
-        sketch = np.frombuffer(b"".join(inner.field(2).to_pylist()), np.uint32).reshape(-1, SKETCH)
-        for i in range(len(nodes)):
-            lo, hi = offsets[i], offsets[i + 1]
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        node = table.column(0).to_numpy()
+        if not len(node):
+            continue
+        last = int(np.searchsorted(node, node[-1]))
+        if last:
+            yield table.slice(0, last).combine_chunks()
+        rest = table.slice(last)
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()
+
+
+def _open(batches):
+    """Members of each node whose sketch agrees with that of a member of another
+    component, unless both meet in an earlier small node under the roots."""
+    schema = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("component_id", pa.int64())])
+    for table in _whole_nodes(batches):
+        node, comp = table.column("node").to_numpy(), table.column("component_id").to_numpy()
+        sketch, tree = _bytes(table.column("sketch").combine_chunks()), table.column("tree").to_numpy()
+        roots = np.asarray(table.column("met").combine_chunks().flatten()).reshape(len(node), -1)
+        is_open = np.zeros(len(node), bool)
+        edge = np.flatnonzero(np.diff(node)) + 1
+        for lo, hi in zip(np.concatenate(([0], edge)), np.concatenate((edge, [len(node)])), strict=True):
+            t = int(tree[lo])
             for p in range(lo, hi - 1):
-                agree = (sketch[p + 1 : hi] == sketch[p]).sum(axis=1) >= AGREE
-                q = np.flatnonzero(agree & (comps[p + 1 : hi] != comps[p])) + p + 1
+                rest = slice(p + 1, hi)
+                q = np.flatnonzero(((sketch[rest] == sketch[p]).sum(axis=1) >= AGREE) & (comp[rest] != comp[p])) + p + 1
+                if len(q) and t:
+                    q = q[~((roots[q, :t] == roots[p, :t]) & (roots[p, :t] != 0)).any(axis=1)]
                 if len(q):
-                    left.append(np.minimum(ids[p], ids[q]))
-                    right.append(np.maximum(ids[p], ids[q]))
-        if left:
-            pairs = np.unique(np.stack((np.concatenate(left), np.concatenate(right)), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], schema=schema)
+                    is_open[p] = True
+                    is_open[q] = True
+        if is_open.any():
+            yield from table.select(schema.names).filter(pa.array(is_open)).to_batches()
 
 
 def _children(level: int):
@@ -119,27 +146,86 @@ def _children(level: int):
 
     def run(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             key = np.asarray(batch.column(0)).view(np.uint64)
-            sketch = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, SKETCH)
+            sketch = _bytes(batch.column(2))
             first = (mix(key + np.uint64(level)) % np.uint64(SKETCH)).astype(np.int64)
-            keys, ids = [], []
+            keys = []
             for step in (0, 1 + level * 2):
                 at = (first + step) % SKETCH
                 value = sketch[np.arange(len(key)), at].astype(np.uint64)
                 keys.append(mix(key * _SALT[2] + value * _SALT[3] + at.astype(np.uint64)))
-                ids.append(batch.column(1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.concat_arrays(ids)], names=["node", "id"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.concat_arrays([batch.column(1)] * 2)], names=["node", "id"]
+            )
+
+    return run
+
+
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Which of the edges (a, b) a spanning forest takes."""
+    up = list(range(n))
+
+    def top(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    take = np.zeros(len(a), bool)
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            take[i] = True
+    return take
+
+
+def _compare(percent: int):
+    """Full sets of the members of a block pair: a spanning forest of their links."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, comp = table.column("id").to_numpy(), table.column("component_id").to_numpy()
+        sets = table.column("shingles").combine_chunks()
+        size = np.diff(np.asarray(sets.offsets))
+        _, code, count = np.unique(np.asarray(sets.flatten()), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(ids)), size)
+        # only shingles of two members count, in column blocks of bounded width
+        shared = count[code] > 1
+        row, code = row[shared], (np.cumsum(count > 1) - 1)[code[shared]]
+        order = np.argsort(code, kind="stable")
+        row, code = row[order], code[order]
+        common = np.zeros((len(ids), len(ids)), np.float32)
+        width = 4096
+        for c in range(0, int(code[-1]) + 1 if len(code) else 0, width):
+            lo, hi = np.searchsorted(code, (c, c + width))
+            m = np.zeros((len(ids), width), np.float32)
+            m[row[lo:hi], code[lo:hi] - c] = 1
+            common += m @ m.T
+        union = size[:, None] + size[None, :] - common
+        linked = (100 * common.astype(np.int64) >= percent * union.astype(np.int64)) & (comp[:, None] != comp[None, :])
+        a, b = np.nonzero(np.triu(linked, 1))
+        # members of one component count as one
+        _, group = np.unique(comp, return_inverse=True)
+        take = _forest(group[a], group[b], len(ids))
+        a, b = ids[a[take]], ids[b[take]]
+        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return run
 
 
+def full_sets(ids: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """``(id, shingles)`` of the documents with the given ids."""
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(few_or_shuffled(ids.distinct()), "id", "left_semi")
+    return map_text(texts, "text", _sets(width), "shingles array<bigint>").drop("text")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int, key: str, text: str, width: int) -> DataFrame:
     """Of ``pairs(a, b)`` those whose full sets have 100 * intersection >= percent * union."""
-    wanted = few_or_shuffled(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
-    sets = map_text(texts, "text", _sets(width), "shingles array<bigint>").drop("text")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
     # a pair holds if any of the texts under its keys does
-    sets = cut(sets)
+    sets = cut(full_sets(ids, docs, key, text, width))
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     inter = F.size(F.array_intersect("sa", "sb"))
@@ -159,37 +245,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     sig = cut(signatures(docs, key, text, width))
     fp = ["fp1", "fp2", "n_shingles"]
     classes = cut(sig.where("n_shingles > 0 and doc_id is not null").groupBy(*fp).agg(F.min("doc_id").alias("class_id")))
-    members = classes.join(sig.select(F.col("doc_id").alias("class_id"), "roots", "sketch"), "class_id")
-    members = cut(members.dropDuplicates(["class_id"]).select(F.col("class_id").alias("id"), "roots", "sketch"))
-    sketches = members.select("id", "sketch")
-    nodes = _alive(members.select(F.explode("roots").alias("node"), "id"))
-    stars = _agree(nodes.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), sketches)
-    # a class first meets the smallest of its leads; others only if they stay apart
-    links = _confirm([stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")], docs, percent, key, text, width)
-    comps = None if links is None else cut(components(links))
+    members = classes.select(F.col("class_id").alias("id")).join(sig.select(F.col("doc_id").alias("id"), "roots", "sketch"), "id")
+    members = cut(members.dropDuplicates(["id"]))
+    nodes = _alive(members.select(F.posexplode("roots").alias("tree", "node"), "id"))
+    stars = _agree(nodes.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), members.select("id", "sketch"))
+    # a class first meets the smallest of its leads
+    stars = cut(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = cut(verified(stars, docs, percent, key, text, width))
+    comps = cut(components(links))
+
+    nodes = _mixed(nodes, comps)
+    small_roots = nodes.where(F.col("n") <= SMALL).groupBy("id").agg(F.collect_set("node").alias("small"))
+    met = F.transform("roots", lambda r: F.when(F.array_contains("small", r), r).otherwise(F.lit(0)))
+    known = members.join(small_roots, "id", "left").select("id", "sketch", F.when(F.col("small").isNull(), F.transform("roots", lambda r: F.lit(0).cast("bigint"))).otherwise(met).alias("met"))
+    known = cut(known)
     found = []
     for level in range(LEVELS + 1):
-        nodes = _mixed(nodes, comps)
         if nodes.isEmpty():
             break
         last = level == LEVELS
-        found.append(_agree(_apart(nodes.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), comps), sketches))
-        held = nodes.join(sketches, "id")
+        held = nodes.join(known, "id")
         # what is still large on the last level goes in blocks, each meeting each other
         small = _blocks(held) if last else held.where(F.col("n") <= SMALL)
-        grouped = small.groupBy("node").agg(F.collect_list(F.struct("id", "component_id", "sketch")).alias("m")).select("m")
-        found.append(cut(grouped.mapInArrow(_agreeing, "a bigint, b bigint").distinct()))
+        small = small.select("node", "id", "component_id", "tree", "sketch", "met")
+        small = small.repartition("node").sortWithinPartitions("node", "id")
+        found.append(cut(small.mapInArrow(_open, "node bigint, id bigint, component_id bigint")))
         if last:
             break
         large = held.where(F.col("n") > SMALL).select("node", "id", "sketch")
-        nodes = _alive(large.mapInArrow(_children(level), "node bigint, id bigint"))
-    more = _confirm(found, docs, percent, key, text, width)
-    if more is not None:
-        comps = cut(components(more if links is None else links.unionByName(more)))
-
-    own = classes if comps is None else classes.join(comps.select(F.col("id").alias("class_id"), "component_id"), "class_id", "left")
-    if comps is None:
-        own = own.withColumn("component_id", F.col("class_id"))
+        # pairs under later nodes are skipped if they meet in any small node under the roots
+        children = large.mapInArrow(_children(level), "node bigint, id bigint").select(F.lit(TREES).alias("tree"), "node", "id")
+        nodes = _mixed(_alive(children), comps)
+    links = links.unionByName(_exhaustive(found, docs, percent, key, text, width))
+    comps = cut(components(links))
+
+    own = classes.join(comps.select(F.col("id").alias("class_id"), "component_id"), "class_id", "left")
     own = cut(own.select(*fp, F.coalesce("component_id", "class_id").alias("c")))
     # the signatures are the side that may hold one class a third of the time; both
     # sides are shuffled straight from files, so the join can split it
@@ -204,26 +294,39 @@ def _alive(nodes: DataFrame) -> DataFrame:
     return cut(nodes.join(alive, "node"))  # both sides are shuffled straight: a hot node can be split
 
 
-def _mixed(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
+def _mixed(nodes: DataFrame, comps: DataFrame) -> DataFrame:
     """Members of the nodes that still hold more than one component."""
-    if comps is None:
-        held = nodes.withColumn("component_id", F.col("id"))
-    else:
-        held = nodes.drop("component_id").join(comps, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    held = cut(held)
+    held = cut(nodes.join(comps, "id", "left").withColumn("component_id", F.coalesce("component_id", "id")))
     apart = held.groupBy("node").agg(F.min("component_id").alias("c0"), F.max("component_id").alias("c1"))
     return cut(held.join(cut(apart.where("c0 <> c1").select("node")), "node"))
 
 
+def _exhaustive(found: list[DataFrame], docs, percent, key, text, width) -> DataFrame:
+    """Links among the open members of every node, from their full sets."""
+    spark = docs.sparkSession
+    if not found:
+        return spark.createDataFrame([], "a bigint, b bigint")
+    members = found[0]
+    for more in found[1:]:
+        members = members.unionByName(more)
+    # a node whose open members are one component has nothing left to compare
+    size = members.groupBy("node").agg(F.count("*").alias("n"))
+    members = members.join(cut(size), "node")
+    members = cut(_blocks(members, BLOCK))
+    sets = cut(full_sets(members.select("id"), docs, key, text, width))
+    return cut(members.select("node", "id", "component_id").join(sets, "id").groupBy("node").applyInArrow(_compare(percent), "a bigint, b bigint").distinct())
+
+
 def _blocks(held: DataFrame, size: int = 256) -> DataFrame:
     """Split nodes of more than ``size`` members so that each pair of blocks is one group."""
     blocks = F.ceil(F.col("n") / F.lit(size))
     mine = F.pmod(F.xxhash64("id"), blocks)
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks.cast("bigint") - 1))
+    # a single block keeps the node's key
     return (
         held.withColumn("mine", mine.cast("bigint"))
         .withColumn("other", other)
-        .withColumn("node", F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")))
+        .withColumn("node", F.when(blocks == 1, F.col("node")).otherwise(F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other"))))
         .drop("mine", "other")
     )
 
@@ -232,33 +335,9 @@ def _agree(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, SKETCH) for i in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= AGREE))
+                yield batch.select([0, 1]).filter(pa.array((_bytes(batch.column(2)) == _bytes(batch.column(3))).sum(axis=1) >= AGREE))
 
     a = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
     b = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
     return both.mapInArrow(run, "a bigint, b bigint")
-
-
-def _apart(pairs: DataFrame, comps: DataFrame | None) -> DataFrame:
-    if comps is None:
-        return pairs
-    a = comps.select(F.col("id").alias("a"), F.col("component_id").alias("ca"))
-    b = comps.select(F.col("id").alias("b"), F.col("component_id").alias("cb"))
-    both = pairs.join(a, "a", "left").join(b, "b", "left")
-    return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-
-def _confirm(candidates, docs, percent, key, text, width) -> DataFrame | None:
-    """The links among all candidate pairs, or None if there are none."""
-    pairs = None
-    for c in candidates:
-        pairs = c if pairs is None else pairs.unionByName(c)
-    if pairs is None:
-        return None
-    pairs = cut(pairs.distinct())
-    if pairs.isEmpty():
-        return None
-    found = cut(verified(pairs, docs, percent, key, text, width))
-    return None if found.isEmpty() else found
