@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import language, minhash, packing, quality, secrets, substrings, vectors
+from ledgerline.llm import html, language, minhash, packing, quality, secrets, substrings, vectors
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +136,14 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
 
 
+@register("op7_html_main_text")
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = html.main_text(pages, html.learn(pages))
+    return text.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @register("op9_embedding_near_duplicates")
 def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of equally labelled vectors with cosine of 0.98 or more."""
