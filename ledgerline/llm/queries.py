@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import html, language, minhash, packing, quality, secrets, substrings, vectors
+from ledgerline.llm import html, language, minhash, packing, quality, sampling, secrets, substrings, vectors
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,6 +144,17 @@ def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@register("op8_sampled_segmentations")
+def op8_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every text, with inclusion scores and the
+    result of decoding them."""
+    rows = sampling.sample(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", "sample", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        "log_prob", "perturbed", "inclusion", "round_trip",
+    )
+
+
 @register("op9_embedding_near_duplicates")
 def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of equally labelled vectors with cosine of 0.98 or more."""
