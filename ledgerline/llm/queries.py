@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import html, language, minhash, packing, quality, sampling, secrets, substrings, vectors
+from ledgerline.llm import html, language, minhash, packing, quality, sampling, secrets, substrings, vectors, warc
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +136,55 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
 
 
+OP5_SQL = r"""
+WITH p AS (
+  SELECT page_id AS i, url, 1700000000 + (page_id * 7919) % 30 * 86400 + (page_id * 104729) % 86400 AS start, md5(coalesce(html, '')) AS body
+  FROM pages
+), q AS (
+  SELECT *, md5(body || '2') AS second, '"' || substr(body, 1, 16) || '"' AS tag, '"' || substr(md5(body || '2'), 1, 16) || '"' AS tag2,
+         regexp_replace(url, '#.*$', '') AS plain, CASE WHEN contains(url, '?') THEN '&' ELSE '?' END AS sep
+  FROM p
+), r AS (
+  SELECT i * 8 AS record_id, false AS is_full, url, start - 3600 AS ts, NULL AS digest, tag AS etag, '0' AS n FROM q WHERE i % 7 = 0
+  UNION ALL SELECT i * 8 + 1, true, url, start, body, tag, '1' FROM q
+  UNION ALL SELECT i * 8 + 2, false, plain || sep || 'utm_source=feed', start + 90000, NULL, 'W/' || tag, '2' FROM q
+  UNION ALL SELECT i * 8 + 3, true, url, start + 180000, second, tag2, '3' FROM q WHERE i % 5 = 0
+  UNION ALL SELECT i * 8 + 4, false, url || '#top', start + 270000, NULL, CASE WHEN i % 5 = 0 THEN tag2 ELSE tag END, '4' FROM q
+  UNION ALL SELECT i * 8 + 5, false, regexp_replace(url, '^https?', 'HTTP'), start + 300000, NULL, tag, '5' FROM q WHERE i % 3 = 0
+), parts AS (
+  SELECT *, regexp_replace(trim(url), '#.*$', '') AS bare FROM r
+), c AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*@)?([^/?]*)', 2)), ':(80|443)$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*@)?([^/?]*)([^?]*)', 3), '/+$', '') AS path,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+           lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|gclid|fbclid|ref|sessionid)(=|$)'))), '&') AS tail
+  FROM parts
+), d AS (
+  SELECT *, host || path || CASE WHEN tail <> '' THEN '?' || tail ELSE '' END AS canon FROM c
+), revisit AS (SELECT * FROM d WHERE NOT is_full), answer AS (SELECT * FROM d WHERE is_full),
+j AS (
+  SELECT v.record_id, v.canon AS url, v.etag AS etag, v.n, a.record_id AS to_id, a.digest AS to_digest, a.etag AS to_etag, a.ts AS to_ts
+  FROM revisit v LEFT JOIN answer a ON a.canon = v.canon AND (a.ts < v.ts OR a.ts = v.ts AND a.record_id < v.record_id)
+  QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY a.ts DESC NULLS LAST, a.record_id DESC) = 1
+), s AS (
+  SELECT *, CASE WHEN to_id IS NULL THEN 'no_earlier_response'
+                 WHEN regexp_replace(etag, '^W/', '') <> to_etag THEN 'validator_mismatch' ELSE 'resolved' END AS status FROM j
+)
+SELECT record_id, url, status, CASE WHEN status = 'resolved' THEN to_id END AS refers_to, CASE WHEN status = 'resolved' THEN to_digest END AS digest,
+       CASE WHEN status = 'resolved' THEN 'cache-control: max-age=' || (60 * n::INT) || chr(10) || 'content-type: text/html' || chr(10) || 'etag: ' || etag
+            || chr(10) || 'last-modified: ' || strftime(to_timestamp(to_ts) AT TIME ZONE 'UTC', '%Y-%m-%d') || chr(10) || 'x-cache: HIT' END AS headers
+FROM s
+"""
+
+
+@register("op5_warc_revisits", OP5_SQL)
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every not-modified revisit of the pages' capture records, resolved."""
+    found = warc.resolve(warc.records_of(table(spark, sf_dir, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
 @register("op7_html_main_text")
 def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""

@@ -1,0 +1,306 @@
+"""Operators on documents against brute force, and their defined results in odd cases."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from ledgerline.llm import language, minhash, packing, quality, secrets, substrings
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, id string, node int, score int, spans string, part string, length int"
+
+
+def odd_docs(spark):
+    """Nulls everywhere, empty and long texts, repeated rows, clashing column names."""
+    base = " ".join(f"wort{i % 97}ab{i}" for i in range(120))
+    texts = [
+        (1, base), (2, base), (2, base), (3, base.upper()), (4, base + " more"), (5, None), (6, ""), (7, "  \n\t "), (None, base), (None, None),
+        (8, "one two"), (9, "one  TWO"), (10, "é" * 300), (11, "x" * 400_000), (12, "a b c d e f g " * 9000), (13, "😀 " * 70), (14, None), (5, "late text"),
+        (15, "header " + base), (16, "quatre ßtraße " * 30 + base),
+    ]
+    return spark.createDataFrame([(i, t, "xx", None, None, "k", "i", 1, 2, "s", "p", 3) for i, t in texts], SCHEMA)
+
+
+def empty_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def shingles(text):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    if not w:
+        return frozenset()
+    return frozenset([tuple(w)]) if len(w) < 5 else frozenset(zip(*(w[i:] for i in range(5)), strict=False))
+
+
+def brute_components(rows, percent=85):
+    sets = [(i, shingles(t)) for i, t in rows]
+    up = {i: i for i, _ in sets}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in sets:
+        for j, b in sets:
+            if i is not None and j is not None and i < j and a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = top(i), top(j)
+                up[max(x, y)] = min(x, y)
+    return {(i, len(s)): top(i) for i, s in sets}
+
+
+def test_near_duplicates_odd_rows(spark):
+    docs = odd_docs(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    expected = brute_components(rows)
+    got = minhash.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert r.component_id == expected[r.doc_id, r.n_shingles]
+            assert r.kept == (r.component_id == r.doc_id)
+    assert minhash.near_duplicates(empty_docs(spark)).collect() == []
+
+
+def test_near_duplicates_at_the_threshold_and_in_large_groups(spark):
+    """A family of near copies larger than a small node, and pairs just at and under 85 %."""
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(140)]
+    rows = []
+    for i in range(700):
+        w = list(words)
+        for _ in range(rng.randrange(0, 7)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    # 36 shared of 40 + 2 = 42: under; 37 of 43: over
+    rows += [(1000, " ".join(f"a{i}" for i in range(44))), (1001, " ".join(f"a{i}" for i in range(6, 50)))]
+    rows += [(1002, " ".join(f"b{i}" for i in range(44))), (1003, " ".join(f"b{i}" for i in range(3, 47)))]
+    expected = brute_components(rows)
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == expected
+
+
+def test_near_duplicates_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.where("doc_id < 250").collect()]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(docs.where("doc_id < 250")).collect()}
+    assert got == brute_components(rows)
+
+
+def brute_spans(rows, length=50):
+    first, out = {}, {}
+    for i, t in sorted((i, t) for i, t in rows if i is not None):
+        b = (t or "").encode()
+        mark, own = bytearray(len(b)), []
+        for p in range(len(b) - length + 1):
+            w = b[p : p + length]
+            if first.get(w, i) != i:
+                mark[p : p + length] = b"\1" * length
+            else:
+                own.append(w)
+        for w in own:
+            first.setdefault(w, i)
+        kept = bytes(x for x, m in zip(b, mark, strict=True) if not m)
+        out.setdefault(i, []).append((len(b), sum(mark), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("part_bytes", [None, 3000])
+def test_repeated_spans(spark, sf, monkeypatch, part_bytes):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 120").select("doc_id", "text")
+    odd = odd_docs(spark).where("doc_id <> 11 OR doc_id IS NULL")
+    docs = docs.union(odd.selectExpr("doc_id + 1000", "text"))
+    if part_bytes:
+        monkeypatch.setattr(substrings, "PART_BYTES", part_bytes)
+        monkeypatch.setattr(substrings, "BUCKET_BYTES", part_bytes)
+    expected = brute_spans([(r.doc_id, r.text) for r in docs.collect()])
+    got = {}
+    for r in substrings.repeated_spans(docs).collect():
+        if r.doc_id is None:
+            assert r.spans == [] and bytes(r.kept) == (r.text or "").encode()
+        else:
+            got.setdefault(r.doc_id, []).append((r.n_bytes, sum(s.end - s.start for s in r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
+
+
+def test_repeated_spans_long_text_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 500)
+    text = "".join(chr(97 + (i * i * 7 + i // 13) % 26) for i in range(5000))
+    rows = [(1, text), (2, "zz" + text[700:4200] + "yy"), (3, text[4000:] + text[:300])]
+    expected = brute_spans(rows)
+    got = substrings.repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: [(r.n_bytes, sum(s.end - s.start for s in r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())] for r in got} == expected
+
+
+def test_repeated_spans_clashing_columns_and_empty(spark):
+    out = substrings.repeated_spans(odd_docs(spark))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "id", "node", "score", "part", "length", "n_bytes", "spans", "kept"]
+    assert out.count() == odd_docs(spark).count()
+    assert substrings.repeated_spans(empty_docs(spark)).collect() == []
+
+
+def brute_quality(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = set()
+    for i in range(len(words) - 2):
+        if grams[tuple(words[i : i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines), len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_measures(spark, sf):
+    docs = odd_docs(spark).select("doc_id", "text").union(spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 300").select("doc_id", "text"))
+    for r in quality.ledger(docs).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_lines, r.n_dup_lines, r.n_repeat_words) == brute_quality(r.text)
+        fails = 0
+        for i, (_, rule) in enumerate(quality.RULES):
+            fails |= eval(rule, {}, r.asDict()) << i  # the rules are plain comparisons
+        assert r.fail_mask == fails
+
+
+def test_quality_policies_and_ablations(spark):
+    led = quality.ledger(odd_docs(spark).withColumnRenamed("length", "n_words"))
+    assert led.columns.count("n_words") == 1
+    masks = [r.fail_mask for r in led.collect()]
+    for p in quality.POLICIES:
+        assert quality.apply_policy(led, p).where("kept").count() == sum(m & p.mask == 0 for m in masks)
+    for r in quality.ablations(led).collect():
+        p = next(p for p in quality.POLICIES if (p.name, p.version) == (r.policy, r.version))
+        bit = 1 << quality.BIT[r.rule]
+        assert r.n_failed == sum(m & bit > 0 for m in masks)
+        assert r.n_only == sum(m & p.mask == bit for m in masks)
+        assert r.n_kept_without == sum(m & p.mask & ~bit == 0 for m in masks)
+    assert quality.ledger(empty_docs(spark)).collect() == []
+    assert quality.ablations(quality.ledger(empty_docs(spark))).collect() == []
+
+
+def test_language_held_out(spark, sf):
+    from ledgerline.llm.queries import op1_language_id
+
+    out = op1_language_id(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    right, n = out.where("held_out").selectExpr("sum(int(lang = lang_pred))", "count(*)").first()
+    assert right / n > 0.97
+
+
+def test_language_odd_rows(spark):
+    docs = odd_docs(spark)
+    train = spark.createDataFrame([(i, "the cat and the dog " * 3 + str(i), "en") for i in range(20)] + [(50 + i, "der hund und die katze " * 3, "de") for i in range(20)], "doc_id bigint, text string, lang string")
+    model = language.fit(train)
+    out = {r.doc_id: r for r in language.predict(docs, model).collect()}
+    assert out[5].lang_pred in ("und", "en", "de") and out[14].lang_pred == "und" and out[14].score == 0 and out[7].ambiguous
+    assert "score" in language.predict(docs, model).columns and language.predict(docs, model).columns.count("score") == 1
+    got = language.predict(spark.createDataFrame([(1, "the dog"), (2, "die katze"), (3, "123 !?")], "doc_id bigint, text string"), model)
+    assert [r.lang_pred for r in got.orderBy("doc_id").collect()] == ["en", "de", "und"]
+    assert language.fit(empty_docs(spark)) is None
+    assert {r.lang_pred for r in language.predict(docs, None).collect()} == {"und"}
+    assert language.predict(empty_docs(spark), model).collect() == []
+    one = language.fit(train.where("lang = 'en'"))
+    assert {r.lang_pred for r in language.predict(got.select("doc_id", "text"), one).collect()} == {"en", "und"}
+
+
+def test_codes_correct_errors():
+    for n in (2, 4, 7, 12, 40):
+        code = language.code_matrix(n)
+        apart = [(code[a] != code[b]).sum() for a in range(n) for b in range(a)]
+        assert min(apart) >= (2 ** max(n - 2, 0) if n <= 7 else 5)
+
+
+def test_packing_odd_rows(spark):
+    from tokenizers import Tokenizer
+    import numpy as np
+    import public_tokenizers
+
+    docs = odd_docs(spark).select("doc_id", "text").union(spark.createDataFrame([(90, "a<|endoftext|>b " * 3), (91, "x   y 　 z\r\n\r\n  end  ")], "doc_id bigint, text string"))
+    bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = Counter()
+    for r in docs.collect():
+        ids = bpe.encode(r.text or "", add_special_tokens=False).ids + [2]
+        cuts = [0, len(ids)] if len(ids) <= 1024 else [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            expected[r.doc_id, i, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    got = packing.pack(packing.encode(docs)).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, zlib.crc32(bytes(r.ids))) for r in got) == expected
+    check_sequences(got)
+    assert packing.pack(packing.encode(empty_docs(spark))).collect() == []
+
+
+def check_sequences(rows, tokens=1024, pieces=10**9, cost=10**12):
+    seq = {}
+    for r in rows:
+        seq.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for v in seq.values():
+        at = 0
+        for offset, length in sorted(v):
+            assert offset == at
+            at += length
+        assert at <= tokens and len(v) <= pieces and sum(n * n for _, n in v) <= cost
+    return len(seq)
+
+
+@pytest.mark.parametrize("capacity", [packing.Capacity(), packing.Capacity(1024, 3, 1024 * 1024), packing.Capacity(1024, 1024, 600_000)])
+def test_packing_capacities(spark, capacity, monkeypatch):
+    import random
+
+    monkeypatch.setattr(packing, "SHARD_ROWS", 100)
+    rng = random.Random(1)
+    lengths = [min(rng.choice([1, 2, 7, 300, 512, 700, rng.randrange(1, 775)]), 774) for _ in range(1500)]
+    pieces = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "doc_id bigint, piece int, length bigint")
+    got = packing.pack(pieces, capacity).collect()
+    assert sorted(r.doc_id for r in got) == list(range(1500))
+    n = check_sequences(got, capacity.tokens, capacity.pieces, capacity.cost)
+    bound = max(-(-sum(lengths) // capacity.tokens), -(-len(lengths) // capacity.pieces), -(-sum(x * x for x in lengths) // capacity.cost))
+    assert n <= 1.05 * bound + 2
+
+
+HEX = hashlib.sha1(b"x").hexdigest()
+
+
+def secret_rows(spark):
+    rows = [(i, f'some words here token = "{hashlib.sha1(str(i).encode()).hexdigest()}" and more', "src") for i in range(60)]
+    rows += [(100 + i, f'commit {hashlib.sha1(str(i).encode()).hexdigest()} fixed words', "src") for i in range(60)]
+    rows += [(200, None, None), (201, "", None), (202, "no digits here at all", "a"), (203, f'password: "{HEX}" password: "{HEX}"', "b")]
+    rows += [(None, f'api_key="{HEX}"', "c"), (203, f'password: "{HEX}" password: "{HEX}"', "b"), (204, ("longwordwithoutdigits" * 50 + " ") * 300 + f' secret = "{HEX}"', "d")]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+
+
+def test_secret_findings(spark):
+    docs = secret_rows(spark)
+    forest = secrets.fit_forest(secrets.weak_labels(secrets.plausible(docs, path="source")))
+    assert len(forest) == secrets.TREES
+    found = secrets.findings(docs, forest, path="source").collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in found:
+        assert texts[r.doc_id][r.start : r.start + r.length] == r.value
+    verdict = {}
+    for r in found:
+        verdict.setdefault(r.doc_id, []).append(r.is_secret)
+    assert all(verdict[i] == [True] for i in range(60)) and not any(any(verdict[100 + i]) for i in range(60))
+    assert verdict[203] == [True] * 4 and verdict[None] == [True] and verdict[204] == [True]
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, forest, path="source").collect()}
+    assert clean[0] == 'some words here token = "[SECRET]" and more' and clean[100] == texts[100] and clean[200] is None and clean[201] == ""
+    assert clean[203] == 'password: "[SECRET]" password: "[SECRET]"'
+
+
+def test_secret_scan_plan_is_native(spark, capsys):
+    docs = secret_rows(spark)
+    secrets.redact(docs, [0.5]).explain()
+    secrets.findings(docs, [0.5]).explain()
+    assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_secret_scan_odd_rows(spark):
+    docs = odd_docs(spark).withColumnRenamed("part", "secrets").withColumnRenamed("node", "row")
+    assert secrets.fit_forest(secrets.weak_labels(secrets.plausible(empty_docs(spark)))) == [1.0]
+    assert secrets.redact(docs, [1.0]).count() == docs.count()
+    assert secrets.redact(docs, [1.0]).columns == docs.columns
+    assert secrets.findings(empty_docs(spark), [1.0]).collect() == []
