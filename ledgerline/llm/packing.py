@@ -230,16 +230,20 @@ def place(histogram: dict[int, int], capacity: Capacity, weights=(1.0, 1e-3, 1e-
     return rows, opened
 
 
-def pack(pieces: DataFrame, capacity: Capacity = Capacity(), order=("doc_id", "piece"), weights=(1.0, 1e-3, 1e-3)) -> DataFrame:
+#: weights of tokens, pieces and cost that ``pack`` tries with both scores
+WEIGHTS = ((1.0, 1e-3, 1e-3), (1.0, 1.0, 1e-3), (1.0, 1e-3, 1.0), (1.0, 1.0, 1.0), (1e-3, 1.0, 1e-3))
+
+
+def pack(pieces: DataFrame, capacity: Capacity = Capacity(), order=("doc_id", "piece"), weights=WEIGHTS) -> DataFrame:
     """``pieces`` (with a ``length``) and their ``sequence_id`` and ``offset``.
 
-    The better of both scores is taken.  The histogram, at most one row per
+    The score and weights that need the fewest sequences are taken.  The histogram, at most one row per
     length, is all that reaches the driver; the plan is broadcast, a few rows per
     length."""
     pieces = cut(pieces.drop("sequence_id", "offset"))
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     spark = pieces.sparkSession
-    rows, _ = min((place(histogram, capacity, weights, by) for by in ("norm", "dot")), key=lambda x: x[1])
+    rows, _ = min((place(histogram, capacity, w, by) for by in ("norm", "dot") for w in weights), key=lambda x: x[1])
     plan = spark.createDataFrame(rows, "length bigint, lo bigint, hi bigint, first bigint, offset bigint")
     shards = sum(histogram.values()) // SHARD_ROWS + 1
     dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(*order), F.lit(shards)))

@@ -96,7 +96,7 @@ def test_near_duplicates_brute_force(spark, sf):
 
 def brute_spans(rows, length=50):
     first, out = {}, {}
-    for i, t in sorted((i, t) for i, t in rows if i is not None):
+    for i, t in sorted((i, t or "") for i, t in rows if i is not None):
         b = (t or "").encode()
         mark, own = bytearray(len(b)), []
         for p in range(len(b) - length + 1):
@@ -259,7 +259,7 @@ def test_packing_capacities(spark, capacity, monkeypatch):
     assert sorted(r.doc_id for r in got) == list(range(1500))
     n = check_sequences(got, capacity.tokens, capacity.pieces, capacity.cost)
     bound = max(-(-sum(lengths) // capacity.tokens), -(-len(lengths) // capacity.pieces), -(-sum(x * x for x in lengths) // capacity.cost))
-    assert n <= 1.05 * bound + 2
+    assert n <= 1.1 * bound
 
 
 HEX = hashlib.sha1(b"x").hexdigest()
