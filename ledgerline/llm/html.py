@@ -55,6 +55,7 @@ BLOCK = set(
     "header hr html li main nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 CONTENT = {"article", "main"}
+PROSE = set("p br b i em strong span u q s cite small sub sup code pre blockquote h1 h2 h3 h4 h5 h6".split())
 # fixed values: words of class, id and role that name what is not the article
 NAMED = set(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer disqus "
@@ -102,7 +103,8 @@ class Weights:
     boilerplate: set[str] = field(default_factory=set)
 
     def of(self, key: str, tag: str) -> float:
-        return self.cost.get(key, self.cost.get(tag, TAG + OUTSIDE / 2))
+        """Cost of a tag; one not learned costs little if it marks up prose."""
+        return self.cost.get(key, self.cost.get(tag, TAG if tag in PROSE else TAG + OUTSIDE / 2))
 
 
 def _is_boilerplate(tag: str, names: list[str], inside: bool, weights: Weights) -> bool:

@@ -200,7 +200,7 @@ def op8_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sampling.sample(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
         "doc_id", "sample", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
-        "log_prob", "perturbed", "inclusion", "round_trip",
+        "log_prob", "perturbed", "inclusion", "log_inclusion", "round_trip",
     )
 
 

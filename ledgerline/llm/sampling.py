@@ -9,7 +9,8 @@ differs from the best one so far, each part's maximum is a Gumbel truncated at i
 parent's, and the part with the largest goes next, with its own best drawn by
 following the conditional probabilities.  The bound of a part is its exact mass,
 so no part is opened that does not give a sample.  The next perturbed value, kappa,
-is the threshold for inclusion scores: 1 - exp(-exp(log_prob - kappa)).
+is the threshold for inclusion scores: 1 - exp(-exp(log_prob - kappa)), given as a
+logarithm too, since one segmentation of a long text is rarer than a double can say.
 
 No piece crosses a blank after a non-blank, or a line end, so the lattice of a text
 is the product of its words' lattices; words are built once for all their
@@ -354,14 +355,14 @@ def _other_edge(lat: Lattices, parents, chosen: np.ndarray, ban: np.ndarray, u:
 
 
 def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SAMPLES, alpha: float = ALPHA, pieces=public_pieces, seed: int = 0) -> DataFrame:
-    """Rows ``(doc_id, sample, ids, log_prob, perturbed, inclusion, round_trip)``: each
+    """Rows ``(doc_id, sample, ids, log_prob, perturbed, inclusion, log_inclusion, round_trip)``: each
     text's ``k`` sampled segmentations in order of their perturbed log probability."""
     source = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.xxhash64(F.col(key), F.lit(seed)), F.lit(seed)).alias("seed"), F.col(text).alias("text"))
     kind = docs.select(F.col(key).alias("k")).schema["k"].dataType.simpleString()
 
     def run(batches):
         vocabulary = Vocabulary(pieces(), alpha)
-        names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "inclusion", "round_trip"]
+        names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "inclusion", "log_inclusion", "round_trip"]
         for batch in batches:
             seeds = np.asarray(batch.column(1))
             for first, end, data, offsets in text_chunks(batch.column(2)):
@@ -370,17 +371,18 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SA
                 for number, (rows, ids, at, log_prob, perturbed) in enumerate(found):
                     if not len(rows):
                         continue
-                    with np.errstate(over="ignore"):
-                        inclusion = -np.expm1(-np.exp(np.minimum(log_prob - kappa[rows], 700.0)))
+                    x = np.minimum(log_prob - kappa[rows], 700.0)
+                    inclusion = -np.expm1(-np.exp(x))
+                    log_inclusion = np.where(x < -30, x, np.log(np.maximum(inclusion, 1e-300)))
                     same = [vocabulary.decode(ids[at[r] : at[r + 1]]) == raw[offsets[r] : offsets[r + 1]] for r in rows]
                     lists = pa.ListArray.from_arrays(pa.array(np.append(at[rows], at[rows[-1] + 1]).astype(np.int32)), pa.array(ids))
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(rows + first)), pa.array(np.full(len(rows), number + 1, np.int32)), lists,
-                         pa.array(log_prob), pa.array(perturbed), pa.array(inclusion), pa.array(same)],
+                         pa.array(log_prob), pa.array(perturbed), pa.array(inclusion), pa.array(log_inclusion), pa.array(same)],
                         names=names,
                     )
 
-    return source.mapInArrow(run, f"doc_id {kind}, sample int, ids array<int>, log_prob double, perturbed double, inclusion double, round_trip boolean")
+    return source.mapInArrow(run, f"doc_id {kind}, sample int, ids array<int>, log_prob double, perturbed double, inclusion double, log_inclusion double, round_trip boolean")
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "text", pieces=public_pieces) -> DataFrame:
