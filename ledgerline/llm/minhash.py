@@ -41,9 +41,9 @@ from ledgerline.llm.common import components, cut, few_or_shuffled, map_text, mi
 TREES = 8
 SKETCH = 128
 #: a node of at most so many classes is compared exhaustively
-SMALL = 512
+SMALL = 4096
 #: members of one block of full sets
-BLOCK = 128
+BLOCK = 256
 #: levels of branching after the roots' children
 LEVELS = 4
 #: of SKETCH minwise bytes, those that a pair must share before its full sets are
