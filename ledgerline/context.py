@@ -59,6 +59,22 @@ class RunContext:
             return self.month
         return month_key(self.yesterday)
 
+    @property
+    def rebuild_months(self) -> list[str]:
+        """Months a full rebuild can close: the month before the first close up to today's."""
+        first = date(int(self.first_close[:4]), int(self.first_close[4:6]), 1)
+        out, d = [], add_months(first, -1)
+        while month_key(d) <= self.month:
+            out.append(month_key(d))
+            d = add_months(d, 1)
+        return out
+
+    def closing_ds(self, month: str) -> str:
+        """The snapshot that holds ``month`` for good: that of the 1st after it, or
+        today's for a month that is not over."""
+        close = add_months(date(int(month[:4]), int(month[5:]), 1), 1).strftime("%Y%m%d")
+        return min(close, self.ds)
+
     @property
     def window_months(self) -> list[str]:
         out, d = [], date(int(self.window_start[:4]), int(self.window_start[5:]), 1)

@@ -88,9 +88,9 @@ def channel_cost(channel_flag: Column, pay_channel: Column, split_amount: Column
     ).otherwise(_zero()).cast(COST)
 
 
-def profit(service_fee: Column, late_fee: Column, part_cb: Column, channel_cb: Column) -> Column:
+def profit(service_fee: Column, late_fee: Column, cost_partner: Column, cost_channel: Column) -> Column:
     """Only a NULL late fee counts as 0; other NULLs propagate."""
-    return service_fee + F.coalesce(late_fee, _zero()) - part_cb - channel_cb
+    return service_fee + F.coalesce(late_fee, _zero()) - cost_partner - cost_channel
 
 
 def deposit_interest(balance: Column) -> Column:

@@ -9,7 +9,7 @@ the columns it does not use.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,8 +24,9 @@ from ledgerline.sources.snapshot import month_from, snapshot_union, today
 
 @dataclass
 class FeedSpec:
-    """One feed.  ``source`` names the input; ``event`` is the raw event column
-    the slice and the floor use; ``segment`` .. ``key`` give the ledger fields
+    """One feed.  ``source`` names the input; ``event`` is the event column
+    the slice and the floor use, ``event_column`` its name in the source if that
+    differs; ``segment`` .. ``key`` give the ledger fields
     (a Column, a literal, or ``"@col"``); ``slice`` is ``snapshot`` (today's
     month-to-date plus closed months), ``today`` (today's snapshot only) or
     ``table`` (a plain table); ``distinct`` deduplicates the conformed rows;
@@ -51,6 +52,7 @@ class FeedSpec:
     # deduplicate on the raw event value (a feed that keeps time of day in
     # its key), then cast; default: cast to date first, as most feeds do
     dedup_raw_event: bool = False
+    event_column: str | None = None
 
 
 def build_feed(spec: FeedSpec, df: DataFrame, ctx: RunContext, mode: str = "incremental",
@@ -59,6 +61,8 @@ def build_feed(spec: FeedSpec, df: DataFrame, ctx: RunContext, mode: str = "incr
     feed; it is also given to the scan as a typed range on the raw event
     column so non-snapshot sources skip old row groups (snapshot slices are
     already bounded by month)."""
+    if spec.event_column:
+        df = df.withColumnRenamed(spec.event_column, spec.event)
     if spec.slice != "snapshot" and window:
         df = df.where(month_from(df, spec.event, ctx.window_start))
     if spec.slice == "snapshot":
@@ -95,6 +99,12 @@ def build_feed(spec: FeedSpec, df: DataFrame, ctx: RunContext, mode: str = "incr
     return out.distinct() if spec.distinct else out
 
 
+def own_sources(specs: list[FeedSpec], events: dict[str, str]) -> list[FeedSpec]:
+    """Snapshot feeds each read a table of their own, named after the feed, with the
+    event column that ``events`` gives."""
+    return [replace(s, source=s.name, event_column=events[s.name]) if s.source == "snapshot" else s for s in specs]
+
+
 def _with_raw(df: DataFrame) -> T.StructType:
     return T.StructType(LEDGER.fields + [T.StructField("__raw_event", df.schema["__raw_event"].dataType)])
 

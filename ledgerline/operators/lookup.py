@@ -3,10 +3,10 @@
 ``equality_rule`` looks a value up in a rule table by equality on one or more
 keys; ``prefix_rule`` does the same on the first ``n`` characters of a column.
 The rule table is made unique per key (deterministic: the smallest value
-wins), so a lookup never multiplies rows.  It is broadcast only after its
-size was checked (a row count against a bound); a larger table is joined
-the ordinary way, shuffled on the key.  Rows whose key is NULL or unmatched
-get ``default``.
+wins), so a lookup never multiplies rows.  The joins are plain equi-joins:
+Spark sizes the rule side and broadcasts it under its own bound, or shuffles.
+Building a lookup runs no job.  Rows whose key is NULL or unmatched get
+``default``.
 """
 
 from __future__ import annotations
@@ -18,25 +18,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import spread_null_key
 
-# rule tables up to this many rows are broadcast (after counting them)
-MAX_BROADCAST_RULES = 100_000
-
-
-def _small_enough(rules: DataFrame, limit: int) -> bool:
-    return rules.limit(limit + 1).count() <= limit
-
-
 def equality_rule(df: DataFrame, rules: DataFrame, on: list[str], out: str, default=None,
-                  rule_keys: list[str] | None = None, max_broadcast_rows: int = MAX_BROADCAST_RULES) -> DataFrame:
+                  rule_keys: list[str] | None = None) -> DataFrame:
     """Add column ``out`` = the rule table's ``out`` where ``df[on] == rules[rule_keys]``."""
     rule_keys = rule_keys or on
     r = (rules.groupBy(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(rule_keys)])
          .agg(F.min(out).alias("__value")))
-    if _small_enough(r, max_broadcast_rows):
-        r = F.broadcast(r)
-        keyed = df.select("*", *[F.col(c).alias(f"__l{i}") for i, c in enumerate(on)])
-    else:
-        keyed = df.select("*", *[spread_null_key(df, c).alias(f"__l{i}") for i, c in enumerate(on)])
+    keyed = df.select("*", *[spread_null_key(df, c).alias(f"__l{i}") for i, c in enumerate(on)])
     cond = reduce(lambda a, b: a & b, [keyed[f"__l{i}"] == r[f"__r{i}"] for i in range(len(on))])
     joined = keyed.join(r, cond, "left")
     value = F.col("__value") if default is None else F.coalesce(F.col("__value"), F.lit(default))
@@ -44,11 +32,10 @@ def equality_rule(df: DataFrame, rules: DataFrame, on: list[str], out: str, defa
 
 
 def prefix_rule(df: DataFrame, column: str, n: int, rules: DataFrame, out: str, default=None,
-                rule_key: str = "prefix", max_broadcast_rows: int = MAX_BROADCAST_RULES) -> DataFrame:
+                rule_key: str = "prefix") -> DataFrame:
     """Add column ``out`` looked up by the first ``n`` characters of ``column``."""
     keyed = df.withColumn("__prefix", F.substring(F.col(column), 1, n))
-    out_df = equality_rule(keyed, rules, ["__prefix"], out, default, rule_keys=[rule_key],
-                           max_broadcast_rows=max_broadcast_rows)
+    out_df = equality_rule(keyed, rules, ["__prefix"], out, default, rule_keys=[rule_key])
     return out_df.drop("__prefix")
 
 
@@ -57,8 +44,7 @@ def rules_frame(spark, rows: dict, key: str, out: str) -> DataFrame:
     return spark.createDataFrame(list(rows.items()), f"{key} string, {out} string")
 
 
-def rate_from_table(df: DataFrame, rates: DataFrame, key: str, day: str, out: str, rate_key: str = "key",
-                    max_broadcast_rows: int = MAX_BROADCAST_RULES) -> DataFrame:
+def rate_from_table(df: DataFrame, rates: DataFrame, key: str, day: str, out: str, rate_key: str = "key") -> DataFrame:
     """P20, general form: the rate valid on ``day`` from a table of versions
     ``(rate_key, valid_from, valid_to, rate)``; ``valid_to`` is exclusive and
     NULL means open-ended.  Versions of one key must not overlap, so each row
@@ -67,15 +53,10 @@ def rate_from_table(df: DataFrame, rates: DataFrame, key: str, day: str, out: st
 
     An equi-join on the key plus a range condition: Spark has no range join,
     but each key has only a few versions, so the per-key candidates are tiny.
-    The rate table is broadcast only after its size was checked.
     """
     r = rates.select(F.col(rate_key).alias("__rk"), F.col("valid_from").alias("__from"),
                      F.col("valid_to").alias("__to"), F.col("rate").alias("__rate"))
-    if _small_enough(r, max_broadcast_rows):
-        r = F.broadcast(r)
-        keyed = df.select("*", F.col(key).alias("__lk"))
-    else:
-        keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
+    keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
     d = F.to_date(keyed[day])
     cond = (keyed["__lk"] == r["__rk"]) & (d >= r["__from"]) & (r["__to"].isNull() | (d < r["__to"]))
     joined = keyed.join(r, cond, "left")

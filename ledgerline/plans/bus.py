@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import labels as L
 from ledgerline.context import RunContext
 from ledgerline.functions.rules import keep, ordered_rule, recode
-from ledgerline.operators.feeds import FeedSpec, build_feed, rewrite_window, union_feeds
+from ledgerline.operators.feeds import build_feed, FeedSpec, own_sources, rewrite_window, union_feeds
 from ledgerline.sources.snapshot import month_of
 
 # fixed values: price rules of the bus feeds
@@ -22,8 +22,16 @@ PREPAID_BUYER = "prepaid_payer"
 
 # fixed values: manual adjustment recodes (P13): the adjustment file's scene
 # -> ledger scene, and -> adjustment label (unlisted scenes give NULL)
-ADJUST_SCENE = {"new_paid": L.NEW_PAID, "prepaid": L.CANCEL_PAID}
-ADJUST_LABEL = {"new_paid": "new_paid_person_decrease", "prepaid": "cancel_person_decrease"}
+ADJUST_SCENE = {"new_paid": L.NEW_PAID, "prepaid": L.CANCEL_PAID, "signing": L.AFTER_SALES_PAID}
+ADJUST_LABEL = {"new_paid": "new_paid_person_decrease", "prepaid": "cancel_person_decrease",
+                "signing": "after_sales_person_decrease"}
+# fixed values: the event column of each feed's table
+BUS_EVENTS = {
+    "U1_signing": "signed_time", "U2_first_use": "first_use_time", "U3_new_paid": "paid_time", "U4_after_sales": "after_sales_time",
+    "U5_cancellation": "cancel_time", "U6_buy_out": "operated_time", "U7_prepaid": "prepaid_time",
+    "U8_signing_decrease": "sign_decrease_time", "U9_new_paid_decrease": "paid_decrease_time",
+    "U10_after_sales_decrease": "after_sales_refund_time", "U11_cancel_decrease": "due_refund_time",
+}
 
 
 def bus_specs() -> list[FeedSpec]:
@@ -36,7 +44,7 @@ def bus_specs() -> list[FeedSpec]:
         (c("agent").like(TEST_AGENT_PATTERN), False),
     ])
     adjustment_rows = (c("data_type") == F.lit(L.ADJUSTMENT)) & (c("segment") == F.lit(L.BUS))
-    return [
+    return own_sources([
         FeedSpec("U1_signing", **snap, scene2="bus_signing", scene=L.SIGNING, buyer=c("bank"), price=c("price"),
                  key=c("id"), preinstall="", dedup_raw_event=True),
         FeedSpec("U2_first_use", **snap, scene2="bus_first_use", scene=L.SIGNING, buyer="first_use",
@@ -64,11 +72,10 @@ def bus_specs() -> list[FeedSpec]:
                  scene2=recode(c("scene"), ADJUST_LABEL), scene=recode(c("scene"), ADJUST_SCENE), buyer="person",
                  price=c("price"), key=c("obu_id"), data_type=L.ADJUSTMENT, adjust_type=L.DECREASE, distinct=False,
                  where=adjustment_rows),
-        FeedSpec("U13_manual_live", source="adjustments", event="date", segment=L.BUS, slice="table", floor=False,
-                 scene2=recode(c("scene"), ADJUST_LABEL), scene=recode(c("scene"), ADJUST_SCENE), buyer="live_stream",
-                 price=-c("price"), key=c("obu_id"), data_type=L.ADJUSTMENT, adjust_type=L.INCREASE, distinct=False,
-                 where=adjustment_rows & (c("price") < 0)),
-    ]
+        FeedSpec("U13_manual_income", source="manual_income", event="date", segment=L.BUS, slice="table", floor=False,
+                 scene2=recode(c("scene2"), ADJUST_LABEL), scene=recode(c("scene2"), ADJUST_SCENE), buyer="person",
+                 price=c("price"), key=c("obu_id"), data_type=L.ADJUSTMENT, adjust_type=L.DECREASE, distinct=False),
+    ], BUS_EVENTS)
 
 
 def bus_ledger(inputs, ctx: RunContext, mode: str = "incremental") -> DataFrame:

@@ -22,6 +22,7 @@ from ledgerline.operators.joins import restrict_to_keys
 
 # fixed values: bill-line restriction (J1), partner-rate cut (P20)
 BILL_FROM = "1998-01-01 00:00:00"
+BILL_MONTH_FROM = "1998-01"  # month partitions of the bill lines
 BILL_CARD_TYPE = "card_l"
 RATE_CUT = date(1999, 1, 1)
 # fixed values: deposit account rules (D13) and labels
@@ -36,6 +37,7 @@ def bill_keys(bill_lines: DataFrame) -> DataFrame:
     c = F.col
     return bill_lines.where(
         (c("bill_time") >= F.lit(BILL_FROM).cast("timestamp_ntz")) & (c("card_type") == F.lit(BILL_CARD_TYPE))
+        & (c("month") >= F.lit(BILL_MONTH_FROM))
     ).select("statement_id", "flow")
 
 
@@ -60,6 +62,7 @@ def bill_cost_detail(bill: DataFrame, bill_lines: DataFrame, settlement: DataFra
     """Bills restricted to the bill-line key set (semi join), left-joined
     to per-channel settlements (a bill paid through both channels yields two
     rows, Q8) and to the product cost dimension; partner and channel cost.
+    Every column of the bills passes through.
 
     ``pivot=True`` (Q8 option): one row per bill with ``split_bank`` and
     ``split_wallet``; a flag-'0' partner cost is then counted once."""
@@ -72,21 +75,19 @@ def bill_cost_detail(bill: DataFrame, bill_lines: DataFrame, settlement: DataFra
         bank = F.when(c("split_bank").isNotNull(), F.lit(BANK_CHANNEL))
         wallet = F.when(c("split_wallet").isNotNull(), F.lit(WALLET_CHANNEL))
         return x.select(
-            "statement_id", "flow", "bill_date", "product_id", "loan_type", "big_bill_type", "bill_amount",
-            "service_fee", "late_fee", "split_bank", "split_wallet",
+            *bill.columns, "split_bank", "split_wallet",
             partner_cost(c("part_flag"), bank, c("loan_type"), c("bill_amount"), c("service_fee"),
-                         c("split_bank"), c("bill_date"), c("part_rate_old"), c("part_rate_new"), cut).alias("part_cb"),
-            channel_cost(c("channel_flag"), wallet, c("split_wallet"), c("channel_rate")).alias("channel_cb"),
+                         c("split_bank"), c("bill_date"), c("part_rate_old"), c("part_rate_new"), cut).alias("cost_partner"),
+            channel_cost(c("channel_flag"), wallet, c("split_wallet"), c("channel_rate")).alias("cost_channel"),
         )
     s = settlement_by_channel(settlement)
     x = b.join(s, b["statement_id"] == s["business_id"], "left").drop("business_id")
     x = x.join(product, "product_id", "left")
     return x.select(
-        "statement_id", "flow", "bill_date", "product_id", "loan_type", "big_bill_type", "bill_amount",
-        "service_fee", "late_fee", "pay_channel", "split_amount",
+        *bill.columns, "pay_channel", "split_amount",
         partner_cost(c("part_flag"), c("pay_channel"), c("loan_type"), c("bill_amount"), c("service_fee"),
-                     c("split_amount"), c("bill_date"), c("part_rate_old"), c("part_rate_new"), cut).alias("part_cb"),
-        channel_cost(c("channel_flag"), c("pay_channel"), c("split_amount"), c("channel_rate")).alias("channel_cb"),
+                     c("split_amount"), c("bill_date"), c("part_rate_old"), c("part_rate_new"), cut).alias("cost_partner"),
+        channel_cost(c("channel_flag"), c("pay_channel"), c("split_amount"), c("channel_rate")).alias("cost_channel"),
     )
 
 
@@ -106,11 +107,11 @@ def deposit_totals(accounts: DataFrame, wallet: DataFrame, ctx: RunContext) -> D
         (F.sum(F.when(online, c("balance_cents"))) / 100).alias("b"),
     )
     accounts_rows = sums.select(F.inline(F.array(
-        F.struct(c("a").alias("amount"), F.lit(DEPOSIT_LABELS[0]).alias("precipitate_money")),
-        F.struct(c("b").alias("amount"), F.lit(DEPOSIT_LABELS[1]).alias("precipitate_money")),
+        F.struct(c("a").alias("amount"), F.lit(DEPOSIT_LABELS[0]).alias("deposit_kind")),
+        F.struct(c("b").alias("amount"), F.lit(DEPOSIT_LABELS[1]).alias("deposit_kind")),
     )))
     wallet_rows = wallet.agg(F.sum("wallet_balance").cast("double").alias("amount")) \
-        .withColumn("precipitate_money", F.lit(DEPOSIT_LABELS[2]))
+        .withColumn("deposit_kind", F.lit(DEPOSIT_LABELS[2]))
     day = ctx.yesterday.strftime("%Y%m%d")
     return accounts_rows.unionByName(wallet_rows).withColumn("bz_date", F.lit(day))
 
@@ -120,22 +121,22 @@ def daily_profit(cost_detail: DataFrame, deposits: DataFrame) -> DataFrame:
     row per deposit day with a day of interest on the deposit balance."""
     c = F.col
     money = COST
-    sums = ("service_fee", "late_fee", "part_cb", "channel_cb")
+    sums = ("service_fee", "late_fee", "cost_partner", "cost_channel")
     res = (cost_detail.groupBy(F.to_date("bill_date").alias("bz_date"), "big_bill_type")
            .agg(*[F.sum(n).cast(money).alias(n) for n in sums])
            .where(c("big_bill_type").isNotNull()))
     res = res.select(
         "bz_date", "big_bill_type", *sums,
-        profit(c("service_fee"), c("late_fee"), c("part_cb"), c("channel_cb")).cast(money).alias("profit"),
-        F.lit(0).cast(money).alias("cdzj"),
+        profit(c("service_fee"), c("late_fee"), c("cost_partner"), c("cost_channel")).cast(money).alias("profit"),
+        F.lit(0).cast(money).alias("deposit_balance"),
     )
     dep = (deposits.groupBy(F.to_date("bz_date", "yyyyMMdd").alias("bz_date"))
-           .agg(F.sum(c("amount").cast("decimal(28,2)")).alias("cdzj")))
+           .agg(F.sum(c("amount").cast("decimal(28,2)")).alias("deposit_balance")))
     zero = F.lit(0).cast(money)
     dep = dep.select(
         "bz_date", F.lit(PREPAID_CARD).alias("big_bill_type"),
-        zero.alias("service_fee"), zero.alias("late_fee"), zero.alias("part_cb"), zero.alias("channel_cb"),
-        F.round(deposit_interest(c("cdzj")), 6).cast(money).alias("profit"), c("cdzj").cast(money).alias("cdzj"),
+        zero.alias("service_fee"), zero.alias("late_fee"), zero.alias("cost_partner"), zero.alias("cost_channel"),
+        F.round(deposit_interest(c("deposit_balance")), 6).cast(money).alias("profit"), c("deposit_balance").cast(money).alias("deposit_balance"),
     )
     return res.unionByName(dep)
 
@@ -145,7 +146,7 @@ def daily_extract(cost_detail: DataFrame, ctx: RunContext) -> DataFrame:
     c = F.col
     return cost_detail.where(F.to_date("bill_date") == F.lit(ctx.yesterday)).select(
         "bill_date", "flow", "big_bill_type", "bill_amount", "product_id", "service_fee", "late_fee",
-        "part_cb", "channel_cb",
-        profit(c("service_fee"), c("late_fee"), c("part_cb"), c("channel_cb")).alias("profit"),
-        F.lit("0").alias("cdzj"), F.lit(ctx.yesterday.strftime("%Y%m%d")).alias("bz_date"),
+        "cost_partner", "cost_channel",
+        profit(c("service_fee"), c("late_fee"), c("cost_partner"), c("cost_channel")).alias("profit"),
+        F.lit("0").alias("deposit_balance"), F.lit(ctx.yesterday.strftime("%Y%m%d")).alias("bz_date"),
     )

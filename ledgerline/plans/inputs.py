@@ -2,15 +2,25 @@
 
 Plans take a mapping ``name -> DataFrame`` so the same plan runs on catalog
 tables in production and on fixture views in tests.  ``fixture_inputs`` maps
-every name to its fixture over the test tables (lazy; nothing is read here).
+every name to its fixture over the test tables (lazy; nothing is read here);
+``catalog_inputs`` knows only the tables it was given and raises on any other.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.plans.bus import BUS_EVENTS
+from ledgerline.plans.merge import with_net_price
+from ledgerline.plans.truck import TRUCK_EVENTS
 from ledgerline.sources import fixtures as fx
 
+
+def fixture_merged_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The ledger fixture as the merge writes it, with net prices."""
+    return with_net_price(fx.fx_ledger(spark, root))
+
+
 BUILDERS = {
     "snapshot": fx.fx_snapshot,
     "ledger_table": fx.fx_ledger,
@@ -31,32 +41,47 @@ BUILDERS = {
     "order_map": fx.fx_order_map,
     "corrections": fx.fx_corrections,
     "adjust_file": fx.fx_adjust_file,
-    "current_ledger": fx.fx_ledger,
+    "manual_income": fx.fx_manual_income,
+    "other_adjustments": fx.fx_other_adjustments,
+    "current_ledger": fixture_merged_ledger,
 }
 
 
+# every snapshot feed reads a table of its own; its fixture is the snapshot under the feed's event column
+FEED_EVENTS = TRUCK_EVENTS | BUS_EVENTS
+
+
 class Inputs(dict):
-    """Lazily built, memoised name -> DataFrame map."""
+    """Name -> DataFrame map of tables; an unknown name raises."""
+
+    def __missing__(self, name: str) -> DataFrame:
+        raise KeyError(f"input {name!r} was not given; known inputs: {', '.join(sorted(self)) or 'none'}")
+
+
+class FixtureInputs(Inputs):
+    """Lazily built, memoised fixtures over the test tables."""
 
-    def __init__(self, spark: SparkSession, root: str, overrides: dict | None = None):
+    def __init__(self, spark: SparkSession, root: str):
         super().__init__()
         self.spark, self.root = spark, root
-        self.update(overrides or {})
 
     def __missing__(self, name: str) -> DataFrame:
-        df = BUILDERS[name](self.spark, self.root)
-        self[name] = df
-        return df
+        if name in FEED_EVENTS:
+            self[name] = fx.fx_snapshot(self.spark, self.root).withColumnRenamed("event_ts", FEED_EVENTS[name])
+        else:
+            self[name] = BUILDERS[name](self.spark, self.root)
+        return self[name]
 
 
-def fixture_inputs(spark: SparkSession, root: str) -> Inputs:
-    return Inputs(spark, root)
+def fixture_inputs(spark: SparkSession, root: str) -> FixtureInputs:
+    return FixtureInputs(spark, root)
 
 
 def catalog_inputs(spark: SparkSession, tables: dict[str, str]) -> Inputs:
     """Production inputs: each input name read from a catalog table.
 
     ``tables`` maps input names (the keys of ``BUILDERS``) to table names;
-    reads are lazy, so only the inputs a job uses are touched.
+    reads are lazy, so only the inputs a job uses are touched.  The ledger
+    that a job writes is not an input: it reads its own target.
     """
-    return Inputs(spark, "", {name: spark.table(table) for name, table in tables.items()})
+    return Inputs({name: spark.table(table) for name, table in tables.items()})

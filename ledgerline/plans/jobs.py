@@ -23,7 +23,7 @@ from ledgerline.plans import reports as R
 from ledgerline.plans import services as S
 from ledgerline.plans.bus import bus_ledger
 from ledgerline.plans.inputs import Inputs
-from ledgerline.plans.merge import merge_ledger
+from ledgerline.plans.merge import empty_ledger, merge_ledger
 from ledgerline.plans.truck import truck_ledger
 from ledgerline.sinks import create_partitioned, extract_csv, full_refresh, overwrite_partitions, replace_day
 
@@ -59,17 +59,19 @@ class CostTables:
 
 def write_months(df: DataFrame, table: str, ctx: RunContext, mode: str, partition_col: str = "month",
                  location: str | None = None, months: list[str] | None = None) -> None:
-    """Month-partitioned target.  An incremental run replaces only its window
-    months (emptying window months without rows); a rebuild replaces the
-    table, or with ``months`` only those months (Q16: re-close a month whose
-    run on the 1st was missed)."""
+    """Month-partitioned target.  Every run replaces the months it has rows for and
+    empties months of its own without rows; all other months stay as they are.  An
+    incremental run's own months are its window; a rebuild's are all months that its
+    snapshots close, or ``months`` (Q16: re-close a month whose run on the 1st was
+    missed), which then are the only ones written."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table) or (mode == "rebuild" and not months):
+    if mode == "rebuild" and months:
+        df = df.where(F.col(partition_col).isin(months))
+    if not spark.catalog.tableExists(table):
         create_partitioned(df, table, partition_col, path=location)
-    elif mode == "rebuild":
-        overwrite_partitions(df.where(F.col(partition_col).isin(months)), table, partition_col, clear=months)
-    else:
-        overwrite_partitions(df, table, partition_col, clear=ctx.window_months)
+        return
+    own = ctx.window_months if mode == "incremental" else (months or ctx.rebuild_months)
+    overwrite_partitions(df, table, partition_col, clear=own)
 
 
 Publisher = Callable[[DataFrame, str], None]
@@ -96,8 +98,8 @@ def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables:
     write_months(truck_ledger(inputs, ctx, mode), tables.truck, ctx, mode, location=loc("truck"), months=months)
     write_months(bus_ledger(inputs, ctx, mode), tables.bus, ctx, mode, location=loc("bus"), months=months)
 
-    if spark.catalog.tableExists(tables.ledger):
-        inputs["current_ledger"] = spark.table(tables.ledger)
+    # the job reads its own target; before the first run there is no ledger
+    inputs["current_ledger"] = spark.table(tables.ledger) if spark.catalog.tableExists(tables.ledger) else empty_ledger(spark)
     merged = merge_ledger(spark, inputs, ctx, spark.table(tables.truck), spark.table(tables.bus),
                           window=(mode == "incremental"))
     write_months(merged, tables.ledger, ctx, mode, location=loc("ledger"), months=months)
@@ -112,13 +114,14 @@ def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables:
     full_refresh(R.ledger_summary(spark.table(tables.enriched)), tables.summary, path=loc("summary"))
     _publish(spark, publish, tables.summary)
 
-    write_months(S.other_movements(inputs["service_detail"], ctx), tables.other, ctx, mode, location=loc("other"))
+    other = S.other_movements(inputs["service_detail"], ctx, adjustments=inputs["other_adjustments"], mode=mode, months=months)
+    write_months(other, tables.other, ctx, mode, location=loc("other"), months=months)
     full_refresh(S.other_summary(spark.table(tables.other)), tables.other_summary, path=loc("other_summary"))
     _publish(spark, publish, tables.other_summary)
     full_refresh(S.debit_refund_totals(inputs["equipment"]), tables.debit_refund, path=loc("debit_refund"))
     _publish(spark, publish, tables.debit_refund)
-    write_months(S.aftersales_movements(inputs["service_detail"], ctx), tables.aftersales, ctx, mode,
-                 location=loc("aftersales"))
+    write_months(S.aftersales_movements(inputs["service_detail"], ctx, mode=mode, months=months), tables.aftersales, ctx,
+                 mode, location=loc("aftersales"), months=months)
     full_refresh(S.aftersales_summary(spark.table(tables.aftersales)), tables.aftersales_summary,
                  path=loc("aftersales_summary"))
     _publish(spark, publish, tables.aftersales_summary)

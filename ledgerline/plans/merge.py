@@ -74,19 +74,37 @@ def merge_arms(spark: SparkSession, truck: DataFrame, bus: DataFrame, correction
 
 
 def merge_ledger(spark: SparkSession, inputs, ctx: RunContext, truck: DataFrame, bus: DataFrame,
-                 window: bool = True, strict: bool = True) -> DataFrame:
-    """``strict`` (Q6 fix): the rewrite window is also applied to the
-    partition column ``month``.  An adjustment whose date is in the window but
-    whose month names an older partition would otherwise replace that whole
-    partition with the corrections alone; such rows are left out.
-    ``strict=False`` keeps the modelled behaviour (window on the date only)."""
-    arms = merge_arms(spark, truck, bus, inputs["corrections"], inputs["adjust_file"], inputs["current_ledger"])
+                 window: bool = True) -> DataFrame:
+    """All partitions that the run writes, whole.
+
+    The window is on the date; a correction may be dated inside it and still name an
+    older month.  Such rows join the rows that their older partition already has,
+    without the copies of them that an earlier run put there, so that writing the
+    partition loses nothing and a second run changes nothing."""
+    current = inputs["current_ledger"]
+    arms = merge_arms(spark, truck, bus, inputs["corrections"], inputs["adjust_file"], current)
     u = union_feeds(arms)
     u = u.withColumn("net_price", net_price(F.col("segment"), F.col("scene"), F.col("price")))
-    if not window:
-        return u
-    u = rewrite_window(u, ctx)
-    return u.where(F.col("month") >= F.lit(ctx.window_start)) if strict else u
+    if window:
+        u = rewrite_window(u, ctx)
+    first = ctx.window_start if window else ctx.rebuild_months[0]
+    late = u.where(F.col("month") < F.lit(first))
+    have = ledger_shaped(current, MERGED).where(F.col("month") < F.lit(first))
+    have = have.join(late.select("month").distinct(), "month", "left_semi").select(*MERGED.fieldNames())
+    return u.unionByName(without_rows(have, late))
+
+
+def without_rows(df: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``df`` that no row of ``gone`` equals in every column, nulls included."""
+    keys = [F.xxhash64(*df.columns).alias("__key"), F.struct(*df.columns).alias("__row")]
+    d, g = df.select("*", *keys), gone.select(*keys).distinct()
+    same = (d["__key"] == g["__key"]) & d["__row"].eqNullSafe(g["__row"])
+    return d.join(g, same, "left_anti").drop("__key", "__row")
+
+
+def empty_ledger(spark: SparkSession) -> DataFrame:
+    """The ledger before its first run."""
+    return spark.createDataFrame([], MERGED)
 
 
 def with_net_price(ledger: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ledgerline.functions.geo import province
 from ledgerline.functions.rules import direction, keep, not_like, ordered_rule, recode
 from ledgerline.operators.joins import attach_dimensions, attach_one_per_key, flag_existence, resolve_id
 from ledgerline.schema import LEDGER, conform
-from ledgerline.sources.snapshot import at_snapshot
+from ledgerline.sources.snapshot import at_snapshot, month_in
 
 # fixed values: scene2 labels the reports select on
 ALL_DEVICES = "all_devices"
@@ -102,6 +102,7 @@ def backfill_arms(ledger: DataFrame, snapshot: DataFrame, audit: DataFrame) -> D
     the backed-up feeds of the historic months (a pinned snapshot)."""
     c = F.col
     s = at_snapshot(snapshot, BACKFILL_DS)
+    s = s.where(month_in(s, "event_ts", BACKFILL_FROM, BACKFILL_TO))
     dev = F.concat(F.lit("D"), c("id"))  # device-keyed arms
     bus = dict(data_type=L.RECEIVABLE, adjust_type=L.RECEIVABLE, segment=L.BUS)
     day = c("event_ts")
@@ -129,11 +130,9 @@ def backfill_arms(ledger: DataFrame, snapshot: DataFrame, audit: DataFrame) -> D
         arm(s.where(c("bank").isin(FIRST_USE_BANKS) & not_like(c("remark"), "%offline%") & (c("price") != 0)),
             {"date": day, "scene": L.SIGNING, "buyer": "bank_a_first_use", "price": FIRST_USE_PRICE,
              "obu_id": c("vehicle_id").cast("string"), **bus, "scene2": "first_use"}),
-        audit_adjustments(audit),
+        audit_adjustments(audit.where(month_in(audit, "date", BACKFILL_FROM, BACKFILL_TO))),
     ]
-    m = F.date_format("date", "yyyy-MM")
-    historic = reduce(lambda a, b: a.unionByName(b), backed_up).where(
-        (m >= F.lit(BACKFILL_FROM)) & (m <= F.lit(BACKFILL_TO)))
+    historic = reduce(lambda a, b: a.unionByName(b), backed_up)
     return conform(current, {n: f"@{n}" for n in LEDGER.fieldNames()}, LEDGER).unionByName(historic)
 
 

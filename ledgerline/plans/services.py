@@ -13,7 +13,7 @@ from ledgerline.context import RunContext
 from ledgerline.functions.rules import not_blank, not_in
 from ledgerline.operators.aggregate import monthly_flows, summarise
 from ledgerline.operators.movements import MovementSpec, expand_movements
-from ledgerline.sources.snapshot import today
+from ledgerline.sources.snapshot import movement_slice, month_from
 
 # fixed values: D9 exclusions
 MAIN_SCENES = [L.SERVICE_NEW, L.SERVICE_REPLACE, L.SERVICE_CANCEL, L.SERVICE_REBIND_REFUND]
@@ -34,13 +34,26 @@ def _month_and_date(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*out, F.date_format("date", "yyyy-MM").alias("month"))
 
 
+def _owned(rows: DataFrame, ctx: RunContext, mode: str, months: list[str] | None) -> DataFrame:
+    """Movements that the run owns.  An incremental run owns its window; a rebuild owns
+    every month once, from the snapshot that closes it (or today's)."""
+    if mode == "incremental":
+        return rows.where(month_from(rows, "date", ctx.window_start))
+    wanted = months or ctx.rebuild_months
+    closing = F.create_map(*[F.lit(x) for m in wanted for x in (m, ctx.closing_ds(m))])
+    # today's snapshot also holds what is dated ahead
+    ahead = (F.col("ds") == F.lit(ctx.ds)) & (F.col("month") > F.lit(ctx.month)) if not months else F.lit(False)
+    return rows.where((F.element_at(closing, F.col("month")) == F.col("ds")) | ahead)
+
+
 def other_movements(detail: DataFrame, ctx: RunContext, parity_constant_id: bool = False,
-                    adjustments: DataFrame | None = None) -> DataFrame:
+                    adjustments: DataFrame | None = None, mode: str = "incremental",
+                    months: list[str] | None = None) -> DataFrame:
     """Receivable, receivable decrease, received, received decrease, plus
     an optional hand-loaded adjustment table already shaped like the output
     (selected by name); the window and device filters apply to all of them."""
     c = F.col
-    x = today(detail, ctx).where(
+    x = movement_slice(detail, ctx, ["obu_should_time", "should_refund_time", "actual_time"], mode, months).where(
         not_in(c("service_scene2"), MAIN_SCENES)
         & not_in(c("openname"), EXCLUDED_OPEN_NAMES, keep_null=True)
         & c("stock_type").isNull()
@@ -66,8 +79,17 @@ def other_movements(detail: DataFrame, ctx: RunContext, parity_constant_id: bool
     rows = expand_movements(x, arms, OTHER_COLUMNS, TYPES)
     out = _month_and_date(rows, OTHER_COLUMNS)
     if adjustments is not None:
-        out = out.unionByName(adjustments.select(*[c(n).cast(out.schema[n].dataType) for n in out.columns]))
-    return out.where((F.date_format("date", "yyyy-MM") >= F.lit(ctx.window_start)) & not_blank(c("obu_id")))
+        extra = adjustments.select(*[c(n).cast(out.schema[n].dataType) for n in out.columns])
+        if mode == "incremental":
+            out = _owned(out, ctx, mode, months).unionByName(extra.where(month_from(extra, "date", ctx.window_start)))
+        else:
+            # only months that the run rebuilds (and what is dated ahead): others stay as they are
+            own = c("month").isin(months or ctx.rebuild_months)
+            extra = extra.where(own if months else own | (c("month") > F.lit(ctx.month)))
+            out = _owned(out, ctx, mode, months).unionByName(extra)
+    else:
+        out = _owned(out, ctx, mode, months)
+    return out.where(not_blank(c("obu_id")))
 
 
 def other_summary(movements: DataFrame) -> DataFrame:
@@ -75,10 +97,12 @@ def other_summary(movements: DataFrame) -> DataFrame:
                      "obu_id", "price")
 
 
-def aftersales_movements(detail: DataFrame, ctx: RunContext, parity_constant_id: bool = False) -> DataFrame:
+def aftersales_movements(detail: DataFrame, ctx: RunContext, parity_constant_id: bool = False,
+                         mode: str = "incremental", months: list[str] | None = None) -> DataFrame:
     """{after-sales, cancellation} x {receivable, received} x {collect, refund}."""
     c = F.col
-    x = today(detail, ctx).where(c("sale_department") != F.lit(ETC_DEPARTMENT))
+    times = ["obu_should_time", "card_should_time", "should_refund_time", "actual_time"]
+    x = movement_slice(detail, ctx, times, mode, months).where(c("sale_department") != F.lit(ETC_DEPARTMENT))
     collect, refund = c("service_type") == F.lit(L.COLLECT), c("service_type") == F.lit(L.REFUND)
     replace1, cancel1 = c("service_scene") == F.lit(L.SERVICE_REPLACE), c("service_scene") == F.lit(L.SERVICE_CANCEL)
     replace2, cancel2 = c("service_scene2") == F.lit(L.SERVICE_REPLACE), c("service_scene2") == F.lit(L.SERVICE_CANCEL)
@@ -112,8 +136,7 @@ def aftersales_movements(detail: DataFrame, ctx: RunContext, parity_constant_id:
             RD, CP, L.DECREASE, F.to_date("actual_time"), c("obu_id"), -c("actual_amount"), const_id),
     ]
     rows = expand_movements(x, arms, AFTERSALES_COLUMNS, TYPES)
-    out = _month_and_date(rows, AFTERSALES_COLUMNS)
-    return out.where(c("month") >= F.lit(ctx.window_start))
+    return _owned(_month_and_date(rows, AFTERSALES_COLUMNS), ctx, mode, months)
 
 
 def aftersales_summary(movements: DataFrame) -> DataFrame:
@@ -134,8 +157,10 @@ def debit_refund_totals(equipment: DataFrame, floor: str = DEBIT_FLOOR, strict:
     paid = (c("pay_state") == F.lit("SUCCESS")) & dept
     refunded = ((c("refund_state") == F.lit(REFUND_DONE)) & dept) if strict else paid
     amount = c("equipment_amount")
+    # the floor reaches the scan: a row counts if either of its times is on or after it
+    equipment = equipment.where(month_from(equipment, "gmt_payment", floor) | month_from(equipment, "gmt_refund", floor))
     return monthly_flows(equipment, [
-        ("debit", paid & (F.date_format("gmt_payment", "yyyy-MM") >= F.lit(floor)), c("gmt_payment"), amount),
-        ("refund", refunded & (F.date_format("gmt_refund", "yyyy-MM") >= F.lit(floor)), c("gmt_refund"),
+        ("debit", paid & month_from(equipment, "gmt_payment", floor), c("gmt_payment"), amount),
+        ("refund", refunded & month_from(equipment, "gmt_refund", floor), c("gmt_refund"),
          -amount if strict else amount),
     ], amount)

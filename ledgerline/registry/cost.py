@@ -19,35 +19,34 @@ from ledgerline.sources import fixtures as fx
 # fixed values: cost-job run day (its "yesterday" is 1998-03-01)
 COST_DAY = RunContext(as_of=date(1998, 3, 2))
 RATE_EPOCH = date(1900, 1, 1)  # first day of the oldest rate version
-_PART_RATE = "CASE WHEN fg.bill_date >= DATE '1999-01-01' THEN dpc.part_rate_new ELSE dpc.part_rate_old END"
-_BILL = "CAST(fg.bill_amount AS DECIMAL(18,2))"
-_FEE = "CAST(fg.service_fee AS DECIMAL(18,2))"
-_SPLIT = "CAST(cr.split_amount AS DECIMAL(18,2))"
-_COST_CTE = f"""cost AS (
-SELECT fg.statement_id, fg.flow, fg.bill_date, fg.product_id, fg.loan_type, fg.big_bill_type, fg.bill_amount,
-       fg.service_fee, fg.late_fee, cr.pay_channel, cr.split_amount,
-       CAST(CASE WHEN dpc.part_flag = '0' THEN
-                   CASE WHEN fg.loan_type = 'loan' THEN {_BILL} * 0.00049 + {_FEE} * {_PART_RATE} ELSE {_FEE} * {_PART_RATE} END
-                 WHEN dpc.part_flag = '1' AND cr.pay_channel = 'channel_bank' THEN
-                   CASE WHEN fg.loan_type = 'loan' THEN {_BILL} * 0.00049 + {_SPLIT} * {_PART_RATE} ELSE {_SPLIT} * {_PART_RATE} END
-                 ELSE 0 END AS DECIMAL(30,8)) AS part_cb,
-       CAST(CASE WHEN dpc.channel_flag = '1' AND cr.pay_channel = 'channel_wallet' THEN {_SPLIT} * dpc.channel_rate
-                 ELSE 0 END AS DECIMAL(30,8)) AS channel_cb
-FROM (SELECT statement_id, flow, count(1) AS n FROM fx_bill_lines
-      WHERE bill_time >= TIMESTAMP '1998-01-01 00:00:00' AND card_type = 'card_l' GROUP BY statement_id, flow) fb
-JOIN fx_bill fg ON fb.statement_id = fg.statement_id AND fb.flow = fg.flow
-LEFT JOIN (SELECT business_id, pay_channel, sum(split_amount) AS split_amount FROM fx_settlement
-           WHERE pay_channel IN ('channel_bank', 'channel_wallet') GROUP BY business_id, pay_channel) cr
-  ON fg.statement_id = cr.business_id
-LEFT JOIN fx_product dpc ON fg.product_id = dpc.product_id)"""
+# bills of the wanted lines, the rate of their day, what each channel settled, and the amount that the partner's share is of
+_PRICED_CTES = """wanted AS (
+  SELECT b.*, p.part_flag, p.channel_flag, p.channel_rate, if(b.bill_date < DATE '1999-01-01', p.part_rate_old, p.part_rate_new) AS part_rate,
+         if(b.loan_type = 'loan', b.bill_amount * 0.00049, 0) AS surcharge
+  FROM fx_bill b LEFT JOIN fx_product p USING (product_id)
+  WHERE EXISTS (SELECT 1 FROM fx_bill_lines l WHERE l.statement_id = b.statement_id AND l.flow = b.flow AND l.card_type = 'card_l'
+                AND l.bill_time >= TIMESTAMP '1998-01-01' AND l.month >= '1998-01')
+), settled AS (
+  SELECT business_id AS statement_id, pay_channel, sum(split_amount) AS split_amount
+  FROM fx_settlement WHERE pay_channel <> 'channel_other' GROUP BY ALL
+)"""
+_DETAIL = ("statement_id, flow, bill_date, product_id, loan_type, big_bill_type, CAST(bill_amount AS DOUBLE) AS bill_amount, "
+           "CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee")
+_COST_CTE = _PRICED_CTES + """, shared AS (
+  SELECT *, CASE part_flag WHEN '0' THEN service_fee WHEN '1' THEN if(pay_channel = 'channel_bank', split_amount, NULL) END AS share,
+         if(channel_flag = '1' AND pay_channel = 'channel_wallet', split_amount * channel_rate, 0) AS channel_share
+  FROM wanted LEFT JOIN settled USING (statement_id)
+), cost AS (
+  SELECT *, CAST(coalesce(share * part_rate + surcharge, 0) AS DECIMAL(30,8)) AS cost_partner,
+         CAST(channel_share AS DECIMAL(30,8)) AS cost_channel FROM shared
+)"""
 _COST_FX = ["fx_bill", "fx_bill_lines", "fx_settlement", "fx_product"]
-_DEPOSIT_BODY = f"""
-SELECT sum(balance_cents) / 100 AS amount, 'center_bank_deposit' AS precipitate_money, '{COST_DAY.yesterday:%Y%m%d}' AS bz_date
-FROM fx_accounts WHERE accno LIKE 'BZ9%' OR accno LIKE '9%' AND bank_name = 'bank_a'
-UNION ALL
-SELECT sum(balance_cents) / 100, 'center_online_deposit', '{COST_DAY.yesterday:%Y%m%d}' FROM fx_accounts WHERE accno LIKE '5%'
-UNION ALL
-SELECT CAST(sum(wallet_balance) AS DOUBLE), 'wallet_deposit', '{COST_DAY.yesterday:%Y%m%d}' FROM fx_wallet"""
+_DEPOSIT_BODY = """
+SELECT unnest(['center_bank_deposit', 'center_online_deposit', 'wallet_deposit']) AS deposit_kind, unnest([center, online, wallet]) AS amount,
+       '19980301' AS bz_date
+FROM (SELECT sum(balance_cents) FILTER (starts_with(accno, 'BZ9') OR bank_name = 'bank_a' AND starts_with(accno, '9')) / 100 AS center,
+             sum(balance_cents) FILTER (starts_with(accno, '5')) / 100 AS online FROM fx_accounts),
+     (SELECT CAST(sum(wallet_balance) AS DOUBLE) AS wallet FROM fx_wallet)"""
 
 
 def _cost_detail(spark: SparkSession, root: str) -> DataFrame:
@@ -56,20 +55,16 @@ def _cost_detail(spark: SparkSession, root: str) -> DataFrame:
 
 
 @register("cost_bill_detail", fx.with_fixtures(
-    "SELECT statement_id, flow, bill_date, product_id, loan_type, big_bill_type, CAST(bill_amount AS DOUBLE) AS bill_amount, "
-    "CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee, pay_channel, "
-    "CAST(split_amount AS DOUBLE) AS split_amount, CAST(part_cb AS DOUBLE) AS part_cb, CAST(channel_cb AS DOUBLE) AS channel_cb "
-    "FROM cost", _COST_FX, _COST_CTE))
+    f"SELECT {_DETAIL}, pay_channel, CAST(split_amount AS DOUBLE) AS split_amount, CAST(cost_partner AS DOUBLE) AS cost_partner, "
+    "CAST(cost_channel AS DOUBLE) AS cost_channel, user_id, state FROM cost", _COST_FX, _COST_CTE))
 def cost_bill_detail(spark: SparkSession, root: str) -> DataFrame:
     """Bill cost detail."""
     return for_compare(_cost_detail(spark, root))
 
 
 @register("cost_semi_only", """
-SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderdate
-FROM (SELECT l_orderkey, count(1) AS n FROM lineitem
-      WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00' AND l_linestatus = 'F' GROUP BY l_orderkey) fb
-JOIN orders o ON fb.l_orderkey = o.o_orderkey""")
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '1998-01-01')""")
 def cost_semi_only(spark: SparkSession, root: str) -> DataFrame:
     """Grouped-key INNER JOIN rewritten as LEFT SEMI (count unused)."""
     li = fx.load_table(spark, root, "lineitem")
@@ -88,22 +83,13 @@ def deposit_totals(spark: SparkSession, root: str) -> DataFrame:
 
 
 _PROFIT_SQL = f"""
-SELECT bz_date, big_bill_type, CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee,
-       CAST(part_cb AS DOUBLE) AS part_cb, CAST(channel_cb AS DOUBLE) AS channel_cb, CAST(profit AS DOUBLE) AS profit,
-       CAST(cdzj AS DOUBLE) AS cdzj
-FROM (
-  SELECT bz_date, big_bill_type, service_fee, late_fee, part_cb, channel_cb,
-         service_fee + coalesce(late_fee, 0) - part_cb - channel_cb AS profit, CAST(0 AS DECIMAL(30,8)) AS cdzj
-  FROM (SELECT CAST(bill_date AS DATE) AS bz_date, big_bill_type,
-               CAST(sum(service_fee) AS DECIMAL(30,8)) AS service_fee, CAST(sum(late_fee) AS DECIMAL(30,8)) AS late_fee,
-               CAST(sum(part_cb) AS DECIMAL(30,8)) AS part_cb, CAST(sum(channel_cb) AS DECIMAL(30,8)) AS channel_cb
-        FROM cost GROUP BY 1, 2) a
-  WHERE big_bill_type IS NOT NULL
-  UNION ALL
-  SELECT bz_date, 'prepaid_card', 0, 0, 0, 0, CAST(round(cdzj * 0.032 / 365, 6) AS DECIMAL(30,8)), cdzj
-  FROM (SELECT CAST(strptime(bz_date, '%Y%m%d') AS DATE) AS bz_date, sum(CAST(amount AS DECIMAL(28,2))) AS cdzj
-        FROM ({_DEPOSIT_BODY}) d GROUP BY 1) p
-) u"""
+SELECT bill_date AS bz_date, big_bill_type, CAST(sum(service_fee) AS DOUBLE) AS service_fee, CAST(sum(late_fee) AS DOUBLE) AS late_fee,
+       CAST(sum(cost_partner) AS DOUBLE) AS cost_partner, CAST(sum(cost_channel) AS DOUBLE) AS cost_channel,
+       CAST(sum(service_fee) + coalesce(sum(late_fee), 0) - sum(cost_partner) - sum(cost_channel) AS DOUBLE) AS profit, 0.0::DOUBLE AS deposit_balance
+FROM cost WHERE big_bill_type IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT DATE '1998-03-01', 'prepaid_card', 0, 0, 0, 0, round(total * 0.032 / 365, 6)::DOUBLE, total::DOUBLE
+FROM (SELECT sum(amount::DECIMAL(28,2)) AS total FROM ({_DEPOSIT_BODY}))"""
 
 
 @register("daily_profit", fx.with_fixtures(_PROFIT_SQL, _COST_FX + ["fx_accounts", "fx_wallet"], _COST_CTE))
@@ -113,13 +99,13 @@ def daily_profit(spark: SparkSession, root: str) -> DataFrame:
     return for_compare(C.daily_profit(_cost_detail(spark, root), C.deposit_totals(i["accounts"], i["wallet"], COST_DAY)))
 
 
-_EXTRACT_SQL = f"""
+_EXTRACT_SQL = """
 SELECT bill_date, flow, big_bill_type, CAST(bill_amount AS DOUBLE) AS bill_amount, product_id,
-       CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee, CAST(part_cb AS DOUBLE) AS part_cb,
-       CAST(channel_cb AS DOUBLE) AS channel_cb,
-       CAST(service_fee + coalesce(late_fee, 0) - part_cb - channel_cb AS DOUBLE) AS profit,
-       '0' AS cdzj, '{COST_DAY.yesterday:%Y%m%d}' AS bz_date
-FROM cost WHERE bill_date = DATE '{COST_DAY.yesterday}'"""
+       CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee, CAST(cost_partner AS DOUBLE) AS cost_partner,
+       CAST(cost_channel AS DOUBLE) AS cost_channel,
+       CAST(service_fee - (cost_partner + cost_channel) + coalesce(late_fee, 0) AS DOUBLE) AS profit,
+       '0' AS deposit_balance, '19980301' AS bz_date
+FROM cost WHERE bill_date = DATE '1998-03-01'"""
 
 
 @register("cost_daily_extract", fx.with_fixtures(_EXTRACT_SQL, _COST_FX, _COST_CTE))
@@ -129,9 +115,8 @@ def cost_daily_extract(spark: SparkSession, root: str) -> DataFrame:
 
 
 @register("cost_rate_table", fx.with_fixtures("""
-SELECT fg.statement_id, fg.flow, fg.bill_date, fg.product_id,
-       CAST(CASE WHEN fg.bill_date >= DATE '1999-01-01' THEN dpc.part_rate_new ELSE dpc.part_rate_old END AS DOUBLE) AS part_rate
-FROM fx_bill fg LEFT JOIN fx_product dpc ON fg.product_id = dpc.product_id""", ["fx_bill", "fx_product"]))
+SELECT statement_id, flow, bill_date, product_id, CAST(if(bill_date < DATE '1999-01-01', part_rate_old, part_rate_new) AS DOUBLE) AS part_rate
+FROM fx_bill LEFT JOIN fx_product USING (product_id)""", ["fx_bill", "fx_product"]))
 def cost_rate_table(spark: SparkSession, root: str) -> DataFrame:
     """P20, general form: the partner rate of every bill looked up in a
     rate-version table (old rate until the cut day, new from it)."""
@@ -145,31 +130,14 @@ def cost_rate_table(spark: SparkSession, root: str) -> DataFrame:
     return rate_from_table(bills, old.unionByName(new), "product_id", "bill_date", "part_rate")
 
 
-_SPLIT_BANK = "CAST(cr.split_bank AS DECIMAL(18,2))"
-
-
 @register("cost_bill_detail_pivot", fx.with_fixtures(f"""
-SELECT fg.statement_id, fg.flow, fg.bill_date, fg.product_id, fg.loan_type, fg.big_bill_type,
-       CAST(fg.bill_amount AS DOUBLE) AS bill_amount, CAST(fg.service_fee AS DOUBLE) AS service_fee,
-       CAST(fg.late_fee AS DOUBLE) AS late_fee, CAST(cr.split_bank AS DOUBLE) AS split_bank,
-       CAST(cr.split_wallet AS DOUBLE) AS split_wallet,
-       CAST(CAST(CASE WHEN dpc.part_flag = '0' THEN
-                        CASE WHEN fg.loan_type = 'loan' THEN {_BILL} * 0.00049 + {_FEE} * {_PART_RATE} ELSE {_FEE} * {_PART_RATE} END
-                      WHEN dpc.part_flag = '1' AND cr.split_bank IS NOT NULL THEN
-                        CASE WHEN fg.loan_type = 'loan' THEN {_BILL} * 0.00049 + {_SPLIT_BANK} * {_PART_RATE}
-                             ELSE {_SPLIT_BANK} * {_PART_RATE} END
-                      ELSE 0 END AS DECIMAL(30,8)) AS DOUBLE) AS part_cb,
-       CAST(CAST(CASE WHEN dpc.channel_flag = '1' AND cr.split_wallet IS NOT NULL
-                      THEN CAST(cr.split_wallet AS DECIMAL(18,2)) * dpc.channel_rate ELSE 0 END AS DECIMAL(30,8)) AS DOUBLE) AS channel_cb
-FROM (SELECT statement_id, flow, count(1) AS n FROM fx_bill_lines
-      WHERE bill_time >= TIMESTAMP '1998-01-01 00:00:00' AND card_type = 'card_l' GROUP BY statement_id, flow) fb
-JOIN fx_bill fg ON fb.statement_id = fg.statement_id AND fb.flow = fg.flow
-LEFT JOIN (SELECT business_id,
-                  sum(CASE WHEN pay_channel = 'channel_bank' THEN split_amount END) AS split_bank,
-                  sum(CASE WHEN pay_channel = 'channel_wallet' THEN split_amount END) AS split_wallet
-           FROM fx_settlement WHERE pay_channel IN ('channel_bank', 'channel_wallet') GROUP BY business_id) cr
-  ON fg.statement_id = cr.business_id
-LEFT JOIN fx_product dpc ON fg.product_id = dpc.product_id""", _COST_FX))
+SELECT {_DETAIL}, CAST(bank AS DOUBLE) AS split_bank, CAST(wallet AS DOUBLE) AS split_wallet,
+       CAST(CAST(coalesce(CASE part_flag WHEN '0' THEN service_fee WHEN '1' THEN bank END * part_rate + surcharge, 0) AS DECIMAL(30,8)) AS DOUBLE) AS cost_partner,
+       CAST(CAST(coalesce(if(channel_flag = '1', wallet, NULL) * channel_rate, 0) AS DECIMAL(30,8)) AS DOUBLE) AS cost_channel, user_id, state
+FROM wanted LEFT JOIN sides USING (statement_id)""", _COST_FX, _PRICED_CTES + """, sides AS (
+  SELECT statement_id, max(split_amount) FILTER (pay_channel = 'channel_bank') AS bank, max(split_amount) FILTER (pay_channel = 'channel_wallet') AS wallet
+  FROM settled GROUP BY ALL
+)"""))
 def cost_bill_detail_pivot(spark: SparkSession, root: str) -> DataFrame:
     """D12 with the Q8 option: settlements pivoted per bill (conditional
     aggregation), one row per bill, flag-'0' partner cost counted once."""

@@ -29,41 +29,46 @@ _KEY11 = ("CASE WHEN event_ts < TIMESTAMP '2001-03-01 00:00:00' THEN vehicle_id
           "WHEN event_ts >= TIMESTAMP '2001-03-01 00:00:00' AND remark = 'increase' THEN vehicle_id END")
 
 
+def _carried(*args):
+    """Truck feeds carry the pre-installation mark."""
+    return _ledger_sel(*args, preinstall="preinstall")
+
+
 def _truck_body(ctx: RunContext) -> str:
     fl = ctx.floor_month
     R, A, T = L.RECEIVABLE, L.ADJUSTMENT, L.TRUCK
     ev = "event_ts"
     arms = [
-        two_arm(_ledger_sel(ev, "'signing'", "bank", "CASE WHEN strftime(event_ts, '%Y-%m') >= '2001-07' AND bank = 'bank_a' THEN 70 ELSE price END",
+        two_arm(_carried(ev, "'signing'", "bank", "CASE WHEN strftime(event_ts, '%Y-%m') >= '2001-07' AND bank = 'bank_a' THEN 70 ELSE price END",
                             "id", R, R, T, "'signing_active'"), floor=fl),
-        two_arm(_ledger_sel(ev, "'signing'", "'bank_a_first_use'", "CASE WHEN strftime(event_ts, '%Y-%m') >= '2001-07' THEN 70 ELSE price END",
+        two_arm(_carried(ev, "'signing'", "'bank_a_first_use'", "CASE WHEN strftime(event_ts, '%Y-%m') >= '2001-07' THEN 70 ELSE price END",
                             "id", R, R, T, "'first_use'"), floor=fl),
-        two_arm(_ledger_sel(ev, "'signing'", "bank", "180", "id", R, R, T, "'partner_product'"), where="dept = '1-URGENT'", floor=fl),
-        two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "CASE WHEN remark = 'decrease' THEN -180 WHEN remark = 'increase' THEN 180 ELSE price END",
+        two_arm(_carried(ev, "'signing'", "'partner'", "180", "id", R, R, T, "'partner_product'"), where="dept = '1-URGENT'", floor=fl),
+        two_arm(_carried(ev, "'new_paid'", "'person'", "CASE WHEN remark = 'decrease' THEN -180 WHEN remark = 'increase' THEN 180 ELSE price END",
                             "id", R, R, T, "'new_paid'"), floor=fl),
-        two_arm(_ledger_sel(ev, "'after_sales'", "'person'", "CASE WHEN price = -180 THEN -180 ELSE 180 END", "id", R, R, T, "'after_sales'"), floor=fl),
-        two_arm(_ledger_sel(ev, "'cancellation'", "bank", "price", "id", R, R, T, "'cancellation'"), distinct=False, floor=fl),
-        two_arm(_ledger_sel(ev, "'waiver'", "bank", "0", "id", R, R, T, "'waiver'"), where="dept = '2-HIGH'", distinct=False),
-        "SELECT " + _ledger_sel("gmt_payment", "'card_swap'", "'card_swap'", "equipment_amount", "coalesce(provider_id, id)", R, R, T,
+        two_arm(_carried(ev, "'after_sales'", "'person'", "CASE WHEN price = -180 THEN -180 ELSE 180 END", "id", R, R, T, "'after_sales'"), floor=fl),
+        two_arm(_carried(ev, "'cancellation'", "'person'", "price", "id", R, R, T, "'cancellation'"), distinct=False, floor=fl),
+        two_arm(_carried(ev, "'waiver'", "bank", "0", "id", R, R, T, "'waiver'"), where="dept = '2-HIGH'", distinct=False),
+        "SELECT " + _carried("gmt_payment", "'card_swap'", "'card_swap'", "equipment_amount", "coalesce(provider_id, id)", R, R, T,
                                 "'card_swap_received'")
         + " FROM fx_equipment WHERE pay_state = 'SUCCESS' AND category = 'card_swap' AND department = 'data' "
           f"AND sale_department = 'data' AND strftime(gmt_payment, '%Y-%m') >= '{fl}'",
-        two_arm(_ledger_sel(ev, "'signing'", "bank", "price", "id", A, L.INCREASE, T, "'signing_increase'"), where="remark = 'increase'", floor=fl),
-        two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "price", "id", A, L.INCREASE, T, "'new_paid_increase'"),
+        two_arm(_carried(ev, "'signing'", "bank", "price", "id", A, L.INCREASE, T, "'signing_increase'"), where="remark = 'increase'", floor=fl),
+        two_arm(_carried(ev, "'new_paid'", "'person'", "price", "id", A, L.INCREASE, T, "'new_paid_increase'"),
                 where="remark = 'increase' AND price > 0", floor=fl),
-        two_arm(_ledger_sel(ev, "'signing'", "'bank_a_first_use'", "-70", _KEY11, A, L.DECREASE, T, "'signing_decrease'"),
+        two_arm(_carried(ev, "'signing'", "'bank_a_first_use'", "-70", _KEY11, A, L.DECREASE, T, "'signing_decrease'"),
                 where=f"({_KEY11}) IS NOT NULL", floor=fl),
-        two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'new_paid_decrease'"),
+        two_arm(_carried(ev, "'new_paid'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'new_paid_decrease'"),
                 where="remark = 'decrease'", floor=fl),
-        two_arm(_ledger_sel(ev, "'after_sales'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'after_sales_decrease'"),
+        two_arm(_carried(ev, "'after_sales'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'after_sales_decrease'"),
                 where="remark = 'offline'", floor=fl),
-        two_arm(_ledger_sel(ev, "'cancellation'", "bank", "0 - price", "coalesce(provider_id, id)", A, L.DECREASE, T, "'cancellation_decrease'"),
+        two_arm(_carried(ev, "'cancellation'", "'person'", "0 - price", "coalesce(new_obu_id, provider_id)", A, L.DECREASE, T, "'cancellation_decrease'"),
                 where="remark IS NULL", distinct=False, floor=fl),
-        "SELECT " + _ledger_sel("gmt_refund", "'card_swap'", "'card_swap'", "0 - equipment_amount", "coalesce(provider_id, id)", R, R, T,
+        "SELECT " + _carried("gmt_refund", "'card_swap'", "'card_swap'", "0 - equipment_amount", "coalesce(provider_id, id)", A, L.DECREASE, T,
                                 "'card_swap_refund'")
         + " FROM fx_equipment WHERE refund_state = 'REFUND_SUCCESS' AND category = 'card_swap' AND department = 'data' "
-          f"AND strftime(gmt_refund, '%Y-%m') >= '{fl}'",
-        "SELECT " + _ledger_sel(ev, "'all_devices'", "bank", "0", "id", R, R, T, "'all_devices'")
+          f"AND sale_department = 'data' AND strftime(gmt_refund, '%Y-%m') >= '{fl}'",
+        "SELECT " + _carried(ev, "'all_devices'", "bank", "0", "id", R, R, T, "'all_devices'")
         + f" FROM fx_snapshot WHERE ds = '{ctx.ds}' AND strftime(event_ts, '%Y-%m') >= '{fl}' AND dept <> '5-LOW'",
     ]
     return "\nUNION ALL\n".join(f"SELECT * FROM ({a}) a{i}" for i, a in enumerate(arms))
@@ -74,8 +79,9 @@ def _bus_body(ctx: RunContext) -> str:
     R, A, B = L.RECEIVABLE, L.ADJUSTMENT, L.BUS
     ev = "event_ts"
     dec = "remark = 'decrease'"
-    adj_scene = "CASE scene WHEN 'new_paid' THEN 'new_paid' WHEN 'prepaid' THEN 'cancel_paid' END"
-    adj_label = "CASE scene WHEN 'new_paid' THEN 'new_paid_person_decrease' WHEN 'prepaid' THEN 'cancel_person_decrease' END"
+    adj_scene = "CASE {0} WHEN 'new_paid' THEN 'new_paid' WHEN 'prepaid' THEN 'cancel_paid' WHEN 'signing' THEN 'after_sales_paid' END"
+    adj_label = ("CASE {0} WHEN 'new_paid' THEN 'new_paid_person_decrease' WHEN 'prepaid' THEN 'cancel_person_decrease' "
+                 "WHEN 'signing' THEN 'after_sales_person_decrease' END")
     arms = [
         two_arm(_ledger_sel(ev, "'signing'", "bank", "price", "id", R, R, B, "'bus_signing'", preinstall="''"), floor=fl),
         two_arm(_ledger_sel(ev, "'signing'", "'first_use'",
@@ -93,10 +99,10 @@ def _bus_body(ctx: RunContext) -> str:
         two_arm(_ledger_sel(ev, "'after_sales_paid'", "'person'", "0 - price", "id", A, L.DECREASE, B, "'bus_after_sales_decrease'"),
                 where=dec, floor=fl),
         two_arm(_ledger_sel(ev, "'cancel_paid'", "'person'", "0 - price", "id", A, L.DECREASE, B, "'bus_cancel_decrease'"), where=dec, floor=fl),
-        "SELECT " + _ledger_sel("date", adj_scene, "'person'", "price", "obu_id", A, L.DECREASE, B, adj_label)
+        "SELECT " + _ledger_sel("date", adj_scene.format("scene"), "'person'", "price", "obu_id", A, L.DECREASE, B, adj_label.format("scene"))
         + " FROM fx_ledger WHERE data_type = 'adjustment' AND segment = 'bus'",
-        "SELECT " + _ledger_sel("date", adj_scene, "'live_stream'", "0 - price", "obu_id", A, L.INCREASE, B, adj_label)
-        + " FROM fx_ledger WHERE data_type = 'adjustment' AND segment = 'bus' AND price < 0",
+        "SELECT " + _ledger_sel("date", adj_scene.format("scene2"), "'person'", "price", "obu_id", A, L.DECREASE, B, adj_label.format("scene2"))
+        + " FROM fx_manual_income",
     ]
     return "\nUNION ALL\n".join(f"SELECT * FROM ({a}) b{i}" for i, a in enumerate(arms))
 
@@ -106,10 +112,10 @@ _LEDGER_COLS = ("SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, prei
 TRUCK_SQL = fx.with_fixtures(f"{_LEDGER_COLS} FROM ({_truck_body(MONTH_CLOSE)}) u WHERE {window_filter(MONTH_CLOSE)}",
                              ["fx_snapshot", "fx_equipment"], snapshot_arms(MONTH_CLOSE))
 BUS_SQL = fx.with_fixtures(f"{_LEDGER_COLS} FROM ({_bus_body(MONTH_CLOSE)}) u WHERE {window_filter(MONTH_CLOSE)}",
-                           ["fx_snapshot", "fx_ledger"], snapshot_arms(MONTH_CLOSE))
+                           ["fx_snapshot", "fx_ledger", "fx_manual_income"], snapshot_arms(MONTH_CLOSE))
 UNION_SQL = fx.with_fixtures(
     f"{_LEDGER_COLS} FROM ({_truck_body(MONTH_CLOSE)}\nUNION ALL\n{_bus_body(MONTH_CLOSE)}) u",
-    ["fx_snapshot", "fx_equipment", "fx_ledger"], snapshot_arms(MONTH_CLOSE))
+    ["fx_snapshot", "fx_equipment", "fx_ledger", "fx_manual_income"], snapshot_arms(MONTH_CLOSE))
 
 
 @register("ledger_truck", TRUCK_SQL)
@@ -168,11 +174,11 @@ def _spec(name):
 
 
 _DECREASE_ARMS = [
-    two_arm(_ledger_sel("event_ts", "'signing'", "'bank_a_first_use'", "-70", _KEY11, L.ADJUSTMENT, L.DECREASE, L.TRUCK,
+    two_arm(_carried("event_ts", "'signing'", "'bank_a_first_use'", "-70", _KEY11, L.ADJUSTMENT, L.DECREASE, L.TRUCK,
                         "'signing_decrease'"), where=f"({_KEY11}) IS NOT NULL", floor="2001-05"),
-    two_arm(_ledger_sel("event_ts", "'new_paid'", "'person'", "0 - price", "id", L.ADJUSTMENT, L.DECREASE, L.TRUCK,
+    two_arm(_carried("event_ts", "'new_paid'", "'person'", "0 - price", "id", L.ADJUSTMENT, L.DECREASE, L.TRUCK,
                         "'new_paid_decrease'"), where="remark = 'decrease'", floor="2001-05"),
-    two_arm(_ledger_sel("event_ts", "'cancellation'", "bank", "0 - price", "coalesce(provider_id, id)", L.ADJUSTMENT,
+    two_arm(_carried("event_ts", "'cancellation'", "'person'", "0 - price", "coalesce(new_obu_id, provider_id)", L.ADJUSTMENT,
                         L.DECREASE, L.TRUCK, "'cancellation_decrease'"), where="remark IS NULL", distinct=False,
             floor="2001-05"),
 ]
@@ -193,14 +199,14 @@ def feed_decrease_key(spark: SparkSession, root: str) -> DataFrame:
 
 
 _SWAP_ARMS = [
-    "SELECT " + _ledger_sel("gmt_payment", "'card_swap'", "'card_swap'", "equipment_amount", "coalesce(provider_id, id)",
+    "SELECT " + _carried("gmt_payment", "'card_swap'", "'card_swap'", "equipment_amount", "coalesce(provider_id, id)",
                             L.RECEIVABLE, L.RECEIVABLE, L.TRUCK, "'card_swap_received'")
     + " FROM fx_equipment WHERE pay_state = 'SUCCESS' AND category = 'card_swap' AND department = 'data' "
       "AND sale_department = 'data' AND strftime(gmt_payment, '%Y-%m') >= '2001-05'",
-    "SELECT " + _ledger_sel("gmt_refund", "'card_swap'", "'card_swap'", "0 - equipment_amount", "coalesce(provider_id, id)",
-                            L.RECEIVABLE, L.RECEIVABLE, L.TRUCK, "'card_swap_refund'")
+    "SELECT " + _carried("gmt_refund", "'card_swap'", "'card_swap'", "0 - equipment_amount", "coalesce(provider_id, id)",
+                            L.ADJUSTMENT, L.DECREASE, L.TRUCK, "'card_swap_refund'")
     + " FROM fx_equipment WHERE refund_state = 'REFUND_SUCCESS' AND category = 'card_swap' AND department = 'data' "
-      "AND strftime(gmt_refund, '%Y-%m') >= '2001-05'",
+      "AND sale_department = 'data' AND strftime(gmt_refund, '%Y-%m') >= '2001-05'",
 ]
 
 

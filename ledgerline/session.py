@@ -14,10 +14,9 @@ PLAN_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only what was measured: no broadcast from static (file-size)
-    # estimates; AQE turns a join into a broadcast join only after the side's
-    # shuffle stage has run and its real size is below this bound.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Static broadcasts keep Spark's own bound (10 MB by estimate), so a small
+    # dimension does not cost a shuffle of the large side; AQE may broadcast a
+    # side whose shuffle stage measured below this bound.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Ledger event times are timestamp_ntz in the inputs; the zone matters
     # only where a caller supplies zoned timestamps.
@@ -34,11 +33,14 @@ def apply_defaults(spark: SparkSession, defaults: dict | None = None) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be shared storage set by the cluster; a test
-    session without it gets a fresh local folder (tests only).
+    On a cluster this must be shared storage set by the cluster: without it
+    this raises.  Only a local session (tests), whose driver and executors are
+    one process, gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:  # a classic session; a Spark Connect session has no SparkContext

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.session import checkpoint_root
 
@@ -65,28 +66,36 @@ def overwrite_partitions(df: DataFrame, table: str, partition_col: str = "month"
 
     ``clear`` lists the partitions of the run's window that must end up
     holding only the new rows; one that receives no new rows is emptied
-    (dynamic overwrite alone would leave it untouched, Q18).  For that the
-    new rows are first checkpointed to the shared checkpoint folder: this
-    cuts lineage, so ``df`` may read the target itself (the self-correction
-    arm does); the write then replaces partitions; only after it succeeds are
-    the empty window partitions dropped.  Re-running gives the same target.
+    (dynamic overwrite alone would leave it untouched, Q18).  The write itself
+    counts the rows of those partitions; only after it succeeds are the empty
+    ones dropped.  ``df`` may read the target (the self-correction arm does):
+    then, and only then, the new rows are checkpointed to the shared folder
+    first.  Re-running gives the same target.
     """
     spark = df.sparkSession
     cols = spark.table(table).columns
     data = df.select(*cols)
-    written = None
-    if clear:
+    if _reads(df, table):
         checkpoint_root(spark)
         data = data.checkpoint(eager=True)
-        # the partition values written: a handful of strings
-        written = {r[0] for r in data.select(partition_col).distinct().collect()}
+    seen = Observation()
+    counts = [F.count(F.when(F.col(partition_col) == v, 1)).alias(f"n{i}") for i, v in enumerate(clear)]
+    if counts:
+        data = data.observe(seen, *counts)
     with dynamic_overwrite(spark):
         clustered(data, partition_col).write.mode("overwrite").insertInto(table)
-    for value in clear:
-        if value not in written:
+    written = seen.get if counts else {}
+    for i, value in enumerate(clear):
+        if not written.get(f"n{i}"):
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {_quote(value)})")
 
 
+def _reads(df: DataFrame, table: str) -> bool:
+    """Whether the plan reads files of the table it is to be written to."""
+    target = set(df.sparkSession.table(table).inputFiles())
+    return bool(target.intersection(df.inputFiles()))
+
+
 def replace_day(df: DataFrame, table: str, day: str, partition_col: str = "bz_date", path: str | None = None,
                 fmt: str = "parquet") -> None:
     """K3 + K4: make partition ``day`` hold exactly ``df``'s rows.

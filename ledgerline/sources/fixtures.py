@@ -81,6 +81,8 @@ def fx_snapshot(spark: SparkSession, root: str) -> DataFrame:
         F.when(cust % 3 == 0, "bank_a").otherwise("bank_b").alias("bank"),
         case_map(key % 4, {0: "decrease", 1: "increase", 2: "offline"}).alias("remark"),
         F.when(key % 9 == 0, F.lit(None)).otherwise((key + 1000000).cast("string")).alias("provider_id"),
+        F.when(key % 5 == 0, (key + 3000000).cast("string")).alias("new_obu_id"),
+        case_map(cust % 4, {0: "preinstalled", 1: "not_preinstalled"}).alias("preinstall"),
         F.when(cust % 13 == 0, F.lit(None)).when(cust % 13 == 1, "x test y").otherwise("agent").alias("agent"),
         F.col("o_orderpriority").alias("dept"),
         F.date_format("ds_date", "yyyyMMdd").alias("ds"),
@@ -94,6 +96,8 @@ SELECT CAST(o.o_orderkey AS VARCHAR) AS id, o.o_custkey AS vehicle_id, o.o_order
        CASE WHEN o.o_custkey % 3 = 0 THEN 'bank_a' ELSE 'bank_b' END AS bank,
        CASE o.o_orderkey % 4 WHEN 0 THEN 'decrease' WHEN 1 THEN 'increase' WHEN 2 THEN 'offline' END AS remark,
        CASE WHEN o.o_orderkey % 9 = 0 THEN NULL ELSE CAST(o.o_orderkey + 1000000 AS VARCHAR) END AS provider_id,
+       CASE WHEN o.o_orderkey % 5 = 0 THEN CAST(o.o_orderkey + 3000000 AS VARCHAR) END AS new_obu_id,
+       CASE o.o_custkey % 4 WHEN 0 THEN 'preinstalled' WHEN 1 THEN 'not_preinstalled' END AS preinstall,
        CASE WHEN o.o_custkey % 13 = 0 THEN NULL WHEN o.o_custkey % 13 = 1 THEN 'x test y' ELSE 'agent' END AS agent,
        o.o_orderpriority AS dept, strftime(cal.ds_date, '%Y%m%d') AS ds
 FROM orders o
@@ -114,7 +118,7 @@ def fx_ledger(spark: SparkSession, root: str) -> DataFrame:
         case_map(F.col("l_returnflag"), {"A": "signing", "N": "new_paid"}, "prepaid").alias("scene"),
         case_map(F.col("l_partkey") % 3, {0: "bank_a", 1: "bank_b"}, "person").alias("buyer"),
         case_map(F.col("l_quantity"), LEDGER_PRICE, 180).cast("bigint").alias("price"),
-        F.lit(None).cast("string").alias("preinstall"),
+        case_map(F.col("l_suppkey") % 3, {0: "preinstalled", 1: "not_preinstalled"}).alias("preinstall"),
         F.when(F.col("l_suppkey") % 50 == 0, F.lit(None)).otherwise(device_id(F.col("l_partkey"))).alias("obu_id"),
         F.when(ln == 7, "adjustment").otherwise("receivable").alias("data_type"),
         F.when(ln == 7, "decrease").otherwise("receivable").alias("adjust_type"),
@@ -130,7 +134,7 @@ SELECT CAST(l_shipdate AS DATE) AS date,
        CASE l_returnflag WHEN 'A' THEN 'signing' WHEN 'N' THEN 'new_paid' ELSE 'prepaid' END AS scene,
        CASE l_partkey % 3 WHEN 0 THEN 'bank_a' WHEN 1 THEN 'bank_b' ELSE 'person' END AS buyer,
        CAST(CASE l_quantity {_PRICE_WHENS} ELSE 180 END AS BIGINT) AS price,
-       CAST(NULL AS VARCHAR) AS preinstall,
+       CASE l_suppkey % 3 WHEN 0 THEN 'preinstalled' WHEN 1 THEN 'not_preinstalled' END AS preinstall,
        CASE WHEN l_suppkey % 50 = 0 THEN NULL ELSE {_device_id_sql('l_partkey')} END AS obu_id,
        CASE WHEN l_linenumber = 7 THEN 'adjustment' ELSE 'receivable' END AS data_type,
        CASE WHEN l_linenumber = 7 THEN 'decrease' ELSE 'receivable' END AS adjust_type,
@@ -143,18 +147,24 @@ FROM lineitem
 
 
 # --------------------------------------------------------------------------- fx_detail
+DETAIL_DAYS = ["20010801", "20010701", "20010601"]
+
+
 def fx_detail(spark: SparkSession, root: str) -> DataFrame:
-    """Service detail snapshot (one ds): receivable/received times and amounts.
+    """Service detail snapshots of three days: receivable/received times and amounts.
 
     Keys divisible by 8 appear twice with another id and otherwise equal
-    values, so merging of equal refunds shows.
+    values, so merging of equal refunds shows.  Older snapshots hold other
+    amounts, so reading the wrong day shows.
     """
     o = load_table(spark, root, "orders")
     key, cust, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+    days = F.array(*[F.struct(F.lit(d).alias("ds"), F.lit(i).alias("age")) for i, d in enumerate(DETAIL_DAYS)])
     x = o.select(
         key, cust, od, "o_orderstatus",
         F.explode(F.sequence(F.lit(1), F.when(key % 8 == 0, 2).otherwise(1))).alias("n"),
-    )
+    ).select("*", F.explode(days).alias("snap"))
+    age = F.col("snap.age")
     null = F.lit(None)
     return x.select(
         (key + (F.col("n") - 1) * 10000000).cast("string").alias("id"),
@@ -167,11 +177,11 @@ def fx_detail(spark: SparkSession, root: str) -> DataFrame:
         od.alias("card_should_time"),
         F.when(key % 13 == 0, null).otherwise(od).alias("should_refund_time"),
         F.when(key % 5 == 0, null).otherwise(od).alias("actual_time"),
-        F.when(key % 6 == 0, F.lit(0)).when(key % 17 == 0, null).otherwise(cust % 200).cast("bigint").alias("should_amount"),
-        (cust % 150).cast("bigint").alias("actual_amount"),
+        F.when(key % 6 == 0, F.lit(0)).when(key % 17 == 0, null).otherwise(cust % 200 + age).cast("bigint").alias("should_amount"),
+        (cust % 150 + age * 10).cast("bigint").alias("actual_amount"),
         case_map(cust % 6, {0: "excluded_channel", 1: "open_a", 2: "open_b"}).alias("openname"),
         F.when(key % 29 == 0, F.lit("stock")).alias("stock_type"),
-        F.lit("20010801").alias("ds"),
+        F.col("snap.ds").alias("ds"),
     )
 
 
@@ -187,12 +197,52 @@ SELECT CAST(o_orderkey + (d.n - 1) * 10000000 AS VARCHAR) AS id,
        o_orderdate AS card_should_time,
        CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderdate END AS should_refund_time,
        CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate END AS actual_time,
-       CAST(CASE WHEN o_orderkey % 6 = 0 THEN 0 WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_custkey % 200 END AS BIGINT) AS should_amount,
-       CAST(o_custkey % 150 AS BIGINT) AS actual_amount,
+       CAST(CASE WHEN o_orderkey % 6 = 0 THEN 0 WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_custkey % 200 + snap.age END AS BIGINT) AS should_amount,
+       CAST(o_custkey % 150 + snap.age * 10 AS BIGINT) AS actual_amount,
        CASE o_custkey % 6 WHEN 0 THEN 'excluded_channel' WHEN 1 THEN 'open_a' WHEN 2 THEN 'open_b' END AS openname,
        CASE WHEN o_orderkey % 29 = 0 THEN 'stock' END AS stock_type,
-       '20010801' AS ds
+       snap.ds AS ds
 FROM orders JOIN (VALUES (1), (2)) AS d(n) ON d.n = 1 OR o_orderkey % 8 = 0
+CROSS JOIN (VALUES ('20010801', 0), ('20010701', 1), ('20010601', 2)) AS snap(ds, age)
+"""
+
+
+# --------------------------------------------------------------------------- fx_manual_income
+def fx_manual_income(spark: SparkSession, root: str) -> DataFrame:
+    """Hand-loaded decreases of personal income, labelled by service."""
+    o = load_table(spark, root, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        F.to_date("o_orderdate").alias("date"), case_map(key % 4, {0: "new_paid", 1: "prepaid", 2: "signing"}).alias("scene2"),
+        (-(cust % 90)).cast("bigint").alias("price"), device_id(cust).alias("obu_id"),
+    )
+
+
+FX_MANUAL_INCOME_SQL = f"""
+SELECT CAST(o_orderdate AS DATE) AS date, CASE o_orderkey % 4 WHEN 0 THEN 'new_paid' WHEN 1 THEN 'prepaid' WHEN 2 THEN 'signing' END AS scene2,
+       CAST(0 - o_custkey % 90 AS BIGINT) AS price, {_device_id_sql('o_custkey')} AS obu_id
+FROM orders
+"""
+
+
+# --------------------------------------------------------------------------- fx_other_adjustments
+def fx_other_adjustments(spark: SparkSession, root: str) -> DataFrame:
+    """Hand-loaded movement corrections, already shaped like D9's output."""
+    o = load_table(spark, root, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        F.lit("etc").alias("sale_department"), F.lit("upgrade").alias("service_scene2"), F.col("o_orderdate").alias("date"),
+        F.when(key % 31 == 0, F.lit(" ")).otherwise(cust.cast("string")).alias("obu_id"), (-(cust % 40)).cast("bigint").alias("price"),
+        F.concat(F.lit("A"), key.cast("string")).alias("id"), F.lit("20010801").alias("ds"), F.lit("received").alias("scene"),
+        F.lit("adjustment").alias("data_type"), F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+    )
+
+
+FX_OTHER_ADJUSTMENTS_SQL = """
+SELECT 'etc' AS sale_department, 'upgrade' AS service_scene2, o_orderdate AS date,
+       CASE WHEN o_orderkey % 31 = 0 THEN ' ' ELSE CAST(o_custkey AS VARCHAR) END AS obu_id, CAST(0 - o_custkey % 40 AS BIGINT) AS price,
+       'A' || o_orderkey AS id, '20010801' AS ds, 'received' AS scene, 'adjustment' AS data_type, strftime(o_orderdate, '%Y-%m') AS month
+FROM orders
 """
 
 
@@ -212,6 +262,7 @@ def fx_equipment(spark: SparkSession, root: str) -> DataFrame:
         case_map(cust % 3, {0: "card_swap", 1: "device_swap"}, "new").alias("category"),
         case_map(key % 5, {0: "data", 1: "etc", 2: "data", 3: "etc"}, "live").alias("department"),
         case_map(cust % 4, {0: "data", 1: "etc", 2: "data"}, "live").alias("sale_department"),
+        case_map(key % 3, {0: "preinstalled", 1: "not_preinstalled"}).alias("preinstall"),
     )
 
 
@@ -225,7 +276,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id,
        CAST(o_totalprice AS DECIMAL(18,2)) AS equipment_amount,
        CASE o_custkey % 3 WHEN 0 THEN 'card_swap' WHEN 1 THEN 'device_swap' ELSE 'new' END AS category,
        CASE o_orderkey % 5 WHEN 0 THEN 'data' WHEN 1 THEN 'etc' WHEN 2 THEN 'data' WHEN 3 THEN 'etc' ELSE 'live' END AS department,
-       CASE o_custkey % 4 WHEN 0 THEN 'data' WHEN 1 THEN 'etc' WHEN 2 THEN 'data' ELSE 'live' END AS sale_department
+       CASE o_custkey % 4 WHEN 0 THEN 'data' WHEN 1 THEN 'etc' WHEN 2 THEN 'data' ELSE 'live' END AS sale_department,
+       CASE o_orderkey % 3 WHEN 0 THEN 'preinstalled' WHEN 1 THEN 'not_preinstalled' END AS preinstall
 FROM orders
 """
 
@@ -256,6 +308,8 @@ def fx_bill(spark: SparkSession, root: str) -> DataFrame:
         "bill_amount",
         "service_fee",
         F.when(F.col("l_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("_late")).alias("late_fee"),
+        (F.col("l_orderkey") % 1000).alias("user_id"),
+        case_map(F.col("l_linenumber") % 3, {0: "cleared", 1: "due"}, "open").alias("state"),
     )
 
 
@@ -266,7 +320,8 @@ SELECT l_orderkey AS statement_id, l_linenumber AS flow, min(CAST(l_shipdate AS
        CASE min(l_returnflag) WHEN 'A' THEN 'type_a' WHEN 'N' THEN 'type_n' END AS big_bill_type,
        sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS bill_amount,
        sum(CAST(l_quantity AS DECIMAL(18,2))) AS service_fee,
-       CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE sum(CAST(l_discount AS DECIMAL(18,2))) END AS late_fee
+       CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE sum(CAST(l_discount AS DECIMAL(18,2))) END AS late_fee,
+       l_orderkey % 1000 AS user_id, CASE l_linenumber % 3 WHEN 0 THEN 'cleared' WHEN 1 THEN 'due' ELSE 'open' END AS state
 FROM lineitem GROUP BY l_orderkey, l_linenumber
 """
 
@@ -323,12 +378,13 @@ def fx_bill_lines(spark: SparkSession, root: str) -> DataFrame:
         F.col("l_linenumber").alias("flow"),
         F.col("l_shipdate").alias("bill_time"),
         F.when(F.col("l_linestatus") == "F", "card_l").otherwise("card_o").alias("card_type"),
+        F.date_format("l_shipdate", "yyyy-MM").alias("month"),
     )
 
 
 FX_BILL_LINES_SQL = """
 SELECT l_orderkey AS statement_id, l_linenumber AS flow, l_shipdate AS bill_time,
-       CASE WHEN l_linestatus = 'F' THEN 'card_l' ELSE 'card_o' END AS card_type
+       CASE WHEN l_linestatus = 'F' THEN 'card_l' ELSE 'card_o' END AS card_type, strftime(l_shipdate, '%Y-%m') AS month
 FROM lineitem
 """
 
@@ -441,6 +497,8 @@ def with_fixtures(sql_body: str, names: list[str], extra_ctes: str | None = None
         "fx_order_map": FX_ORDER_MAP_SQL,
         "fx_corrections": FX_CORRECTIONS_SQL,
         "fx_adjust_file": FX_ADJUST_FILE_SQL,
+        "fx_other_adjustments": FX_OTHER_ADJUSTMENTS_SQL,
+        "fx_manual_income": FX_MANUAL_INCOME_SQL,
     }
     ctes = ",\n".join([f"{n} AS ({texts[n]})" for n in names] + ([extra_ctes] if extra_ctes else []))
     return f"WITH {ctes}\n{sql_body}"
@@ -448,18 +506,21 @@ def with_fixtures(sql_body: str, names: list[str], extra_ctes: str | None = None
 
 # --------------------------------------------------------------------------- merge inputs
 def fx_corrections(spark: SparkSession, root: str) -> DataFrame:
-    """Ledger-shaped correction table (with net price): reverses adjustment rows."""
+    """Ledger-shaped correction table (with net price): reverses adjustment rows.  Those of
+    bank_b in and after 2001-07 correct the month 2001-05, which is older than their date."""
     lg = fx_ledger(spark, root)
+    late = (F.col("buyer") == "bank_b") & (F.col("month") >= "2001-07")
     return lg.where(F.col("data_type") == "adjustment").select(
         "date", "scene", "buyer", (-F.col("price")).alias("price"), "preinstall", "obu_id", "data_type",
         F.lit("increase").alias("adjust_type"), "segment", F.lit("quarter_correction").alias("scene2"),
-        F.lit(0).cast("decimal(18,6)").alias("net_price"), "month",
+        F.lit(0).cast("decimal(18,6)").alias("net_price"), F.when(late, "2001-05").otherwise(F.col("month")).alias("month"),
     )
 
 
 FX_CORRECTIONS_SQL = """
 SELECT date, scene, buyer, 0 - price AS price, preinstall, obu_id, data_type, 'increase' AS adjust_type, segment,
-       'quarter_correction' AS scene2, CAST(0 AS DECIMAL(18,6)) AS net_price, month
+       'quarter_correction' AS scene2, CAST(0 AS DECIMAL(18,6)) AS net_price,
+       CASE WHEN buyer = 'bank_b' AND month >= '2001-07' THEN '2001-05' ELSE month END AS month
 FROM fx_ledger WHERE data_type = 'adjustment'
 """
 

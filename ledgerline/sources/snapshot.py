@@ -123,3 +123,27 @@ def snapshot_union(
     if floor and ctx.floor_month:
         pred = pred & month_from(df, event, ctx.floor_month)
     return df.where(pred)
+
+
+def movement_slice(df: DataFrame, ctx: RunContext, times: list[str], mode: str, months: list[str] | None = None,
+                   ds: str = "ds") -> DataFrame:
+    """Rows of a movement table that a run can need: one snapshot for an incremental
+    run, the closing snapshots for a rebuild; of these, rows with any of their times on
+    or after the first month the run owns.  All ranges are on raw columns and reach the
+    scan.  A rebuild whose months lack a snapshot raises: those months cannot be built
+    and must stay as they are."""
+    if mode == "incremental":
+        first, wanted = ctx.window_start, F.col(ds) == F.lit(ctx.ds)
+    elif mode == "rebuild":
+        owned = months or ctx.rebuild_months
+        days = sorted({ctx.closing_ds(m) for m in owned})
+        have = {r[0] for r in df.where(F.col(ds).isin(days)).select(ds).distinct().collect()}  # one row a month
+        if missing := [m for m in owned if ctx.closing_ds(m) not in have]:
+            raise ValueError(f"no snapshot closes {', '.join(missing)}; these months cannot be rebuilt")
+        first, wanted = min(owned), F.col(ds).isin(days)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    late = None
+    for t in times:
+        late = month_from(df, t, first) if late is None else late | month_from(df, t, first)
+    return df.where(wanted & late)

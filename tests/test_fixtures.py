@@ -25,6 +25,8 @@ TWINS = {
     "fx_shop_items": (fx.fx_shop_items, fx.FX_SHOP_ITEMS_SQL),
     "fx_device": (fx.fx_device, fx.FX_DEVICE_SQL),
     "fx_order_map": (fx.fx_order_map, fx.FX_ORDER_MAP_SQL),
+    "fx_manual_income": (fx.fx_manual_income, fx.FX_MANUAL_INCOME_SQL),
+    "fx_other_adjustments": (fx.fx_other_adjustments, fx.FX_OTHER_ADJUSTMENTS_SQL),
     "fx_corrections": (fx.fx_corrections, None),
     "fx_adjust_file": (fx.fx_adjust_file, None),
 }
@@ -38,7 +40,8 @@ def tiny_duck():
 
 
 def test_every_input_builder_has_a_twin():
-    assert {b.__name__ for b in BUILDERS.values()} <= set(TWINS)
+    # the merged ledger is fx_ledger with its net price, which ledger_tax_split compares
+    assert {b.__name__ for b in BUILDERS.values()} - {"fixture_merged_ledger"} <= set(TWINS)
 
 
 @pytest.mark.parametrize("name", sorted(TWINS))

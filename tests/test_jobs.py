@@ -46,3 +46,59 @@ def test_cost_job_is_repeatable(spark):
     assert len(first[t.deposits]) == 3
     J.run_cost_job(spark, fixture_inputs(spark, SMALL), COST_DAY, t, extract_path=out, locations=locations)
     assert _snapshot(spark, names) == first
+
+
+def _months(spark, table):
+    out = {}
+    for r in spark.table(table).collect():
+        out.setdefault(r["month"], []).append(tuple(r))
+    return {m: sorted(rows, key=repr) for m, rows in out.items()}
+
+
+def test_rebuild_keeps_history_and_runs_twice(spark):
+    """Incremental on a 1st and later, then a full rebuild twice and one month twice:
+    months that a run does not own stay as they are, and a second run changes nothing."""
+    from datetime import date
+
+    from ledgerline.context import RunContext
+
+    t = J.IncomeTables().prefixed(f"r{uuid.uuid4().hex[:6]}_")
+    locations = {f: scratch_path(spark, f) for f in t.__dataclass_fields__}
+    go = lambda ctx, **kw: J.run_income_job(spark, fixture_inputs(spark, SMALL), ctx, t, locations=locations, **kw)
+    go(RunContext(as_of=date(2001, 6, 1)))
+    go(RunContext(as_of=date(2001, 7, 1)))
+    late = RunContext(as_of=date(2001, 8, 1), first_close="20010801")
+    go(late)
+    before = {n: _months(spark, n) for n in (t.other, t.aftersales, t.ledger, t.truck, t.bus)}
+    assert {"2001-05", "2001-06", "2001-07"} <= set(before[t.other])
+    for kw in ({"mode": "rebuild"}, {"mode": "rebuild", "months": ["2001-07"]}):
+        go(late, **kw)
+        once = {n: _months(spark, n) for n in before}
+        go(late, **kw)
+        assert {n: _months(spark, n) for n in before} == once
+        for n in (t.other, t.aftersales):
+            assert once[n] == before[n]  # same snapshots, same rows; older months untouched
+        for n in (t.truck, t.bus):
+            assert all(once[n][m] == rows for m, rows in before[n].items() if m < "2001-05")
+
+
+def test_rebuild_of_months_without_snapshot_raises(spark):
+    import pytest
+
+    from datetime import date
+
+    from ledgerline.context import RunContext
+    from ledgerline.plans import services as S
+
+    detail = fixture_inputs(spark, SMALL)["service_detail"]
+    with pytest.raises(ValueError, match="2001-03"):
+        S.other_movements(detail, RunContext(as_of=date(2001, 8, 1), first_close="20010401"), mode="rebuild")
+
+
+def test_catalog_inputs_raise_on_a_missing_name(spark):
+    import pytest
+
+    from ledgerline.plans.inputs import catalog_inputs
+
+    with pytest.raises(KeyError, match="snapshot"):
+        catalog_inputs(spark, {})["snapshot"]

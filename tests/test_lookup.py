@@ -1,5 +1,5 @@
 """Rule tables as data: lookups equal the expression-based rules, with or
-without broadcast, and never multiply rows."""
+without Spark's broadcast, and never multiply rows."""
 
 from pyspark.sql import functions as F
 
@@ -17,9 +17,11 @@ def test_prefix_rule_table_equals_province_expression(spark, sf):
     ledger = fx.fx_ledger(spark, "/root/testdata/sf0.001").select("obu_id", "price")
     rules = rules_frame(spark, PROVINCE_BY_PREFIX, "prefix", "province")
     want = _rows(ledger.withColumn("province", province(F.col("obu_id"))), ["obu_id", "price", "province"])
-    for limit in (100_000, 3):  # broadcast, and the shuffled path past the size check
-        got = prefix_rule(ledger, "obu_id", 2, rules, "province", default=L.OTHER, max_broadcast_rows=limit)
+    for limit in ("10MB", "-1"):  # broadcast by Spark's estimate, and shuffled
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got = prefix_rule(ledger, "obu_id", 2, rules, "province", default=L.OTHER)
         assert _rows(got, ["obu_id", "price", "province"]) == want
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_equality_rule_duplicates_do_not_fan_out(spark):
@@ -46,6 +48,8 @@ def test_rate_table_equals_the_single_cut_rule(spark):
                             "new AS rate"))
     want = (bills.join(products, "product_id", "left")
             .select("product_id", "bill_date", effective_rate(F.col("bill_date"), cut, F.col("old"), F.col("new")).alias("rate")))
-    for limit in (100, 1):
-        got = rate_from_table(bills, rates, "product_id", "bill_date", "rate", max_broadcast_rows=limit)
+    for limit in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got = rate_from_table(bills, rates, "product_id", "bill_date", "rate")
         assert _rows(got, ["product_id", "bill_date", "rate"]) == _rows(want, ["product_id", "bill_date", "rate"])
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -65,7 +65,7 @@ def test_merge_prunes_month_partitions_of_the_ledger_tables(spark, tmp_path):
     from pyspark.sql import functions as F
 
     from ledgerline import labels as L
-    from ledgerline.plans.inputs import Inputs
+    from ledgerline.plans.inputs import fixture_inputs
     from ledgerline.plans.merge import merge_ledger
     from ledgerline.schema import LEDGER, conform
     from ledgerline.sinks import create_partitioned
@@ -76,6 +76,6 @@ def test_merge_prunes_month_partitions_of_the_ledger_tables(spark, tmp_path):
     for seg in (L.TRUCK, L.BUS):
         names[seg] = f"p_{seg}_{uuid.uuid4().hex[:6]}"
         create_partitioned(base.where(F.col("segment") == seg), names[seg], "month", path=str(tmp_path / names[seg]))
-    merged = merge_ledger(spark, Inputs(spark, small), MONTH_CLOSE, spark.table(names[L.TRUCK]), spark.table(names[L.BUS]))
+    merged = merge_ledger(spark, fixture_inputs(spark, small), MONTH_CLOSE, spark.table(names[L.TRUCK]), spark.table(names[L.BUS]))
     p = plan(merged)
     assert p.count("PartitionFilters: [isnotnull(month") >= 2 and "(month#" in p and ">= 2001-07)" in p
