@@ -6,8 +6,12 @@ side at run time and turns a join into a broadcast join only when that side
 is below the AQE broadcast threshold; otherwise it stays a sort-merge join.
 Right sides are made unique per key first (distinct or aggregate), except
 ``resolve_id(unique=False)``, which keeps the modelled fan-out; so a hot key
-on the left cannot multiply rows, and AQE's skew-join handling may split a
-hot left partition without changing the result.
+on the left cannot multiply rows.
+
+Such a unique right side is written to the shared checkpoint folder before the
+join (``staged``).  Both sides of the join are then shuffled straight from
+storage, which is the shape in which AQE can split a hot left partition; with
+an aggregate between shuffle and join it cannot.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import labels as L
+from ledgerline.session import checkpoint_root
 
 # NULL keys never match, but hashed together they would all land in one
 # reducer.  They are replaced by a salt that cannot occur in real data (it
@@ -37,6 +42,12 @@ def spread_null_key(df: DataFrame, key: str) -> Column:
     return F.coalesce(c, F.concat(F.lit(NULL_SALT_PREFIX), salt))
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def restrict_to_keys(df: DataFrame, keys: DataFrame, left_on: list[str], right_on: list[str] | None = None) -> DataFrame:
     """Keep rows of ``df`` whose key occurs in ``keys`` (LEFT SEMI).
 
@@ -55,6 +66,7 @@ def flag_existence(df: DataFrame, right: DataFrame, left_on: list[str], right_on
     marks = right.select(*[F.col(r).alias(f"__m{i}") for i, r in enumerate(right_on)]).distinct() \
         .withColumn("__hit", F.lit(True))
     keyed = df.select("*", *[spread_null_key(df, l).alias(f"__l{i}") for i, l in enumerate(left_on)])
+    marks = staged(marks)
     cond = reduce(lambda a, b: a & b, [keyed[f"__l{i}"] == marks[f"__m{i}"] for i in range(len(left_on))])
     out = keyed.join(marks, cond, "left")
     return out.select(*[keyed[c] for c in df.columns],
@@ -64,7 +76,7 @@ def flag_existence(df: DataFrame, right: DataFrame, left_on: list[str], right_on
 def attach_one_per_key(df: DataFrame, right: DataFrame, left_key: str, right_key: str,
                        values: dict[str, Column]) -> DataFrame:
     """J8 + A8: aggregate ``right`` to one row per key, then LEFT JOIN it."""
-    agg = right.groupBy(F.col(right_key).alias("__key")).agg(*[c.alias(n) for n, c in values.items()])
+    agg = staged(right.groupBy(F.col(right_key).alias("__key")).agg(*[c.alias(n) for n, c in values.items()]))
     keyed = df.select("*", spread_null_key(df, left_key).alias("__lk"))
     out = keyed.join(agg, keyed["__lk"] == agg["__key"], "left")
     return out.drop("__key", "__lk")
@@ -80,7 +92,7 @@ def resolve_id(df: DataFrame, mapping: DataFrame, key: str, map_key: str, map_va
     """
     m = mapping.select(F.col(map_key).alias("__from"), F.col(map_value).alias("__to"))
     if unique:
-        m = m.groupBy("__from").agg(F.min("__to").alias("__to"))
+        m = staged(m.groupBy("__from").agg(F.min("__to").alias("__to")))
     keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
     joined = keyed.join(m, keyed["__lk"] == m["__from"], "left")
     swapped = F.coalesce(F.col("__to"), keyed[key])
@@ -90,25 +102,31 @@ def resolve_id(df: DataFrame, mapping: DataFrame, key: str, map_key: str, map_va
 
 
 def attach_dimensions(df: DataFrame, key: str, dimensions: list[tuple[DataFrame, str, dict]]) -> DataFrame:
-    """LEFT JOIN several right sides that are unique per key, all on ``key``.
-
-    The (NULL-spread) key is computed once, so after the first join the left
-    side stays hash-partitioned on it and every further join shuffles only its
-    right side: one shuffle of the large table, not one per dimension.
-    Each dimension is ``(frame, its key column, {output name: Column})``;
-    an empty mapping means "membership": the output is a boolean column named
-    after the frame's key column alias given as ``{"<name>": None}``.
+    """LEFT JOIN several right sides on ``key`` as one frame with one row per key.
+
+    Each dimension is ``(frame, its key column, {output name: aggregate})``; an
+    aggregate of None means "membership": a boolean column of that name.  The
+    dimensions are aggregated, stacked and grouped to one row per key, staged, and
+    joined once: one shuffle of the large table, split where a key is hot.
     """
-    keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
-    out = keyed
-    for i, (right, right_key, values) in enumerate(dimensions):
-        rk = f"__rk{i}"
-        if all(v is None for v in values.values()):
-            (name,) = values.keys()
-            r = right.select(F.col(right_key).alias(rk)).distinct().withColumn(name, F.lit(True))
-            out = out.join(r, out["__lk"] == r[rk], "left").drop(rk) \
-                .withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    kinds = {}
+    parts = []
+    for right, right_key, values in dimensions:
+        keyed = right.select(F.col(right_key).alias("__rk"), "*")
+        aggs = [(F.lit(True) if c is None else c).alias(n) for n, c in values.items()]
+        if all(c is None for c in values.values()):
+            part = keyed.select("__rk").distinct().select("__rk", *aggs)
         else:
-            r = right.groupBy(F.col(right_key).alias(rk)).agg(*[c.alias(n) for n, c in values.items()])
-            out = out.join(r, out["__lk"] == r[rk], "left").drop(rk)
-    return out.drop("__lk")
+            part = keyed.groupBy("__rk").agg(*aggs)
+        kinds |= {n: part.schema[n].dataType for n in values}
+        parts.append(part.where(F.col("__rk").isNotNull()))
+    stacked = reduce(lambda a, b: a.unionByName(b), [
+        p.select("__rk", *[F.col(n) if n in p.columns else F.lit(None).cast(t).alias(n) for n, t in kinds.items()]) for p in parts
+    ])
+    one = staged(stacked.groupBy("__rk").agg(*[F.max(n).alias(n) for n in kinds]))
+    keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
+    out = keyed.join(one, keyed["__lk"] == one["__rk"], "left")
+    members = {n for _, _, values in dimensions for n, c in values.items() if c is None}
+    return out.select(*[keyed[c] for c in df.columns], *[
+        F.coalesce(one[n], F.lit(False)).alias(n) if n in members else one[n] for n in kinds
+    ])

@@ -53,3 +53,41 @@ def test_null_keys_are_spread_not_clustered(spark):
     assert out.count() == len(rows)
     assert out.where(F.col("obu_id").isNull()).count() == len(rows) // 3
     assert out.where(F.col("openname") == "x").count() == len(rows) // 3
+
+
+def test_aqe_splits_a_hot_key(spark):
+    """With a third of the rows on one key, the final plans of the joins on unique
+    right sides split the hot partition."""
+    import pytest
+
+    from ledgerline.operators.joins import attach_dimensions, attach_one_per_key, flag_existence, resolve_id
+
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in limits}
+    left = spark.range(300_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 20_000)).alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    right = spark.range(40_000).select(F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 20_000)).alias("k"), F.col("id").cast("string").alias("w"))
+    cases = {
+        "flag_existence": lambda: flag_existence(left, right, ["key"], ["k"], "mark"),
+        "attach_one_per_key": lambda: attach_one_per_key(left, right, "key", "k", {"w": F.max("w")}),
+        "resolve_id": lambda: resolve_id(left, right, "key", "k", "w", unique=True),
+        "attach_dimensions": lambda: attach_dimensions(left, "key", [(right, "k", {"is_in": None}), (right, "k", {"w": F.max("w")})]),
+    }
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        for name, build in cases.items():
+            out = build()
+            out.write.format("noop").mode("overwrite").save()
+            rows = out.collect()
+            assert len(rows) == 300_000, name
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            if "skew=true" not in plan:
+                pytest.fail(f"{name}: hot key not split")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
