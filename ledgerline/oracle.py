@@ -1,9 +1,8 @@
-"""Helpers for writing the DuckDB oracle SQL in the modelled jobs' literal form.
+"""Helpers for the DuckDB oracles of snapshot feeds.
 
-The oracle deliberately spells out the two-arm snapshot form (today's
-month-to-date arm UNION ALL the closed-month arm, each deduplicated, then the
-outer rewrite window) instead of the one-scan reduction the library uses, so
-the reduction itself is under test.
+An oracle spells out both arms of a snapshot feed (today's month to date, and
+each closed month from the snapshot that closed it) instead of the one-scan
+reduction the library uses, so the reduction itself is under test.
 """
 
 from __future__ import annotations
