@@ -42,6 +42,9 @@ BUILDERS = {
     "corrections": fx.fx_corrections,
     "adjust_file": fx.fx_adjust_file,
     "manual_income": fx.fx_manual_income,
+    "person_scenes": fx.fx_person_scenes,
+    "corrections_second": fx.fx_loaded_corrections,
+    "loaded_corrections": fx.fx_loaded_corrections,
     "other_adjustments": fx.fx_other_adjustments,
     "current_ledger": fixture_merged_ledger,
 }

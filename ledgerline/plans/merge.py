@@ -1,8 +1,8 @@
 """Merge truck and bus ledgers with the adjustment arms, then tax split.
 
-Arms: truck ledger (all rows), bus ledger (rows with a device), a
-ledger-shaped correction table, one constant correction row, a label-mapped
-adjustment file, and corrections derived from the current ledger.  The
+Arms: truck ledger (all rows), bus ledger (rows with a device), three
+ledger-shaped correction tables, one constant correction row, three label-mapped
+adjustment files, and corrections derived from the current ledger.  The
 after-tax price is recomputed once over the union (arm values are ignored),
 then the rewrite window keeps the months the run owns.
 """
@@ -46,31 +46,48 @@ def self_correction_ids() -> list[str]:
     return ["44" + str(17 * k).zfill(8) for k in range(1, 21)]
 
 
-def merge_arms(spark: SparkSession, truck: DataFrame, bus: DataFrame, corrections: DataFrame,
-               adjust_file: DataFrame, current: DataFrame) -> list[DataFrame]:
+# fixed values: corrections of personal payments (S9), by service or by scene
+PERSON_SCENE = {"new_paid": L.NEW_PAID, "prepaid": L.CANCEL_PAID, "signing": L.AFTER_SALES_PAID}
+PERSON_MONTH = "2001-06"
+
+
+def merge_arms(spark: SparkSession, truck: DataFrame, bus: DataFrame, inputs) -> dict[str, DataFrame]:
+    """The ten arms by name, each conformed."""
     c = F.col
     no_net = F.lit(None).cast("decimal(18,6)")
-    arms = [
-        ledger_shaped(truck.withColumn("net_price", no_net), MERGED),
-        ledger_shaped(bus.where(c("obu_id").isNotNull()).withColumn("net_price", no_net), MERGED),
-        ledger_shaped(corrections, MERGED),
-        constant_rows(spark, [CONSTANT_CORRECTION], MERGED),
-        adjustment(adjust_file, {
+    decrease = {"buyer": "person", "price": c("price"), "obu_id": c("obu_id"), "data_type": L.ADJUSTMENT,
+                "adjust_type": L.DECREASE, "segment": L.BUS, "net_price": 0}
+    return {
+        "truck": ledger_shaped(truck.withColumn("net_price", no_net), MERGED),
+        "bus": ledger_shaped(bus.where(c("obu_id").isNotNull()).withColumn("net_price", no_net), MERGED),
+        "corrections": ledger_shaped(inputs["corrections"], MERGED),
+        "corrections_second": ledger_shaped(inputs["corrections_second"], MERGED),
+        "constant": constant_rows(spark, [CONSTANT_CORRECTION], MERGED),
+        # free date, fixed month
+        "person_by_service": adjustment(inputs["manual_income"], {
+            **decrease, "date": c("date"), "scene": recode(c("scene2"), PERSON_SCENE), "scene2": "person_half_year_decrease",
+            "month": PERSON_MONTH}, MERGED),
+        "recoded_bank": adjustment(inputs["adjust_file"], {
             "date": F.lit(ADJUSTMENT_DAY), "scene": L.SIGNING, "buyer": "bank_b", "price": c("price"),
             "obu_id": c("obu_id"), "data_type": L.ADJUSTMENT,
             "adjust_type": direction(c("price"), L.INCREASE, L.DECREASE),
             "segment": L.BUS, "scene2": recode(c("month"), QUARTER_LABEL), "net_price": 0,
             "month": ADJUSTMENT_MONTH,
         }, MERGED),
-        self_correction(current, self_correction_ids(),
-                        (c("scene") == F.lit(L.SIGNING)) & (c("data_type") == F.lit(L.RECEIVABLE))
-                        & (c("month") < F.lit(SELF_CORRECTION_BEFORE)),
-                        {"date": F.lit(ADJUSTMENT_DAY), "scene": L.SIGNING, "buyer": "bank_a_first_use",
-                         "price": SELF_CORRECTION_PRICE, "preinstall": "not_preinstalled", "obu_id": c("obu_id"),
-                         "data_type": L.ADJUSTMENT, "adjust_type": L.DECREASE, "segment": L.BUS,
-                         "scene2": "q2_bus_bank_first_use", "net_price": 0, "month": ADJUSTMENT_MONTH}, MERGED),
-    ]
-    return arms
+        "person_by_scene": adjustment(inputs["person_scenes"], {
+            **decrease, "date": F.lit(ADJUSTMENT_DAY), "scene": c("scene"), "scene2": "person_year_decrease",
+            "month": ADJUSTMENT_MONTH}, MERGED),
+        "self_correction": self_correction(
+            inputs["current_ledger"], self_correction_ids(),
+            (c("scene") == F.lit(L.SIGNING)) & (c("data_type") == F.lit(L.RECEIVABLE))
+            & (c("month") < F.lit(SELF_CORRECTION_BEFORE)),
+            {"date": F.lit(ADJUSTMENT_DAY), "scene": L.SIGNING, "buyer": "bank_a_first_use",
+             "price": SELF_CORRECTION_PRICE, "preinstall": "not_preinstalled", "obu_id": c("obu_id"),
+             "data_type": L.ADJUSTMENT, "adjust_type": L.DECREASE, "segment": L.BUS,
+             "scene2": "q2_bus_bank_first_use", "net_price": 0, "month": ADJUSTMENT_MONTH}, MERGED),
+        # as loaded, with a month of its own
+        "as_loaded": ledger_shaped(inputs["loaded_corrections"], MERGED),
+    }
 
 
 def merge_ledger(spark: SparkSession, inputs, ctx: RunContext, truck: DataFrame, bus: DataFrame,
@@ -82,8 +99,7 @@ def merge_ledger(spark: SparkSession, inputs, ctx: RunContext, truck: DataFrame,
     without the copies of them that an earlier run put there, so that writing the
     partition loses nothing and a second run changes nothing."""
     current = inputs["current_ledger"]
-    arms = merge_arms(spark, truck, bus, inputs["corrections"], inputs["adjust_file"], current)
-    u = union_feeds(arms)
+    u = union_feeds(list(merge_arms(spark, truck, bus, inputs).values()))
     u = u.withColumn("net_price", net_price(F.col("segment"), F.col("scene"), F.col("price")))
     if window:
         u = rewrite_window(u, ctx)

@@ -125,6 +125,8 @@ def backfill_arms(ledger: DataFrame, snapshot: DataFrame, audit: DataFrame) -> D
              "scene2": "signing_active"}, distinct=True),
         arm(s, {"date": day, "scene": L.NEW_PAID, "buyer": "person", "price": c("price"), "obu_id": dev, **bus,
                 "scene2": "new_paid_income"}),
+        arm(s, {"date": day, "scene": L.AFTER_SALES_PAID, "buyer": "person", "price": c("price"), "obu_id": dev, **bus,
+                "scene2": "after_sales_income"}),
         arm(s, {"date": day, "scene": L.CANCEL_PAID, "buyer": "person", "price": c("price"), "obu_id": c("id"), **bus,
                 "scene2": CANCEL_INCOME}),
         arm(s.where(c("bank").isin(FIRST_USE_BANKS) & not_like(c("remark"), "%offline%") & (c("price") != 0)),

@@ -225,6 +225,49 @@ FROM orders
 """
 
 
+# --------------------------------------------------------------------------- fx_person_scenes
+def fx_person_scenes(spark: SparkSession, root: str) -> DataFrame:
+    """Hand-loaded decreases of personal payments with the scene they belong to."""
+    o = load_table(spark, root, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        case_map(key % 3, {0: "new_paid", 1: "cancel_paid"}).alias("scene"), (-(cust % 70)).cast("bigint").alias("price"),
+        device_id(cust).alias("obu_id"),
+    )
+
+
+FX_PERSON_SCENES_SQL = f"""
+SELECT CASE o_orderkey % 3 WHEN 0 THEN 'new_paid' WHEN 1 THEN 'cancel_paid' END AS scene, CAST(0 - o_custkey % 70 AS BIGINT) AS price,
+       {_device_id_sql('o_custkey')} AS obu_id
+FROM orders
+"""
+
+
+# --------------------------------------------------------------------------- fx_loaded_corrections
+def fx_loaded_corrections(spark: SparkSession, root: str) -> DataFrame:
+    """Corrections shaped like the merged ledger; every fourth names the month before 2001-07."""
+    o = load_table(spark, root, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        F.to_date("o_orderdate").alias("date"), F.lit("signing").alias("scene"), F.lit("bank_c").alias("buyer"),
+        (cust % 210).cast("bigint").alias("price"), F.lit("preinstalled").alias("preinstall"), device_id(cust).alias("obu_id"),
+        F.lit("adjustment").alias("data_type"), F.lit("increase").alias("adjust_type"),
+        F.when(key % 2 == 0, "truck").otherwise("bus").alias("segment"), F.lit("loaded_correction").alias("scene2"),
+        F.lit(0).cast("decimal(18,6)").alias("net_price"),
+        F.when(key % 4 == 0, "2001-06").otherwise(F.date_format("o_orderdate", "yyyy-MM")).alias("month"),
+    )
+
+
+FX_LOADED_CORRECTIONS_SQL = f"""
+SELECT CAST(o_orderdate AS DATE) AS date, 'signing' AS scene, 'bank_c' AS buyer, CAST(o_custkey % 210 AS BIGINT) AS price,
+       'preinstalled' AS preinstall, {_device_id_sql('o_custkey')} AS obu_id, 'adjustment' AS data_type, 'increase' AS adjust_type,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'truck' ELSE 'bus' END AS segment, 'loaded_correction' AS scene2,
+       CAST(0 AS DECIMAL(18,6)) AS net_price,
+       CASE WHEN o_orderkey % 4 = 0 THEN '2001-06' ELSE strftime(o_orderdate, '%Y-%m') END AS month
+FROM orders
+"""
+
+
 # --------------------------------------------------------------------------- fx_other_adjustments
 def fx_other_adjustments(spark: SparkSession, root: str) -> DataFrame:
     """Hand-loaded movement corrections, already shaped like D9's output."""
@@ -499,6 +542,8 @@ def with_fixtures(sql_body: str, names: list[str], extra_ctes: str | None = None
         "fx_adjust_file": FX_ADJUST_FILE_SQL,
         "fx_other_adjustments": FX_OTHER_ADJUSTMENTS_SQL,
         "fx_manual_income": FX_MANUAL_INCOME_SQL,
+        "fx_person_scenes": FX_PERSON_SCENES_SQL,
+        "fx_loaded_corrections": FX_LOADED_CORRECTIONS_SQL,
     }
     ctes = ",\n".join([f"{n} AS ({texts[n]})" for n in names] + ([extra_ctes] if extra_ctes else []))
     return f"WITH {ctes}\n{sql_body}"

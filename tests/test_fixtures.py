@@ -25,6 +25,8 @@ TWINS = {
     "fx_shop_items": (fx.fx_shop_items, fx.FX_SHOP_ITEMS_SQL),
     "fx_device": (fx.fx_device, fx.FX_DEVICE_SQL),
     "fx_order_map": (fx.fx_order_map, fx.FX_ORDER_MAP_SQL),
+    "fx_person_scenes": (fx.fx_person_scenes, fx.FX_PERSON_SCENES_SQL),
+    "fx_loaded_corrections": (fx.fx_loaded_corrections, fx.FX_LOADED_CORRECTIONS_SQL),
     "fx_manual_income": (fx.fx_manual_income, fx.FX_MANUAL_INCOME_SQL),
     "fx_other_adjustments": (fx.fx_other_adjustments, fx.FX_OTHER_ADJUSTMENTS_SQL),
     "fx_corrections": (fx.fx_corrections, None),
