@@ -32,6 +32,7 @@ a result column give way.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,6 +147,7 @@ class _Part:
         self.keys = np.asarray(keys.cast(pa.int64()).fill_null(0))
         self.text = table.column(text)
         self.length, self.gram, self.buckets = length, gram, buckets
+        self._kept = None
 
     def pieces(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, _Runs]]:
         """The runs of a chunk; a single long text comes in pieces that overlap by a window."""
@@ -157,10 +159,24 @@ class _Part:
             yield at, _Runs(piece, np.array([0, len(piece)]), self.length, self.gram)
 
     def chunks(self) -> Iterator[tuple[int, _Runs]]:
+        for first, _, _, _, runs in self.all_runs():
+            yield first, runs
+
+    def all_runs(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, int, _Runs]]:
+        """``(first row, bytes, offsets, shift, runs)`` of every piece.  A pass goes over
+        them several times, so those of a part of usual size are kept."""
+        if self._kept is not None:
+            for *place, runs in self._kept:
+                yield *place, copy.copy(runs)
+            return
+        kept = [] if self.text.nbytes <= 4 * PART_BYTES else None
         for first, _, data, offsets in text_chunks(self.text):
-            for _, runs in self.pieces(data, offsets):
+            for shift, runs in self.pieces(data, offsets):
                 runs.keep(~self.null[runs.row + first])
-                yield first, runs
+                if kept is not None:
+                    kept.append((first, data, offsets, shift, runs))
+                yield first, data, offsets, shift, copy.copy(runs)
+        self._kept = kept
 
     def bucket(self, code: np.ndarray) -> np.ndarray:
         return ((code >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
@@ -381,28 +397,31 @@ def _removed(p: _Part, answers: pa.Table, length: int):
     repeated, content, owner, state = _undecided(p, answers)
     h, k = p.windows(repeated, content, owner, state)
     gone = _answers(answers, 3)
-    for at, _, data, offsets in text_chunks(p.text):
-        mark = np.zeros(len(data) + 1, np.int32)
-        for shift, runs in p.pieces(data, offsets):
-            runs.keep(~p.null[runs.row + at])
-            runs.keep(_member(repeated, runs.code))
-            if not len(runs.row):
-                continue
-            where = np.searchsorted(content, runs.content())
-            mine = p.keys[runs.row + at]
-            whole = (state[where] & 1 != 0) | (mine != owner[where])
-            np.add.at(mark, shift + runs.first[whole], 1)
-            np.add.at(mark, shift + runs.last[whole] + length, -1)
-            rest = ~whole & (state[where] & 6 != 0)
-            runs.keep(rest)
-            mine, st = mine[rest], state[where][rest]
-            starts, run = runs.starts(st & 2 != 0, st & 4 != 0)
-            if len(starts):
-                w = np.searchsorted(h, range_hash(runs.prefix, starts, starts + length))
-                hit = (gone[w] != 0) | (mine[run] != k[w])
-                np.add.at(mark, shift + starts[hit], 1)
-                np.add.at(mark, shift + starts[hit] + length, -1)
-        yield data, offsets, np.cumsum(mark)[:-1] > 0
+    mark = last = None
+    for at, data, offsets, shift, runs in p.all_runs():
+        if last is None or data is not last[0]:
+            if last is not None:
+                yield *last, np.cumsum(mark)[:-1] > 0
+            last, mark = (data, offsets), np.zeros(len(data) + 1, np.int32)
+        runs.keep(_member(repeated, runs.code))
+        if not len(runs.row):
+            continue
+        where = np.searchsorted(content, runs.content())
+        mine = p.keys[runs.row + at]
+        whole = (state[where] & 1 != 0) | (mine != owner[where])
+        np.add.at(mark, shift + runs.first[whole], 1)
+        np.add.at(mark, shift + runs.last[whole] + length, -1)
+        rest = ~whole & (state[where] & 6 != 0)
+        runs.keep(rest)
+        mine, st = mine[rest], state[where][rest]
+        starts, run = runs.starts(st & 2 != 0, st & 4 != 0)
+        if len(starts):
+            w = np.searchsorted(h, range_hash(runs.prefix, starts, starts + length))
+            hit = (gone[w] != 0) | (mine[run] != k[w])
+            np.add.at(mark, shift + starts[hit], 1)
+            np.add.at(mark, shift + starts[hit] + length, -1)
+    if last is not None:
+        yield *last, np.cumsum(mark)[:-1] > 0
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
