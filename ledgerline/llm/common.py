@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: bytes of text that one numpy step handles; a longer single text is handled alone
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
+#: rows of an Arrow batch that holds texts; Spark's default of 10,000 is tens of MB on both sides
+BATCH_ROWS = 1000
 #: ids that a join may broadcast; more are shuffled
 BROADCAST_IDS = 1 << 20
 
@@ -46,6 +48,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS``, unless the session sets a number of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
@@ -231,6 +240,7 @@ def map_text(df: DataFrame, text: str, fn, fields: str, limit: int = CHUNK_BYTES
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    small_batches(df.sparkSession)
     added = StructType.fromDDL(fields)
     types = [f.type for f in to_arrow_schema(added)]
     schema = StructType(df.schema.fields + added.fields)

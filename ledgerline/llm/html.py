@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import small_batches
+
 
 #: labelled pages that the weights are learned from, at most about
 LABELLED_PAGES = 4000
@@ -227,6 +229,7 @@ def learn(pages: DataFrame, html: str = "html", key: str = "page_id", limit: int
 
 def main_text(pages: DataFrame, weights: Weights, html: str = "html", out: str = "text") -> DataFrame:
     """``pages`` with the column ``out``."""
+    small_batches(pages.sparkSession)
     names = [c for c in pages.columns if c != out or c == html]
     pages = pages.select(*(F.col(f"`{c}`") for c in names))
     from pyspark.sql.types import StringType, StructField, StructType

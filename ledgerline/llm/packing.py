@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, prefix_hash, range_hash, text_chunks
+from ledgerline.llm.common import cut, prefix_hash, range_hash, small_batches, text_chunks
 
 SEQUENCE = 1024
 END_ID = 2
@@ -131,6 +131,7 @@ def public_byte_bpe() -> ByteBpe:
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer=public_byte_bpe, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """Pieces ``(doc_id, piece, start, length, ids)``: ids as little-endian unsigned 32-bit.
     Only texts of more than ``size`` ids are cut; their first piece takes the rest."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = source.schema["doc_id"].simpleString().split(":", 1)[1]
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import mix, prefix_hash, range_hash, text_chunks
+from ledgerline.llm.common import mix, prefix_hash, range_hash, small_batches, text_chunks
 
 SAMPLES = 2
 ALPHA = 1.0
@@ -357,6 +357,7 @@ def _other_edge(lat: Lattices, parents, chosen: np.ndarray, ban: np.ndarray, u:
 def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SAMPLES, alpha: float = ALPHA, pieces=public_pieces, seed: int = 0) -> DataFrame:
     """Rows ``(doc_id, sample, ids, log_prob, perturbed, inclusion, log_inclusion, round_trip)``: each
     text's ``k`` sampled segmentations in order of their perturbed log probability."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.xxhash64(F.col(key), F.lit(seed)), F.lit(seed)).alias("seed"), F.col(text).alias("text"))
     kind = docs.select(F.col(key).alias("k")).schema["k"].dataType.simpleString()
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ledgerline.llm.common import CHUNK_BYTES, prefix_hash, range_hash, text_chunks
+from ledgerline.llm.common import CHUNK_BYTES, prefix_hash, range_hash, small_batches, text_chunks
 
 LENGTH = 50
 GRAM = 20
@@ -428,6 +428,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     """``docs`` with ``n_bytes``, ``spans`` (the maximal byte runs covered by windows of
     ``length`` bytes that also start in a document with a smaller key) and ``kept``
     (the remaining bytes)."""
+    small_batches(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("n_bytes", "spans", "kept") or c in (key, text)]
     docs = docs.select(*(F.col(f"`{c}`") for c in names))
     total = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
