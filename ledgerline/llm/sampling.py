@@ -42,6 +42,8 @@ ALPHA = 1.0
 FIRST_PIECE = 259
 FIRST_BYTE = 3
 BLANK = "▁"
+#: bytes of text whose words share one set of lattices
+CHUNK = 1 << 22
 _U = np.uint64
 
 
@@ -366,7 +368,7 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SA
         names = ["doc_id", "sample", "ids", "log_prob", "perturbed", "inclusion", "log_inclusion", "round_trip"]
         for batch in batches:
             seeds = np.asarray(batch.column(1))
-            for first, end, data, offsets in text_chunks(batch.column(2)):
+            for first, end, data, offsets in text_chunks(batch.column(2), CHUNK):
                 raw = data.tobytes()
                 found, kappa = top_k(vocabulary, data, offsets, seeds[first:end].view(np.uint64), k)
                 for number, (rows, ids, at, log_prob, perturbed) in enumerate(found):
