@@ -20,7 +20,7 @@ exhaustively, large ones branch on.  Links are confirmed on the full sets.
 
 A pair at similarity s meets in a tree's root children with probability s, and
 passes each later level with 1 - (1 - s)**2.  With the default eight trees the
-chance that no tree finds a pair at 0.85 is 3e-7 on the first level.
+chance that no tree finds a pair is 3e-7 at 0.85 and 3e-6 at 0.80 on the first level.
 
 Defined results: null, empty and white-space-only texts have the empty set and
 are linked with nothing; repeated rows (one key twice) count once per row in
@@ -31,6 +31,8 @@ empty result.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,13 +48,26 @@ SMALL = 4096
 BLOCK = 256
 #: levels of branching after the roots' children
 LEVELS = 4
-#: of SKETCH minwise bytes, those that a pair must share before its full sets are
-#: read; a pair at 0.85 has fewer than 92 of 128 with a probability of about 1e-5
-AGREE = 92
+#: probability that the sketches of a pair just at the threshold agree in too few
+#: bytes for its full sets to be read
+MISS = 1e-5
 
 _SALT = np.random.default_rng(85).integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def agreement(percent: int) -> int:
+    """Of SKETCH minwise bytes, those that a pair must share before its full sets are
+    read: a pair at ``percent`` shares fewer with a probability of at most ``MISS``."""
+    # unequal minwise values still agree in one byte of 256
+    p = percent / 100 + (1 - percent / 100) / 256
+    tail = 0.0
+    for k in range(SKETCH):
+        tail += comb(SKETCH, k) * p**k * (1 - p) ** (SKETCH - k)
+        if tail > MISS:
+            return k
+    return SKETCH
+
+
 def _signatures(width: int):
     def run(data: np.ndarray, offsets: np.ndarray):
         sets = shingle_sets(data, offsets, width)
@@ -116,28 +131,32 @@ def _whole_nodes(batches):
         yield rest.combine_chunks()
 
 
-def _open(batches):
+def _open(agree: int):
     """Members of each node whose sketch agrees with that of a member of another
     component, unless both meet in an earlier small node under the roots."""
     schema = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("component_id", pa.int64())])
-    for table in _whole_nodes(batches):
-        node, comp = table.column("node").to_numpy(), table.column("component_id").to_numpy()
-        sketch, tree = _bytes(table.column("sketch").combine_chunks()), table.column("tree").to_numpy()
-        roots = np.asarray(table.column("met").combine_chunks().flatten()).reshape(len(node), -1)
-        is_open = np.zeros(len(node), bool)
-        edge = np.flatnonzero(np.diff(node)) + 1
-        for lo, hi in zip(np.concatenate(([0], edge)), np.concatenate((edge, [len(node)])), strict=True):
-            t = int(tree[lo])
-            for p in range(lo, hi - 1):
-                rest = slice(p + 1, hi)
-                q = np.flatnonzero(((sketch[rest] == sketch[p]).sum(axis=1) >= AGREE) & (comp[rest] != comp[p])) + p + 1
-                if len(q) and t:
-                    q = q[~((roots[q, :t] == roots[p, :t]) & (roots[p, :t] != 0)).any(axis=1)]
-                if len(q):
-                    is_open[p] = True
-                    is_open[q] = True
-        if is_open.any():
-            yield from table.select(schema.names).filter(pa.array(is_open)).to_batches()
+
+    def run(batches):
+        for table in _whole_nodes(batches):
+            node, comp = table.column("node").to_numpy(), table.column("component_id").to_numpy()
+            sketch, tree = _bytes(table.column("sketch").combine_chunks()), table.column("tree").to_numpy()
+            roots = np.asarray(table.column("met").combine_chunks().flatten()).reshape(len(node), -1)
+            is_open = np.zeros(len(node), bool)
+            edge = np.flatnonzero(np.diff(node)) + 1
+            for lo, hi in zip(np.concatenate(([0], edge)), np.concatenate((edge, [len(node)])), strict=True):
+                t = int(tree[lo])
+                for p in range(lo, hi - 1):
+                    rest = slice(p + 1, hi)
+                    q = np.flatnonzero(((sketch[rest] == sketch[p]).sum(axis=1) >= agree) & (comp[rest] != comp[p])) + p + 1
+                    if len(q) and t:
+                        q = q[~((roots[q, :t] == roots[p, :t]) & (roots[p, :t] != 0)).any(axis=1)]
+                    if len(q):
+                        is_open[p] = True
+                        is_open[q] = True
+            if is_open.any():
+                yield from table.select(schema.names).filter(pa.array(is_open)).to_batches()
+
+    return run
 
 
 def _children(level: int):
@@ -242,13 +261,14 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int, key: str, text: st
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, width: int = 5) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``: links are pairs
     with 100 * intersection >= percent * union, components their closure."""
+    agree = agreement(percent)
     sig = cut(signatures(docs, key, text, width))
     fp = ["fp1", "fp2", "n_shingles"]
     classes = cut(sig.where("n_shingles > 0 and doc_id is not null").groupBy(*fp).agg(F.min("doc_id").alias("class_id")))
     members = classes.select(F.col("class_id").alias("id")).join(sig.select(F.col("doc_id").alias("id"), "roots", "sketch"), "id")
     members = cut(members.dropDuplicates(["id"]))
     nodes = _alive(members.select(F.posexplode("roots").alias("tree", "node"), "id"))
-    stars = _agree(nodes.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), members.select("id", "sketch"))
+    stars = _agree(nodes.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), members.select("id", "sketch"), agree)
     # a class first meets the smallest of its leads
     stars = cut(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     links = cut(verified(stars, docs, percent, key, text, width))
@@ -269,7 +289,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         small = _blocks(held) if last else held.where(F.col("n") <= SMALL)
         small = small.select("node", "id", "component_id", "tree", "sketch", "met")
         small = small.repartition("node").sortWithinPartitions("node", "id")
-        found.append(cut(small.mapInArrow(_open, "node bigint, id bigint, component_id bigint")))
+        found.append(cut(small.mapInArrow(_open(agree), "node bigint, id bigint, component_id bigint")))
         if last:
             break
         large = held.where(F.col("n") > SMALL).select("node", "id", "sketch")
@@ -331,11 +351,11 @@ def _blocks(held: DataFrame, size: int = 256) -> DataFrame:
     )
 
 
-def _agree(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+def _agree(pairs: DataFrame, sketches: DataFrame, agree: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                yield batch.select([0, 1]).filter(pa.array((_bytes(batch.column(2)) == _bytes(batch.column(3))).sum(axis=1) >= AGREE))
+                yield batch.select([0, 1]).filter(pa.array((_bytes(batch.column(2)) == _bytes(batch.column(3))).sum(axis=1) >= agree))
 
     a = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
     b = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y"))

@@ -34,6 +34,25 @@ def test_stages_take_effect(spark, sf, tmp_path):
     check_sequences(packed)
 
 
+def test_near_stage_from_80_percent(spark):
+    """Pairs planted from just under 0.80 to 0.85, against brute force at 80."""
+    import random
+
+    from ledgerline.llm import minhash
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        words = [f"d{rng.randrange(10**9)}" for _ in range(124)]
+        k = 11 + i % 5  # of 120 shingles each, 120 - k shared: 0.832 to 0.778
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[k:] + [f"e{rng.randrange(10**9)}" for _ in range(k)]))]
+    expected = {i for (i, _), c in brute_components(rows, 80).items() if i == c}
+    assert expected != {i for (i, _), c in brute_components(rows).items() if i == c}
+    got = pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()
+    assert {r.doc_id for r in got} == expected
+    assert minhash.agreement(80) == 82 and minhash.agreement(85) < 92 and minhash.agreement(100) == minhash.SKETCH
+
+
 def test_stages_on_odd_and_empty_tables(spark):
     for docs in (odd_docs(spark), empty_docs(spark)):
         for i, (_, stage) in enumerate(pipeline.STAGES):
