@@ -7,9 +7,12 @@ best.  Refining ranks by 8-bit vectors, a sixth of the bytes; links are decided
 cosine in double precision.
 
 * A neighbour list that is full of links is saturated and may have lost some: it
-  is enlarged to all saturated classes of its component, compared in blocks.
+  is enlarged to all saturated classes of its component, and of every component that
+  shares a leaf with it and is not too far by its radius, compared in blocks.
+  Components that new links join are compared in turn.
 * Recall is audited: a hashed, bounded set of classes is compared with all rows;
-  below the target, further trees and rounds follow.
+  below the target, further trees and rounds follow.  If that does not help, all
+  classes of a label are compared in blocks.
 
 Defined results: rows with a null label, or a vector that is null, empty, zero or
 holds null or non-finite components, are linked with nothing; vectors of other
@@ -38,6 +41,8 @@ SETTLED = 0.01
 #: classes that the audit compares with all rows, and the recall it asks for
 AUDIT = 512
 RECALL = 0.99
+#: classes of one block of a comparison of all
+BLOCK = 2048
 #: a pair this far under the threshold by 8-bit vectors is still decided exactly
 SLACK = 0.02
 
@@ -123,13 +128,14 @@ def _best(pairs: DataFrame, keep: int) -> DataFrame:
     return pairs.dropDuplicates(["id", "other"]).withColumn("rank", rank).where(F.col("rank") <= keep).drop("rank")
 
 
-def _seed(classes: DataFrame, trees: int, seed: int, keep: int) -> DataFrame:
+def _seed(classes: DataFrame, trees: int, seed: int, keep: int) -> tuple[DataFrame, DataFrame]:
+    """A first neighbour graph, and the leaves ``(leaf, id)`` that it comes from."""
     sizes = cut(classes.groupBy("grp").agg(F.count("*").alias("n")))
     leaves = cut(classes.join(sizes, "grp").select("id", "grp", "n", "x").mapInArrow(_leaves(trees, seed), "leaf bigint, id bigint, q binary"))
     size = cut(leaves.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1"))
     dealt = leaves.join(size, "leaf").withColumn("deal", F.when(F.col("n") > GROUP, F.pmod(F.xxhash64("id", "leaf"), F.ceil(F.col("n") / (GROUP // 2)))).otherwise(0))
     lists = dealt.groupBy("leaf", "deal").agg(F.collect_list(F.struct("id", "q")).alias("m")).select("m")
-    return _best(lists.mapInArrow(_introduce(keep), "id bigint, other bigint, near float"), keep)
+    return _best(lists.mapInArrow(_introduce(keep), "id bigint, other bigint, near float"), keep), leaves.select("leaf", "id")
 
 
 def _refine(graph: DataFrame, sketches: DataFrame, keep: int) -> DataFrame:
@@ -166,17 +172,83 @@ def _links(graph: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return cut(_decide(cut(near), classes, threshold))
 
 
-def _enlarge(links: DataFrame, graph: DataFrame, classes: DataFrame, threshold: float, keep: int) -> DataFrame:
-    """All links among the saturated classes of each component, and the known ones of others."""
+def _enlarge(links: DataFrame, graph: DataFrame, classes: DataFrame, leaves: DataFrame, threshold: float, keep: int) -> DataFrame:
+    """The known links, and all among the saturated classes of each component and of
+    components near each other."""
     full = cut(graph.where(F.col("near") >= threshold - SLACK).groupBy("id").agg(F.count("*").alias("k")).where(F.col("k") >= keep).select("id"))
     if full.isEmpty():
         return links
-    comps = cut(components(links))
-    inside = cut(comps.join(full, "id").join(classes.select("id", "x"), "id"))
-    size = cut(inside.groupBy("component_id").agg(F.count("*").alias("n")))
-    blocks = F.ceil(F.col("n") / F.lit(256)).cast("bigint")
-    dealt = inside.join(size, "component_id").withColumn("mine", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-    dealt = dealt.select("component_id", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), (F.col("mine") == F.least("mine", "other")).alias("left"), (F.col("mine") == F.greatest("mine", "other")).alias("right"), "id", "x")
+    part = cut(components(links).join(full, "id").select("id", F.col("component_id").alias("part")))
+    inside = cut(part.join(classes.select("id", "x"), "id"))
+    size = cut(part.groupBy("part").agg(F.count("*").alias("n"), F.min("id").alias("lead")))
+    balls = _balls(inside, size)
+    homes = cut(leaves.join(part, "id").select("leaf", "part").distinct())
+    meet = homes.select("leaf", F.col("part").alias("a")).join(homes.select("leaf", F.col("part").alias("b")), "leaf").where("a < b").select("a", "b").distinct()
+    own = size.select(F.col("part").alias("a"), F.col("part").alias("b"))
+    pairs = done = cut(own.unionByName(_touching(cut(meet), balls, threshold)))
+    while True:
+        links = cut(links.unionByName(_blocks(pairs, inside, size, threshold)).distinct())
+        # parts that are one component by now are compared with each other as well
+        joined = part.select("part").distinct().join(components(links), F.col("part") == F.col("id")).select("part", "component_id")
+        joined = cut(joined)
+        both = joined.select("component_id", F.col("part").alias("a")).join(joined.select("component_id", F.col("part").alias("b")), "component_id")
+        new = cut(both.where("a < b").select("a", "b").join(done, ["a", "b"], "left_anti"))
+        pairs = cut(_touching(new, balls, threshold))
+        if pairs.isEmpty():
+            return links
+        done = cut(done.unionByName(new))
+
+
+def _balls(inside: DataFrame, size: DataFrame) -> DataFrame:
+    """Per part a member's vector and the largest angle of any member to it."""
+    leads = cut(size.select("part", F.col("lead").alias("id")).join(inside.select("id", "x"), "id").select("part", F.col("x").alias("y")))
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_angles(batch.column(1), batch.column(2)))], names=["part", "angle"])
+
+    angles = inside.join(leads, "part").select("part", "x", "y").mapInArrow(run, "part bigint, angle double")
+    return cut(leads.join(cut(angles.groupBy("part").agg(F.max("angle").alias("radius"))), "part"))
+
+
+def _angles(x: pa.Array, y: pa.Array) -> np.ndarray:
+    if _one_size(x, y):
+        return np.arccos(np.clip((_unit(x) * _unit(y)).sum(axis=1), -1, 1))
+    return np.concatenate([_angles(x.take(pa.array([i])), y.take(pa.array([i]))) for i in range(len(x))])
+
+
+def _touching(pairs: DataFrame, balls: DataFrame, threshold: float) -> DataFrame:
+    """Of ``pairs(a, b)`` of parts those that can hold a link, by the triangle inequality of angles."""
+    reach = float(np.arccos(min(1.0, max(-1.0, threshold)))) + 1e-6
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                room = np.asarray(batch.column(4)) + np.asarray(batch.column(5)) + reach
+                yield batch.select([0, 1]).filter(pa.array(_angles(batch.column(2), batch.column(3)) <= room))
+
+    a = balls.select(F.col("part").alias("a"), F.col("y").alias("ya"), F.col("radius").alias("ra"))
+    b = balls.select(F.col("part").alias("b"), F.col("y").alias("yb"), F.col("radius").alias("rb"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "ya", "yb", "ra", "rb").mapInArrow(run, "a bigint, b bigint")
+
+
+def _blocks(pairs: DataFrame, inside: DataFrame, size: DataFrame, threshold: float, block: int = 256) -> DataFrame:
+    """Links between the members ``inside(id, part, x)`` of each pair of parts ``(a, b)``,
+    compared block by block."""
+    count = size.select("part", F.ceil(F.col("n") / F.lit(block)).cast("bigint").alias("k"))
+    sides = cut(pairs.join(count.select(F.col("part").alias("a"), F.col("k").alias("ka")), "a").join(count.select(F.col("part").alias("b"), F.col("k").alias("kb")), "b"))
+    # a member of a meets every block of b and the other way round; a part meets
+    # itself in pairs of blocks p <= q
+    mine = F.pmod(F.xxhash64("id"), F.col("k"))
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(k) - 1))
+    dealt = inside.join(count, "part").select("id", "x", "part", mine.alias("mine"))
+    apart = sides.where("a <> b")
+    left = dealt.join(apart, F.col("part") == F.col("a")).withColumn("q", every("kb")).select("a", "b", F.col("mine").alias("p"), "q", F.lit(True).alias("left"), F.lit(False).alias("right"), "id", "x")
+    right = dealt.join(apart, F.col("part") == F.col("b")).withColumn("p", every("ka")).select("a", "b", "p", F.col("mine").alias("q"), F.lit(False).alias("left"), F.lit(True).alias("right"), "id", "x")
+    same = dealt.join(sides.where("a = b"), F.col("part") == F.col("a")).withColumn("other", every("ka"))
+    p, q = F.least("mine", "other"), F.greatest("mine", "other")
+    same = same.select("a", "b", p.alias("p"), q.alias("q"), (F.col("mine") == p).alias("left"), (F.col("mine") == q).alias("right"), "id", "x")
 
     def run(table: pa.Table) -> pa.Table:
         x = _unit(table.column("x").combine_chunks())
@@ -184,12 +256,19 @@ def _enlarge(links: DataFrame, graph: DataFrame, classes: DataFrame, threshold:
         left, right = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("left", "right"))
         r, c = np.nonzero(_cosine(x[left], x[right]) >= threshold)
         a, b = ids[left[r]], ids[right[c]]
-        once = (a < b) if table.column("p")[0].as_py() == table.column("q")[0].as_py() else (a != b)
-        a, b = a[once], b[once]
-        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        a, b = a[a != b], b[a != b]
+        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.table([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
+
+    return left.unionByName(right).unionByName(same).groupBy("a", "b", "p", "q").applyInArrow(run, "a bigint, b bigint")
+
 
-    found = dealt.groupBy("component_id", "p", "q").applyInArrow(run, "a bigint, b bigint")
-    return cut(links.unionByName(found).distinct())
+def _exact(classes: DataFrame, threshold: float) -> DataFrame:
+    """All links: every class with every other of its label and length."""
+    inside = classes.select("id", F.col("grp").alias("part"), "x")
+    size = cut(inside.groupBy("part").agg(F.count("*").alias("n")))
+    pairs = size.select(F.col("part").alias("a"), F.col("part").alias("b"))
+    return cut(_blocks(pairs, inside, size, threshold, BLOCK).distinct())
 
 
 def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -275,9 +354,10 @@ def _search(classes: DataFrame, threshold: float, keep: int, trees: int, recall:
         for i in range(b.num_rows)
     )
     sketches = cut(classes.select("id", "x").mapInArrow(sketch, "id bigint, q binary"))
-    graph = None
+    graph = homes = None
     for attempt in range(3):
-        seeds = _seed(classes, trees * (1 + attempt), 1 + attempt, keep)
+        seeds, leaves = _seed(classes, trees * (1 + attempt), 1 + attempt, keep)
+        homes = leaves if homes is None else homes.unionByName(leaves)
         graph = cut(seeds if graph is None else _best(graph.unionByName(seeds), keep))
         for _ in range(ROUNDS):
             better = cut(_refine(graph, sketches, keep))
@@ -285,8 +365,8 @@ def _search(classes: DataFrame, threshold: float, keep: int, trees: int, recall:
             graph = better
             if changed <= SETTLED * max(1, graph.select("id").distinct().count()):
                 break
-        links = _enlarge(_links(graph, classes, threshold), graph, classes, threshold, keep)
+        links = _enlarge(_links(graph, classes, threshold), graph, classes, homes, threshold, keep)
         true, found = audit(classes, links, threshold)
         if found >= recall * true:
-            break
-    return links
+            return links
+    return _exact(classes, threshold)

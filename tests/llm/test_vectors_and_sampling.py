@@ -57,6 +57,39 @@ def test_vectors_odd_rows_and_dense_group(spark, monkeypatch):
     assert vectors.near_duplicates(df.limit(0)).collect() == []
 
 
+def tight_groups(rng, centres, size):
+    """Groups of cosine 0.995 inside, around the given centres."""
+    out = []
+    for c in centres:
+        for _ in range(size):
+            z = rng.standard_normal(len(c))
+            z -= (z @ c) * c
+            out.append(c * np.sqrt(0.9975) + z / np.linalg.norm(z) * np.sqrt(0.0025))
+    return out
+
+
+def test_links_between_saturated_groups(spark):
+    """Two tight groups of 20, 0.985 across, among 500 others: their lists hold their own group only."""
+    rng = np.random.default_rng(11)
+    c = np.linalg.qr(rng.standard_normal((48, 2)))[0].T
+    across = 0.989
+    vectors_ = tight_groups(rng, [c[0], across * c[0] + np.sqrt(1 - across**2) * c[1]], 20)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors_)] + [(100 + i, rng.standard_normal(48).tolist(), 1) for i in range(500)]
+    expected = brute_vectors(rows)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    assert max(n for _, n, _ in expected) > 25
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()) == expected
+
+
+def test_missed_recall_is_made_up_exactly(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "_links", lambda graph, classes, threshold: graph.sparkSession.createDataFrame([], "a bigint, b bigint"))
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    rng = np.random.default_rng(12)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(tight_groups(rng, [np.eye(16)[0], np.eye(16)[1]], 20))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()) == brute_vectors(rows)
+
+
 def test_audit_counts_losses(spark):
     x = np.eye(8)[[0, 0, 1, 1]] + 0.01 * np.arange(8)
     classes = spark.createDataFrame([(i, 5, v.tolist()) for i, v in enumerate(x)], "id bigint, grp bigint, x array<double>")
