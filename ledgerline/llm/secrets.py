@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import cut, fresh
 
-#: a private-key block, or 16 and more key characters in a row
-CANDIDATE = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,16384}+|[A-Za-z0-9+/_\-]{16,}+={0,2}"
+JWT = r"eyJ[A-Za-z0-9_\-]{5,}+\.[A-Za-z0-9_\-]{5,}+(?:\.[A-Za-z0-9_\-]*+)?"
+#: a private-key block, a JWT, or 16 and more key characters in a row
+CANDIDATE = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,16384}+|" + JWT + r"|[A-Za-z0-9+/_\-]{16,}+={0,2}"
 CONTEXT = 64
 MASK = "[SECRET]"
 #: findings at most that the forest is trained on
@@ -40,6 +41,13 @@ DICTIONARY = (
 _DICTIONARY = "(" + "|".join(sorted(DICTIONARY, key=len, reverse=True)) + ")"
 _NAMED = r"(?i)(key|token|secret|passw|pwd|auth|credential|bearer|private)[a-z_\-]{0,20}[\"']?\s{0,4}(:=|=>|=|:|\s)\s{0,4}[\"']?$"
 _HASHED = r"(?i)(sha|md5|hash|digest|checksum|commit|revision|rev|uuid|guid|integrity|etag|blob|tree)[a-z0-9_\-]{0,12}[\"']?\s{0,4}(:=|=>|=|:|\s|\()\s{0,4}[\"']?$"
+# fixed values: prefixes by which providers mark their keys
+_PROVIDER = (
+    r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_\-]{20,}|xox[abeprs]-[A-Za-z0-9\-]{10,}"
+    r"|[sr]k_live_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_\-]{20,}|AIza[A-Za-z0-9_\-]{30,}|npm_[A-Za-z0-9]{30,}|pypi-[A-Za-z0-9_\-]{30,})"
+)
+_STRUCTURAL = rf"^-----BEGIN|^{JWT}$|{_PROVIDER}"
+_SAMPLE = "example|sample|placeholder|changeme|dummy"
 _SAMPLE_PATH = r"(?i)(test|example|sample|spec|mock|fixture|doc|demo)"
 
 
@@ -61,6 +69,9 @@ def features(value: Column, before: Column, after: Column, path: Column) -> list
         1 - F.length(F.regexp_replace(lower, _DICTIONARY, "")) / n,
         flag(value.rlike("^[0-9a-f]+$")),
         flag(value.startswith("-----BEGIN")),
+        flag(value.rlike(_PROVIDER)),
+        flag(value.rlike(_STRUCTURAL)),
+        flag(lower.rlike(_SAMPLE)),
         flag(before.rlike(_NAMED)),
         flag(before.rlike(_HASHED)),
         flag(before.rlike(r"[=:]\s{0,4}[\"']?$")),
@@ -83,7 +94,7 @@ def split_candidates(docs: DataFrame, text: str, path: str | None, out: str) ->
         col("values"),
         lambda v, i: F.struct(
             v.alias("value"),
-            (v.rlike("[0-9]") & (v.rlike("[A-Za-z]") | v.startswith("-----"))).alias("plausible"),
+            ((v.rlike("[0-9]")) & (v.rlike("[A-Za-z]") | v.startswith("-----")) | v.rlike(_STRUCTURAL)).alias("plausible"),
             F.right(F.element_at(col("pieces"), i + 1), F.lit(CONTEXT)).alias("before"),
             F.left(F.element_at(col("pieces"), i + 2), F.lit(CONTEXT)).alias("after"),
         ),
@@ -98,22 +109,49 @@ def plausible(docs: DataFrame, text: str = "text", path: str | None = None) -> D
     return found.where("x.plausible").select("x.value", "x.before", "x.after", "path")
 
 
+def _truth() -> Column:
+    """Weak label: structural findings, and values assigned to a secret's name, that
+    are not sample values."""
+    structural = F.col("value").rlike(_STRUCTURAL)
+    named = F.col("before").rlike(_NAMED) & ~F.col("before").rlike(_HASHED)
+    sample = F.lower("value").rlike(_SAMPLE) & ~F.col("value").startswith("-----")
+    return F.coalesce((structural | named) & ~sample, F.lit(False)).cast("double")
+
+
+def _pick(values: list, by: Column) -> Column:
+    return F.element_at(F.array(*(v if isinstance(v, Column) else F.lit(v) for v in values)), F.pmod(by, F.lit(len(values))).cast("int") + 1)
+
+
+def _bare(taken: DataFrame) -> DataFrame:
+    """Invented structural findings in prose, one for each taken candidate."""
+    digest = F.sha2(F.concat("value", "before"), 256)
+    b = F.regexp_replace(F.base64(F.unhex(digest)), "[^A-Za-z0-9]", "")
+    block = lambda kind: F.concat(F.lit(f"-----BEGIN {kind}-----\n"), b, F.lit("\n"), b, b, F.lit(f"\n-----END {kind}-----"))
+    kinds = [
+        F.concat(F.lit("AKIA"), F.upper(F.left(b, F.lit(16)))), F.concat(F.lit("ghp_"), F.left(b, F.lit(36))), F.concat(F.lit("sk_live_"), F.left(b, F.lit(24))),
+        F.concat(F.lit("eyJ"), F.left(b, F.lit(20)), F.lit(".eyJ"), b, F.lit("."), b), block("RSA PRIVATE KEY"), block("PRIVATE KEY"),
+    ]
+    places = ["", " ", "we found ", "\n", ", then ", "("]
+    by = F.crc32("value")
+    return taken.select(_pick(kinds, by).alias("value"), _pick(places, F.floor(by / 7)).alias("before"), _pick(["", " and more", "\n", ".", ")"], F.floor(by / 11)).alias("after"), "path", F.lit(1.0).alias("label"))
+
+
 def weak_labels(findings: DataFrame, limit: int = TRAINING_ROWS) -> DataFrame:
-    """Labelled findings from candidates without labels: a value that is assigned to a
-    secret's name is one; the same values under a hash's name, and sample values under
-    a secret's name, are not.  At most ``limit`` candidates are taken, by hash."""
-    taken = findings.orderBy(F.xxhash64("value", "before"), "value", "before").limit(limit // 3)
-    named, hashed = F.col("before").rlike(_NAMED), F.col("before").rlike(_HASHED)
-    truth = (F.coalesce(named & ~hashed, F.lit(False)) & ~F.lower("value").rlike("example|sample|placeholder|changeme|dummy")).cast("double")
-    plain = taken.select("value", "before", "after", "path", truth.alias("label"))
-    under_hash = taken.select(
+    """Labelled findings from candidates without labels: structural findings (key
+    blocks, providers' prefixes, JWTs) and values that are assigned to a secret's name
+    are secrets; the same values under a hash's name, and sample values under a
+    secret's name, are not.  Invented structural findings without a name are added, as
+    a table may hold few.  At most ``limit`` rows; candidates are taken by hash."""
+    taken = findings.orderBy(F.xxhash64("value", "before"), "value", "before").limit(limit // 4)
+    plain = taken.select("value", "before", "after", "path", _truth().alias("label"))
+    under_hash = taken.where(~F.col("value").rlike(_STRUCTURAL)).select(
         "value",
         F.concat(F.left("before", F.lit(20)), F.element_at(F.array(*map(F.lit, (" sha256: ", ' commit = "', " checksum ", "md5="))), F.pmod(F.crc32("value"), F.lit(4)).cast("int") + 1)).alias("before"),
         "after", "path", F.lit(0.0).alias("label"),
     )
     word = F.element_at(F.array(*map(F.lit, ("your-api-key-here-", "example_token_", "changeme-please-", "test-secret-value-", "xxxxxxxxxxxxxxxx"))), F.pmod(F.crc32("value"), F.lit(5)).cast("int") + 1)
     sample = taken.select(F.concat(word, F.lit("123")).alias("value"), F.lit('api_key = "').alias("before"), F.lit('"').alias("after"), "path", F.lit(0.0).alias("label"))
-    return plain.unionByName(under_hash).unionByName(sample)
+    return plain.unionByName(under_hash).unionByName(sample).unionByName(_bare(taken))
 
 
 def _leaf_share(stats) -> float:
@@ -137,7 +175,7 @@ def fit_forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH) -> l
     if not n or share in (0.0, 1.0):
         return [1.0 if not n else float(share)]
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=7, featuresCol="v", labelCol="label", featureSubsetStrategy="sqrt", subsamplingRate=0.8
+        numTrees=trees, maxDepth=depth, seed=7, featuresCol="v", labelCol="label", featureSubsetStrategy="0.5", subsamplingRate=0.8
     ).fit(data.select(array_to_vector("f").alias("v"), "label"))
     return [_tree(t._java_obj.rootNode()) if hasattr(t, "_java_obj") else t for t in forest.trees]
 
