@@ -1,7 +1,8 @@
 """Secret scan with a random forest that removes false positives, in DataFrame
 functions only.
 
-Candidates are long runs of key characters with a digit, and private-key blocks.
+Candidates are long runs of key characters with a digit, private-key blocks, JWTs,
+and every value that is assigned to a secret's name.
 A forest, trained from labelled findings, scores each from its length, character
 classes and transitions, dictionary coverage, path, and neighbouring words.  The
 trees are turned into column expressions, so scoring stays in the JVM and the
@@ -24,8 +25,22 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import cut, fresh
 
 JWT = r"eyJ[A-Za-z0-9_\-]{5,}+\.[A-Za-z0-9_\-]{5,}+(?:\.[A-Za-z0-9_\-]*+)?"
-#: a private-key block, a JWT, or 16 and more key characters in a row
-CANDIDATE = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,16384}+|" + JWT + r"|[A-Za-z0-9+/_\-]{16,}+={0,2}"
+_KEY_EDGE = r"[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)? ?-{4,5}"
+#: from BEGIN to END with any body; a block without its end as far as it looks like one
+KEY_BLOCK = (
+    rf"-{{4,5}} ?BEGIN {_KEY_EDGE}(?:[^\-]*+(?:-(?!-{{3,4}} ?(?:BEGIN|END) )[^\-]*+)*+-{{4,5}} ?END {_KEY_EDGE}"
+    r"|(?:[A-Za-z0-9+/=\s]|\\[nrt]|(?:: |,)[^\r\n\\]{1,200}+(?=[\r\n\\]))*+)"
+)
+_SECRET_NAME = r"(?i:key|token|secret|passw|passphrase|pwd|auth|credential|bearer|private)"
+_ASSIGNED = _SECRET_NAME + r"[A-Za-z0-9_\-]{0,20}\\?[\"']?\s{0,4}(?::=|=>|=|:)\s{0,4}(?:(?:Bearer|Basic)\s)?"
+#: what is assigned to a secret's name: up to its quote, or to white space without the punctuation before it
+NAMED_VALUE = (
+    rf"(?<=[=:>\s\"'])(?![\s\"'=:>])(?:(?<={_ASSIGNED}\\?\")(?:[^\"\\\r\n]|\\.)++(?=\")|(?<={_ASSIGNED}\\?')(?:[^'\\\r\n]|\\.)++(?=')"
+    rf"|(?<={_ASSIGNED}\\?[\"']?)(?!(?:Bearer|Basic)\s)"
+    r"(?:[^\s\"`,;.!?)\]}'\\&<]++|[,;.!?)\]}'\\](?![,;.!?)\]}'\\]*+(?:[\s\"`]|$|</))|&(?![\w.\-]{1,40}=)|<(?!/))++)"
+)
+#: a private-key block, a JWT, a named value, or 16 and more key characters in a row
+CANDIDATE = KEY_BLOCK + "|" + JWT + "|" + NAMED_VALUE + r"|[A-Za-z0-9+/_\-]{16,}={0,2}"
 CONTEXT = 64
 MASK = "[SECRET]"
 #: findings at most that the forest is trained on
@@ -46,7 +61,8 @@ _PROVIDER = (
     r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_\-]{20,}|xox[abeprs]-[A-Za-z0-9\-]{10,}"
     r"|[sr]k_live_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_\-]{20,}|AIza[A-Za-z0-9_\-]{30,}|npm_[A-Za-z0-9]{30,}|pypi-[A-Za-z0-9_\-]{30,})"
 )
-_STRUCTURAL = rf"^-----BEGIN|^{JWT}$|{_PROVIDER}"
+_BLOCK = "^-{4,5} ?BEGIN "
+_STRUCTURAL = rf"{_BLOCK}|^{JWT}$|{_PROVIDER}"
 _SAMPLE = "example|sample|placeholder|changeme|dummy"
 _SAMPLE_PATH = r"(?i)(test|example|sample|spec|mock|fixture|doc|demo)"
 
@@ -68,7 +84,8 @@ def features(value: Column, before: Column, after: Column, path: Column) -> list
         F.size(F.array_distinct(F.split(value, ""))) / n,
         1 - F.length(F.regexp_replace(lower, _DICTIONARY, "")) / n,
         flag(value.rlike("^[0-9a-f]+$")),
-        flag(value.startswith("-----BEGIN")),
+        flag(value.rlike(_BLOCK)),
+        share(r"[^A-Za-z0-9+/_\-=]"),
         flag(value.rlike(_PROVIDER)),
         flag(value.rlike(_STRUCTURAL)),
         flag(lower.rlike(_SAMPLE)),
@@ -83,20 +100,24 @@ def features(value: Column, before: Column, after: Column, path: Column) -> list
 
 def split_candidates(docs: DataFrame, text: str, path: str | None, out: str) -> DataFrame:
     """Add ``out``: the pieces between candidates and the candidates with their context."""
-    # a candidate holds a digit, or is a key block
-    may = F.col(text).rlike("[0-9]|PRIVATE KEY")
+    # a candidate holds a digit, is a key block or has a secret's name
+    may = F.col(text).rlike(f"[0-9]|PRIVATE KEY|{_SECRET_NAME}")
     pieces = F.when(may, F.split(F.col(text), CANDIDATE, -1))
     values = F.when(may, F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0)))
     where = F.col(path).cast("string") if path else F.lit(None).cast("string")
     raw = docs.withColumn(out, F.struct(pieces.alias("pieces"), values.alias("values"), where.alias("path")))
     col = lambda f: F.col(f"{out}.{f}")
+    # the context goes on into the candidate before, which may be a long name
+    before = lambda i: F.right(F.concat(F.when(i > 0, F.get(col("values"), i - 1)).otherwise(""), F.element_at(col("pieces"), i + 1)), F.lit(CONTEXT))
+    found = F.transform(col("values"), lambda v, i: F.struct(v.alias("value"), before(i).alias("before"), F.left(F.element_at(col("pieces"), i + 2), F.lit(CONTEXT)).alias("after")))
+    named = _ASSIGNED + r"\\?[\"']?$"
     found = F.transform(
-        col("values"),
-        lambda v, i: F.struct(
-            v.alias("value"),
-            ((v.rlike("[0-9]")) & (v.rlike("[A-Za-z]") | v.startswith("-----")) | v.rlike(_STRUCTURAL)).alias("plausible"),
-            F.right(F.element_at(col("pieces"), i + 1), F.lit(CONTEXT)).alias("before"),
-            F.left(F.element_at(col("pieces"), i + 2), F.lit(CONTEXT)).alias("after"),
+        found,
+        lambda x: F.struct(
+            x["value"].alias("value"),
+            ((x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]")) | x["value"].rlike(_STRUCTURAL) | x["before"].rlike(named)).alias("plausible"),
+            x["before"].alias("before"),
+            x["after"].alias("after"),
         ),
     )
     return raw.withColumn(out, F.struct(col("pieces").alias("pieces"), found.alias("found"), col("path").alias("path")))
@@ -113,8 +134,12 @@ def _truth() -> Column:
     """Weak label: structural findings, and values assigned to a secret's name, that
     are not sample values."""
     structural = F.col("value").rlike(_STRUCTURAL)
-    named = F.col("before").rlike(_NAMED) & ~F.col("before").rlike(_HASHED)
-    sample = F.lower("value").rlike(_SAMPLE) & ~F.col("value").startswith("-----")
+    kinds = sum((F.col("value").rlike(k).cast("int") for k in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9\s]")), F.lit(0))
+    # a word, a reference, a call or a phrase is no key
+    keylike = (F.length("value") >= 6) & (kinds >= 2) & ~F.col("value").rlike(r"^[A-Z]?[a-z]+\W?$|^[$<{(%*\[/]|[A-Za-z]\(|\s|environ|config\.")
+    password = F.col("before").rlike(r"(?i)(passw(or)?d|passphrase|pwd)[\"']?\s{0,4}[:=]+\s{0,4}[\"']$") & ~F.col("value").rlike(r"^[$<{(%*]|^\s*$|(?i)^(null|none|true|false|string|password)$")
+    named = F.col("before").rlike(_NAMED) & ~F.col("before").rlike(_HASHED) & (keylike | password)
+    sample = F.lower("value").rlike(_SAMPLE) & ~structural
     return F.coalesce((structural | named) & ~sample, F.lit(False)).cast("double")
 
 

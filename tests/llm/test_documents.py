@@ -304,6 +304,28 @@ def test_bare_structural_secrets_are_masked(spark):
         assert clean[i].startswith("we saw\n[SECRET]") and b not in clean[i], clean[i]
 
 
+def test_candidates_hold_whole_secrets(spark):
+    b = "q7Xb2LmZ9rTk4VwN8sHd3JfY6cPg1AeU5oKi"
+    block = lambda kind, body: f"-----BEGIN {kind}-----{body}-----END {kind}-----"
+    cases = [
+        block("RSA PRIVATE KEY", f"\\n{b}\\n{b}\\n"), block("RSA PRIVATE KEY", f"\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n{b}\n"),
+        block("PGP PRIVATE KEY BLOCK", f"\nVersion: X v1.0\n\n{b}\n=ab+C\n"), block("PRIVATE KEY", f"\n{(b + chr(10)) * 600}"),
+    ]
+    texts = [f"see {c} there" for c in cases] + [f"see {{'api_key': '{c}'}} there" for c in cases]
+    wanted = cases * 2
+    for value in ("hunter2", "p@ss, w\u00f6rd!", "kJhGfDsAqWeRtYuIoPlM"):
+        texts += [f'my password = "{value}" ok', f'{{"secret_key": "{value}"}}', f"a_very_long_service_token='{value}'"]
+        wanted += [value] * 3
+    texts += ["password: s3c!x. Next", "https://x.org/?token=aB.c9&page=2 ok", "Authorization: Bearer abc.d ok", "passwd=abc"]
+    wanted += ["s3c!x", "aB.c9", "abc.d", "abc"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {i: [] for i in range(len(texts))}
+    for r in secrets.findings(docs, [1.0]).collect():
+        assert texts[r.doc_id][r.start : r.start + r.length] == r.value
+        got[r.doc_id].append(r.value)
+    assert all(w in got[i] for i, w in enumerate(wanted)), [(t, got[i]) for i, (t, w) in enumerate(zip(texts, wanted, strict=True)) if w not in got[i]]
+
+
 def test_secret_scan_plan_is_native(spark, capsys):
     docs = secret_rows(spark)
     secrets.redact(docs, [0.5]).explain()
