@@ -166,9 +166,12 @@ def weak_labels(findings: DataFrame, limit: int = TRAINING_ROWS) -> DataFrame:
     blocks, providers' prefixes, JWTs) and values that are assigned to a secret's name
     are secrets; the same values under a hash's name, and sample values under a
     secret's name, are not.  Invented structural findings without a name are added, as
-    a table may hold few.  At most ``limit`` rows; candidates are taken by hash."""
-    taken = findings.orderBy(F.xxhash64("value", "before"), "value", "before").limit(limit // 4)
-    plain = taken.select("value", "before", "after", "path", _truth().alias("label"))
+    a table may hold few.  At most ``limit`` rows; distinct candidates are taken by
+    hash, half of them positives and half negatives as far as there are so many."""
+    least = F.min(F.struct("after", "path")).alias("x")
+    distinct = cut(findings.groupBy("value", "before").agg(least).select("value", "before", "x.after", "x.path", _truth().alias("label")))
+    half = lambda label: distinct.where(F.col("label") == label).orderBy(F.xxhash64("value", "before"), "value", "before").limit(limit // 8)
+    taken = plain = cut(half(1.0).unionByName(half(0.0)))
     under_hash = taken.where(~F.col("value").rlike(_STRUCTURAL)).select(
         "value",
         F.concat(F.left("before", F.lit(20)), F.element_at(F.array(*map(F.lit, (" sha256: ", ' commit = "', " checksum ", "md5="))), F.pmod(F.crc32("value"), F.lit(4)).cast("int") + 1)).alias("before"),

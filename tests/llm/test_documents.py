@@ -326,6 +326,16 @@ def test_candidates_hold_whole_secrets(spark):
     assert all(w in got[i] for i, w in enumerate(wanted)), [(t, got[i]) for i, (t, w) in enumerate(zip(texts, wanted, strict=True)) if w not in got[i]]
 
 
+def test_training_sample_holds_rare_positives(spark):
+    """One key among thousands of ids, and a pair copied more often than the sample is large."""
+    rows = [(i, f"id {hashlib.md5(str(i).encode()).hexdigest()} here", "s") for i in range(3000)] + [(5000 + i, f"same {HEX} again", "s") for i in range(3000)]
+    rows.append((9000, f'api_key = "{HEX[::-1]}"', "s"))
+    labelled = secrets.weak_labels(secrets.plausible(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), path="source")).collect()
+    assert len(labelled) <= secrets.TRAINING_ROWS
+    assert sum(r.label == 1 and r.value == HEX[::-1] for r in labelled) == 1
+    assert sum(r.value == HEX and r.before == "same " for r in labelled) <= 1
+
+
 def test_secret_scan_plan_is_native(spark, capsys):
     docs = secret_rows(spark)
     secrets.redact(docs, [0.5]).explain()
