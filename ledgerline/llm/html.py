@@ -3,7 +3,8 @@
 A page is a sequence of words and tags.  Words score positive, tags negative, and
 one linear scan finds the contiguous region with the largest sum.  The weights are
 learned from labelled pages: a tag costs more the more often it stands outside
-the labelled content, and an element that hardly ever does inside is boilerplate,
+the labelled content and outside boilerplate, tags inside boilerplate or named
+content cost nothing on top, and an element that hardly ever does inside is boilerplate,
 whose words count nothing and are left out of the text.
 
 Pages are labelled where their own markup names the content (``article``, ``main``,
@@ -35,6 +36,8 @@ LABELLED_PAGES = 4000
 LEAST_SEEN = 3
 #: scores: a word, a tag inside content, and what a tag outside costs on top
 WORD, TAG, OUTSIDE = 1.0, 0.2, 3.0
+#: what a list, table or link tag costs that is not learned
+LISTED = 0.5
 #: an element this often outside the labelled content is boilerplate
 BOILERPLATE = 0.95
 
@@ -57,6 +60,7 @@ BLOCK = set(
     "header hr html li main nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 CONTENT = {"article", "main"}
+LISTS = set("a ul ol li dl dt dd table caption thead tbody tfoot tr th td figure figcaption img".split())
 PROSE = set("p br b i em strong span u q s cite small sub sup code pre blockquote h1 h2 h3 h4 h5 h6".split())
 # fixed values: words of class, id and role that name what is not the article
 NAMED = set(
@@ -105,8 +109,8 @@ class Weights:
     boilerplate: set[str] = field(default_factory=set)
 
     def of(self, key: str, tag: str) -> float:
-        """Cost of a tag; one not learned costs little if it marks up prose."""
-        return self.cost.get(key, self.cost.get(tag, TAG if tag in PROSE else TAG + OUTSIDE / 2))
+        """Cost of a tag; one not learned costs little if it marks up prose or lists."""
+        return self.cost.get(key, self.cost.get(tag, TAG if tag in PROSE else LISTED if tag in LISTS else TAG + OUTSIDE / 2))
 
 
 def _is_boilerplate(tag: str, names: list[str], inside: bool, weights: Weights) -> bool:
@@ -127,8 +131,10 @@ def _pieces(page: str, weights: Weights):
         at = end
         names = _names(attributes) if attributes and not closing else []
         key = _key(tag, names)
-        yield None, -(TAG if not tag else weights.of(key, tag)), tag in BLOCK
-        if tag == "br" and not skip:
+        # tags of boilerplate inside are not the content's, and in named content no tag tells against it
+        cost = 0.0 if skip and not (closing and tag == skip and depth == 1) else TAG if not tag or (inside and tag not in CONTENT) else weights.of(key, tag)
+        yield None, -cost, tag in BLOCK
+        if tag in ("br", "td", "th") and not skip:
             yield " ", 0.0, False
         if skip:
             if tag == skip:
@@ -190,7 +196,18 @@ def labelled_counts(page: str) -> dict[str, list[int]]:
                 last = i
                 break
     out: dict[str, list[int]] = {}
+    skip, depth = "", 0
     for i, (_, t, closing, key, named) in enumerate(spots):
+        # tags below boilerplate tell nothing about those beside it
+        if skip:
+            if t == skip:
+                depth += -1 if closing else 1
+                skip = skip if depth else ""
+            if skip and not (named and not closing):
+                continue
+            skip = ""
+        elif t and not closing and not named and t not in VOID and t not in RAW and t in NEVER:
+            skip, depth = t, 1
         if t and not closing and not named and t not in ("html", "body"):
             out.setdefault(key, [0, 0])[0 if opened[0] < i < last else 1] += 1
     return out

@@ -42,6 +42,22 @@ def test_other_template_without_article(spark, sf):
     )
 
 
+def test_edges_of_articles(spark, sf):
+    """Lists, tables, link-rich paragraphs and a long aside at and inside the article's edges."""
+    w = html.learn(spark.read.parquet(f"{sf}/pages.parquet"))
+    nav = "<html><body><nav><ul>" + "<li><a href=x>Menu</a></li>" * 9 + "</ul></nav>"
+    foot = "<footer><p>Copyright notice here</p></footer></body></html>"
+    items = "<ul>" + "".join(f"<li><a href=x>item {i}</a></li>" for i in range(8)) + "</ul>"
+    cells = "<table><tr>" + "<td>cell</td>" * 6 + "</tr></table>"
+    links = "<p>" + " ".join(f"<a href=x>link{i}</a>" for i in range(8)) + "</p>"
+    aside = "<aside><ul>" + "<li><a href=x>Read this</a></li>" * 20 + "</ul></aside>"
+    prose = "<p>" + "plain words of the article " * 12 + "</p>"
+    words = lambda t: re.sub(r"<aside>.*</aside>|<[^>]*>", " ", t).split()
+    for inner in (prose + items, items + prose, cells + prose + cells, links + prose + links, "<p>a short first part</p>" + aside + prose, prose + aside + "<p>a short last part</p>"):
+        assert html.extract(f"{nav}<article>{inner}</article>{foot}", w).split() == words(inner), inner
+    assert html.extract(f"{nav}{prose}{aside}{prose}{foot}", w).split() == words(prose + prose)
+
+
 def test_extraction_odd_pages():
     w = html.Weights()
     assert html.extract(None, w) == "" and html.extract("", w) == "" and html.extract("<p></p>", w) == ""
