@@ -38,8 +38,11 @@ LEAST_SEEN = 3
 WORD, TAG, OUTSIDE = 1.0, 0.2, 3.0
 #: what a list, table or link tag costs that is not learned
 LISTED = 0.5
-#: an element this often outside the labelled content is boilerplate
+#: an element this often outside the labelled content is boilerplate, if seen so often
 BOILERPLATE = 0.95
+LEAST_BOILERPLATE = 20
+#: an element with this share of a page's words is its content, whatever its names say
+MOST = 2 / 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
@@ -55,6 +58,8 @@ _WHITE = re.compile(r"\s+")
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 NEVER = RAW | {"head", "nav", "footer", "aside", "form", "button", "select", "option", "svg", "canvas", "object", "menu", "dialog", "label", "fieldset"}
+#: never content, however many words they hold
+SURE = NEVER - {"form", "fieldset", "label"}
 BLOCK = set(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html li main nav ol p pre section summary table tbody tfoot thead tr ul".split()
@@ -121,11 +126,31 @@ def _is_boilerplate(tag: str, names: list[str], inside: bool, weights: Weights)
     return tag == "header" and not inside
 
 
+def _holds_most(found: list, page: str) -> set[int]:
+    """Which opening tags of a page without named content hold most of its words."""
+    if any(tag in CONTENT for _, _, tag, _, _ in found):
+        return set()
+    before, at, total, open_tags, ends = [], 0, 0, {}, {}
+    for i, (start, end, tag, closing, _) in enumerate(found):
+        total += len(page[at:start].split())
+        before.append(total)
+        at = end
+        if closing and open_tags.get(tag):
+            ends[open_tags[tag].pop()] = i
+        elif not closing and tag not in VOID and tag not in RAW:
+            open_tags.setdefault(tag, []).append(i)
+    total += len(page[at:].split())
+    unclosed = {i: None for left in open_tags.values() for i in left}
+    return {i for i, j in (ends | unclosed).items() if (total if j is None else before[j]) - before[i] > MOST * total}
+
+
 def _pieces(page: str, weights: Weights):
     """The page as ``(text, score, breaks)``: text between tags, None inside
     boilerplate, each followed by the score of the tag after it."""
     at, skip, depth, inside = 0, "", 0, 0
-    for start, end, tag, closing, attributes in tokens(page):
+    found = list(tokens(page))
+    most = _holds_most(found, page)
+    for i, (start, end, tag, closing, attributes) in enumerate(found):
         text = page[at:start]
         yield (None if skip else text), 0.0, False
         at = end
@@ -145,7 +170,7 @@ def _pieces(page: str, weights: Weights):
                 skip, inside = "", inside + 1  # the boilerplate was never closed
         elif tag in CONTENT:
             inside = max(0, inside + (-1 if closing else 1))
-        elif not closing and tag not in VOID and tag not in RAW and not attributes.endswith("/") and _is_boilerplate(tag, names, inside > 0, weights):
+        elif not closing and tag not in VOID and tag not in RAW and not attributes.endswith("/") and not (i in most and tag not in SURE) and _is_boilerplate(tag, names, inside > 0, weights):
             skip, depth = tag, 1
     if not skip:
         yield page[at:], 0.0, False
@@ -239,7 +264,7 @@ def learn(pages: DataFrame, html: str = "html", key: str = "page_id", limit: int
     for tag, i, o in rows:
         share = o / (i + o)
         weights.cost[tag] = TAG + OUTSIDE * share
-        if share >= BOILERPLATE and "." in tag:
+        if share >= BOILERPLATE and i + o >= LEAST_BOILERPLATE and "." in tag:
             weights.boilerplate.add(tag)
     return weights
 

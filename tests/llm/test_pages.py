@@ -58,6 +58,22 @@ def test_edges_of_articles(spark, sf):
     assert html.extract(f"{nav}{prose}{aside}{prose}{foot}", w).split() == words(prose + prose)
 
 
+def test_wrappers_with_listed_words_keep_the_page():
+    prose = "<p>" + "plain words of the article " * 12 + "</p>"
+    learned = html.Weights(boilerplate={"div.wrap"})
+    for wrapper in ("div class='no-sidebar'", "div id='content-with-header'", "form action=x", "div class=wrap", "body class=related"):
+        tag = wrapper.split()[0]
+        page = f"<html><{wrapper}><nav>Menu of the site</nav>{prose}<div class='sidebar'>Read this too</div></{tag}></html>"
+        assert html.extract(page, learned).split() == re.sub("<[^>]*>", " ", prose).split(), wrapper
+
+
+def test_learned_boilerplate_needs_evidence(spark):
+    page = "<div class='wrap'>words</div><article><p>the text</p></article>"
+    for n, sure in ((4, False), (40, True)):
+        pages = spark.createDataFrame([(i, page) for i in range(n)], "page_id bigint, html string")
+        assert ("div.wrap" in html.learn(pages).boilerplate) == sure
+
+
 def test_extraction_odd_pages():
     w = html.Weights()
     assert html.extract(None, w) == "" and html.extract("", w) == "" and html.extract("<p></p>", w) == ""
