@@ -433,9 +433,11 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     docs = docs.select(*(F.col(f"`{c}`") for c in names))
     total = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     n_parts, buckets = total // PART_BYTES + 1, total // BUCKET_BYTES + 1
-    # a row's part follows from its key, so every pass deals it alike
-    part = F.pmod(F.coalesce(F.xxhash64(key), F.xxhash64(text)), F.lit(n_parts))
-    dealt = docs.select(part.alias("part"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
+    # rows without a key match nothing: they stay whole and are not dealt, so that no
+    # part holds them all; another row's part follows from its key, so every pass deals it alike
+    keyed, others = docs.where(F.col(f"`{key}`").isNotNull()), docs.where(F.col(f"`{key}`").isNull())
+    part = F.pmod(F.xxhash64(key), F.lit(n_parts))
+    dealt = keyed.select(part.alias("part"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
     ckey, ctext = (f"c{names.index(c)}" for c in (key, text))
     first, second, third, finish = _part_functions(ckey, ctext, length, buckets, len(names))
 
@@ -447,4 +449,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
         told = told.unionByName(asked.groupBy("bucket").applyInArrow(digit, _MESSAGE))
     schema = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)] + StructType.fromDDL(_RESULT).fields)
     out = texts().cogroup(told.groupBy("part")).applyInArrow(finish, schema)
-    return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), "n_bytes", "spans", "kept")
+    out = out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), "n_bytes", "spans", "kept")
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
+    values = {"n_bytes": F.octet_length(whole), "spans": F.array(), "kept": whole}
+    added = [values[f.name].cast(f.dataType).alias(f.name) for f in StructType.fromDDL(_RESULT).fields]
+    return out.unionByName(others.select(*(F.col(f"`{c}`") for c in names), *added))

@@ -139,6 +139,17 @@ def test_repeated_spans_long_text_in_pieces(spark, monkeypatch):
     assert {r.doc_id: [(r.n_bytes, sum(s.end - s.start for s in r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())] for r in got} == expected
 
 
+def test_null_keys_stay_out_of_the_parts(spark):
+    """Rows without a key, with equal texts too, are in no part and stay whole."""
+    rows = [(None, f"text {i % 40} " * 20) for i in range(80)] + [(None, None), (1, "text 1 " * 20), (2, "text 1 " * 20)]
+    out = substrings.repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert "isnotnull(doc_id" in out._jdf.queryExecution().optimizedPlan().toString()
+    got = out.collect()
+    assert sorted((r.text or "") for r in got) == sorted((t or "") for _, t in rows)
+    whole = [r for r in got if r.doc_id != 2]
+    assert len(whole) == 82 and all(r.spans == [] and bytes(r.kept) == (r.text or "").encode() and r.n_bytes == len(r.kept) for r in whole)
+
+
 def test_repeated_spans_clashing_columns_and_empty(spark):
     out = substrings.repeated_spans(odd_docs(spark))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "id", "node", "score", "part", "length", "n_bytes", "spans", "kept"]
