@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import html, language, minhash, packing, quality, sampling, secrets, substrings, vectors, warc
+from ledgerline.llm import centroids, html, language, lines, minhash, packing, quality, runs, sampling, secrets, substrings, vectors, warc
 from ledgerline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,6 +219,102 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+OP11_START = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64 AND len(embedding) = 64
+), v AS MATERIALIZED (
+  SELECT vec_id, q, generate_subscripts(q, 1) AS i, unnest(q) AS x FROM whole
+), c0 AS MATERIALIZED (
+  SELECT c, generate_subscripts(q, 1) AS i, unnest(q) AS y
+  FROM (SELECT q, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM whole QUALIFY c < 40)
+)"""
+
+OP11_NEAREST = """
+, a{n} AS MATERIALIZED (
+  SELECT vec_id, c, d FROM (SELECT vec_id, c, sum((x - y) * (x - y)) AS d FROM v JOIN c{n} USING (i) GROUP BY vec_id, c)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1
+)"""
+
+OP11_MOVE = """
+, m{n} AS MATERIALIZED (
+  SELECT c, i, sum(x) AS s, count(*) AS k FROM v JOIN a{p} USING (vec_id) GROUP BY c, i
+), c{n} AS MATERIALIZED (
+  SELECT c, i, CASE WHEN k IS NULL THEN y ELSE (s - ((s % k) + k) % k) // k END AS y FROM c{p} LEFT JOIN m{n} USING (c, i)
+)"""
+
+OP11_SQL = (
+    OP11_START
+    + "".join(OP11_NEAREST.format(n=n) + OP11_MOVE.format(n=n + 1, p=n) for n in range(5))
+    + OP11_NEAREST.format(n=5)
+    + """
+, named AS (
+  SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c5 GROUP BY c
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a5 JOIN named USING (c)
+"""
+)
+
+
+@register("op11_centroid_clusters", OP11_SQL)
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's nearest of 40 centroids after five rounds."""
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    listed = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(listed, 256).alias("centroid_sha256"))
+
+
+OP12_SQL = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM line
+), first AS (
+  SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+), judged AS (
+  SELECT doc_id, i, line, coalesce(doc_id > first, false) AS gone FROM keyed LEFT JOIN first USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@register("op12_line_dedup", OP12_SQL)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier document holds."""
+    out = lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def repeated_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Where crc32 of the id ends in 0, the words from one on repeat a stretch of themselves."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate((np.arange(a), a + np.arange(n - a) % p))
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words per document, a tenth of the documents with a repeated tail."""
+    out = runs.periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), arrange=repeated_tail)
+    more = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    nothing = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    best = F.aggregate("runs", nothing, lambda best, r: F.when(more(best, r), r).otherwise(best))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.select("doc_id", "collapsed", "runs", best.alias("best")).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over ``documents``."""
