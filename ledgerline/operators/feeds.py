@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ledgerline import labels as L
 from ledgerline.context import RunContext
 from ledgerline.schema import LEDGER, conform
+from ledgerline.sources.coverage import require
 from ledgerline.sources.snapshot import month_from, snapshot_union, today
 
 
@@ -105,6 +106,21 @@ def own_sources(specs: list[FeedSpec], events: dict[str, str]) -> list[FeedSpec]
     return [replace(s, source=s.name, event_column=events[s.name]) if s.source == "snapshot" else s for s in specs]
 
 
+def snapshot_feeds(specs: list[FeedSpec]) -> dict[str, str]:
+    """The feeds that read snapshots, and the input of each."""
+    return {s.name: s.source for s in specs if s.slice != "table"}
+
+
+def feed_ledger(specs: list[FeedSpec], inputs, ctx: RunContext, mode: str = "incremental", months: list[str] | None = None) -> DataFrame:
+    """All feeds of a ledger, stacked.  A rebuild (of ``months``, or all) raises
+    ``MissingSnapshots`` where a feed's source lacks a closing snapshot."""
+    if mode == "rebuild":
+        spark = inputs[specs[0].source].sparkSession
+        require(spark, inputs, snapshot_feeds(specs), ctx, mode, months)
+    out = union_feeds([build_feed(s, inputs[s.source], ctx, mode, window=(mode == "incremental")) for s in specs])
+    return rewrite_window(out, ctx) if mode == "incremental" else out
+
+
 def _with_raw(df: DataFrame) -> T.StructType:
     return T.StructType(LEDGER.fields + [T.StructField("__raw_event", df.schema["__raw_event"].dataType)])
 

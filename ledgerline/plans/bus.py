@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import labels as L
 from ledgerline.context import RunContext
 from ledgerline.functions.rules import keep, ordered_rule, recode
-from ledgerline.operators.feeds import build_feed, FeedSpec, own_sources, rewrite_window, union_feeds
+from ledgerline.operators.feeds import FeedSpec, feed_ledger, own_sources
 from ledgerline.sources.snapshot import month_of
 
 # fixed values: price rules of the bus feeds
@@ -43,7 +43,6 @@ def bus_specs() -> list[FeedSpec]:
         (F.to_date("event_ts") < F.lit(TEST_AGENT_RULE_FROM).cast("date"), True),
         (c("agent").like(TEST_AGENT_PATTERN), False),
     ])
-    adjustment_rows = (c("data_type") == F.lit(L.ADJUSTMENT)) & (c("segment") == F.lit(L.BUS))
     return own_sources([
         FeedSpec("U1_signing", **snap, scene2="bus_signing", scene=L.SIGNING, buyer=c("bank"), price=c("price"),
                  key=c("id"), preinstall="", dedup_raw_event=True),
@@ -68,17 +67,14 @@ def bus_specs() -> list[FeedSpec]:
                  buyer="person", price=-c("price"), key=c("id")),
         FeedSpec("U11_cancel_decrease", **snap, **dec, scene2="bus_cancel_decrease", scene=L.CANCEL_PAID, buyer="person",
                  price=-c("price"), key=c("id")),
-        FeedSpec("U12_manual_person", source="adjustments", event="date", segment=L.BUS, slice="table", floor=False,
+        FeedSpec("U12_manual_person", source="live_adjustments", event="date", segment=L.BUS, slice="table", floor=False,
                  scene2=recode(c("scene"), ADJUST_LABEL), scene=recode(c("scene"), ADJUST_SCENE), buyer="person",
-                 price=c("price"), key=c("obu_id"), data_type=L.ADJUSTMENT, adjust_type=L.DECREASE, distinct=False,
-                 where=adjustment_rows),
+                 price=c("money"), key=c("obu_id"), data_type=L.ADJUSTMENT, adjust_type=L.DECREASE, distinct=False),
         FeedSpec("U13_manual_income", source="manual_income", event="date", segment=L.BUS, slice="table", floor=False,
                  scene2=recode(c("scene2"), ADJUST_LABEL), scene=recode(c("scene2"), ADJUST_SCENE), buyer="person",
                  price=c("price"), key=c("obu_id"), data_type=L.ADJUSTMENT, adjust_type=L.DECREASE, distinct=False),
     ], BUS_EVENTS)
 
 
-def bus_ledger(inputs, ctx: RunContext, mode: str = "incremental") -> DataFrame:
-    frames = [build_feed(s, inputs[s.source], ctx, mode, window=(mode == "incremental")) for s in bus_specs()]
-    out = union_feeds(frames)
-    return rewrite_window(out, ctx) if mode == "incremental" else out
+def bus_ledger(inputs, ctx: RunContext, mode: str = "incremental", months: list[str] | None = None) -> DataFrame:
+    return feed_ledger(bus_specs(), inputs, ctx, mode, months)

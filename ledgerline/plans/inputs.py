@@ -24,7 +24,8 @@ def fixture_merged_ledger(spark: SparkSession, root: str) -> DataFrame:
 BUILDERS = {
     "snapshot": fx.fx_snapshot,
     "ledger_table": fx.fx_ledger,
-    "adjustments": fx.fx_ledger,
+    "live_adjustments": fx.fx_live_adjustments,
+    "after_sales": fx.fx_after_sales,
     "service_detail": fx.fx_detail,
     "equipment": fx.fx_equipment,
     "bill": fx.fx_bill,
@@ -42,6 +43,7 @@ BUILDERS = {
     "corrections": fx.fx_corrections,
     "adjust_file": fx.fx_adjust_file,
     "manual_income": fx.fx_manual_income,
+    "person_services": fx.fx_person_services,
     "person_scenes": fx.fx_person_scenes,
     "corrections_second": fx.fx_loaded_corrections,
     "loaded_corrections": fx.fx_loaded_corrections,
@@ -50,12 +52,21 @@ BUILDERS = {
 }
 
 
-# every snapshot feed reads a table of its own; its fixture is the snapshot under the feed's event column
+# every snapshot feed reads a table of its own; its fixture is the snapshot, or for the
+# after-sales feeds another one, under the feed's event column
 FEED_EVENTS = TRUCK_EVENTS | BUS_EVENTS
+AFTER_SALES_FEEDS = {"T5_after_sales", "T13_after_sales_decrease", "U4_after_sales", "U10_after_sales_decrease"}
 
 
 class Inputs(dict):
-    """Name -> DataFrame map of tables; an unknown name raises."""
+    """Name -> DataFrame map of tables; an unknown name raises.  ``tables`` has the
+    catalog table of the inputs that are read from one."""
+
+    tables: dict[str, str] = {}
+
+    def origin(self, name: str) -> str:
+        """What an input is read from; inputs of one origin hold the same snapshots."""
+        return self.tables.get(name, name)
 
     def __missing__(self, name: str) -> DataFrame:
         raise KeyError(f"input {name!r} was not given; known inputs: {', '.join(sorted(self)) or 'none'}")
@@ -67,13 +78,24 @@ class FixtureInputs(Inputs):
     def __init__(self, spark: SparkSession, root: str):
         super().__init__()
         self.spark, self.root = spark, root
+        self.built: set[str] = set()
+
+    def origin(self, name: str) -> str:
+        if name not in FEED_EVENTS or (name in self and name not in self.built):
+            return name  # a frame that the caller put there is a table of its own
+        return "after_sales" if name in AFTER_SALES_FEEDS else "snapshot"
+
+    def __setitem__(self, name: str, frame: DataFrame) -> None:
+        self.built.discard(name)
+        super().__setitem__(name, frame)
 
     def __missing__(self, name: str) -> DataFrame:
+        frame = BUILDERS[self.origin(name)](self.spark, self.root)
         if name in FEED_EVENTS:
-            self[name] = fx.fx_snapshot(self.spark, self.root).withColumnRenamed("event_ts", FEED_EVENTS[name])
-        else:
-            self[name] = BUILDERS[name](self.spark, self.root)
-        return self[name]
+            frame = frame.withColumnRenamed("event_ts", FEED_EVENTS[name])
+        self[name] = frame
+        self.built.add(name)
+        return frame
 
 
 def fixture_inputs(spark: SparkSession, root: str) -> FixtureInputs:
@@ -87,4 +109,6 @@ def catalog_inputs(spark: SparkSession, tables: dict[str, str]) -> Inputs:
     reads are lazy, so only the inputs a job uses are touched.  The ledger
     that a job writes is not an input: it reads its own target.
     """
-    return Inputs({name: spark.table(table) for name, table in tables.items()})
+    out = Inputs({name: spark.table(table) for name, table in tables.items()})
+    out.tables = dict(tables)
+    return out

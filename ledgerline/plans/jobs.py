@@ -21,11 +21,14 @@ from ledgerline.context import RunContext
 from ledgerline.plans import cost as C
 from ledgerline.plans import reports as R
 from ledgerline.plans import services as S
-from ledgerline.plans.bus import bus_ledger
+from ledgerline.operators.feeds import snapshot_feeds
+from ledgerline.plans.bus import bus_ledger, bus_specs
 from ledgerline.plans.inputs import Inputs
 from ledgerline.plans.merge import empty_ledger, merge_ledger
-from ledgerline.plans.truck import truck_ledger
+from ledgerline.plans.truck import truck_ledger, truck_specs
+from ledgerline.schema import ARM
 from ledgerline.sinks import create_partitioned, extract_csv, full_refresh, overwrite_partitions, replace_day
+from ledgerline.sources.coverage import require
 
 
 @dataclass
@@ -58,15 +61,16 @@ class CostTables:
 
 
 def write_months(df: DataFrame, table: str, ctx: RunContext, mode: str, partition_col: str = "month",
-                 location: str | None = None, months: list[str] | None = None) -> None:
+                 location: str | None = None, months: list[str] | None = None, older: bool = False) -> None:
     """Month-partitioned target.  Every run replaces the months it has rows for and
     empties months of its own without rows; all other months stay as they are.  An
     incremental run's own months are its window; a rebuild's are all months that its
     snapshots close, or ``months`` (Q16: re-close a month whose run on the 1st was
-    missed), which then are the only ones written."""
+    missed).  A rebuild writes no other month, unless ``df`` has older ones whole
+    (``older``)."""
     spark = df.sparkSession
-    if mode == "rebuild" and months:
-        df = df.where(F.col(partition_col).isin(months))
+    if mode == "rebuild" and (months or not older):
+        df = df.where(F.col(partition_col).isin(months or ctx.rebuild_months))
     if not spark.catalog.tableExists(table):
         create_partitioned(df, table, partition_col, path=location)
         return
@@ -89,22 +93,43 @@ def _publish(spark: SparkSession, publish: Publisher | None, table: str) -> None
         publish(spark.table(table), table)
 
 
+def income_snapshot_feeds() -> dict[str, str]:
+    """Every feed of the income job that reads snapshots, and its input."""
+    return snapshot_feeds(truck_specs()) | snapshot_feeds(bus_specs()) | {"D9_D11_movements": "service_detail"}
+
+
+def stored_ledger(spark: SparkSession, table: str) -> DataFrame:
+    """The ledger that the job reads and rewrites; one written before arms were stored
+    gets the column, null for all its rows."""
+    if not spark.catalog.tableExists(table):
+        return empty_ledger(spark)
+    if ARM not in spark.table(table).columns:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ARM} string)")
+    return spark.table(table)
+
+
 def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables: IncomeTables,
                    mode: str = "incremental", locations: dict | None = None,
-                   publish: Publisher | None = None, months: list[str] | None = None) -> None:
+                   publish: Publisher | None = None, months: list[str] | None = None, may_lack: tuple[str, ...] = ()) -> None:
     """``publish`` (K5) receives every summary table after it was written.
-    ``mode="rebuild", months=[...]`` re-closes only those months."""
+    ``mode="rebuild", months=[...]`` re-closes only those months.
+
+    Before the first table is touched, every snapshot source is checked for the
+    snapshots that close the months the run owns; ``MissingSnapshots`` otherwise.
+    Feeds in ``may_lack`` are left out of that check."""
     loc = (locations or {}).get
-    write_months(truck_ledger(inputs, ctx, mode), tables.truck, ctx, mode, location=loc("truck"), months=months)
-    write_months(bus_ledger(inputs, ctx, mode), tables.bus, ctx, mode, location=loc("bus"), months=months)
+    feeds = {f: name for f, name in income_snapshot_feeds().items() if f not in may_lack}
+    require(spark, inputs, feeds, ctx, mode, months)
+    write_months(truck_ledger(inputs, ctx, mode, months), tables.truck, ctx, mode, location=loc("truck"), months=months)
+    write_months(bus_ledger(inputs, ctx, mode, months), tables.bus, ctx, mode, location=loc("bus"), months=months)
 
     # the job reads its own target; before the first run there is no ledger
-    inputs["current_ledger"] = spark.table(tables.ledger) if spark.catalog.tableExists(tables.ledger) else empty_ledger(spark)
+    inputs["current_ledger"] = stored_ledger(spark, tables.ledger)
     merged = merge_ledger(spark, inputs, ctx, spark.table(tables.truck), spark.table(tables.bus),
                           window=(mode == "incremental"))
-    write_months(merged, tables.ledger, ctx, mode, location=loc("ledger"), months=months)
+    write_months(merged, tables.ledger, ctx, mode, location=loc("ledger"), months=months, older=True)
 
-    ledger = spark.table(tables.ledger)
+    ledger = spark.table(tables.ledger).drop(ARM)
     full_refresh(R.settlement_slice(ledger), tables.settlement, path=loc("settlement"))
     full_refresh(R.waiver_summary(ledger), tables.waiver, path=loc("waiver"))
     _publish(spark, publish, tables.waiver)

@@ -4,7 +4,8 @@ Arms: truck ledger (all rows), bus ledger (rows with a device), three
 ledger-shaped correction tables, one constant correction row, three label-mapped
 adjustment files, and corrections derived from the current ledger.  The
 after-tax price is recomputed once over the union (arm values are ignored),
-then the rewrite window keeps the months the run owns.
+then the rewrite window keeps the months the run owns.  Every adjustment is stored
+with the name of its arm, so that a later run knows its own corrections.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from ledgerline.functions.rules import direction, recode
 from ledgerline.functions.tax import net_price
 from ledgerline.operators.adjustments import adjustment, constant_rows, ledger_shaped, self_correction
 from ledgerline.operators.feeds import rewrite_window, union_feeds
-from ledgerline.schema import LEDGER, MERGED, conform
+from ledgerline.operators.joins import staged
+from ledgerline.schema import ARM, LEDGER, MERGED, STORED, conform
+from ledgerline.sources.snapshot import month_from
 
 # fixed values: the constant correction row
 CONSTANT_CORRECTION = {
@@ -64,7 +67,7 @@ def merge_arms(spark: SparkSession, truck: DataFrame, bus: DataFrame, inputs) ->
         "corrections_second": ledger_shaped(inputs["corrections_second"], MERGED),
         "constant": constant_rows(spark, [CONSTANT_CORRECTION], MERGED),
         # free date, fixed month
-        "person_by_service": adjustment(inputs["manual_income"], {
+        "person_by_service": adjustment(inputs["person_services"], {
             **decrease, "date": c("date"), "scene": recode(c("scene2"), PERSON_SCENE), "scene2": "person_half_year_decrease",
             "month": PERSON_MONTH}, MERGED),
         "recoded_bank": adjustment(inputs["adjust_file"], {
@@ -92,35 +95,47 @@ def merge_arms(spark: SparkSession, truck: DataFrame, bus: DataFrame, inputs) ->
 
 def merge_ledger(spark: SparkSession, inputs, ctx: RunContext, truck: DataFrame, bus: DataFrame,
                  window: bool = True) -> DataFrame:
-    """All partitions that the run writes, whole.
+    """All partitions that the run writes, whole, with the arm that each adjustment
+    comes from.
 
     The window is on the date; a correction may be dated inside it and still name an
     older month.  Such rows join the rows that their older partition already has,
-    without the copies of them that an earlier run put there, so that writing the
-    partition loses nothing and a second run changes nothing."""
-    current = inputs["current_ledger"]
-    u = union_feeds(list(merge_arms(spark, truck, bus, inputs).values()))
-    u = u.withColumn("net_price", net_price(F.col("segment"), F.col("scene"), F.col("price")))
-    if window:
-        u = rewrite_window(u, ctx)
+    without those that an earlier run of the same window put there: the stored arm and
+    a date in the window tell them from rows that were booked, however equal they are.
+    So writing the partition loses nothing, and a second run changes nothing.
+
+    A rebuild owns its months and, of older ones, corrections dated from its first
+    month on.  The adjustments are staged once (a run's window, or all for a rebuild);
+    truck and bus rows take their month from their date and are never late."""
+    arms = merge_arms(spark, truck, bus, inputs)
+    taxed = lambda df: df.withColumn("net_price", net_price(F.col("segment"), F.col("scene"), F.col("price")))
+    stored = lambda df, arm: df.select(*MERGED.fieldNames()[:-1], F.lit(arm).cast("string").alias(ARM), "month")
+    booked = union_feeds([stored(arms.pop(n), None) for n in ("truck", "bus")])
+    adjusted = union_feeds([stored(df, name) for name, df in arms.items()])
     first = ctx.window_start if window else ctx.rebuild_months[0]
-    late = u.where(F.col("month") < F.lit(first))
-    have = ledger_shaped(current, MERGED).where(F.col("month") < F.lit(first))
-    have = have.join(late.select("month").distinct(), "month", "left_semi").select(*MERGED.fieldNames())
-    return u.unionByName(without_rows(have, late))
-
-
-def without_rows(df: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``df`` that no row of ``gone`` equals in every column, nulls included."""
-    keys = [F.xxhash64(*df.columns).alias("__key"), F.struct(*df.columns).alias("__row")]
-    d, g = df.select("*", *keys), gone.select(*keys).distinct()
-    same = (d["__key"] == g["__key"]) & d["__row"].eqNullSafe(g["__row"])
-    return d.join(g, same, "left_anti").drop("__key", "__row")
+    dated = month_from(adjusted, "date", first)
+    own = F.col("month") >= F.lit(first)
+    if window:
+        # booked rows take their month from their date: the month prunes partitions
+        booked, adjusted = rewrite_window(booked.where(own), ctx), adjusted.where(dated)
+    else:
+        booked, adjusted = booked.where(own), adjusted.where(own | dated)
+    adjusted = staged(taxed(adjusted))
+    late = adjusted.where(~own)
+    months = sorted(r["month"] for r in late.select("month").distinct().collect())  # older months that corrections name
+    parts = [taxed(booked), adjusted]
+    if months:
+        current = inputs["current_ledger"]
+        arm = F.col(ARM) if ARM in current.columns else F.lit(None)
+        held = current.where(F.col("month").isin(months)).select(*MERGED.fieldNames()[:-1], arm.cast("string").alias(ARM), "month")
+        replaced = F.col(ARM).isNotNull() & F.coalesce(month_from(held, "date", first), F.lit(False))
+        parts.append(ledger_shaped(held.where(~replaced), STORED))
+    return union_feeds(parts)
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
     """The ledger before its first run."""
-    return spark.createDataFrame([], MERGED)
+    return spark.createDataFrame([], STORED)
 
 
 def with_net_price(ledger: DataFrame) -> DataFrame:

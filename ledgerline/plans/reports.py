@@ -159,10 +159,10 @@ def audit_adjustments(audit: DataFrame) -> DataFrame:
 
 
 def id_map(detail: DataFrame, order_map: DataFrame) -> DataFrame:
-    """J4 (nested): detail id -> its device, or the device of its order when
+    """J4 (nested): detail id -> its device, or the device of its service order when
     the detail row has none.  Not deduplicated (as modelled)."""
-    d = at_snapshot(detail, DETAIL_DS).select("id", "obu_id")
-    m = d.join(order_map, d["id"] == order_map["order_id"], "left")
+    d = at_snapshot(detail, DETAIL_DS).select("id", "obu_id", "service_order_id")
+    m = d.join(order_map, d["service_order_id"] == order_map["order_id"], "left")
     return m.select(F.col("id"), F.coalesce(d["obu_id"], F.col("device_id")).alias("device"))
 
 

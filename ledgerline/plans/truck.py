@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import labels as L
 from ledgerline.context import RunContext
 from ledgerline.functions.rules import ordered_rule
-from ledgerline.operators.feeds import build_feed, FeedSpec, own_sources, rewrite_window, union_feeds
+from ledgerline.operators.feeds import FeedSpec, feed_ledger, own_sources
 from ledgerline.sources.snapshot import month_of
 
 # fixed values: price rules of the truck feeds
@@ -17,7 +17,7 @@ NAMED_BANK = "bank_a"
 CHANGED_PRICE = 70
 PARTNER_PRICE = 180
 DECREASE_PRICE = -70
-SIGN_CUT = "2001-03-01 00:00:00"  # signings before it always carry the key
+SIGN_CUT = "2001-05-20 00:00:00"  # signings before it always carry the key
 WAIVER_DEPARTMENT = "2-HIGH"
 CARD_SWAP_CATEGORY = "card_swap"
 OWN_DEPARTMENT = "data"
@@ -27,7 +27,7 @@ OWN_DEPARTMENT = "data"
 TRUCK_EVENTS = {
     "T1_signing": "signed_time", "T2_first_use": "first_use_time", "T3_partner": "issued_time", "T4_new_paid": "paid_time",
     "T5_after_sales": "after_sales_time", "T6_cancellation": "cancel_time", "T7_waiver": "waived_time",
-    "T9_signing_increase": "increase_time", "T10_new_paid_increase": "paid_increase_time", "T11_signing_decrease": "sign_decrease_time",
+    "T9_signing_increase": "increase_time", "T10_new_paid_increase": "paid_increase_time", "T11_signing_decrease": "rescind_time",
     "T12_new_paid_decrease": "paid_decrease_time", "T13_after_sales_decrease": "after_sales_refund_time",
     "T14_cancellation_decrease": "due_refund_time", "T16_all_devices": "device_time",
 }
@@ -40,11 +40,12 @@ def truck_specs() -> list[FeedSpec]:
     adj = dict(data_type=L.ADJUSTMENT)
     swap = c("category") == F.lit(CARD_SWAP_CATEGORY)
     own = (c("department") == F.lit(OWN_DEPARTMENT))
-    # The key exists only when the sign-date / mark rule holds
+    # The key exists only when the sign-time / mark rule holds; the slice and the
+    # floor are on the event, which for this feed is the rescission
     decrease_key = ordered_rule(
         [
-            (c("event_ts") < F.lit(SIGN_CUT).cast("timestamp_ntz"), c("vehicle_id")),
-            ((c("event_ts") >= F.lit(SIGN_CUT).cast("timestamp_ntz")) & (c("remark") == F.lit("increase")), c("vehicle_id")),
+            (c("sign_time") < F.lit(SIGN_CUT).cast("timestamp_ntz"), c("vehicle_id")),
+            ((c("sign_time") >= F.lit(SIGN_CUT).cast("timestamp_ntz")) & (c("remark") == F.lit("increase")), c("vehicle_id")),
         ],
         has_default=False,
     ).cast("string")
@@ -92,7 +93,5 @@ def truck_specs() -> list[FeedSpec]:
     ], TRUCK_EVENTS)
 
 
-def truck_ledger(inputs, ctx: RunContext, mode: str = "incremental") -> DataFrame:
-    frames = [build_feed(s, inputs[s.source], ctx, mode, window=(mode == "incremental")) for s in truck_specs()]
-    out = union_feeds(frames)
-    return rewrite_window(out, ctx) if mode == "incremental" else out
+def truck_ledger(inputs, ctx: RunContext, mode: str = "incremental", months: list[str] | None = None) -> DataFrame:
+    return feed_ledger(truck_specs(), inputs, ctx, mode, months)

@@ -31,7 +31,10 @@ _PRICED_CTES = """wanted AS (
   FROM fx_settlement WHERE pay_channel <> 'channel_other' GROUP BY ALL
 )"""
 _DETAIL = ("statement_id, flow, bill_date, product_id, loan_type, big_bill_type, CAST(bill_amount AS DOUBLE) AS bill_amount, "
-           "CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee")
+           "CAST(service_fee AS DOUBLE) AS service_fee, CAST(late_fee AS DOUBLE) AS late_fee, user_id, state, account_id, period_id, flow_level, "
+           "CAST(last_due_date AS TIMESTAMP) AS last_due_date, CAST(cleared_date AS TIMESTAMP) AS cleared_date, repayment_id, bill_type, big_type, "
+           "CAST(total_amount AS DOUBLE) AS total_amount, CAST(repayment AS DOUBLE) AS repayment, CAST(actual_amount AS DOUBLE) AS actual_amount, "
+           "customer_id, CAST(open_date AS TIMESTAMP) AS open_date, is_white, cust_state")
 _COST_CTE = _PRICED_CTES + """, shared AS (
   SELECT *, CASE part_flag WHEN '0' THEN service_fee WHEN '1' THEN if(pay_channel = 'channel_bank', split_amount, NULL) END AS share,
          if(channel_flag = '1' AND pay_channel = 'channel_wallet', split_amount * channel_rate, 0) AS channel_share
@@ -56,7 +59,7 @@ def _cost_detail(spark: SparkSession, root: str) -> DataFrame:
 
 @register("cost_bill_detail", fx.with_fixtures(
     f"SELECT {_DETAIL}, pay_channel, CAST(split_amount AS DOUBLE) AS split_amount, CAST(cost_partner AS DOUBLE) AS cost_partner, "
-    "CAST(cost_channel AS DOUBLE) AS cost_channel, user_id, state FROM cost", _COST_FX, _COST_CTE))
+    "CAST(cost_channel AS DOUBLE) AS cost_channel FROM cost", _COST_FX, _COST_CTE))
 def cost_bill_detail(spark: SparkSession, root: str) -> DataFrame:
     """Bill cost detail."""
     return for_compare(_cost_detail(spark, root))
@@ -133,7 +136,7 @@ def cost_rate_table(spark: SparkSession, root: str) -> DataFrame:
 @register("cost_bill_detail_pivot", fx.with_fixtures(f"""
 SELECT {_DETAIL}, CAST(bank AS DOUBLE) AS split_bank, CAST(wallet AS DOUBLE) AS split_wallet,
        CAST(CAST(coalesce(CASE part_flag WHEN '0' THEN service_fee WHEN '1' THEN bank END * part_rate + surcharge, 0) AS DECIMAL(30,8)) AS DOUBLE) AS cost_partner,
-       CAST(CAST(coalesce(if(channel_flag = '1', wallet, NULL) * channel_rate, 0) AS DECIMAL(30,8)) AS DOUBLE) AS cost_channel, user_id, state
+       CAST(CAST(coalesce(if(channel_flag = '1', wallet, NULL) * channel_rate, 0) AS DECIMAL(30,8)) AS DOUBLE) AS cost_channel
 FROM wanted LEFT JOIN sides USING (statement_id)""", _COST_FX, _PRICED_CTES + """, sides AS (
   SELECT statement_id, max(split_amount) FILTER (pay_channel = 'channel_bank') AS bank, max(split_amount) FILTER (pay_channel = 'channel_wallet') AS wallet
   FROM settled GROUP BY ALL

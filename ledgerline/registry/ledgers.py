@@ -8,7 +8,7 @@ from ledgerline import labels as L
 from ledgerline.context import RunContext
 from ledgerline.functions.rules import keep, ordered_rule
 from ledgerline.operators.feeds import build_feed, union_feeds
-from ledgerline.oracle import snapshot_arms, two_arm, window_filter
+from ledgerline.oracle import both_arms, snapshot_arms, two_arm, window_filter
 from ledgerline.plans.bus import bus_ledger
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.plans.truck import truck_ledger, truck_specs
@@ -25,8 +25,8 @@ def _ledger_sel(date_expr, scene, buyer, price, key, data_type, adjust_type, seg
             f"'{segment}' AS segment, {scene2} AS scene2, strftime(CAST({date_expr} AS DATE), '%Y-%m') AS month")
 
 
-_KEY11 = ("CASE WHEN event_ts < TIMESTAMP '2001-03-01 00:00:00' THEN vehicle_id "
-          "WHEN event_ts >= TIMESTAMP '2001-03-01 00:00:00' AND remark = 'increase' THEN vehicle_id END")
+_KEY11 = ("CASE WHEN sign_time < TIMESTAMP '2001-05-20 00:00:00' THEN vehicle_id "
+          "WHEN sign_time >= TIMESTAMP '2001-05-20 00:00:00' AND remark = 'increase' THEN vehicle_id END")
 
 
 def _carried(*args):
@@ -46,7 +46,7 @@ def _truck_body(ctx: RunContext) -> str:
         two_arm(_carried(ev, "'signing'", "'partner'", "180", "id", R, R, T, "'partner_product'"), where="dept = '1-URGENT'", floor=fl),
         two_arm(_carried(ev, "'new_paid'", "'person'", "CASE WHEN remark = 'decrease' THEN -180 WHEN remark = 'increase' THEN 180 ELSE price END",
                             "id", R, R, T, "'new_paid'"), floor=fl),
-        two_arm(_carried(ev, "'after_sales'", "'person'", "CASE WHEN price = -180 THEN -180 ELSE 180 END", "id", R, R, T, "'after_sales'"), floor=fl),
+        two_arm(_carried(ev, "'after_sales'", "'person'", "CASE WHEN price = -180 THEN -180 ELSE 180 END", "id", R, R, T, "'after_sales'"), floor=fl, slices="after"),
         two_arm(_carried(ev, "'cancellation'", "'person'", "price", "id", R, R, T, "'cancellation'"), distinct=False, floor=fl),
         two_arm(_carried(ev, "'waiver'", "bank", "0", "id", R, R, T, "'waiver'"), where="dept = '2-HIGH'", distinct=False),
         "SELECT " + _carried("gmt_payment", "'card_swap'", "'card_swap'", "equipment_amount", "coalesce(provider_id, id)", R, R, T,
@@ -61,7 +61,7 @@ def _truck_body(ctx: RunContext) -> str:
         two_arm(_carried(ev, "'new_paid'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'new_paid_decrease'"),
                 where="remark = 'decrease'", floor=fl),
         two_arm(_carried(ev, "'after_sales'", "'person'", "0 - price", "id", A, L.DECREASE, T, "'after_sales_decrease'"),
-                where="remark = 'offline'", floor=fl),
+                where="remark = 'offline'", floor=fl, slices="after"),
         two_arm(_carried(ev, "'cancellation'", "'person'", "0 - price", "coalesce(new_obu_id, provider_id)", A, L.DECREASE, T, "'cancellation_decrease'"),
                 where="remark IS NULL", distinct=False, floor=fl),
         "SELECT " + _carried("gmt_refund", "'card_swap'", "'card_swap'", "0 - equipment_amount", "coalesce(provider_id, id)", A, L.DECREASE, T,
@@ -88,7 +88,7 @@ def _bus_body(ctx: RunContext) -> str:
                             "CASE WHEN remark = 'offline' THEN price WHEN strftime(event_ts, '%Y-%m') >= '2001-07' THEN 70 ELSE 80 END",
                             "id", R, R, B, "'bus_first_use'"), floor=fl),
         two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "price", "id", R, R, B, "'bus_new_paid'"), floor=fl),
-        two_arm(_ledger_sel(ev, "'after_sales_paid'", "'person'", "price", "id", R, R, B, "'bus_after_sales'"), floor=fl),
+        two_arm(_ledger_sel(ev, "'after_sales_paid'", "'person'", "price", "id", R, R, B, "'bus_after_sales'"), floor=fl, slices="after"),
         two_arm(_ledger_sel(ev, "'cancel_paid'", "'person'", "price", "id", R, R, B, "'bus_cancellation'"), floor=fl),
         two_arm(_ledger_sel(ev, "'buy_out'", "bank || '|' || agent", "price", "id", R, R, B, "'bus_buy_out'"), floor=fl),
         two_arm(_ledger_sel(ev, "'prepaid'", "'prepaid_payer'", "price", "id", R, R, B, "'bus_prepaid'"),
@@ -97,10 +97,10 @@ def _bus_body(ctx: RunContext) -> str:
         two_arm(_ledger_sel(ev, "'signing'", "bank", "0 - price", "id", A, L.DECREASE, B, "'bus_signing_decrease'"), where=dec, floor=fl),
         two_arm(_ledger_sel(ev, "'new_paid'", "'person'", "0 - price", "id", A, L.DECREASE, B, "'bus_new_paid_decrease'"), where=dec, floor=fl),
         two_arm(_ledger_sel(ev, "'after_sales_paid'", "'person'", "0 - price", "id", A, L.DECREASE, B, "'bus_after_sales_decrease'"),
-                where=dec, floor=fl),
+                where=dec, floor=fl, slices="after"),
         two_arm(_ledger_sel(ev, "'cancel_paid'", "'person'", "0 - price", "id", A, L.DECREASE, B, "'bus_cancel_decrease'"), where=dec, floor=fl),
-        "SELECT " + _ledger_sel("date", adj_scene.format("scene"), "'person'", "price", "obu_id", A, L.DECREASE, B, adj_label.format("scene"))
-        + " FROM fx_ledger WHERE data_type = 'adjustment' AND segment = 'bus'",
+        "SELECT " + _ledger_sel("date", adj_scene.format("scene"), "'person'", "money", "obu_id", A, L.DECREASE, B, adj_label.format("scene"))
+        + " FROM fx_live_adjustments",
         "SELECT " + _ledger_sel("date", adj_scene.format("scene2"), "'person'", "price", "obu_id", A, L.DECREASE, B, adj_label.format("scene2"))
         + " FROM fx_manual_income",
     ]
@@ -110,12 +110,12 @@ def _bus_body(ctx: RunContext) -> str:
 _LEDGER_COLS = ("SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, "
                 "adjust_type, segment, scene2, month")
 TRUCK_SQL = fx.with_fixtures(f"{_LEDGER_COLS} FROM ({_truck_body(MONTH_CLOSE)}) u WHERE {window_filter(MONTH_CLOSE)}",
-                             ["fx_snapshot", "fx_equipment"], snapshot_arms(MONTH_CLOSE))
+                             ["fx_snapshot", "fx_after_sales", "fx_equipment"], both_arms(MONTH_CLOSE))
 BUS_SQL = fx.with_fixtures(f"{_LEDGER_COLS} FROM ({_bus_body(MONTH_CLOSE)}) u WHERE {window_filter(MONTH_CLOSE)}",
-                           ["fx_snapshot", "fx_ledger", "fx_manual_income"], snapshot_arms(MONTH_CLOSE))
+                           ["fx_snapshot", "fx_after_sales", "fx_live_adjustments", "fx_manual_income"], both_arms(MONTH_CLOSE))
 UNION_SQL = fx.with_fixtures(
     f"{_LEDGER_COLS} FROM ({_truck_body(MONTH_CLOSE)}\nUNION ALL\n{_bus_body(MONTH_CLOSE)}) u",
-    ["fx_snapshot", "fx_equipment", "fx_ledger", "fx_manual_income"], snapshot_arms(MONTH_CLOSE))
+    ["fx_snapshot", "fx_after_sales", "fx_equipment", "fx_live_adjustments", "fx_manual_income"], both_arms(MONTH_CLOSE))
 
 
 @register("ledger_truck", TRUCK_SQL)

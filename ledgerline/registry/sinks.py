@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline import sinks as K
-from ledgerline.oracle import snapshot_arms, window_filter
+from ledgerline.oracle import both_arms
 from ledgerline.plans import cost as C, reports as R
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.plans.truck import truck_ledger
@@ -27,11 +27,10 @@ def _table_name(prefix: str) -> str:
 @register("overwrite_partitions", fx.with_fixtures(
     f"""SELECT date, scene, buyer, CAST(price AS DOUBLE) AS price, preinstall, obu_id, data_type, adjust_type, segment,
        scene2, month
-FROM (SELECT {_L_COLS} FROM fx_ledger WHERE month NOT IN ({", ".join(f"'{m}'" for m in MONTH_CLOSE.window_months)})
-        AND month NOT IN (SELECT DISTINCT month FROM ({_truck_body(MONTH_CLOSE)}) t WHERE {window_filter(MONTH_CLOSE)})
+FROM (SELECT {_L_COLS} FROM fx_ledger WHERE month NOT IN ('2001-07', '2001-08')
       UNION ALL
-      SELECT {_L_COLS} FROM ({_truck_body(MONTH_CLOSE)}) t WHERE {window_filter(MONTH_CLOSE)}) u""",
-    ["fx_snapshot", "fx_equipment", "fx_ledger"], snapshot_arms(MONTH_CLOSE)))
+      SELECT {_L_COLS} FROM ({_truck_body(MONTH_CLOSE)}) t WHERE date >= DATE '2001-07-01') u""",
+    ["fx_snapshot", "fx_after_sales", "fx_equipment", "fx_ledger"], both_arms(MONTH_CLOSE)))
 def overwrite_partitions(spark: SparkSession, root: str) -> DataFrame:
     """K7 + K2: create a month-partitioned ledger, then an incremental run
     replaces only its window months; every other month survives."""

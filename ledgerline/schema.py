@@ -31,6 +31,10 @@ LEDGER = T.StructType(
 
 MERGED = T.StructType(LEDGER.fields[:-1] + [T.StructField("net_price", NET), LEDGER.fields[-1]])
 
+#: the ledger as stored: the arm that an adjustment comes from, null for booked rows
+ARM = "arm"
+STORED = T.StructType(MERGED.fields[:-1] + [T.StructField(ARM, T.StringType()), MERGED.fields[-1]])
+
 MOVEMENT = T.StructType(
     [
         T.StructField("data_type", T.StringType()),

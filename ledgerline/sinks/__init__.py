@@ -90,10 +90,26 @@ def overwrite_partitions(df: DataFrame, table: str, partition_col: str = "month"
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {_quote(value)})")
 
 
+def _root_paths(df: DataFrame) -> set[str]:
+    """Root folders of the file relations in the analysed plan; no file is listed."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() == "HadoopFsRelation":
+            paths = relation.location().rootPaths()
+            out.update(paths.apply(k).toString().rstrip("/") for k in range(paths.size()))
+    return out
+
+
 def _reads(df: DataFrame, table: str) -> bool:
-    """Whether the plan reads files of the table it is to be written to."""
-    target = set(df.sparkSession.table(table).inputFiles())
-    return bool(target.intersection(df.inputFiles()))
+    """Whether the plan reads the table it is to be written to: its root folder, or a
+    folder inside it."""
+    target = _root_paths(df.sparkSession.table(table))
+    return any(p == t or p.startswith(t + "/") for p in _root_paths(df) for t in target)
 
 
 def replace_day(df: DataFrame, table: str, day: str, partition_col: str = "bz_date", path: str | None = None,

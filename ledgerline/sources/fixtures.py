@@ -85,6 +85,7 @@ def fx_snapshot(spark: SparkSession, root: str) -> DataFrame:
         case_map(cust % 4, {0: "preinstalled", 1: "not_preinstalled"}).alias("preinstall"),
         F.when(cust % 13 == 0, F.lit(None)).when(cust % 13 == 1, "x test y").otherwise("agent").alias("agent"),
         F.col("o_orderpriority").alias("dept"),
+        (F.col("o_orderdate") - F.make_interval(days=(cust % 120).cast("int"))).alias("sign_time"),
         F.date_format("ds_date", "yyyyMMdd").alias("ds"),
     )
 
@@ -99,7 +100,7 @@ SELECT CAST(o.o_orderkey AS VARCHAR) AS id, o.o_custkey AS vehicle_id, o.o_order
        CASE WHEN o.o_orderkey % 5 = 0 THEN CAST(o.o_orderkey + 3000000 AS VARCHAR) END AS new_obu_id,
        CASE o.o_custkey % 4 WHEN 0 THEN 'preinstalled' WHEN 1 THEN 'not_preinstalled' END AS preinstall,
        CASE WHEN o.o_custkey % 13 = 0 THEN NULL WHEN o.o_custkey % 13 = 1 THEN 'x test y' ELSE 'agent' END AS agent,
-       o.o_orderpriority AS dept, strftime(cal.ds_date, '%Y%m%d') AS ds
+       o.o_orderpriority AS dept, o.o_orderdate - to_days(CAST(o.o_custkey % 120 AS INTEGER)) AS sign_time, strftime(cal.ds_date, '%Y%m%d') AS ds
 FROM orders o
 JOIN (VALUES (1), (2)) AS d(n) ON d.n = 1 OR o.o_orderkey % 7 = 0
 JOIN (VALUES (DATE '2001-05-01'), (DATE '2001-06-01'), (DATE '2001-07-01'), (DATE '2001-07-15'), (DATE '2001-08-01'))
@@ -107,6 +108,74 @@ JOIN (VALUES (DATE '2001-05-01'), (DATE '2001-06-01'), (DATE '2001-07-01'), (DAT
 """
 
 
+# --------------------------------------------------------------------------- fx_after_sales
+def fx_after_sales(spark: SparkSession, root: str) -> DataFrame:
+    """Daily full copies of the after-sales table: the snapshot's columns over other
+    days, ids, prices and remarks.  Keys divisible by 11 are stored twice; keys
+    divisible by 6 restate their price in every snapshot."""
+    o = load_table(spark, root, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    at = F.col("o_orderdate") + F.make_interval(days=F.lit(3))
+    days = F.array(*[F.lit(d) for d in SNAPSHOT_DAYS])
+    x = o.select(
+        key, cust, at.alias("at"), "o_orderpriority",
+        F.explode(F.sequence(F.lit(1), F.when(key % 11 == 0, 2).otherwise(1))).alias("copy"),
+    ).select("*", F.explode(F.filter(days, lambda d: d >= F.to_date("at"))).alias("ds_date"))
+    restated = F.when(key % 6 == 0, F.month("ds_date")).otherwise(0)
+    return x.select(
+        (key + 7000000).cast("string").alias("id"),
+        (cust + 1).alias("vehicle_id"),
+        F.col("at").alias("event_ts"),
+        (case_map(cust % 4, {0: 180, 1: -180, 2: 60}, 120) + restated).cast("bigint").alias("price"),
+        F.when(cust % 2 == 0, "bank_a").otherwise("bank_c").alias("bank"),
+        case_map(key % 3, {0: "offline", 1: "decrease"}).alias("remark"),
+        F.when(key % 8 == 0, F.lit(None)).otherwise((key + 8000000).cast("string")).alias("provider_id"),
+        F.when(key % 3 == 0, (key + 9000000).cast("string")).alias("new_obu_id"),
+        case_map(cust % 3, {0: "preinstalled", 1: "not_preinstalled"}).alias("preinstall"),
+        F.when(cust % 7 == 0, F.lit(None)).otherwise("service").alias("agent"),
+        F.col("o_orderpriority").alias("dept"),
+        F.col("at").alias("sign_time"),
+        F.date_format("ds_date", "yyyyMMdd").alias("ds"),
+    )
+
+
+FX_AFTER_SALES_SQL = """
+SELECT CAST(o.o_orderkey + 7000000 AS VARCHAR) AS id, o.o_custkey + 1 AS vehicle_id, o.o_orderdate + INTERVAL 3 DAY AS event_ts,
+       CAST(CASE o.o_custkey % 4 WHEN 0 THEN 180 WHEN 1 THEN -180 WHEN 2 THEN 60 ELSE 120 END
+            + CASE WHEN o.o_orderkey % 6 = 0 THEN month(cal.ds_date) ELSE 0 END AS BIGINT) AS price,
+       CASE WHEN o.o_custkey % 2 = 0 THEN 'bank_a' ELSE 'bank_c' END AS bank,
+       CASE o.o_orderkey % 3 WHEN 0 THEN 'offline' WHEN 1 THEN 'decrease' END AS remark,
+       CASE WHEN o.o_orderkey % 8 = 0 THEN NULL ELSE CAST(o.o_orderkey + 8000000 AS VARCHAR) END AS provider_id,
+       CASE WHEN o.o_orderkey % 3 = 0 THEN CAST(o.o_orderkey + 9000000 AS VARCHAR) END AS new_obu_id,
+       CASE o.o_custkey % 3 WHEN 0 THEN 'preinstalled' WHEN 1 THEN 'not_preinstalled' END AS preinstall,
+       CASE WHEN o.o_custkey % 7 = 0 THEN NULL ELSE 'service' END AS agent,
+       o.o_orderpriority AS dept, o.o_orderdate + INTERVAL 3 DAY AS sign_time, strftime(cal.ds_date, '%Y%m%d') AS ds
+FROM orders o
+JOIN (VALUES (1), (2)) AS d(n) ON d.n = 1 OR o.o_orderkey % 11 = 0
+JOIN (VALUES (DATE '2001-05-01'), (DATE '2001-06-01'), (DATE '2001-07-01'), (DATE '2001-07-15'), (DATE '2001-08-01'))
+     AS cal(ds_date) ON CAST(o.o_orderdate + INTERVAL 3 DAY AS DATE) <= cal.ds_date
+"""
+
+
+# --------------------------------------------------------------------------- fx_live_adjustments
+def fx_live_adjustments(spark: SparkSession, root: str) -> DataFrame:
+    """Hand-loaded decreases of the live channel: day, service, money, device; all rows count."""
+    li = load_table(spark, root, "lineitem")
+    return li.select(
+        F.to_date("l_shipdate").alias("date"),
+        case_map(F.col("l_linenumber") % 4, {0: "new_paid", 1: "prepaid", 2: "signing"}, "waiver").alias("scene"),
+        (-F.col("l_quantity")).cast("bigint").alias("money"), device_id(F.col("l_partkey")).alias("obu_id"),
+    )
+
+
+FX_LIVE_ADJUSTMENTS_SQL = f"""
+SELECT CAST(l_shipdate AS DATE) AS date,
+       CASE l_linenumber % 4 WHEN 0 THEN 'new_paid' WHEN 1 THEN 'prepaid' WHEN 2 THEN 'signing' ELSE 'waiver' END AS scene,
+       CAST(0 - l_quantity AS BIGINT) AS money, {_device_id_sql('l_partkey')} AS obu_id
+FROM lineitem
+"""
+
+
 # --------------------------------------------------------------------------- fx_ledger
 def fx_ledger(spark: SparkSession, root: str) -> DataFrame:
     """A ledger-shaped table (one row per line item)."""
@@ -181,6 +250,7 @@ def fx_detail(spark: SparkSession, root: str) -> DataFrame:
         (cust % 150 + age * 10).cast("bigint").alias("actual_amount"),
         case_map(cust % 6, {0: "excluded_channel", 1: "open_a", 2: "open_b"}).alias("openname"),
         F.when(key % 29 == 0, F.lit("stock")).alias("stock_type"),
+        F.when(key % 31 == 0, null.cast("string")).otherwise(F.concat(F.lit("S"), key.cast("string"))).alias("service_order_id"),
         F.col("snap.ds").alias("ds"),
     )
 
@@ -201,6 +271,7 @@ SELECT CAST(o_orderkey + (d.n - 1) * 10000000 AS VARCHAR) AS id,
        CAST(o_custkey % 150 + snap.age * 10 AS BIGINT) AS actual_amount,
        CASE o_custkey % 6 WHEN 0 THEN 'excluded_channel' WHEN 1 THEN 'open_a' WHEN 2 THEN 'open_b' END AS openname,
        CASE WHEN o_orderkey % 29 = 0 THEN 'stock' END AS stock_type,
+       CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'S' || CAST(o_orderkey AS VARCHAR) END AS service_order_id,
        snap.ds AS ds
 FROM orders JOIN (VALUES (1), (2)) AS d(n) ON d.n = 1 OR o_orderkey % 8 = 0
 CROSS JOIN (VALUES ('20010801', 0), ('20010701', 1), ('20010601', 2)) AS snap(ds, age)
@@ -225,6 +296,26 @@ FROM orders
 """
 
 
+# --------------------------------------------------------------------------- fx_person_services
+def fx_person_services(spark: SparkSession, root: str) -> DataFrame:
+    """Hand-loaded half-year decreases of personal payments, labelled by service; a table
+    of its own, with other days, amounts and devices than the manual income."""
+    o = load_table(spark, root, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        F.date_add(F.to_date("o_orderdate"), 9).alias("date"), case_map(key % 5, {0: "new_paid", 1: "prepaid", 2: "signing", 3: "waiver"}).alias("scene2"),
+        (-(cust % 70) - 5).cast("bigint").alias("price"), device_id(cust + 3).alias("obu_id"),
+    )
+
+
+FX_PERSON_SERVICES_SQL = f"""
+SELECT CAST(o_orderdate AS DATE) + 9 AS date,
+       CASE o_orderkey % 5 WHEN 0 THEN 'new_paid' WHEN 1 THEN 'prepaid' WHEN 2 THEN 'signing' WHEN 3 THEN 'waiver' END AS scene2,
+       CAST(-5 - o_custkey % 70 AS BIGINT) AS price, {_device_id_sql('(o_custkey + 3)')} AS obu_id
+FROM orders
+"""
+
+
 # --------------------------------------------------------------------------- fx_person_scenes
 def fx_person_scenes(spark: SparkSession, root: str) -> DataFrame:
     """Hand-loaded decreases of personal payments with the scene they belong to."""
@@ -353,6 +444,21 @@ def fx_bill(spark: SparkSession, root: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col("_late")).alias("late_fee"),
         (F.col("l_orderkey") % 1000).alias("user_id"),
         case_map(F.col("l_linenumber") % 3, {0: "cleared", 1: "due"}, "open").alias("state"),
+        (F.col("l_orderkey") * 3 + 1).alias("account_id"),
+        F.date_format("bill_date", "yyyyMM").alias("period_id"),
+        F.col("l_linenumber").alias("flow_level"),
+        F.date_add("bill_date", 20).alias("last_due_date"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.date_add("bill_date", 5)).alias("cleared_date"),
+        F.when(F.col("l_orderkey") % 4 != 0, F.concat_ws("-", F.lit("R"), F.col("l_orderkey"), F.col("l_linenumber"))).alias("repayment_id"),
+        case_map(F.col("l_linenumber") % 2, {0: "toll"}, "service").alias("bill_type"),
+        case_map(F.col("l_orderkey") % 2, {0: "credit"}, "debit").alias("big_type"),
+        (F.col("bill_amount") + F.col("service_fee")).cast("decimal(18,2)").alias("total_amount"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.col("bill_amount")).otherwise(0).cast("decimal(18,2)").alias("repayment"),
+        (F.col("bill_amount") - F.col("service_fee")).cast("decimal(18,2)").alias("actual_amount"),
+        F.when(F.col("l_orderkey") % 5 != 0, F.concat(F.lit("C"), (F.col("l_orderkey") % 700).cast("string"))).alias("customer_id"),
+        F.date_add("bill_date", -400).alias("open_date"),
+        F.when(F.col("l_orderkey") % 10 == 0, "1").otherwise("0").alias("is_white"),
+        case_map(F.col("l_orderkey") % 6, {0: "frozen", 1: "closed"}, "active").alias("cust_state"),
     )
 
 
@@ -364,7 +470,19 @@ SELECT l_orderkey AS statement_id, l_linenumber AS flow, min(CAST(l_shipdate AS
        sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS bill_amount,
        sum(CAST(l_quantity AS DECIMAL(18,2))) AS service_fee,
        CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE sum(CAST(l_discount AS DECIMAL(18,2))) END AS late_fee,
-       l_orderkey % 1000 AS user_id, CASE l_linenumber % 3 WHEN 0 THEN 'cleared' WHEN 1 THEN 'due' ELSE 'open' END AS state
+       l_orderkey % 1000 AS user_id, CASE l_linenumber % 3 WHEN 0 THEN 'cleared' WHEN 1 THEN 'due' ELSE 'open' END AS state,
+       l_orderkey * 3 + 1 AS account_id, strftime(min(CAST(l_shipdate AS DATE)), '%Y%m') AS period_id, l_linenumber AS flow_level,
+       min(CAST(l_shipdate AS DATE)) + 20 AS last_due_date,
+       CASE WHEN l_linenumber % 3 = 0 THEN min(CAST(l_shipdate AS DATE)) + 5 END AS cleared_date,
+       CASE WHEN l_orderkey % 4 <> 0 THEN 'R-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS repayment_id,
+       CASE WHEN l_linenumber % 2 = 0 THEN 'toll' ELSE 'service' END AS bill_type,
+       CASE WHEN l_orderkey % 2 = 0 THEN 'credit' ELSE 'debit' END AS big_type,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) + sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount,
+       CAST(CASE WHEN l_linenumber % 3 = 0 THEN sum(CAST(l_extendedprice AS DECIMAL(18,2))) ELSE 0 END AS DECIMAL(18,2)) AS repayment,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) - sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS actual_amount,
+       CASE WHEN l_orderkey % 5 <> 0 THEN 'C' || CAST(l_orderkey % 700 AS VARCHAR) END AS customer_id,
+       min(CAST(l_shipdate AS DATE)) - 400 AS open_date, CASE WHEN l_orderkey % 10 = 0 THEN '1' ELSE '0' END AS is_white,
+       CASE l_orderkey % 6 WHEN 0 THEN 'frozen' WHEN 1 THEN 'closed' ELSE 'active' END AS cust_state
 FROM lineitem GROUP BY l_orderkey, l_linenumber
 """
 
@@ -507,14 +625,14 @@ FROM lineitem
 
 
 def fx_order_map(spark: SparkSession, root: str) -> DataFrame:
-    """Order id -> device id map for id resolution (may hold several rows per order)."""
+    """Service order id -> device id map for id resolution (may hold several rows per order)."""
     li = load_table(spark, root, "lineitem")
     return li.select(
-        F.col("l_orderkey").cast("string").alias("order_id"), device_id(F.col("l_partkey")).alias("device_id"))
+        F.concat(F.lit("S"), F.col("l_orderkey").cast("string")).alias("order_id"), device_id(F.col("l_partkey")).alias("device_id"))
 
 
 FX_ORDER_MAP_SQL = f"""
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id, {_device_id_sql('l_partkey')} AS device_id
+SELECT 'S' || CAST(l_orderkey AS VARCHAR) AS order_id, {_device_id_sql('l_partkey')} AS device_id
 FROM lineitem
 """
 
@@ -523,6 +641,8 @@ def with_fixtures(sql_body: str, names: list[str], extra_ctes: str | None = None
     """Prefix an oracle query with the fixture CTEs it uses (and extra CTEs)."""
     texts = {
         "fx_snapshot": FX_SNAPSHOT_SQL,
+        "fx_after_sales": FX_AFTER_SALES_SQL,
+        "fx_live_adjustments": FX_LIVE_ADJUSTMENTS_SQL,
         "fx_ledger": FX_LEDGER_SQL,
         "fx_detail": FX_DETAIL_SQL,
         "fx_equipment": FX_EQUIPMENT_SQL,
@@ -542,6 +662,7 @@ def with_fixtures(sql_body: str, names: list[str], extra_ctes: str | None = None
         "fx_adjust_file": FX_ADJUST_FILE_SQL,
         "fx_other_adjustments": FX_OTHER_ADJUSTMENTS_SQL,
         "fx_manual_income": FX_MANUAL_INCOME_SQL,
+        "fx_person_services": FX_PERSON_SERVICES_SQL,
         "fx_person_scenes": FX_PERSON_SCENES_SQL,
         "fx_loaded_corrections": FX_LOADED_CORRECTIONS_SQL,
     }

@@ -27,6 +27,9 @@ TWINS = {
     "fx_order_map": (fx.fx_order_map, fx.FX_ORDER_MAP_SQL),
     "fx_person_scenes": (fx.fx_person_scenes, fx.FX_PERSON_SCENES_SQL),
     "fx_loaded_corrections": (fx.fx_loaded_corrections, fx.FX_LOADED_CORRECTIONS_SQL),
+    "fx_after_sales": (fx.fx_after_sales, fx.FX_AFTER_SALES_SQL),
+    "fx_live_adjustments": (fx.fx_live_adjustments, fx.FX_LIVE_ADJUSTMENTS_SQL),
+    "fx_person_services": (fx.fx_person_services, fx.FX_PERSON_SERVICES_SQL),
     "fx_manual_income": (fx.fx_manual_income, fx.FX_MANUAL_INCOME_SQL),
     "fx_other_adjustments": (fx.fx_other_adjustments, fx.FX_OTHER_ADJUSTMENTS_SQL),
     "fx_corrections": (fx.fx_corrections, None),

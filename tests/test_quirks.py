@@ -113,7 +113,8 @@ def test_q6_corrections_of_an_older_month_join_its_rows(spark, sf):
         rows = sorted(map(tuple, first.where(F.col("month") == "2001-01").collect()), key=repr)
         assert before > 0 and sum(r[5] == "o1" for r in rows) == 2 and len(rows) > before
         # a second run on what the first wrote changes nothing
-        i["current_ledger"] = spark.createDataFrame(rows, M.MERGED).unionByName(i["current_ledger"].where(F.col("month") != "2001-01"))
+        stored = i["current_ledger"].withColumn(M.ARM, F.lit(None).cast("string"))
+        i["current_ledger"] = spark.createDataFrame(rows, M.STORED).unionByName(stored.where(F.col("month") != "2001-01"))
         again = M.merge_ledger(spark, i, MONTH_CLOSE, truck, bus).where(F.col("month") == "2001-01")
         again = sorted(map(tuple, again.collect()), key=repr)
         assert len([r for r in again if r[9] != "q2_bus_bank_first_use"]) == len([r for r in rows if r[9] != "q2_bus_bank_first_use"])
@@ -121,6 +122,27 @@ def test_q6_corrections_of_an_older_month_join_its_rows(spark, sf):
         M.ADJUSTMENT_MONTH = old
 
 
+def test_booked_rows_equal_to_a_late_correction_stay(spark, sf):
+    """Two booked rows and one late correction that equals them: three rows, run after run."""
+    from datetime import date
+    from decimal import Decimal
+    from ledgerline.plans import merge as M
+    row = (date(2001, 7, 20), L.SIGNING, "bank_b", Decimal("5.00"), None, "dev", L.ADJUSTMENT, L.INCREASE, L.TRUCK, "fix", Decimal("0"), "2001-01")
+    i = fixture_inputs(spark, sf)
+    i["corrections"] = spark.createDataFrame([row], M.MERGED)
+    i["current_ledger"] = spark.createDataFrame([row, row], M.MERGED)
+    lg = i["ledger_table"]
+    truck, bus = lg.where(F.col("segment") == L.TRUCK), lg.where(F.col("segment") == L.BUS)
+    for _ in range(3):
+        old = M.merge_ledger(spark, i, MONTH_CLOSE, truck, bus).where(F.col("month") == "2001-01").collect()
+        assert len(old) == 3 and sorted(r[M.ARM] or "" for r in old) == ["", "", "corrections"]
+        i["current_ledger"] = spark.createDataFrame(old, M.STORED)
+    # the correction is withdrawn: what it put there goes, the booked rows stay
+    i["corrections"] = spark.createDataFrame([(*row[:9], "other", *row[10:])], M.MERGED)
+    old = M.merge_ledger(spark, i, MONTH_CLOSE, truck, bus).where(F.col("month") == "2001-01").collect()
+    assert sorted(r["scene2"] for r in old) == ["fix", "fix", "other"]
+
+
 def test_q8_pivot_option_one_row_per_bill_and_costs_agree(spark, sf):
     i = fixture_inputs(spark, sf)
     fan = C.bill_cost_detail(i["bill"], i["bill_lines"], i["settlement"], i["product"])
