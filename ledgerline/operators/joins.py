@@ -60,6 +60,44 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, left_on: list[str], right_o
     return df.join(k, cond, "left_semi")
 
 
+def restrict_to_members(df: DataFrame, keys: DataFrame, group: str, member: str) -> DataFrame:
+    """J1 on two keys, shuffled by the first one only: keep rows of ``df`` whose
+    ``(group, member)`` occurs in ``keys``.
+
+    The keys become one row per ``group`` with its set of members, so a later join on
+    ``group`` reuses the partitioning, and tables bucketed by ``group`` are not shuffled
+    at all.  A group's set has to fit one row: take groups that ``hot_keys`` finds apart."""
+    k = keys.where(F.col(group).isNotNull()).groupBy(F.col(group).alias("__group")).agg(F.collect_set(member).alias("__members"))
+    return df.join(k, (df[group] == k["__group"]) & F.array_contains(k["__members"], df[member]), "left_semi")
+
+
+#: a key that more than this share of the rows has is hot, so at most 256 keys are
+HOT_SHARE = 1 / 256
+HOT_TRACKED = 4096
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, least: int = 100_000) -> list:
+    """Keys that more than ``share`` of the rows and at least ``least`` rows have: at most
+    ``1 / share`` values.  One pass with a sketch of ``HOT_TRACKED`` counters a task; no
+    shuffle of keys.  Null is never hot, as it matches nothing."""
+    k = F.col(key)
+    row = df.where(k.isNotNull()).agg(F.count("*").alias("n"), F.expr(f"approx_top_k(`{key}`, {int(1 / share)}, {HOT_TRACKED})").alias("top")).first()
+    if not row["n"]:
+        return []
+    return [t["item"] for t in row["top"] if t["count"] > max(share * row["n"], least)]
+
+
+def is_hot(key: Column, hot: list) -> Column:
+    """Whether a key is one of ``hot``; never null."""
+    return F.coalesce(key.isin(hot), F.lit(False)) if hot else F.lit(False)
+
+
+def few_rows(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """A dimension for a join: broadcast if it was counted to have at most ``limit`` rows
+    (some MB), else left for Spark to shuffle."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def flag_existence(df: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str], name: str,
                    yes: str = L.YES, no: str = L.NO) -> DataFrame:
     """J9 + P18: add ``name`` = yes/no for whether the key exists in ``right``."""

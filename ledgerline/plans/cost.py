@@ -18,7 +18,8 @@ from ledgerline.functions.cost import (
     partner_cost,
     profit,
 )
-from ledgerline.operators.joins import restrict_to_keys
+from ledgerline.operators.joins import is_hot, restrict_to_keys, restrict_to_members
+from ledgerline.sinks import create_bucketed
 
 # fixed values: bill-line restriction (J1), partner-rate cut (P20)
 BILL_FROM = "1998-01-01 00:00:00"
@@ -41,6 +42,19 @@ def bill_keys(bill_lines: DataFrame) -> DataFrame:
     ).select("statement_id", "flow")
 
 
+SALTS = 64
+
+
+def spread_settlement(settlement: DataFrame) -> DataFrame:
+    """Partial sums of the settlements of hot bills: a bill's rows are dealt by a salt of
+    their content and summed per salt, so that no task holds all rows of one bill.  The
+    sums per salt then stand for the rows."""
+    salt = F.pmod(F.xxhash64(*settlement.columns), F.lit(SALTS))
+    dealt = settlement.withColumn("__salt", salt).repartition("business_id", "__salt")
+    sums = dealt.groupBy("business_id", "pay_channel", "__salt").agg(F.sum("split_amount").alias("split_amount"))
+    return sums.drop("__salt")
+
+
 def settlement_by_channel(settlement: DataFrame) -> DataFrame:
     """Split amount per (business id, channel) for the two cost channels."""
     return (settlement.where(F.col("pay_channel").isin(BANK_CHANNEL, WALLET_CHANNEL))
@@ -58,39 +72,68 @@ def settlement_pivoted(settlement: DataFrame) -> DataFrame:
 
 
 def bill_cost_detail(bill: DataFrame, bill_lines: DataFrame, settlement: DataFrame, product: DataFrame,
-                     cut: date = RATE_CUT, pivot: bool = False) -> DataFrame:
+                     cut: date = RATE_CUT, pivot: bool = False, hot: list | None = None) -> DataFrame:
     """Bills restricted to the bill-line key set (semi join), left-joined
     to per-channel settlements (a bill paid through both channels yields two
     rows, Q8) and to the product cost dimension; partner and channel cost.
     Every column of the bills passes through.
 
+    Bills are shuffled once, by statement, for both joins; from tables bucketed by
+    statement (``store_by_statement``) not at all.  ``hot`` lists statements with so
+    many bills that they are kept out of that: their bills are dealt by statement and
+    flow, and the few settlement sums of at most ``1 / HOT_SHARE`` statements are
+    broadcast.
+
     ``pivot=True`` (Q8 option): one row per bill with ``split_bank`` and
     ``split_wallet``; a flag-'0' partner cost is then counted once."""
     c = F.col
-    b = restrict_to_keys(bill, bill_keys(bill_lines), ["statement_id", "flow"])
+    if hot:
+        parts = []
+        for mine in (lambda key: ~is_hot(key, hot), lambda key: is_hot(key, hot)):
+            parts.append((bill.where(mine(c("statement_id"))), bill_lines.where(mine(c("statement_id"))), settlement.where(mine(c("business_id")))))
+        (cold, (b, lines, paid)) = parts
+        b = restrict_to_keys(b.repartition("statement_id", "flow"), bill_keys(lines).repartition("statement_id", "flow"), ["statement_id", "flow"])
+        paid = spread_settlement(paid)
+        # one row a statement and channel, or one a statement: bounded by the number of hot statements
+        paid = F.broadcast(settlement_pivoted(paid) if pivot else settlement_by_channel(paid))
+        return bill_cost_detail(*cold, product, cut, pivot).unionByName(_priced(bill.columns, b, paid, product, cut, pivot))
+    b = restrict_to_members(bill, bill_keys(bill_lines), "statement_id", "flow")
+    return _priced(bill.columns, b, settlement_pivoted(settlement) if pivot else settlement_by_channel(settlement), product, cut, pivot)
+
+
+def _priced(columns: list[str], b: DataFrame, s: DataFrame, product: DataFrame, cut: date, pivot: bool) -> DataFrame:
+    """Restricted bills with their settlements, product and costs."""
+    c = F.col
     if pivot:
-        s = settlement_pivoted(settlement)
         x = b.join(s, b["statement_id"] == s["business_id"], "left").drop("business_id")
         x = x.join(product, "product_id", "left")
         bank = F.when(c("split_bank").isNotNull(), F.lit(BANK_CHANNEL))
         wallet = F.when(c("split_wallet").isNotNull(), F.lit(WALLET_CHANNEL))
         return x.select(
-            *bill.columns, "split_bank", "split_wallet",
+            *columns, "split_bank", "split_wallet",
             partner_cost(c("part_flag"), bank, c("loan_type"), c("bill_amount"), c("service_fee"),
                          c("split_bank"), c("bill_date"), c("part_rate_old"), c("part_rate_new"), cut).alias("cost_partner"),
             channel_cost(c("channel_flag"), wallet, c("split_wallet"), c("channel_rate")).alias("cost_channel"),
         )
-    s = settlement_by_channel(settlement)
     x = b.join(s, b["statement_id"] == s["business_id"], "left").drop("business_id")
     x = x.join(product, "product_id", "left")
     return x.select(
-        *bill.columns, "pay_channel", "split_amount",
+        *columns, "pay_channel", "split_amount",
         partner_cost(c("part_flag"), c("pay_channel"), c("loan_type"), c("bill_amount"), c("service_fee"),
                      c("split_amount"), c("bill_date"), c("part_rate_old"), c("part_rate_new"), cut).alias("cost_partner"),
         channel_cost(c("channel_flag"), c("pay_channel"), c("split_amount"), c("channel_rate")).alias("cost_channel"),
     )
 
 
+def store_by_statement(bill: DataFrame, bill_lines: DataFrame, settlement: DataFrame, names: tuple[str, str, str],
+                       buckets: int, paths: tuple | None = None) -> None:
+    """Write the three large inputs of D12 bucketed by statement, so that its joins and
+    sums need no shuffle (``bill_cost_detail`` on these tables)."""
+    keys = ("statement_id", "statement_id", "business_id")
+    for df, name, key, path in zip((bill, bill_lines, settlement), names, keys, paths or (None,) * 3, strict=True):
+        create_bucketed(df, name, [key], buckets, path=path)
+
+
 def deposit_totals(accounts: DataFrame, wallet: DataFrame, ctx: RunContext) -> DataFrame:
     """Three deposit totals for yesterday, one scan of the account table.
 

@@ -22,6 +22,7 @@ from ledgerline.plans import cost as C
 from ledgerline.plans import reports as R
 from ledgerline.plans import services as S
 from ledgerline.operators.feeds import snapshot_feeds
+from ledgerline.operators.joins import few_rows, hot_keys
 from ledgerline.plans.bus import bus_ledger, bus_specs
 from ledgerline.plans.inputs import Inputs
 from ledgerline.plans.merge import empty_ledger, merge_ledger
@@ -156,8 +157,9 @@ def run_cost_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables: C
                  extract_path: str | None = None, locations: dict | None = None,
                  publish: Publisher | None = None) -> None:
     loc = (locations or {}).get
-    full_refresh(C.bill_cost_detail(inputs["bill"], inputs["bill_lines"], inputs["settlement"], inputs["product"]),
-                 tables.detail, path=loc("detail"))
+    hot = hot_keys(inputs["bill"], "statement_id")
+    detail = C.bill_cost_detail(inputs["bill"], inputs["bill_lines"], inputs["settlement"], few_rows(inputs["product"]), hot=hot)
+    full_refresh(detail, tables.detail, path=loc("detail"))
     day = ctx.yesterday.strftime("%Y%m%d")
     replace_day(C.deposit_totals(inputs["accounts"], inputs["wallet"], ctx), tables.deposits, day,
                 path=loc("deposits"))

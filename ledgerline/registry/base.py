@@ -24,6 +24,7 @@ ORACLE: dict[str, str] = {}
 # as midnight timestamps (see schema.for_compare).
 DATE_OUTPUTS = {
     "cost_bill_detail": ["bill_date"],
+    "cost_detail_colocated": ["bill_date"],
     "cost_daily_extract": ["bill_date"],
     "cost_rate_table": ["bill_date"],
     "cost_bill_detail_pivot": ["bill_date"],

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.context import RunContext
-from ledgerline.operators.joins import restrict_to_keys
+from ledgerline.operators.joins import few_rows, hot_keys, restrict_to_keys
 from ledgerline.operators.lookup import rate_from_table
 from ledgerline.plans import cost as C
 from ledgerline.plans.inputs import fixture_inputs
 from ledgerline.registry.base import register
 from ledgerline.schema import for_compare
+from ledgerline.session import scratch_path
 from ledgerline.sources import fixtures as fx
 
 
@@ -57,14 +59,29 @@ def _cost_detail(spark: SparkSession, root: str) -> DataFrame:
     return C.bill_cost_detail(i["bill"], i["bill_lines"], i["settlement"], i["product"])
 
 
-@register("cost_bill_detail", fx.with_fixtures(
+ORACLE_DETAIL = fx.with_fixtures(
     f"SELECT {_DETAIL}, pay_channel, CAST(split_amount AS DOUBLE) AS split_amount, CAST(cost_partner AS DOUBLE) AS cost_partner, "
-    "CAST(cost_channel AS DOUBLE) AS cost_channel FROM cost", _COST_FX, _COST_CTE))
+    "CAST(cost_channel AS DOUBLE) AS cost_channel FROM cost", _COST_FX, _COST_CTE)
+
+
+@register("cost_bill_detail", ORACLE_DETAIL)
 def cost_bill_detail(spark: SparkSession, root: str) -> DataFrame:
     """Bill cost detail."""
     return for_compare(_cost_detail(spark, root))
 
 
+@register("cost_detail_colocated", ORACLE_DETAIL)
+def cost_detail_colocated(spark: SparkSession, root: str) -> DataFrame:
+    """D12, J1, J2, J3 over tables bucketed by statement: no shuffle of the bills; the
+    most frequent statements taken apart."""
+    i = fixture_inputs(spark, root)
+    names = tuple(f"{n}_{uuid.uuid4().hex[:8]}" for n in ("bills", "bill_lines", "settlements"))
+    C.store_by_statement(i["bill"], i["bill_lines"], i["settlement"], names, buckets=8, paths=tuple(scratch_path(spark, n) for n in names))
+    bill, lines, paid = (spark.table(n) for n in names)
+    hot = hot_keys(bill, "statement_id")
+    return for_compare(C.bill_cost_detail(bill, lines, paid, few_rows(i["product"]), hot=hot))
+
+
 @register("cost_semi_only", """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders
 WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F' AND l_shipdate >= TIMESTAMP '1998-01-01')""")

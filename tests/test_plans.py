@@ -47,7 +47,7 @@ def test_movements_scan_source_once(spark, sf):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_nested_loop_cartesian_cap_or_sample(spark, sf, name):
     """No pair-emitting joins, and whole tables: no row cap, no sampling."""
-    if name in ("overwrite_partitions", "replace_day", "full_refresh", "extract_csv"):
+    if name in ("overwrite_partitions", "replace_day", "full_refresh", "extract_csv", "cost_detail_colocated"):
         pytest.skip("sink query: writes on build")
     p = plan(QUERIES[name](spark, sf))
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
@@ -79,3 +79,33 @@ def test_merge_prunes_month_partitions_of_the_ledger_tables(spark, tmp_path):
     merged = merge_ledger(spark, fixture_inputs(spark, small), MONTH_CLOSE, spark.table(names[L.TRUCK]), spark.table(names[L.BUS]))
     p = plan(merged)
     assert p.count("PartitionFilters: [isnotnull(month") >= 2 and "(month#" in p and ">= 2001-07)" in p
+
+
+def test_colocated_cost_join_does_not_shuffle_the_bills(spark, tmp_path):
+    """On tables bucketed by statement, with no side small enough to broadcast but the
+    checked product dimension, no row of the bills, lines or settlements is shuffled."""
+    import uuid
+
+    from ledgerline.operators.joins import few_rows
+    from ledgerline.plans import cost as C
+    from ledgerline.plans.inputs import fixture_inputs
+
+    i = fixture_inputs(spark, "/root/testdata/sf0.001")
+    names = tuple(f"{n}_{uuid.uuid4().hex[:6]}" for n in ("b", "l", "s"))
+    C.store_by_statement(i["bill"], i["bill_lines"], i["settlement"], names, buckets=4, paths=tuple(str(tmp_path / n) for n in names))
+    tables = [spark.table(n) for n in names]
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in (*limits, "spark.sql.sources.bucketing.enabled")}
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")
+        for pivot in (False, True):
+            p = plan(C.bill_cost_detail(*tables, few_rows(i["product"]), pivot=pivot))
+            assert "Exchange hashpartitioning" not in p and p.count("SortMergeJoin") == 2 and p.count("BroadcastExchange") == 1
+        # read as plain tables, one shuffle of the bills serves both joins
+        spark.conf.set("spark.sql.sources.bucketing.enabled", "false")
+        p = plan(C.bill_cost_detail(*tables, few_rows(i["product"])))
+        assert p.count("Exchange hashpartitioning(statement_id") == 2  # bills, lines
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -91,3 +91,43 @@ def test_aqe_splits_a_hot_key(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_statement_is_taken_out_of_the_settlement_join(spark):
+    """A third of the bills and of the settlements on one statement: found by the sketch,
+    joined by broadcast, dealt by flow; results equal those without the split."""
+    from datetime import date as day
+    from decimal import Decimal
+
+    from ledgerline.operators.joins import hot_keys
+    from ledgerline.plans import cost as C
+
+    n = 6000
+    statement = lambda i: 7 if i % 3 == 0 else 100 + i
+    bill = spark.createDataFrame(
+        [(statement(i), i, day(1998, 3, 1 + i % 9), i % 5, "loan" if i % 2 else "other", "type_a", Decimal(10 + i % 7), Decimal(3), None) for i in range(n)],
+        "statement_id long, flow int, bill_date date, product_id int, loan_type string, big_bill_type string, bill_amount decimal(18,2), service_fee decimal(18,2), late_fee decimal(18,2)")
+    lines = bill.select("statement_id", "flow", F.lit("1998-02-01 00:00:00").cast("timestamp_ntz").alias("bill_time"),
+                        F.when(F.col("flow") % 4 != 3, C.BILL_CARD_TYPE).otherwise("x").alias("card_type"), F.lit("1998-02").alias("month"))
+    paid = spark.createDataFrame([(statement(i), ("channel_bank", "channel_wallet", "channel_other")[i // 3 % 3], Decimal(1 + i % 11)) for i in range(n)],
+                                 "business_id long, pay_channel string, split_amount decimal(18,2)")
+    product = spark.createDataFrame([(i, str(i % 3), str(i % 2), Decimal("0.01"), Decimal("0.02"), Decimal("0.03")) for i in range(4)],
+                                    "product_id int, part_flag string, channel_flag string, part_rate_old decimal(9,6), part_rate_new decimal(9,6), channel_rate decimal(9,6)")
+    hot = hot_keys(bill, "statement_id", least=1000)
+    assert hot == [7] and hot_keys(bill, "statement_id", least=n) == [] and hot_keys(bill.limit(0), "statement_id") == []
+    for pivot in (False, True):
+        split = C.bill_cost_detail(bill, lines, paid, product, pivot=pivot, hot=hot)
+        whole = C.bill_cost_detail(bill, lines, paid, product, pivot=pivot)
+        rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+        assert rows(split) == rows(whole)
+        assert split.where("statement_id = 7").count() >= n // 4
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            p = split._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        # the hot statement's bills are dealt by flow too, its sums broadcast, its settlements by salt
+        assert "Exchange hashpartitioning(statement_id" in p and "flow" in p
+        assert "__salt" in p and "BroadcastExchange" in p
+        largest = bill.where("statement_id = 7").repartition(8, "statement_id", "flow").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert largest < n // 3 / 4
