@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import centroids, html, language, lines, minhash, packing, quality, runs, sampling, secrets, substrings, vectors, warc
-from ledgerline.llm.common import table
+from ledgerline.llm.common import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,16 +126,13 @@ def op3_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _secret_forest(docs: DataFrame) -> list:
-    return secrets.fit_forest(secrets.weak_labels(secrets.plausible(docs, path="source")))
-
-
 @register("op4_secret_scan")
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate secret of every text with the forest's score and verdict."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    found = secrets.findings(docs, _secret_forest(docs), path="source")
-    return found.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+    # the texts are searched once; the candidates serve the training and the verdicts
+    found = cut(secrets.candidates(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), path="source"))
+    judged = secrets.judge(found, secrets.fit_forest(secrets.weak_labels(found)))
+    return judged.select("doc_id", "start", "length", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
 
 
 OP5_SQL = r"""

@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, fresh
+from ledgerline.llm.common import cut
 
 JWT = r"eyJ[A-Za-z0-9_\-]{5,}+\.[A-Za-z0-9_\-]{5,}+(?:\.[A-Za-z0-9_\-]*+)?"
 _KEY_EDGE = r"[A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)? ?-{4,5}"
@@ -32,10 +32,13 @@ KEY_BLOCK = (
     r"|(?:[A-Za-z0-9+/=\s]|\\[nrt]|(?:: |,)[^\r\n\\]{1,200}+(?=[\r\n\\]))*+)"
 )
 _SECRET_NAME = r"(?i:key|token|secret|passw|passphrase|pwd|auth|credential|bearer|private)"
-_ASSIGNED = _SECRET_NAME + r"[A-Za-z0-9_\-]{0,20}\\?[\"']?\s{0,4}(?::=|=>|=|:)\s{0,4}(?:(?:Bearer|Basic)\s)?"
+_SCHEME = r"(?:(?:Bearer|Basic)\s)?"
+_ASSIGNED = _SECRET_NAME + r"[A-Za-z0-9_\-]{0,20}\\?[\"']?\s{0,4}(?::=|=>|=|:)\s{0,4}" + _SCHEME
+#: what each of the longer lookbehinds below ends in; it is short, so it is tried before them
+_SIGN = rf"(?<=[=:>]\s{{0,4}}{_SCHEME}\\?[\"']?)"
 #: what is assigned to a secret's name: up to its quote, or to white space without the punctuation before it
 NAMED_VALUE = (
-    rf"(?<=[=:>\s\"'])(?![\s\"'=:>])(?:(?<={_ASSIGNED}\\?\")(?:[^\"\\\r\n]|\\.)++(?=\")|(?<={_ASSIGNED}\\?')(?:[^'\\\r\n]|\\.)++(?=')"
+    rf"(?<=[=:>\s\"'])(?![\s\"'=:>]){_SIGN}(?:(?<={_ASSIGNED}\\?\")(?:[^\"\\\r\n]|\\.)++(?=\")|(?<={_ASSIGNED}\\?')(?:[^'\\\r\n]|\\.)++(?=')"
     rf"|(?<={_ASSIGNED}\\?[\"']?)(?!(?:Bearer|Basic)\s)"
     r"(?:[^\s\"`,;.!?)\]}'\\&<]++|[,;.!?)\]}'\\](?![,;.!?)\]}'\\]*+(?:[\s\"`]|$|</))|&(?![\w.\-]{1,40}=)|<(?!/))++)"
 )
@@ -98,15 +101,20 @@ def features(value: Column, before: Column, after: Column, path: Column) -> list
     return [c.cast("double") for c in columns]
 
 
-def split_candidates(docs: DataFrame, text: str, path: str | None, out: str) -> DataFrame:
-    """Add ``out``: the pieces between candidates and the candidates with their context."""
+def split_candidates(docs: DataFrame, text: str, path: str | None, prefix: str) -> DataFrame:
+    """Add four columns whose names start with ``prefix``: the ``pieces`` between
+    candidates, the candidates' ``values``, the ``path``, and the candidates ``found``
+    with their context.  Each is a column of its own, so that the text is searched
+    once and not for every use of a struct that holds them."""
     # a candidate holds a digit, is a key block or has a secret's name
     may = F.col(text).rlike(f"[0-9]|PRIVATE KEY|{_SECRET_NAME}")
-    pieces = F.when(may, F.split(F.col(text), CANDIDATE, -1))
-    values = F.when(may, F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0)))
-    where = F.col(path).cast("string") if path else F.lit(None).cast("string")
-    raw = docs.withColumn(out, F.struct(pieces.alias("pieces"), values.alias("values"), where.alias("path")))
-    col = lambda f: F.col(f"{out}.{f}")
+    col = lambda f: F.col(f"{prefix}{f}")
+    raw = docs.select(
+        "*",
+        F.when(may, F.split(F.col(text), CANDIDATE, -1)).alias(f"{prefix}pieces"),
+        F.when(may, F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))).alias(f"{prefix}values"),
+        (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias(f"{prefix}path"),
+    )
     # the context goes on into the candidate before, which may be a long name
     before = lambda i: F.right(F.concat(F.when(i > 0, F.get(col("values"), i - 1)).otherwise(""), F.element_at(col("pieces"), i + 1)), F.lit(CONTEXT))
     found = F.transform(col("values"), lambda v, i: F.struct(v.alias("value"), before(i).alias("before"), F.left(F.element_at(col("pieces"), i + 2), F.lit(CONTEXT)).alias("after")))
@@ -120,16 +128,40 @@ def split_candidates(docs: DataFrame, text: str, path: str | None, out: str) ->
             x["after"].alias("after"),
         ),
     )
-    return raw.withColumn(out, F.struct(col("pieces").alias("pieces"), found.alias("found"), col("path").alias("path")))
+    return raw.withColumn(f"{prefix}found", found)
+
+
+def _prefix(docs: DataFrame) -> str:
+    """A start of column names that no column of ``docs`` has."""
+    prefix = "secret_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    return prefix
 
 
 def plausible(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """One row per plausible candidate: ``value, before, after, path``."""
-    c = fresh(docs.columns, "candidates")
-    found = split_candidates(docs, text, path, c).select(F.col(f"{c}.path").alias("path"), F.explode(f"{c}.found").alias("x"))
+    c = _prefix(docs)
+    found = split_candidates(docs, text, path, c).select(F.col(f"{c}path").alias("path"), F.explode(f"{c}found").alias("x"))
     return found.where("x.plausible").select("x.value", "x.before", "x.after", "path")
 
 
+def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
+    """One row per plausible candidate: key, start and length in characters, and
+    ``value, before, after, path``."""
+    plain = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *([F.col(path).alias("path")] if path else []))
+    split = split_candidates(plain, "text", "path" if path else None, "secret_").where(F.exists("secret_found", lambda x: x["plausible"]))
+    listed = split.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col("secret_path").alias("path"), F.col("secret_pieces").alias("pieces"), F.col("secret_found").alias("found"))
+    gaps = F.arrays_zip(F.transform("pieces", lambda p: F.length(p)).alias("gap"), F.col("found").alias("found"))
+    each = listed.select("row", "doc_id", "path", F.posexplode(gaps).alias("i", "x"))
+    # offsets by a running sum over one text's candidates
+    size = F.coalesce(F.length("x.found.value"), F.lit(0))
+    here = F.sum(F.col("x.gap") + size).over(Window.partitionBy("row").orderBy("i")) - size
+    return each.withColumn("start", here).where("x.found.plausible").select(
+        "doc_id", "start", F.length("x.found.value").cast("bigint").alias("length"), "x.found.value", "x.found.before", "x.found.after", "path"
+    )
+
+
 def _truth() -> Column:
     """Weak label: structural findings, and values assigned to a secret's name, that
     are not sample values."""
@@ -223,46 +255,37 @@ def score(forest: list, f: Column) -> Column:
     return total / len(forest)
 
 
-def scan(docs: DataFrame, forest: list, text: str = "text", path: str | None = None, out: str = "secrets", threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``out``: the text's pieces and its candidates with score and verdict."""
-    docs = docs.drop(out)
-    split = split_candidates(docs, text, path, out)
-    where = F.col(f"{out}.path")
-    described = F.transform(
-        f"{out}.found",
-        lambda x: F.struct(x["value"].alias("value"), F.when(x["plausible"], F.array(*features(x["value"], x["before"], x["after"], where))).alias("f")),
-    )
-    scored = F.transform(
-        described, lambda x: F.struct(x["value"].alias("value"), F.when(x["f"].isNotNull(), score(forest, x["f"])).otherwise(0.0).alias("score"), x["f"].isNotNull().alias("plausible"))
-    )
-    judged = F.transform(scored, lambda x: F.struct(x["value"], x["score"], x["plausible"], (x["plausible"] & (x["score"] >= threshold)).alias("is_secret")))
-    return split.withColumn(out, F.struct(F.col(f"{out}.pieces").alias("pieces"), judged.alias("found")))
+def judge(found: DataFrame, forest: list, threshold: float = 0.5) -> DataFrame:
+    """``candidates`` with the forest's ``score`` and the verdict ``is_secret``."""
+    f = F.array(*features(F.col("value"), F.col("before"), F.col("after"), F.col("path")))
+    described = found.select("*", f.alias("f")).withColumn("score", score(forest, F.col("f")))
+    return described.select(*found.columns, F.round("score", 6).alias("score"), (F.col("score") >= threshold).alias("is_secret"))
 
 
 def findings(docs: DataFrame, forest: list, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """One row per plausible candidate: key, start and length in characters, the value,
     its score and verdict."""
-    row, c = fresh(docs.columns, "row"), fresh(docs.columns, "secrets")
-    scanned = scan(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *([F.col(path).alias("path")] if path else [])), forest, "text", "path" if path else None, c)
-    listed = scanned.where(F.exists(f"{c}.found", lambda x: x["plausible"])).select(
-        F.monotonically_increasing_id().alias(row), "doc_id", F.col(f"{c}.pieces").alias("pieces"), F.col(f"{c}.found").alias("found")
+    return judge(candidates(docs, key, text, path), forest).drop("before", "after", "path")
+
+
+def scan(docs: DataFrame, forest: list, text: str, path: str | None, prefix: str, threshold: float = 0.5) -> DataFrame:
+    """``split_candidates`` and a column ``judged``, prefixed too: the candidates with
+    their verdict."""
+    split = split_candidates(docs, text, path, prefix)
+    where = F.col(f"{prefix}path")
+    described = F.transform(
+        f"{prefix}found",
+        lambda x: F.struct(x["value"].alias("value"), F.when(x["plausible"], F.array(*features(x["value"], x["before"], x["after"], where))).alias("f")),
     )
-    each = listed.select(row, "doc_id", F.posexplode(F.arrays_zip(F.transform("pieces", lambda p: F.length(p)).alias("gap"), F.col("found").alias("found"))).alias("i", "x"))
-    # offsets by a running sum over one text's candidates
-    own = Window.partitionBy(row).orderBy("i")
-    here = F.sum(F.col("x.gap") + F.coalesce(F.length("x.found.value"), F.lit(0))).over(own) - F.coalesce(F.length("x.found.value"), F.lit(0))
-    return each.withColumn("start", here).where("x.found.plausible").select(
-        "doc_id", "start", F.length("x.found.value").cast("bigint").alias("length"),
-        F.col("x.found.value").alias("value"), F.round("x.found.score", 6).alias("score"), F.col("x.found.is_secret").alias("is_secret"),
-    )
+    verdict = lambda x: F.when(x["f"].isNotNull(), score(forest, x["f"]) >= threshold).otherwise(False)
+    return split.withColumn(f"{prefix}judged", F.transform(described, lambda x: F.struct(x["value"].alias("value"), verdict(x).alias("is_secret"))))
 
 
 def redact(docs: DataFrame, forest: list, text: str = "text", path: str | None = None) -> DataFrame:
     """``docs`` with every secret in the text replaced by ``MASK``."""
-    c = fresh(docs.columns, "secrets")
+    c = _prefix(docs)
     scanned = scan(docs, forest, text, path, c)
-    shown = F.transform(f"{c}.found", lambda x: F.when(x["is_secret"], F.lit(MASK)).otherwise(x["value"]))
-    joined = F.array_join(F.zip_with(f"{c}.pieces", shown, lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
-    hit = F.exists(f"{c}.found", lambda x: x["is_secret"])
-    clean = scanned.withColumn(text, F.when(F.coalesce(hit, F.lit(False)), joined).otherwise(F.col(text)))
-    return clean.drop(c)
+    shown = F.transform(f"{c}judged", lambda x: F.when(x["is_secret"], F.lit(MASK)).otherwise(x["value"]))
+    joined = F.array_join(F.zip_with(f"{c}pieces", shown, lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
+    hit = F.coalesce(F.exists(f"{c}judged", lambda x: x["is_secret"]), F.lit(False))
+    return scanned.select(*(F.when(hit, joined).otherwise(F.col(text)).alias(n) if n == text else F.col(n) for n in docs.columns))
