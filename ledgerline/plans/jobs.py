@@ -26,6 +26,7 @@ from ledgerline.operators.joins import few_rows, hot_keys
 from ledgerline.plans.bus import bus_ledger, bus_specs
 from ledgerline.plans.inputs import Inputs
 from ledgerline.plans.merge import empty_ledger, merge_ledger
+from ledgerline.plans.summaries import ReportTables, refresh_reports
 from ledgerline.plans.truck import truck_ledger, truck_specs
 from ledgerline.schema import ARM
 from ledgerline.sinks import create_partitioned, extract_csv, full_refresh, overwrite_partitions, replace_day
@@ -62,21 +63,21 @@ class CostTables:
 
 
 def write_months(df: DataFrame, table: str, ctx: RunContext, mode: str, partition_col: str = "month",
-                 location: str | None = None, months: list[str] | None = None, older: bool = False) -> None:
+                 location: str | None = None, months: list[str] | None = None, older: bool = False) -> list[str] | None:
     """Month-partitioned target.  Every run replaces the months it has rows for and
     empties months of its own without rows; all other months stay as they are.  An
     incremental run's own months are its window; a rebuild's are all months that its
     snapshots close, or ``months`` (Q16: re-close a month whose run on the 1st was
     missed).  A rebuild writes no other month, unless ``df`` has older ones whole
-    (``older``)."""
+    (``older``).  Returns the months that were replaced, None for a new table."""
     spark = df.sparkSession
     if mode == "rebuild" and (months or not older):
         df = df.where(F.col(partition_col).isin(months or ctx.rebuild_months))
     if not spark.catalog.tableExists(table):
         create_partitioned(df, table, partition_col, path=location)
-        return
+        return None
     own = ctx.window_months if mode == "incremental" else (months or ctx.rebuild_months)
-    overwrite_partitions(df, table, partition_col, clear=own)
+    return overwrite_partitions(df, table, partition_col, clear=own)
 
 
 Publisher = Callable[[DataFrame, str], None]
@@ -128,16 +129,15 @@ def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables:
     inputs["current_ledger"] = stored_ledger(spark, tables.ledger)
     merged = merge_ledger(spark, inputs, ctx, spark.table(tables.truck), spark.table(tables.bus),
                           window=(mode == "incremental"))
-    write_months(merged, tables.ledger, ctx, mode, location=loc("ledger"), months=months, older=True)
+    written = write_months(merged, tables.ledger, ctx, mode, location=loc("ledger"), months=months, older=True)
 
     ledger = spark.table(tables.ledger).drop(ARM)
     full_refresh(R.settlement_slice(ledger), tables.settlement, path=loc("settlement"))
-    full_refresh(R.waiver_summary(ledger), tables.waiver, path=loc("waiver"))
-    _publish(spark, publish, tables.waiver)
     members = R.channel_members(inputs["external_channel"], inputs["shop_orders"], inputs["shop_serials"],
                                 inputs["shop_items"])
-    full_refresh(R.enrich(ledger, members, inputs["device"]), tables.enriched, path=loc("enriched"))
-    full_refresh(R.ledger_summary(spark.table(tables.enriched)), tables.summary, path=loc("summary"))
+    reports = ReportTables(tables.enriched, tables.summary, tables.waiver)
+    refresh_reports(spark, ledger, members, inputs["device"], reports, written=written, locations=locations)
+    _publish(spark, publish, tables.waiver)
     _publish(spark, publish, tables.summary)
 
     other = S.other_movements(inputs["service_detail"], ctx, adjustments=inputs["other_adjustments"], mode=mode, months=months)

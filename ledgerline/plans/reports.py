@@ -33,17 +33,24 @@ def settlement_slice(ledger: DataFrame) -> DataFrame:
     return ledger.where((c("segment") == F.lit(L.TRUCK)) & rule).select("*")
 
 
-def waiver_summary(ledger: DataFrame) -> DataFrame:
-    """Devices per (date, province, buyer), split by whether waived."""
-    c = F.col
-    truck = c("segment") == F.lit(L.TRUCK)
-    devices = ledger.where(truck & (c("scene2") == F.lit(ALL_DEVICES))).select(
-        "date", province(c("obu_id")).alias("province"), "buyer", "obu_id").distinct()
-    waived = ledger.where(truck & (c("scene2") == F.lit(WAIVER_ROWS))).select("obu_id", "buyer")
+def waiver_devices(ledger: DataFrame) -> DataFrame:
+    """The devices that D6 counts: one row per date, province, buyer and device."""
+    rows = ledger.where((F.col("segment") == F.lit(L.TRUCK)) & (F.col("scene2") == F.lit(ALL_DEVICES)))
+    return rows.select("date", province(F.col("obu_id")).alias("province"), "buyer", "obu_id").distinct()
+
+
+def waiver_counts(devices: DataFrame, waived: DataFrame) -> DataFrame:
+    """Devices per (date, province, buyer), split by whether ``waived(obu_id, buyer)``."""
     marked = flag_existence(devices, waived, ["obu_id", "buyer"], ["obu_id", "buyer"], "mark")
     return marked.groupBy("date", "province", "buyer", "mark").agg(F.count("obu_id").alias("amt"))
 
 
+def waiver_summary(ledger: DataFrame) -> DataFrame:
+    """Devices per (date, province, buyer), split by whether waived."""
+    waived = ledger.where((F.col("segment") == F.lit(L.TRUCK)) & (F.col("scene2") == F.lit(WAIVER_ROWS)))
+    return waiver_counts(waiver_devices(ledger), waived.select("obu_id", "buyer"))
+
+
 def channel_members(external: DataFrame, shop_orders: DataFrame, shop_serials: DataFrame,
                     shop_items: DataFrame) -> DataFrame:
     """Devices sold through the live-stream channel (distinct)."""

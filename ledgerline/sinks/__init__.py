@@ -8,6 +8,9 @@ writer option is ignored by ``insertInto``) and restored afterwards.
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -63,15 +66,59 @@ def create_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, pa
     w.saveAsTable(table)
 
 
-def full_refresh(df: DataFrame, table: str, path: str | None = None, fmt: str = "parquet") -> None:
-    """K1: replace the whole table."""
-    w = df.write.mode("overwrite").format(fmt)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table)
+PREVIOUS = "ledgerline.previous"
 
 
-def overwrite_partitions(df: DataFrame, table: str, partition_col: str = "month", clear=()) -> None:
+def full_refresh(df: DataFrame, table: str, path: str | None = None, fmt: str = "parquet") -> None:
+    """K1: replace the whole table.
+
+    The rows are written to a new version folder, under ``path`` or beside the
+    warehouse's tables, and then the table's location is switched in one catalog step.
+    Until then readers see the old version, so a write that fails changes nothing, and a
+    query that reads the table may refresh it.  The version before the current one
+    stays for readers that began with it; older ones are removed.  A table with other
+    columns, or one that was not written this way, is replaced after the write.
+    """
+    spark = df.sparkSession
+    root = path or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), f"{table}.versions")
+    version = os.path.join(root, f"v-{uuid.uuid4().hex}")
+    df.write.format(fmt).save(version)
+    switched = False
+    if spark.catalog.tableExists(table):
+        same = spark.table(table).schema.simpleString() == spark.read.format(fmt).load(version).schema.simpleString()
+        current, previous = _version_paths(spark, table, root)
+        switched = same and current is not None
+        if switched:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quote(version)}")
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({_quote(PREVIOUS)} = {_quote(current)})")
+            if previous:
+                _remove(spark, previous)
+    if not switched:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=version, source=fmt)
+    spark.catalog.refreshTable(table)
+
+
+def _version_paths(spark: SparkSession, table: str, root: str) -> tuple[str | None, str | None]:
+    """The current and the previous version folder of a table under ``root``."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    folder = lambda p: p if p and "/v-" in p and _plain(p).startswith(_plain(root) + "/v-") else None
+    previous = [r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if r["key"] == PREVIOUS]
+    return folder(rows.get("Location")), folder(previous[0] if previous else None)
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme."""
+    return re.sub(r"^[a-z0-9]+:/*", "/", path)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a version folder in whatever store it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def overwrite_partitions(df: DataFrame, table: str, partition_col: str = "month", clear=()) -> list:
     """K2: replace exactly the partitions ``df`` has rows for; columns are
     matched by name to the target.
 
@@ -81,7 +128,8 @@ def overwrite_partitions(df: DataFrame, table: str, partition_col: str = "month"
     counts the rows of those partitions; only after it succeeds are the empty
     ones dropped.  ``df`` may read the target (the self-correction arm does):
     then, and only then, the new rows are checkpointed to the shared folder
-    first.  Re-running gives the same target.
+    first.  Re-running gives the same target.  Returns the partition values that the
+    run owned or wrote, of which there are few.
     """
     spark = df.sparkSession
     cols = spark.table(table).columns
@@ -91,14 +139,14 @@ def overwrite_partitions(df: DataFrame, table: str, partition_col: str = "month"
         data = data.checkpoint(eager=True)
     seen = Observation()
     counts = [F.count(F.when(F.col(partition_col) == v, 1)).alias(f"n{i}") for i, v in enumerate(clear)]
-    if counts:
-        data = data.observe(seen, *counts)
+    data = data.observe(seen, F.collect_set(F.col(partition_col)).alias("written"), *counts)
     with dynamic_overwrite(spark):
         clustered(data, partition_col).write.mode("overwrite").insertInto(table)
-    written = seen.get if counts else {}
+    written = seen.get
     for i, value in enumerate(clear):
         if not written.get(f"n{i}"):
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {_quote(value)})")
+    return sorted({*clear, *written["written"]})
 
 
 def _root_paths(df: DataFrame) -> set[str]:

@@ -76,3 +76,32 @@ def test_rebuild_of_listed_months_only(spark):
     rebuilt = spark.createDataFrame([(60, "2001-06"), (70, "2001-07"), (80, "2001-08")], "v int, month string")
     write_months(rebuilt, name, RunContext(as_of=d(2001, 8, 2)), "rebuild", months=["2001-07"])
     assert _rows(spark, name) == [(1, "2001-06"), (3, "2001-08"), (70, "2001-07")]
+
+
+def test_full_refresh_switches_versions_and_survives_a_failure(spark):
+    """A write that fails half-way leaves the old table; a refresh may read its own table;
+    one version before the current one is kept."""
+    import glob
+
+    import pytest
+
+    name = f"v_{uuid.uuid4().hex[:8]}"
+    path = scratch_path(spark, name)
+    make = lambda *values: spark.createDataFrame([(v,) for v in values], "v int")
+    K.full_refresh(make(1, 2), name, path=path)
+    bad = make(7, 8, 9).repartition(3).select(F.when(F.col("v") == 9, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")).alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        K.full_refresh(bad, name, path=path)
+    assert _rows(spark, name) == [(1,), (2,)]
+    K.full_refresh(spark.table(name).select((F.col("v") * 10).alias("v")), name, path=path)
+    assert _rows(spark, name) == [(10,), (20,)]
+    for i in range(3):
+        K.full_refresh(make(i), name, path=path)
+        assert _rows(spark, name) == [(i,)]
+    complete = [p for p in glob.glob(f"{path}/v-*") if glob.glob(f"{p}/_SUCCESS")]
+    assert len(complete) == 2
+    # other columns: the table is replaced after the write
+    K.full_refresh(spark.createDataFrame([("a", 1)], "w string, v int"), name, path=path)
+    assert spark.table(name).columns == ["w", "v"] and spark.table(name).count() == 1
+    K.full_refresh(make(), name + "e")
+    assert spark.table(name + "e").count() == 0
