@@ -47,17 +47,23 @@ def rules_frame(spark, rows: dict, key: str, out: str) -> DataFrame:
 def rate_from_table(df: DataFrame, rates: DataFrame, key: str, day: str, out: str, rate_key: str = "key") -> DataFrame:
     """P20, general form: the rate valid on ``day`` from a table of versions
     ``(rate_key, valid_from, valid_to, rate)``; ``valid_to`` is exclusive and
-    NULL means open-ended.  Versions of one key must not overlap, so each row
-    matches at most one version (no fan-out).  Rows with no valid version,
-    or a NULL key, get NULL.
+    NULL means open-ended.  Rows with no valid version, or a NULL key, get NULL.
 
-    An equi-join on the key plus a range condition: Spark has no range join,
-    but each key has only a few versions, so the per-key candidates are tiny.
+    The versions of a key become one array sorted by date, joined by key alone and
+    searched for the last version that began: no fan-out and no range condition in the
+    join.  Versions of a key that overlap raise an error that names the key; a version
+    without a beginning, or one that ends before it begins, is never valid.
     """
-    r = rates.select(F.col(rate_key).alias("__rk"), F.col("valid_from").alias("__from"),
-                     F.col("valid_to").alias("__to"), F.col("rate").alias("__rate"))
-    keyed = df.select("*", spread_null_key(df, key).alias("__lk"))
-    d = F.to_date(keyed[day])
-    cond = (keyed["__lk"] == r["__rk"]) & (d >= r["__from"]) & (r["__to"].isNull() | (d < r["__to"]))
-    joined = keyed.join(r, cond, "left")
-    return joined.select(*[keyed[c] for c in df.columns], F.col("__rate").alias(out))
+    began = rates.where(F.col(rate_key).isNotNull() & F.col("valid_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
+    version = F.struct(F.col("valid_from").alias("begin"), F.col("valid_to").alias("end"), F.col("rate").alias("rate"))
+    r = began.groupBy(F.col(rate_key).alias("__rk")).agg(F.sort_array(F.collect_list(version)).alias("versions"))
+    n = F.size("versions")
+    crossing = F.zip_with(F.slice("versions", 1, n - 1), F.slice("versions", 2, n - 1), lambda a, b: a["end"].isNull() | (a["end"] > b["begin"]))
+    error = F.raise_error(F.concat(F.lit("overlapping rate versions of key "), F.col("__rk").cast("string")))
+    checked = F.when(F.exists(crossing, lambda x: x), error.cast(r.schema["versions"].dataType)).otherwise(F.col("versions"))
+    r = r.select("__rk", checked.alias("__versions"))
+    keyed = df.select("*", spread_null_key(df, key).alias("__lk"), F.to_date(F.col(day)).alias("__day"))
+    joined = keyed.join(r, keyed["__lk"] == r["__rk"], "left")
+    last = F.try_element_at(F.filter("__versions", lambda v: v["begin"] <= F.col("__day")), F.lit(-1))
+    rate = F.when(last["end"].isNull() | (F.col("__day") < last["end"]), last["rate"])
+    return joined.select(*[keyed[c] for c in df.columns], rate.alias(out))

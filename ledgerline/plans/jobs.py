@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from ledgerline.context import RunContext
 from ledgerline.plans import cost as C
 from ledgerline.plans import reports as R
 from ledgerline.plans import services as S
+from ledgerline.operators.adjustments import admit
 from ledgerline.operators.feeds import snapshot_feeds
 from ledgerline.operators.joins import few_rows, hot_keys
 from ledgerline.plans.bus import bus_ledger, bus_specs
@@ -28,7 +30,7 @@ from ledgerline.plans.inputs import Inputs
 from ledgerline.plans.merge import empty_ledger, merge_ledger
 from ledgerline.plans.summaries import ReportTables, refresh_reports
 from ledgerline.plans.truck import truck_ledger, truck_specs
-from ledgerline.schema import ARM
+from ledgerline.schema import ARM, HAND_LOADED
 from ledgerline.sinks import create_partitioned, extract_csv, full_refresh, overwrite_partitions, replace_day
 from ledgerline.sources.coverage import require
 
@@ -47,6 +49,7 @@ class IncomeTables:
     debit_refund: str = "dws_debit_refund"
     aftersales: str = "dwd_aftersales_movements"
     aftersales_summary: str = "dws_aftersales_movements"
+    rejects: str = "dwd_rejected_rows"
 
     def prefixed(self, prefix: str) -> "IncomeTables":
         return IncomeTables(**{f.name: f"{prefix}{getattr(self, f.name)}" for f in fields(self)})
@@ -100,6 +103,30 @@ def income_snapshot_feeds() -> dict[str, str]:
     return snapshot_feeds(truck_specs()) | snapshot_feeds(bus_specs()) | {"D9_D11_movements": "service_detail"}
 
 
+def admit_hand_loaded(inputs: Inputs, ctx: RunContext, table: str, location: str | None = None) -> Inputs:
+    """The inputs with every hand-loaded table checked against its declared columns; what
+    does not hold goes, with its reasons, to the run's day of ``table``."""
+    checked = {n: admit(inputs[n], n, schema, required) for n, (schema, required) in HAND_LOADED.items()}
+    rejects = reduce(lambda a, b: a.unionByName(b), [c.rejects for c in checked.values()])
+    replace_day(rejects.withColumn("ds", F.lit(ctx.ds)), table, ctx.ds, partition_col="ds", path=location)
+    return _Checked(inputs, {n: c.good for n, c in checked.items()})
+
+
+class _Checked(Inputs):
+    """Checked tables before the inputs they come from."""
+
+    def __init__(self, inputs: Inputs, checked: dict):
+        super().__init__(checked)
+        self.inputs = inputs
+        self.tables = inputs.tables
+
+    def origin(self, name: str) -> str:
+        return self.inputs.origin(name)
+
+    def __missing__(self, name: str) -> DataFrame:
+        return self.inputs[name]
+
+
 def stored_ledger(spark: SparkSession, table: str) -> DataFrame:
     """The ledger that the job reads and rewrites; one written before arms were stored
     gets the column, null for all its rows."""
@@ -122,6 +149,7 @@ def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables:
     loc = (locations or {}).get
     feeds = {f: name for f, name in income_snapshot_feeds().items() if f not in may_lack}
     require(spark, inputs, feeds, ctx, mode, months)
+    inputs = admit_hand_loaded(inputs, ctx, tables.rejects, loc("rejects"))
     write_months(truck_ledger(inputs, ctx, mode, months), tables.truck, ctx, mode, location=loc("truck"), months=months)
     write_months(bus_ledger(inputs, ctx, mode, months), tables.bus, ctx, mode, location=loc("bus"), months=months)
 

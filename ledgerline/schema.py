@@ -35,6 +35,24 @@ MERGED = T.StructType(LEDGER.fields[:-1] + [T.StructField("net_price", NET), LED
 ARM = "arm"
 STORED = T.StructType(MERGED.fields[:-1] + [T.StructField(ARM, T.StringType()), MERGED.fields[-1]])
 
+
+def _columns(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+#: hand-loaded inputs: declared columns, and those that must not be missing
+_DAY, _TEXT = T.DateType(), T.StringType()
+HAND_LOADED = {
+    "corrections": (MERGED, ("date", "month")),
+    "corrections_second": (MERGED, ("date", "month")),
+    "loaded_corrections": (MERGED, ("date", "month")),
+    "adjust_file": (_columns(obu_id=_TEXT, price=MONEY, month=_TEXT), ()),
+    "manual_income": (_columns(date=_DAY, scene2=_TEXT, price=MONEY, obu_id=_TEXT), ("date",)),
+    "person_services": (_columns(date=_DAY, scene2=_TEXT, price=MONEY, obu_id=_TEXT), ("date",)),
+    "person_scenes": (_columns(scene=_TEXT, price=MONEY, obu_id=_TEXT), ()),
+    "live_adjustments": (_columns(date=_DAY, scene=_TEXT, money=MONEY, obu_id=_TEXT), ("date",)),
+}
+
 MOVEMENT = T.StructType(
     [
         T.StructField("data_type", T.StringType()),

@@ -53,3 +53,30 @@ def test_rate_table_equals_the_single_cut_rule(spark):
         got = rate_from_table(bills, rates, "product_id", "bill_date", "rate")
         assert _rows(got, ["product_id", "bill_date", "rate"]) == _rows(want, ["product_id", "bill_date", "rate"])
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rate_versions_are_searched_by_date_and_overlaps_raise(spark):
+    from datetime import date
+
+    import pytest
+
+    from ledgerline.operators.lookup import rate_from_table
+
+    d = date
+    schema = "key string, valid_from date, valid_to date, rate double"
+    versions = [("a", d(2000, 1, 1), d(2000, 2, 1), 1.0), ("a", d(2000, 2, 1), d(2000, 3, 1), 2.0), ("a", d(2000, 6, 1), None, 3.0),
+                ("b", None, d(2000, 1, 1), 9.0), ("b", d(2000, 5, 1), d(2000, 4, 1), 9.0), ("b", d(2000, 1, 1), None, 4.0), (None, d(2000, 1, 1), None, 5.0)]
+    days = [d(1999, 12, 31), d(2000, 1, 1), d(2000, 1, 31), d(2000, 2, 1), d(2000, 3, 1), d(2000, 5, 31), d(2000, 6, 1), d(2010, 1, 1), None]
+    rows = [(k, day, i) for i, k in enumerate(("a", "b", "c", None)) for day in days]
+    df = spark.createDataFrame(rows, "k string, day date, n int")
+    want = {("a", day): r for day, r in zip(days, (None, 1.0, 1.0, 2.0, None, None, 3.0, 3.0, None))}
+    want |= {("b", day): 4.0 if day and day >= d(2000, 1, 1) else None for day in days}
+    got = rate_from_table(df, spark.createDataFrame(versions, schema), "k", "day", "rate")
+    assert {(r["k"], r["day"]): r["rate"] for r in got.collect()} == {(k, day): want.get((k, day)) for k, day, _ in rows}
+    assert got.count() == len(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "valid_from" not in "".join(line for line in plan.split("\n") if "Join" in line)
+    for extra in (("a", d(2000, 1, 15), d(2000, 1, 20), 7.0), ("a", d(2000, 1, 1), d(2000, 2, 1), 1.0), ("b", d(2001, 1, 1), None, 7.0)):
+        bad = spark.createDataFrame([*versions, extra], schema)
+        with pytest.raises(Exception, match=f"overlapping rate versions of key {extra[0]}"):
+            rate_from_table(df, bad, "k", "day", "rate").collect()
