@@ -13,7 +13,7 @@ is enough, and the weights then serve pages without such markup.
 
 Defined results: a null or empty page, or one without words, has empty text; a tag
 or reference that the end of the page cuts off is markup without text, or stays
-as it is; repeated rows get equal results; of equal regions the first wins; other
+as it is; an element without its end tag ends where HTML says, or with what is around it; repeated rows get equal results; of equal regions the first wins; other
 columns pass through, those named like a result column give way.
 """
 
@@ -73,6 +73,22 @@ NAMED = set(
     "footer header masthead menu menubar modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted "
     "related search share sharing sidebar sidenav social sponsor sponsored subscribe toolbar topbar widget widgets contentinfo complementary alert".split()
 )
+# fixed values: words that go with those in a name and tell nothing of their own
+GENERIC = set(
+    "area bar block bottom box btn button buttons col column container float inline inner item items left link links list mobile outer panel post posts "
+    "right row section small text top unit wrap wrapper".split()
+)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# fixed values: elements whose end tag may be left out, and the opening tags that end them
+_ENDS_P = set(
+    "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section "
+    "table ul".split()
+)
+_ENDS_CELL = {"td", "th", "tr", "tbody", "thead", "tfoot"}
+ENDED_BY = {
+    "p": _ENDS_P, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": _ENDS_CELL, "th": _ENDS_CELL, "tr": _ENDS_CELL - {"td", "th"},
+    "option": {"option", "optgroup"}, "optgroup": {"optgroup"},
+}
 
 
 def _names(attributes: str) -> list[str]:
@@ -84,6 +100,18 @@ def _names(attributes: str) -> list[str]:
     return out
 
 
+def _says_boilerplate(attributes: str) -> bool:
+    """Whether a class, role or whole id consists of listed words, with others at most
+    that tell nothing.  Slugs of headings and compounds do not."""
+    for k, v in _ATTRIBUTE.findall(attributes):
+        if k.lower() in ("class", "id", "role"):
+            for name in v.strip("\"'").lower().split():
+                words = _NAME.findall(name)
+                if any(w in NAMED for w in words) and all(w in NAMED or w in GENERIC for w in words):
+                    return True
+    return False
+
+
 def _key(tag: str, names: list[str]) -> str:
     return tag if not names else f"{tag}.{names[0]}"
 
@@ -118,12 +146,54 @@ class Weights:
         return self.cost.get(key, self.cost.get(tag, TAG if tag in PROSE else LISTED if tag in LISTS else TAG + OUTSIDE / 2))
 
 
-def _is_boilerplate(tag: str, names: list[str], inside: bool, weights: Weights) -> bool:
+def _is_boilerplate(tag: str, names: list[str], attributes: str, inside: bool, weights: Weights) -> bool:
     if tag in CONTENT or tag in ("html", "body"):
         return False
-    if tag in NEVER or _key(tag, names) in weights.boilerplate or any(n in NAMED for n in names):
+    if tag in NEVER:
         return True
-    return tag == "header" and not inside
+    if inside and tag in HEADINGS:  # ids of headings repeat their text
+        return False
+    if _key(tag, names) in weights.boilerplate:
+        return True
+    if inside:
+        return _says_boilerplate(attributes)
+    return tag == "header" or any(n in NAMED for n in names)
+
+
+class _Skipped:
+    """The open elements of a skipped one, which says where it ends even if it or those
+    in it have no end tags."""
+
+    def __init__(self, tag: str):
+        self.open = [tag]
+
+    def ends(self, tag: str, closing: bool, leaf: bool, inside: bool) -> str:
+        """What a tag does: "" (still inside), "with" it (its own end tag), or "before" it
+        (a tag beside or around it)."""
+        if closing:
+            if tag in self.open:
+                at = len(self.open) - 1 - self.open[::-1].index(tag)
+                if tag in BLOCK or tag in NEVER or not at:
+                    del self.open[at:]  # what is open in a block ends with it
+                else:
+                    del self.open[at]
+                return "" if self.open else "with"
+            # an end tag of something around it
+            return "before" if self.open[0] in ENDED_BY and tag in BLOCK or tag in CONTENT and inside else ""
+        if tag in CONTENT:
+            return "before"  # it was never closed
+        # the innermost element that may end without a tag, below inline ones only
+        for at in range(len(self.open) - 1, -1, -1):
+            if tag in ENDED_BY.get(self.open[at], ()):
+                del self.open[at:]
+                if not self.open:
+                    return "before"
+                break
+            if self.open[at] in BLOCK or self.open[at] in NEVER:
+                break
+        if not leaf:
+            self.open.append(tag)
+        return ""
 
 
 def _holds_most(found: list, page: str) -> set[int]:
@@ -147,50 +217,55 @@ def _holds_most(found: list, page: str) -> set[int]:
 def _pieces(page: str, weights: Weights):
     """The page as ``(text, score, breaks)``: text between tags, None inside
     boilerplate, each followed by the score of the tag after it."""
-    at, skip, depth, inside = 0, "", 0, 0
+    at, skip, inside = 0, None, 0
     found = list(tokens(page))
     most = _holds_most(found, page)
     for i, (start, end, tag, closing, attributes) in enumerate(found):
         text = page[at:start]
         yield (None if skip else text), 0.0, False
         at = end
+        leaf = tag in VOID or tag in RAW or attributes.endswith("/")
+        ends = skip.ends(tag, closing, leaf, inside > 0) if skip and tag else ""
+        if ends == "before":
+            skip, ends = None, ""
         names = _names(attributes) if attributes and not closing else []
         key = _key(tag, names)
         # tags of boilerplate inside are not the content's, and in named content no tag tells against it
-        cost = 0.0 if skip and not (closing and tag == skip and depth == 1) else TAG if not tag or (inside and tag not in CONTENT) else weights.of(key, tag)
+        cost = 0.0 if skip and not ends else TAG if not tag or (inside and tag not in CONTENT) else weights.of(key, tag)
         yield None, -cost, tag in BLOCK
         if tag in ("br", "td", "th") and not skip:
             yield " ", 0.0, False
         if skip:
-            if tag == skip:
-                depth += -1 if closing else 1
-                if not depth:
-                    skip = ""
-            elif tag in CONTENT and not closing:
-                skip, inside = "", inside + 1  # the boilerplate was never closed
+            skip = None if ends else skip
         elif tag in CONTENT:
             inside = max(0, inside + (-1 if closing else 1))
-        elif not closing and tag not in VOID and tag not in RAW and not attributes.endswith("/") and not (i in most and tag not in SURE) and _is_boilerplate(tag, names, inside > 0, weights):
-            skip, depth = tag, 1
+        elif tag and not closing and not leaf and not (i in most and tag not in SURE) and _is_boilerplate(tag, names, attributes, inside > 0, weights):
+            skip = _Skipped(tag)
     if not skip:
         yield page[at:], 0.0, False
 
 
-def extract(page: str | None, weights: Weights) -> str:
-    """The text of the best contiguous region: its blocks joined by an empty line."""
-    if not page:
-        return ""
-    pieces = list(_pieces(page, weights))
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """Begin and end of the contiguous part with the largest sum above 0, the first of
+    equal ones; empty if there is none."""
     best = total = 0.0
     first = begin = end = 0
-    for i, (text, score, _) in enumerate(pieces):
-        score = score if text is None else WORD * len(text.split())
+    for i, score in enumerate(scores):
         if total + score <= 0:
             total, first = 0.0, i + 1
             continue
         total += score
         if total > best:
             best, begin, end = total, first, i + 1
+    return begin, end
+
+
+def extract(page: str | None, weights: Weights) -> str:
+    """The text of the best contiguous region: its blocks joined by an empty line."""
+    if not page:
+        return ""
+    pieces = list(_pieces(page, weights))
+    begin, end = best_region([score if text is None else WORD * len(text.split()) for text, score, _ in pieces])
     blocks, current = [], []
     for text, _, breaks in pieces[begin:end]:
         if text is not None:

@@ -67,6 +67,57 @@ def test_wrappers_with_listed_words_keep_the_page():
         assert html.extract(page, learned).split() == re.sub("<[^>]*>", " ", prose).split(), wrapper
 
 
+def test_slugs_and_compounds_inside_the_article_stay(spark, sf):
+    """Ids made from headings and class names that only contain a listed word are no boilerplate."""
+    w = html.learn(spark.read.parquet(f"{sf}/pages.parquet"))
+    prose = "<p>" + "plain words of the article " * 12 + "</p>"
+    for part in (
+        "<section id='search-methods'><p>" + "methods of the search " * 10 + "</p></section>", "<h2 id='related-work'>Related work</h2>",
+        "<figure class='ad-hoc-figure'><img src=a><figcaption>What the figure shows</figcaption></figure>", "<h3 class='notice'>Notice of terms</h3>",
+        "<div class='share-of-voters'><p>Half of all voters</p></div>", "<table id='social-costs'><tr><td>one</td><td>two</td></tr></table>",
+    ):
+        page = f"<nav>Menu of the site</nav><article>{prose}{part}{prose}</article><footer>Imprint</footer>"
+        assert html.extract(page, w).split() == re.sub("<[^>]*>", " ", prose + part + prose).split(), part
+    for part in ("<div class='ad'>Buy this</div>", "<div class='share-buttons'>Tell friends</div>", "<ul id='comments'><li>First!</li></ul>", "<p class='notice'>Cookies here</p>",
+                 "<div class='cookie-notice top'>Accept</div>", "<section class='related posts'>More of it</section>"):
+        page = f"<article>{prose}{part}{prose}</article>"
+        assert html.extract(page, w).split() == re.sub("<[^>]*>", " ", prose + prose).split(), part
+
+
+def test_boilerplate_without_end_tags(spark, sf):
+    """What is skipped ends where HTML ends it, and every word after it stays."""
+    w = html.learn(spark.read.parquet(f"{sf}/pages.parquet"))
+    prose = "<p>" + "plain words of the article " * 12 + "</p>"
+    words = lambda t: re.sub("<[^>]*>", " ", t).split()
+    cases = {
+        f"{prose}<p class='notice'>We use cookies{prose}": prose + prose,
+        f"{prose}<p class='notice'>We use <b>cookies<div>{prose}</div>": prose + prose,
+        f"{prose}<ul><li class='share'>Tell friends<li>first item<li>second item</ul>{prose}": prose + "first item second item " + prose,
+        f"<ul><li class='share'><a href=x>Tell friends<li>first item</ul>{prose}": "first item " + prose,
+        f"<ul><li>one<li class='share'>Tell friends</ul>{prose}": "one " + prose,
+        f"<table><tr><td class='ad'>Buy<td>cell</table>{prose}": "cell " + prose,
+        f"<dl><dt class='ad'>Buy<dd>meaning</dl>{prose}": "meaning " + prose,
+        f"<div class='ad'><p>Buy now<p>and here<ul><li>a<li>b</div>{prose}": prose,
+        f"<div class='ad'>one <div>two</div> three</div>{prose}": prose,
+        f"{prose}<div class='ad'>never closed": prose,
+        f"<div class='ad'><i>Buy</div></i>{prose}": prose,
+    }
+    for inner, expected in cases.items():
+        assert html.extract(f"<nav><ul><li>Menu<li>Page</nav><article>{inner}</article><footer>Imprint</footer>", w).split() == words(expected), inner
+
+
+def test_best_region_is_the_best_of_all():
+    import random
+
+    rng = random.Random(5)
+    assert html.best_region([]) == (0, 0) and html.best_region([-1.0, 0.0]) == (0, 0)
+    for _ in range(600):
+        scores = [rng.choice([1.0, 2.0, 7.0, -0.5, -1.0, -3.0, 0.0]) for _ in range(rng.randrange(1, 30))]
+        begin, end = html.best_region(scores)
+        sums = [sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+        assert sum(scores[begin:end]) == max(0.0, max(sums))
+
+
 def test_learned_boilerplate_needs_evidence(spark):
     page = "<div class='wrap'>words</div><article><p>the text</p></article>"
     for n, sure in ((4, False), (40, True)):
