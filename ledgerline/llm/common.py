@@ -3,6 +3,7 @@ batches, and distributed connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -55,6 +56,32 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library returns memory in its own way
+    _trim = None
+
+
+def give_back() -> None:
+    """Return the memory of freed arrays to the system: a Python worker lives on for
+    other tasks, and what its allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def giving_back(run):
+    """The Arrow iterator function ``run``, with ``give_back`` at the end of a task."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
@@ -256,4 +283,4 @@ def map_text(df: DataFrame, text: str, fn, fields: str, limit: int = CHUNK_BYTES
             columns = [pa.concat_arrays([p.cast(kind) for p in part]) for part, kind in zip(parts, types, strict=True)]
             yield pa.RecordBatch.from_arrays(batch.columns + columns, names=batch.schema.names + added.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(giving_back(run), schema)

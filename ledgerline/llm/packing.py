@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, prefix_hash, range_hash, small_batches, text_chunks
+from ledgerline.llm.common import cut, giving_back, prefix_hash, range_hash, small_batches, text_chunks
 
 SEQUENCE = 1024
 END_ID = 2
@@ -165,7 +165,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer=p
                     names=names,
                 )
 
-    return source.mapInArrow(run, f"doc_id {schema}, piece int, start bigint, length bigint, ids binary")
+    return source.mapInArrow(giving_back(run), f"doc_id {schema}, piece int, start bigint, length bigint, ids binary")
 
 
 @dataclass(frozen=True)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from ledgerline.llm.common import mix, powers, range_hash, small_batches
+from ledgerline.llm.common import giving_back, mix, powers, range_hash, small_batches
 
 ADDED = "n_words bigint, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string"
 
@@ -176,4 +176,4 @@ def periodic_runs(docs: DataFrame, text: str = "text", key: str = "doc_id", leas
             added = [pa.array(counts, pa.int64()), pa.array(found, run_type), pa.array(rest, pa.string())]
             yield pa.RecordBatch.from_arrays(batch.columns + added, names=batch.schema.names + ["n_words", "runs", "collapsed"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(giving_back(run), schema)
