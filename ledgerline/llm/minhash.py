@@ -5,12 +5,13 @@ branches the documents by selected minwise tokens: a node's children share one
 more minwise value.  Nodes of one class die at once, small nodes are compared
 exhaustively, large ones branch on.  Links are confirmed on the full sets.
 
-* Equal sets are one class from the start, so copies never meet as pairs.
+* Equal sets are one class from the start, so copies never meet as pairs.  A class has
+  a number of its own; a key whose rows have different texts links its classes.
 * In each node every class is first compared with the node's smallest class
   only; classes that are then connected need no further comparison, so a large
   group of near copies costs one comparison a member instead of all pairs.
 * Nodes that still hold two unconnected components go on.  Large ones branch on
-  two further minwise tokens.  Small ones are compared exhaustively, by sketches
+  two further minwise tokens; a child that holds one component is dropped before it is written.  Small ones are compared exhaustively, by sketches
   first: a member stays open if its sketch agrees with one of another component.
   The full sets of a node's open members are then compared in blocks, and only a
   spanning forest of the links leaves the task.  A pair that meets in several
@@ -23,8 +24,8 @@ passes each later level with 1 - (1 - s)**2.  With the default eight trees the
 chance that no tree finds a pair is 3e-7 at 0.85 and 3e-6 at 0.80 on the first level.
 
 Defined results: null, empty and white-space-only texts have the empty set and
-are linked with nothing; repeated rows (one key twice) count once per row in
-``signatures`` and join their class; ties go to the smallest key; other columns
+are linked with nothing; rows that repeat a key are one document, linked with
+whatever any of its texts is linked with; ties go to the smallest key; other columns
 are not read; a null key is linked with nothing and kept.  An empty table gives an
 empty result.
 """
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import components, cut, few_or_shuffled, map_text, mix, shingle_sets
+from ledgerline.llm.common import components, cut, few_or_shuffled, give_back, giving_back, map_text, mix, shingle_sets
 
 TREES = 8
 SKETCH = 128
@@ -68,13 +69,25 @@ def agreement(percent: int) -> int:
     return SKETCH
 
 
+def _fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Size and 128-bit fingerprint of every set."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    a, b = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        everything = np.concatenate(sets)
+        at = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
+        a[full] = np.add.reduceat(mix(everything), at)
+        b[full] = np.add.reduceat(mix(everything ^ _SALT[0]), at)
+    return sizes, a, b
+
+
 def _signatures(width: int):
     def run(data: np.ndarray, offsets: np.ndarray):
         sets = shingle_sets(data, offsets, width)
-        sizes = np.array([len(s) for s in sets], np.int64)
+        sizes, a, b = _fingerprints(sets)
         n = len(sets)
         low = np.zeros((n, SKETCH), np.uint64)
-        a, b = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         full = np.flatnonzero(sizes)
         if len(full):
             everything = np.concatenate(sets)
@@ -84,8 +97,6 @@ def _signatures(width: int):
                 x ^= x >> np.uint64(32)
                 x *= _SALT[k - 1]
                 low[full, k] = np.minimum.reduceat(x, at)
-            a[full] = np.add.reduceat(mix(everything), at)
-            b[full] = np.add.reduceat(mix(everything ^ _SALT[0]), at)
         roots = mix(low[:, :TREES] + np.arange(1, TREES + 1, dtype=np.uint64) * _SALT[1])
         lists = pa.ListArray.from_arrays(np.arange(0, n * TREES + 1, TREES, dtype=np.int32), pa.array(roots.ravel().view(np.int64)))
         sketch = (low >> np.uint64(40)).astype(np.uint8)
@@ -101,16 +112,6 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     return map_text(source, "text", _signatures(width), "n_shingles bigint, fp1 bigint, fp2 bigint, roots array<bigint>, sketch binary").drop("text")
 
 
-def _sets(width: int):
-    def run(data, offsets):
-        sets = shingle_sets(data, offsets, width)
-        ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-        values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))]
-
-    return run
-
-
 def _bytes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
@@ -168,7 +169,7 @@ def _children(level: int):
             if not batch.num_rows:
                 continue
             key = np.asarray(batch.column(0)).view(np.uint64)
-            sketch = _bytes(batch.column(2))
+            sketch = _bytes(batch.column(3))
             first = (mix(key + np.uint64(level)) % np.uint64(SKETCH)).astype(np.int64)
             keys = []
             for step in (0, 1 + level * 2):
@@ -176,7 +177,7 @@ def _children(level: int):
                 value = sketch[np.arange(len(key)), at].astype(np.uint64)
                 keys.append(mix(key * _SALT[2] + value * _SALT[3] + at.astype(np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.concat_arrays([batch.column(1)] * 2)], names=["node", "id"]
+                [pa.array(np.concatenate(keys).view(np.int64)), *(pa.concat_arrays([batch.column(c)] * 2) for c in (1, 2))], names=["node", "id", "component_id"]
             )
 
     return run
@@ -229,22 +230,46 @@ def _compare(percent: int):
         _, group = np.unique(comp, return_inverse=True)
         take = _forest(group[a], group[b], len(ids))
         a, b = ids[a[take]], ids[b[take]]
-        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        out = pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        give_back()
+        return out
+
+    return run
+
+
+FP = ["fp1", "fp2", "n_shingles"]
+
+
+def _sets(width: int):
+    def run(data, offsets):
+        sets = shingle_sets(data, offsets, width)
+        ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
+        values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        sizes, a, b = _fingerprints(sets)
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64))), sizes, a.view(np.int64), b.view(np.int64)]
 
     return run
 
 
-def full_sets(ids: DataFrame, docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``(id, shingles)`` of the documents with the given ids."""
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(few_or_shuffled(ids.distinct()), "id", "left_semi")
-    return map_text(texts, "text", _sets(width), "shingles array<bigint>").drop("text")
+class _Texts:
+    """The texts of classes: ``docs(key, text)`` and ``classes(id, class_doc, fp..)``."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, width: int):
+        self.docs, self.classes, self.width = docs, classes, width
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """``(id, shingles)`` of the classes with the given ids."""
+        wanted = cut(ids.distinct().join(self.classes, "id"))
+        texts = self.docs.join(few_or_shuffled(wanted.select(F.col("class_doc").alias("key")).distinct()), "key", "left_semi")
+        sets = map_text(texts, "text", _sets(self.width), "shingles array<bigint>, n_shingles bigint, fp1 bigint, fp2 bigint").drop("text")
+        # a key may have further texts: the class is the one with its fingerprint
+        return sets.join(wanted.withColumnRenamed("class_doc", "key"), ["key", *FP]).select("id", "shingles")
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int, key: str, text: str, width: int) -> DataFrame:
+
+def verified(pairs: DataFrame, texts: _Texts, percent: int) -> DataFrame:
     """Of ``pairs(a, b)`` those whose full sets have 100 * intersection >= percent * union."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-    # a pair holds if any of the texts under its keys does
-    sets = cut(full_sets(ids, docs, key, text, width))
+    sets = cut(texts.sets(ids))
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     inter = F.size(F.array_intersect("sa", "sb"))
@@ -258,20 +283,36 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int, key: str, text: st
     )
 
 
+def _one_text_a_row(docs: DataFrame, sig: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs(key, text)`` with rows of one key and text once, and the keys that have
+    different sets."""
+    lo, hi = F.min(F.struct(*FP)), F.max(F.struct(*FP))
+    again = cut(sig.groupBy(F.col("doc_id").alias("key")).agg(F.count("*").alias("n"), (lo != hi).alias("differs")).where("n > 1").select("key", "differs"))
+    if again.isEmpty():
+        return docs, again.select("key")
+    ids = few_or_shuffled(again.select("key"))
+    once = docs.join(ids, "key", "left_semi").dropDuplicates(["key", "text"])
+    return docs.join(ids, "key", "left_anti").unionByName(once), again.where("differs").select("key")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, width: int = 5) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per row of ``docs``: links are pairs
     with 100 * intersection >= percent * union, components their closure."""
     agree = agreement(percent)
     sig = cut(signatures(docs, key, text, width))
-    fp = ["fp1", "fp2", "n_shingles"]
-    classes = cut(sig.where("n_shingles > 0 and doc_id is not null").groupBy(*fp).agg(F.min("doc_id").alias("class_id")))
-    members = classes.select(F.col("class_id").alias("id")).join(sig.select(F.col("doc_id").alias("id"), "roots", "sketch"), "id")
-    members = cut(members.dropDuplicates(["id"]))
+    named = sig.where("doc_id is not null")
+    linked = named.where("n_shingles > 0")
+    docs, several = _one_text_a_row(docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null"), named)
+    classes = cut(linked.groupBy(*FP).agg(F.min("doc_id").alias("class_doc")).withColumn("id", F.monotonically_increasing_id()))
+    texts = _Texts(docs, classes, width)
+    # a class's smallest key and fingerprint name one row, or equal ones
+    rows = linked.select(F.col("doc_id").alias("class_doc"), *FP, "roots", "sketch")
+    members = cut(classes.join(rows, ["class_doc", *FP]).select("id", "roots", "sketch").dropDuplicates(["id"]))
     nodes = _alive(members.select(F.posexplode("roots").alias("tree", "node"), "id"))
     stars = _agree(nodes.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), members.select("id", "sketch"), agree)
     # a class first meets the smallest of its leads
     stars = cut(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = cut(verified(stars, docs, percent, key, text, width))
+    links = cut(verified(stars, texts, percent).unionByName(_same_key(several, linked, classes)))
     comps = cut(components(links))
 
     nodes = _mixed(nodes, comps)
@@ -289,25 +330,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         small = _blocks(held) if last else held.where(F.col("n") <= SMALL)
         small = small.select("node", "id", "component_id", "tree", "sketch", "met")
         small = small.repartition("node").sortWithinPartitions("node", "id")
-        found.append(cut(small.mapInArrow(_open(agree), "node bigint, id bigint, component_id bigint")))
+        found.append(cut(small.mapInArrow(giving_back(_open(agree)), "node bigint, id bigint, component_id bigint")))
         if last:
             break
-        large = held.where(F.col("n") > SMALL).select("node", "id", "sketch")
+        large = held.where(F.col("n") > SMALL).select("node", "id", "component_id", "sketch")
         # pairs under later nodes are skipped if they meet in any small node under the roots
-        children = large.mapInArrow(_children(level), "node bigint, id bigint").select(F.lit(TREES).alias("tree"), "node", "id")
-        nodes = _mixed(_alive(children), comps)
-    links = links.unionByName(_exhaustive(found, docs, percent, key, text, width))
+        nodes = _apart(large.mapInArrow(giving_back(_children(level)), "node bigint, id bigint, component_id bigint"))
+    links = links.unionByName(_exhaustive(found, texts, percent))
     comps = cut(components(links))
 
-    own = classes.join(comps.select(F.col("id").alias("class_id"), "component_id"), "class_id", "left")
-    own = cut(own.select(*fp, F.coalesce("component_id", "class_id").alias("c")))
+    # a component's id is its smallest key
+    joined = cut(classes.join(comps, "id", "left").withColumn("component_id", F.coalesce("component_id", "id")))
+    least = cut(joined.groupBy("component_id").agg(F.min("class_doc").alias("c")))
+    own = cut(joined.join(least, "component_id").select(*FP, "c"))
     # the signatures are the side that may hold one class a third of the time; both
     # sides are shuffled straight from files, so the join can split it
-    out = sig.select("doc_id", *fp).join(own, fp, "left")
+    out = sig.select("doc_id", *FP).join(own, FP, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
+    if not several.isEmpty():  # a text without words belongs to its key's other texts
+        mine = linked.join(several.withColumnRenamed("key", "doc_id"), "doc_id", "left_semi").select("doc_id", *FP).join(own, FP)
+        out = out.join(cut(mine.groupBy("doc_id").agg(F.min("c").alias("of_key"))), "doc_id", "left")
+        component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "of_key", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _same_key(several: DataFrame, linked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of keys that have different texts."""
+    if several.isEmpty():
+        return several.sparkSession.createDataFrame([], "a bigint, b bigint")
+    own = cut(linked.join(several.withColumnRenamed("key", "doc_id"), "doc_id", "left_semi").select("doc_id", *FP).distinct().join(classes, FP).select("doc_id", "id"))
+    first = cut(own.groupBy("doc_id").agg(F.min("id").alias("a")))
+    return own.join(first, "doc_id").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+
+
 def _alive(nodes: DataFrame) -> DataFrame:
     """Nodes of two or more classes, with their size and smallest class."""
     alive = cut(nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1"))
@@ -321,9 +376,16 @@ def _mixed(nodes: DataFrame, comps: DataFrame) -> DataFrame:
     return cut(held.join(cut(apart.where("c0 <> c1").select("node")), "node"))
 
 
-def _exhaustive(found: list[DataFrame], docs, percent, key, text, width) -> DataFrame:
+def _apart(children: DataFrame) -> DataFrame:
+    """Children with members of two components, as ``_mixed`` gives the roots' children."""
+    held = children.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("lead"), F.min("component_id").alias("c0"), F.max("component_id").alias("c1"))
+    kept = cut(held.where("c0 <> c1").select("node", "n", "lead"))
+    return cut(children.join(kept, "node").select(F.lit(TREES).alias("tree"), "node", "id", "component_id", "n", "lead"))
+
+
+def _exhaustive(found: list[DataFrame], texts: _Texts, percent: int) -> DataFrame:
     """Links among the open members of every node, from their full sets."""
-    spark = docs.sparkSession
+    spark = texts.docs.sparkSession
     if not found:
         return spark.createDataFrame([], "a bigint, b bigint")
     members = found[0]
@@ -333,7 +395,7 @@ def _exhaustive(found: list[DataFrame], docs, percent, key, text, width) -> Data
     size = members.groupBy("node").agg(F.count("*").alias("n"))
     members = members.join(cut(size), "node")
     members = cut(_blocks(members, BLOCK))
-    sets = cut(full_sets(members.select("id"), docs, key, text, width))
+    sets = cut(texts.sets(members.select("id")))
     return cut(members.select("node", "id", "component_id").join(sets, "id").groupBy("node").applyInArrow(_compare(percent), "a bigint, b bigint").distinct())
 
 
@@ -360,4 +422,4 @@ def _agree(pairs: DataFrame, sketches: DataFrame, agree: int) -> DataFrame:
     a = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
     b = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(giving_back(run), "a bigint, b bigint")

@@ -87,6 +87,44 @@ def test_near_duplicates_at_the_threshold_and_in_large_groups(spark):
     assert got == expected
 
 
+def test_near_duplicates_with_several_texts_under_one_id(spark):
+    """Rows that repeat an id link whatever any of its texts is linked with, in any order."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, b), (4, ""), (5, "c d"), (5, None)]
+    expected = brute_components(rows)
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        got = minhash.near_duplicates(spark.createDataFrame(order, "doc_id bigint, text string")).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, len(shingles(t)), expected[i, len(shingles(t))]) for i, t in rows)
+
+
+def test_near_duplicates_branch(spark, monkeypatch):
+    """Small nodes of 8 members, so that nodes branch down to the last level; planted
+    pairs between 0.85 and 0.95 amid families whose members are under the threshold."""
+    import random
+
+    entered = []
+    apart = minhash._apart
+    monkeypatch.setattr(minhash, "SMALL", 8)
+    monkeypatch.setattr(minhash, "_apart", lambda children: entered.append(children.count()) or apart(children))
+    rng = random.Random(11)
+    rows = []
+    for family in range(12):  # 0.6 to 0.8 alike: they meet in nodes but are no links
+        words = [f"f{family}x{i}" for i in range(200)]
+        for _ in range(30):
+            cut = rng.randrange(40, 60)
+            rows.append((len(rows), " ".join(words[: 200 - cut] + [f"n{rng.randrange(10**9)}" for _ in range(cut)])))
+    planted = []
+    for i in range(200):
+        words = rows[rng.randrange(300)][1].split()
+        k = rng.randrange(4, 14)
+        planted.append((len(rows), " ".join(words[k:] + [f"p{rng.randrange(10**9)}" for _ in range(k)])))
+        rows.append(planted[-1])
+    expected = brute_components(rows)
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert entered and entered[0] > 0
+    assert sum(got[k] == expected[k] for k in got) >= 0.99 * len(got)
+
+
 def test_near_duplicates_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.where("doc_id < 250").collect()]
