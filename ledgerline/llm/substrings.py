@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ledgerline.llm.common import CHUNK_BYTES, prefix_hash, range_hash, small_batches, text_chunks
+from ledgerline.llm.common import CHUNK_BYTES, give_back, mix, prefix_hash, range_hash, small_batches, text_chunks
 
 LENGTH = 50
 GRAM = 20
@@ -105,7 +105,8 @@ class _Runs:
         self.first, self.last = first[ok], last[ok]
         self.anchor = anchor[self.first]
         self.row = np.searchsorted(offsets, self.first, "right") - 1
-        self.code = code[self.anchor]
+        # an anchor has the least hash of its window: mixed again, the codes are even
+        self.code = mix(code[self.anchor])
 
     def keep(self, mask: np.ndarray) -> None:
         for name in ("anchor", "first", "last", "row", "code"):
@@ -389,7 +390,25 @@ def _part_functions(key: str, text: str, length: int, buckets: int, n_columns: i
         added = [pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
         return pa.table([table.column(c) for c in columns] + added, names=[*columns, "n_bytes", "spans", "kept"])
 
-    return first, second, third, finish
+    return tuple(map(_freeing, (first, second, third, finish)))
+
+
+def _freeing(fn):
+    """``fn`` of a group's tables, which gives back what it allocated."""
+
+    def of_group(table: pa.Table) -> pa.Table:
+        try:
+            return fn(table)
+        finally:
+            give_back()
+
+    def of_both(table: pa.Table, answers: pa.Table) -> pa.Table:
+        try:
+            return fn(table, answers)
+        finally:
+            give_back()
+
+    return of_group if fn.__code__.co_argcount == 1 else of_both
 
 
 def _removed(p: _Part, answers: pa.Table, length: int):
@@ -443,10 +462,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     # every pass groups the same frame, so Spark shuffles the text once and reuses it
     texts = lambda: dealt.groupBy("part")
-    told = texts().applyInArrow(first, _MESSAGE).groupBy("bucket").applyInArrow(_first_digit, _MESSAGE)
+    told = texts().applyInArrow(first, _MESSAGE).groupBy("bucket").applyInArrow(_freeing(_first_digit), _MESSAGE)
     for step, digit in ((second, _second_digit), (third, _last_digit)):
         asked = texts().cogroup(told.groupBy("part")).applyInArrow(step, _MESSAGE)
-        told = told.unionByName(asked.groupBy("bucket").applyInArrow(digit, _MESSAGE))
+        told = told.unionByName(asked.groupBy("bucket").applyInArrow(_freeing(digit), _MESSAGE))
     schema = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)] + StructType.fromDDL(_RESULT).fields)
     out = texts().cogroup(told.groupBy("part")).applyInArrow(finish, schema)
     out = out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), "n_bytes", "spans", "kept")
