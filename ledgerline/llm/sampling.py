@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import mix, prefix_hash, range_hash, small_batches, text_chunks
+from ledgerline.llm.common import giving_back, mix, prefix_hash, range_hash, small_batches, text_chunks
 
 SAMPLES = 2
 ALPHA = 1.0
@@ -44,6 +44,10 @@ FIRST_BYTE = 3
 BLANK = "▁"
 #: bytes of text whose words share one set of lattices
 CHUNK = 1 << 22
+#: edges of frequent words' lattices from which on a task keeps no more of them (about 40 bytes each)
+KEPT_EDGES = 3 << 20
+#: leading bits of a substring's hash that are looked up before the sorted codes
+PROBE_BITS = 18
 _U = np.uint64
 
 
@@ -78,17 +82,62 @@ class Vocabulary:
             at = np.arange(0, len(data), size)
             code = range_hash(prefix_hash(data, folded=False), at, at + size)
             order = np.argsort(code)
-            self.tables[size] = code[order], np.array([i for _, i in found], np.int32)[order]
+            # most substrings are no piece: their first bits say so before the search
+            may = np.zeros(1 << PROBE_BITS, bool)
+            may[code >> _U(64 - PROBE_BITS)] = True
+            self.tables[size] = may, code[order], np.array([i for _, i in found], np.int32)[order]
         sizes = np.array([len(b) for b in self.bytes], np.int64)
         self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """Bytes of a text from its piece ids."""
+        self.kept: Lattices | None = None  # frequent words, in the order of kept_codes
+        self.kept_codes = np.zeros(0, np.uint64)
+
+    def raw(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all pieces in a row, and where each piece ends."""
         n = self.sizes[ids]
         end = np.cumsum(n)
-        raw = self.flat[np.repeat(self.starts[ids] - (end - n), n) + np.arange(end[-1] if len(end) else 0)].tobytes()
-        return raw[1:]
+        return self.flat[np.repeat(self.starts[ids] - (end - n), n) + np.arange(end[-1] if len(end) else 0)], end
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of a text from its piece ids."""
+        return self.raw(ids)[0].tobytes()[1:]
+
+    def equal(self, ids: np.ndarray, at: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether the pieces ``at[r] .. at[r + 1]`` give the text of each row ``r``."""
+        raw, end = self.raw(ids)
+        bounds = np.concatenate(([0], end))[at]
+        size, text = np.diff(bounds), np.diff(offsets)
+        filled = text > 0
+        same = size == text + filled  # a filled text starts with a blank
+        rows = np.flatnonzero(same & filled)
+        n = text[rows]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        differs = raw[np.repeat(bounds[rows] + 1, n) + step] != data[np.repeat(offsets[rows], n) + step]
+        same[np.repeat(rows, n)[differs]] = False
+        return same
+
+    def lattices(self, code: np.ndarray, count: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple["Lattices", np.ndarray]:
+        """Lattices that hold all words (distinct, given by hash) and each word's number
+        in them.  Words that occur more than once are kept for later chunks, up to
+        ``KEPT_EDGES``."""
+        known = np.isin(code, self.kept_codes)
+        again = np.flatnonzero(~known & (count > 1))
+        if len(again) and (self.kept is None or len(self.kept.piece) < KEPT_EDGES):
+            more = Lattices(self, data, starts[again], ends[again])
+            self.kept = more if self.kept is None else self.kept.join(more)
+            self.kept_codes = np.concatenate((self.kept_codes, code[again]))
+            known[again] = True
+        number = np.empty(len(code), np.int64)
+        if known.any():
+            order = np.argsort(self.kept_codes)
+            number[known] = order[np.searchsorted(self.kept_codes, code[known], sorter=order)]
+        rest = np.flatnonzero(~known)
+        number[rest] = len(self.kept_codes) + np.arange(len(rest))
+        if not len(rest):
+            return self.kept, number
+        new = Lattices(self, data, starts[rest], ends[rest])
+        return (new if self.kept is None else self.kept.join(new)), number
 
 
 class Lattices:
@@ -107,12 +156,14 @@ class Lattices:
         char = np.diff(np.append(at_head, len(text)))
         has_piece = np.zeros(len(at_head), bool)
         begin, length, piece = [], [], []
-        for n, (codes, ids) in reversed(vocabulary.tables.items()):  # long pieces are likely: they come first
+        for n, (may, codes, ids) in reversed(vocabulary.tables.items()):  # long pieces are likely: they come first
             fits = np.flatnonzero(left >= n)
             if not len(fits):
                 continue
             at = at_head[fits]
             code = range_hash(prefix, at, at + n)
+            some = np.flatnonzero(may[code >> _U(64 - PROBE_BITS)])
+            fits, at, code = fits[some], at[some], code[some]
             place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
             hit = codes[place] == code
             begin.append(at[hit])
@@ -120,11 +171,21 @@ class Lattices:
             piece.append(ids[place[hit]])
             has_piece[fits[hit & (char[fits] == n)]] = True
         lost = np.flatnonzero(np.repeat(~has_piece, char))  # bytes of characters without a piece
-        begin = np.concatenate([*begin, lost])
-        length = np.concatenate([*length, np.ones(len(lost), np.int64)])
-        piece = np.concatenate([*piece, text[lost].astype(np.int32) + FIRST_BYTE]).astype(np.int32)
-        order = np.argsort(begin, kind="stable")
-        begin, length, piece = (x[order] for x in (begin, length, piece))
+        begin.append(lost)
+        length.append(np.ones(len(lost), np.int64))
+        piece.append(text[lost].astype(np.int32) + FIRST_BYTE)
+        # edges by place, at a place in the order found; a place has one of each length
+        count = np.zeros(len(text), np.int64)
+        for at in begin:
+            count[at] += 1
+        fill = np.cumsum(count) - count
+        found, begin = begin, np.repeat(np.arange(len(text)), count)
+        sizes, pieces = length, piece
+        length, piece = np.empty(len(begin), np.int64), np.empty(len(begin), np.int32)
+        for at, n, ids in zip(found, sizes, pieces, strict=True):
+            slot = fill[at]
+            length[slot], piece[slot] = n, ids
+            fill[at] += 1
         weight = vocabulary.weight[piece]
         target = begin + length
         last = target == stop[begin]
@@ -151,6 +212,19 @@ class Lattices:
         self.p = np.exp(self.log_p)
         self.entry = number[total - size]  # a word's first state
 
+    def join(self, other: "Lattices") -> "Lattices":
+        """Both sets of lattices as one; ``other``'s words follow."""
+        out = object.__new__(Lattices)
+        edges, states = len(self.piece), len(self.first)
+        for name in ("piece", "log_p", "p"):
+            setattr(out, name, np.concatenate((getattr(self, name), getattr(other, name))))
+        for name in ("first", "end"):
+            setattr(out, name, np.concatenate((getattr(self, name), getattr(other, name) + edges)))
+        for name in ("state", "entry"):
+            setattr(out, name, np.concatenate((getattr(self, name), getattr(other, name) + states)))
+        out.next = np.concatenate((self.next, np.where(other.next >= 0, other.next + states, -1)))
+        return out
+
     def choose(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each state by probability, given a uniform number."""
         edge, last = self.first[state], self.end[state] - 1
@@ -166,12 +240,17 @@ class Lattices:
             edge[open_] += 1
 
 
-def _uniform(*parts) -> np.ndarray:
-    """Numbers in (0, 1) that are a hash of integers."""
-    h = np.zeros(1, np.uint64)
+def _hashed(*parts, start=None) -> np.ndarray:
+    """Hash of integers; ``start`` is that of the parts before them."""
+    h = np.zeros(1, np.uint64) if start is None else start
     for p in parts:
         h = mix(h * _U(0x9E3779B97F4A7C15) + np.asarray(p).astype(np.uint64) + _U(0x632BE59BD9B4E019))
-    return ((h >> _U(11)).astype(np.float64) + 0.5) / float(1 << 53)
+    return h
+
+
+def _uniform(*parts, start=None) -> np.ndarray:
+    """Numbers in (0, 1) that are a hash of integers."""
+    return ((_hashed(*parts, start=start) >> _U(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
 def _gumbel(u: np.ndarray) -> np.ndarray:
@@ -200,8 +279,9 @@ class _Sampler:
         self.word_in_row = np.arange(len(starts)) - self.row_words[self.word_row] if len(starts) else starts
         if len(starts):
             code = range_hash(prefix_hash(text, folded=False), starts, ends)
-            _, one, self.kind = np.unique(code, return_index=True, return_inverse=True)
-            self.lattice = Lattices(vocabulary, text, starts[one], ends[one])
+            code, one, kind, count = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+            self.lattice, number = vocabulary.lattices(code, count, text, starts[one], ends[one])
+            self.entry = self.lattice.entry[number][kind]  # the first state of every word
 
     def walk(self, words: np.ndarray, state: np.ndarray, sample: int):
         """Edges from a state of each word to its end: ``(index into words, step, edge)``."""
@@ -209,9 +289,10 @@ class _Sampler:
         active = np.flatnonzero(state >= 0)
         state = state[active]
         step = 0
+        # the parts that do not change from step to step are hashed once
+        mine = _hashed(self.word_in_row[words], start=_hashed(self.keys, sample)[self.word_row[words]])
         while len(active):
-            w = words[active]
-            edge = lat.choose(state, _uniform(self.keys[self.word_row[w]], sample, self.word_in_row[w], step))
+            edge = lat.choose(state, _uniform(step, start=mine[active]))
             for o, v in zip(out, (active, np.full(len(active), step), edge), strict=True):
                 o.append(v)
             state = lat.next[edge]
@@ -222,7 +303,7 @@ class _Sampler:
 
     def first(self):
         words = np.arange(len(self.word_row))
-        at, step, edge = self.walk(words, self.lattice.entry[self.kind], 0)
+        at, step, edge = self.walk(words, self.entry, 0)
         order = np.lexsort((step, at))
         return edge[order], at[order]
 
@@ -246,7 +327,7 @@ class _Sampler:
         later = self.row_words[rows + 1] - cut_word - 1
         more = np.repeat(cut_word + 1 - (np.cumsum(later) - later), later) + np.arange(later.sum())
         walk_words = np.concatenate((cut_word, more))
-        state = np.concatenate((self.lattice.next[edge], self.lattice.entry[self.kind[more]]))
+        state = np.concatenate((self.lattice.next[edge], self.entry[more]))
         at, step, found = self.walk(walk_words, state, sample)
         edges.append(found)
         words.append(walk_words[at])
@@ -273,7 +354,7 @@ def top_k(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: n
     edges, words = s.first()
     at = s.row_ranges(words)
     parents = [(edges, words, at)]
-    # open parts: per row up to k + 1 of (bound, sample, place, edges excluded there)
+    # open parts: per row the best of each sample as (bound, sample, place, edges excluded there)
     bound = np.full((n, 0), -np.inf)
     part = np.zeros((n, 0, 2), np.int64)
     banned = np.full((n, 0, k), -1, np.int64)
@@ -298,22 +379,27 @@ def top_k(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: n
             ban = own_ban[row[head], j]
             free[head] -= np.where(ban >= 0, np.exp(lat.log_p[np.maximum(ban, 0)]), 0.0)
         # a state with one edge left leaves nothing, whatever rounding says
-        state = lat.state[edges[place]]
-        gone = 1 + head * (own_ban[row] >= 0).sum(axis=1)
-        free = np.where(lat.end[state] - lat.first[state] > gone, np.maximum(free, 1e-300), 0.0)
+        gone = np.ones(len(row), np.int64)
+        gone[head] += (own_ban >= 0).sum(axis=1)[row[head]]
+        width = lat.end - lat.first
+        free = np.where(width[lat.state[edges[place]]] > gone, np.maximum(free, 1e-300), 0.0)
         with np.errstate(divide="ignore", over="ignore"):
             mass = total[place] - total[at[row]] + np.log(free)
-            noise = mass + _gumbel(_uniform(keys[row], 2, sample, place - at[row]))
+            noise = mass + _gumbel(_uniform(place - at[row], start=_hashed(keys, 2, sample)[row]))
             # truncated at the value of the sample they are split from
             top = value[row] - np.logaddexp(0.0, value[row] - noise)
         top = np.where(free > 0, top, -np.inf)
         # every row's best parts of this sample join its open parts
-        for _ in range(k + 1 - sample):
+        filled = np.flatnonzero(size)
+        begin = np.cumsum(size)[filled] - size[filled]
+        for _ in range(k - sample):  # the samples still to come, and kappa
             best = np.full(n, -np.inf)
-            np.maximum.at(best, row, top)
-            is_best = (top == best[row]) & np.isfinite(top)
+            if len(filled):
+                best[filled] = np.maximum.reduceat(top, begin)
+            at_best = np.flatnonzero(top == best[row])
+            at_best = at_best[np.isfinite(top[at_best])]
             pick = np.full(n, -1, np.int64)
-            pick[row[is_best][::-1]] = np.flatnonzero(is_best)[::-1]
+            pick[row[at_best][::-1]] = at_best[::-1]
             ok = pick >= 0
             pl = np.where(ok, place[np.maximum(pick, 0)] if len(place) else 0, 0)
             ban = np.full((n, k), -1, np.int64)
@@ -346,13 +432,24 @@ def top_k(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: n
 
 def _other_edge(lat: Lattices, parents, chosen: np.ndarray, ban: np.ndarray, u: np.ndarray) -> np.ndarray:
     """An edge of the state at each chosen place that is not banned, by probability."""
-    out = np.zeros(len(chosen), np.int64)
-    for i, (p, place) in enumerate(chosen):
-        state = lat.state[parents[p][0][place]]
-        edges = np.arange(lat.first[state], lat.end[state])
-        edges = edges[~np.isin(edges, ban[i])]
-        c = np.cumsum(np.exp(lat.log_p[edges] - lat.log_p[edges].max()))
-        out[i] = edges[min(np.searchsorted(c, u[i] * c[-1], "right"), len(edges) - 1)]
+    state = np.empty(len(chosen), np.int64)
+    for p, (edges, _, _) in enumerate(parents):
+        mine = chosen[:, 0] == p
+        state[mine] = lat.state[edges[chosen[mine, 1]]]
+    first, count = lat.first[state], lat.end[state] - lat.first[state]
+    row = np.repeat(np.arange(len(state)), count)
+    begin = np.cumsum(count) - count
+    edge = first[row] + np.arange(len(row)) - begin[row]
+    open_ = ~(ban[row] == edge[:, None]).any(axis=1)
+    log_p = np.where(open_, lat.log_p[edge], -np.inf)
+    mass = np.exp(log_p - np.maximum.reduceat(log_p, begin)[row]) if len(row) else log_p
+    total = np.concatenate(([0.0], np.cumsum(mass)))
+    here = total[1:] - total[begin][row]
+    # the first open edge whose cumulated mass exceeds the number, the last one at most
+    hit = open_ & (here > (u * (total[begin + count] - total[begin]))[row])
+    last_open = np.maximum.reduceat(np.where(open_, edge, -1), begin) if len(row) else edge
+    out = last_open.copy()
+    np.minimum.at(out, row[hit], edge[hit])
     return out
 
 
@@ -369,7 +466,6 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SA
         for batch in batches:
             seeds = np.asarray(batch.column(1))
             for first, end, data, offsets in text_chunks(batch.column(2), CHUNK):
-                raw = data.tobytes()
                 found, kappa = top_k(vocabulary, data, offsets, seeds[first:end].view(np.uint64), k)
                 for number, (rows, ids, at, log_prob, perturbed) in enumerate(found):
                     if not len(rows):
@@ -377,7 +473,7 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SA
                     x = np.minimum(log_prob - kappa[rows], 700.0)
                     inclusion = -np.expm1(-np.exp(x))
                     log_inclusion = np.where(x < -30, x, np.log(np.maximum(inclusion, 1e-300)))
-                    same = [vocabulary.decode(ids[at[r] : at[r + 1]]) == raw[offsets[r] : offsets[r + 1]] for r in rows]
+                    same = vocabulary.equal(ids, at, data, offsets)[rows]
                     lists = pa.ListArray.from_arrays(pa.array(np.append(at[rows], at[rows[-1] + 1]).astype(np.int32)), pa.array(ids))
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(rows + first)), pa.array(np.full(len(rows), number + 1, np.int32)), lists,
@@ -385,7 +481,7 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SA
                         names=names,
                     )
 
-    return source.mapInArrow(run, f"doc_id {kind}, sample int, ids array<int>, log_prob double, perturbed double, inclusion double, log_inclusion double, round_trip boolean")
+    return source.mapInArrow(giving_back(run), f"doc_id {kind}, sample int, ids array<int>, log_prob double, perturbed double, inclusion double, log_inclusion double, round_trip boolean")
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "text", pieces=public_pieces) -> DataFrame:
