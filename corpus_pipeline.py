@@ -36,17 +36,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that with the smallest id."""
-    found = cut(minhash.near_duplicates(docs.select("doc_id", "text"), percent=NEAR_PERCENT).select("doc_id", "kept"))
-    gone = few_or_shuffled(found.where("not kept").select("doc_id").distinct())
-    out = docs.join(gone, "doc_id", "left_anti")
-    # rows that repeat an id are copies of one document
-    again = cut(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    if not again.isEmpty():
+    """One document of each near-duplicate group stays, that with the smallest id.  Where
+    rows repeat an id, each text under it is a document of its own, and of rows with one id
+    and text the smallest stays; rows without an id stay."""
+    names, key = docs.columns, fresh(docs.columns, "row_key")
+    keyed = docs.where("doc_id is not null")
+    if keyed.groupBy("doc_id").count().where("count > 1").isEmpty():
+        keyed = keyed.withColumn(key, F.col("doc_id"))
+    else:
+        rest = F.struct(F.lit(0), *(c for c in names if c not in ("doc_id", "text")))
+        one = F.min(rest).alias(key)
+        again = cut(keyed.groupBy("doc_id", F.xxhash64("text").alias(key)).count().where("count > 1").select("doc_id").distinct())
         again = few_or_shuffled(again)
-        one = out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        out = out.join(again, "doc_id", "left_anti").unionByName(one)
-    return out.select(*docs.columns)
+        once = keyed.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(one).select("doc_id", "text", f"{key}.*").select(*names)
+        keyed = keyed.join(again, "doc_id", "left_anti").unionByName(once).withColumn(key, F.struct("doc_id", F.xxhash64("text").alias("text")))
+    found = cut(minhash.near_duplicates(keyed.select(key, "text"), key=key, percent=NEAR_PERCENT).select("doc_id", "kept"))
+    gone = few_or_shuffled(found.where("not kept").select(F.col("doc_id").alias(key)).distinct())
+    out = keyed.join(gone, key, "left_anti").select(*names)
+    return out.unionByName(docs.where("doc_id is null"))
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
