@@ -63,7 +63,17 @@ def test_stages_on_odd_and_empty_tables(spark):
             assert docs is not None and (rows or not docs.count())
     ids = [r.doc_id for r in pipeline.near_duplicates(spark, odd_docs(spark), "").collect()]
     assert ids.count(1) == 1 and ids.count(2) == 0 and ids.count(None) == 2
-    assert ids.count(5) <= 1  # rows that repeat an id are copies
+    assert ids.count(5) == 2  # two texts under one id are two documents
+
+
+def test_near_stage_with_several_texts_under_one_id(spark):
+    """Every text under an id is judged alone; of equal rows one stays."""
+    base = " ".join(f"w{i}" for i in range(80))
+    other = " ".join(f"v{i}" for i in range(80))
+    rows = [(1, base, "b"), (1, base, "a"), (1, other, "c"), (2, base + " more", "d"), (3, other + " more", "e"), (4, "alone " + " ".join(f"u{i}" for i in range(60)), "f"), (4, "", "g"), (4, None, "h")]
+    for docs in (rows, rows[::-1]):
+        got = pipeline.near_duplicates(spark, spark.createDataFrame(docs, "doc_id bigint, text string, source string"), "").collect()
+        assert sorted((r.doc_id, r.source) for r in got) == [(1, "a"), (1, "c"), (4, "f"), (4, "g"), (4, "h")]
 
 
 def test_run_registered(spark, tmp_path):
@@ -72,7 +82,7 @@ def test_run_registered(spark, tmp_path):
     assert [name for name, _ in pipeline.STAGES] == ["quality rules", "MinHash near-dedup", "suffix-array dedup", "secret scans", "best-fit packing"]
     assert pipeline.ORACLE_SQL is None and "pipeline" not in ORACLE
     names = list(QUERIES)
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     spark.createDataFrame([(1, "word " * 10 + " ".join(f"w{i}" for i in range(60)), "en", "s", 1, "k", "i", 1, 2, "s", "p", 3)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert QUERIES["pipeline"](spark, str(tmp_path)).count() == 1
