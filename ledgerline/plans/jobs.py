@@ -22,6 +22,7 @@ from ledgerline.context import RunContext
 from ledgerline.plans import cost as C
 from ledgerline.plans import reports as R
 from ledgerline.plans import services as S
+from ledgerline.plans.runlog import NoLog, RunLog
 from ledgerline.operators.adjustments import admit
 from ledgerline.operators.feeds import snapshot_feeds
 from ledgerline.operators.joins import few_rows, hot_keys
@@ -103,12 +104,12 @@ def income_snapshot_feeds() -> dict[str, str]:
     return snapshot_feeds(truck_specs()) | snapshot_feeds(bus_specs()) | {"D9_D11_movements": "service_detail"}
 
 
-def admit_hand_loaded(inputs: Inputs, ctx: RunContext, table: str, location: str | None = None) -> Inputs:
+def admit_hand_loaded(inputs: Inputs, ctx: RunContext, table: str, location: str | None = None, write: Callable = lambda work: work()) -> Inputs:
     """The inputs with every hand-loaded table checked against its declared columns; what
     does not hold goes, with its reasons, to the run's day of ``table``."""
     checked = {n: admit(inputs[n], n, schema, required) for n, (schema, required) in HAND_LOADED.items()}
     rejects = reduce(lambda a, b: a.unionByName(b), [c.rejects for c in checked.values()])
-    replace_day(rejects.withColumn("ds", F.lit(ctx.ds)), table, ctx.ds, partition_col="ds", path=location)
+    write(lambda: replace_day(rejects.withColumn("ds", F.lit(ctx.ds)), table, ctx.ds, partition_col="ds", path=location))
     return _Checked(inputs, {n: c.good for n, c in checked.items()})
 
 
@@ -139,46 +140,61 @@ def stored_ledger(spark: SparkSession, table: str) -> DataFrame:
 
 def run_income_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables: IncomeTables,
                    mode: str = "incremental", locations: dict | None = None,
-                   publish: Publisher | None = None, months: list[str] | None = None, may_lack: tuple[str, ...] = ()) -> None:
+                   publish: Publisher | None = None, months: list[str] | None = None, may_lack: tuple[str, ...] = (),
+                   log: RunLog | None = None) -> None:
     """``publish`` (K5) receives every summary table after it was written.
     ``mode="rebuild", months=[...]`` re-closes only those months.
 
+    ``log`` (a ``RunLog``) makes the job resumable: a run that failed goes on at the first
+    stage that has not committed.
+
     Before the first table is touched, every snapshot source is checked for the
     snapshots that close the months the run owns; ``MissingSnapshots`` otherwise.
     Feeds in ``may_lack`` are left out of that check."""
     loc = (locations or {}).get
     feeds = {f: name for f, name in income_snapshot_feeds().items() if f not in may_lack}
     require(spark, inputs, feeds, ctx, mode, months)
-    inputs = admit_hand_loaded(inputs, ctx, tables.rejects, loc("rejects"))
-    write_months(truck_ledger(inputs, ctx, mode, months), tables.truck, ctx, mode, location=loc("truck"), months=months)
-    write_months(bus_ledger(inputs, ctx, mode, months), tables.bus, ctx, mode, location=loc("bus"), months=months)
+    run = log or NoLog()
+    inputs = admit_hand_loaded(inputs, ctx, tables.rejects, loc("rejects"), write=lambda work: run.stage("rejects", work))
+
+    def monthly(name: str, build: Callable[[], DataFrame], table: str, **kw) -> list[str] | None:
+        """A month-partitioned stage: the frame is built only if the stage runs."""
+        return run.stage(name, lambda: write_months(build(), table, ctx, mode, location=loc(name), months=months, **kw))
+
+    def whole(name: str, build: Callable[[], DataFrame], table: str) -> None:
+        run.stage(name, lambda: full_refresh(build(), table, path=loc(name)))
+
+    monthly("truck", lambda: truck_ledger(inputs, ctx, mode, months), tables.truck)
+    monthly("bus", lambda: bus_ledger(inputs, ctx, mode, months), tables.bus)
 
     # the job reads its own target; before the first run there is no ledger
     inputs["current_ledger"] = stored_ledger(spark, tables.ledger)
-    merged = merge_ledger(spark, inputs, ctx, spark.table(tables.truck), spark.table(tables.bus),
-                          window=(mode == "incremental"))
-    written = write_months(merged, tables.ledger, ctx, mode, location=loc("ledger"), months=months, older=True)
+    written = monthly("ledger", lambda: merge_ledger(spark, inputs, ctx, spark.table(tables.truck), spark.table(tables.bus), window=(mode == "incremental")),
+                      tables.ledger, older=True)
 
     ledger = spark.table(tables.ledger).drop(ARM)
-    full_refresh(R.settlement_slice(ledger), tables.settlement, path=loc("settlement"))
-    members = R.channel_members(inputs["external_channel"], inputs["shop_orders"], inputs["shop_serials"],
-                                inputs["shop_items"])
+    whole("settlement", lambda: R.settlement_slice(ledger), tables.settlement)
     reports = ReportTables(tables.enriched, tables.summary, tables.waiver)
-    refresh_reports(spark, ledger, members, inputs["device"], reports, written=written, locations=locations)
-    _publish(spark, publish, tables.waiver)
-    _publish(spark, publish, tables.summary)
-
-    other = S.other_movements(inputs["service_detail"], ctx, adjustments=inputs["other_adjustments"], mode=mode, months=months)
-    write_months(other, tables.other, ctx, mode, location=loc("other"), months=months)
-    full_refresh(S.other_summary(spark.table(tables.other)), tables.other_summary, path=loc("other_summary"))
-    _publish(spark, publish, tables.other_summary)
-    full_refresh(S.debit_refund_totals(inputs["equipment"]), tables.debit_refund, path=loc("debit_refund"))
-    _publish(spark, publish, tables.debit_refund)
-    write_months(S.aftersales_movements(inputs["service_detail"], ctx, mode=mode, months=months), tables.aftersales, ctx,
-                 mode, location=loc("aftersales"), months=months)
-    full_refresh(S.aftersales_summary(spark.table(tables.aftersales)), tables.aftersales_summary,
-                 path=loc("aftersales_summary"))
-    _publish(spark, publish, tables.aftersales_summary)
+
+    def refresh() -> None:
+        members = R.channel_members(inputs["external_channel"], inputs["shop_orders"], inputs["shop_serials"], inputs["shop_items"])
+        refresh_reports(spark, ledger, members, inputs["device"], reports, written=written, locations=locations)
+
+    run.stage("reports", refresh)
+
+    monthly("other", lambda: S.other_movements(inputs["service_detail"], ctx, adjustments=inputs["other_adjustments"], mode=mode, months=months), tables.other)
+    whole("other_summary", lambda: S.other_summary(spark.table(tables.other)), tables.other_summary)
+    whole("debit_refund", lambda: S.debit_refund_totals(inputs["equipment"]), tables.debit_refund)
+    monthly("aftersales", lambda: S.aftersales_movements(inputs["service_detail"], ctx, mode=mode, months=months), tables.aftersales)
+    whole("aftersales_summary", lambda: S.aftersales_summary(spark.table(tables.aftersales)), tables.aftersales_summary)
+    for table in (tables.waiver, tables.summary, tables.other_summary, tables.debit_refund, tables.aftersales_summary):
+        run.stage(f"publish {table}", lambda table=table: _publish(spark, publish, table))
+    run.finish()
+
+
+def income_run_key(ctx: RunContext, mode: str = "incremental", months: list[str] | None = None) -> str:
+    """What a run of the income job is resumed by."""
+    return f"income {ctx.ds} {ctx.first_close} {mode} {' '.join(months or [])}".strip()
 
 
 def run_cost_job(spark: SparkSession, inputs: Inputs, ctx: RunContext, tables: CostTables,

@@ -82,7 +82,11 @@ def full_refresh(df: DataFrame, table: str, path: str | None = None, fmt: str =
     spark = df.sparkSession
     root = path or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), f"{table}.versions")
     version = os.path.join(root, f"v-{uuid.uuid4().hex}")
-    df.write.format(fmt).save(version)
+    try:
+        df.write.format(fmt).save(version)
+    except Exception:
+        _remove(spark, version)
+        raise
     switched = False
     if spark.catalog.tableExists(table):
         same = spark.table(table).schema.simpleString() == spark.read.format(fmt).load(version).schema.simpleString()

@@ -17,4 +17,4 @@ def test_cost_job_from_the_command_line(tmp_path):
     assert any(f.endswith(".csv") for f in os.listdir(extract))
     wh = tmp_path / "spark-warehouse"
     if wh.exists():  # default warehouse location (unless the environment configures another)
-        assert sorted(os.listdir(wh)) == ["cli_dwd_cost_detail", "cli_dwd_deposits", "cli_dws_daily_profit"]
+        assert sorted(os.listdir(wh)) == ["cli_dwd_cost_detail.versions", "cli_dwd_deposits", "cli_dws_daily_profit.versions"]
