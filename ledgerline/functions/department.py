@@ -10,6 +10,13 @@ from ledgerline.functions.rules import ordered_rule
 
 # fixed values: text in an open name that marks a smart device
 SMART_NAME_TEXT = "smart_etc"
+# fixed values: the same rules as rows of a decision table
+DEPARTMENT_ROWS = [
+    ("paid", 10, "segment", "=", L.BUS, L.DEPT_ETC), ("paid", 10, "scene", "<>", L.SIGNING, L.DEPT_ETC),
+    ("live", 20, "segment", "=", L.BUS, L.DEPT_LIVE), ("live", 20, "in_channel", "is true", None, L.DEPT_LIVE),
+    ("smart", 30, "segment", "=", L.BUS, L.DEPT_SMART), ("smart", 30, "open_name", "contains", SMART_NAME_TEXT, L.DEPT_SMART),
+    ("bus", 40, "segment", "=", L.BUS, L.DEPT_ETC), ("truck", 50, "segment", "=", L.TRUCK, L.DEPT_DATA),
+]
 
 
 def department(segment: Column, scene: Column, in_channel: Column, open_name: Column) -> Column:

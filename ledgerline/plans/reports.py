@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import labels as L
+from ledgerline.functions.decision import Rule, decide
 from ledgerline.functions.department import department
 from ledgerline.functions.geo import province
 from ledgerline.functions.rules import direction, keep, not_like, ordered_rule, recode
@@ -61,15 +62,20 @@ def channel_members(external: DataFrame, shop_orders: DataFrame, shop_serials: D
     return a.unionByName(chain).distinct()
 
 
-def enrich(ledger: DataFrame, members: DataFrame, device: DataFrame) -> DataFrame:
-    """Add department (P17) and province (P16) to every ledger row."""
+def enrich(ledger: DataFrame, members: DataFrame, device: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """Add department (P17) and province (P16) to every ledger row.  ``rules`` is a
+    decision table over segment, scene, in_channel and open_name, the coded order if None."""
     c = F.col
     x = attach_dimensions(ledger, "obu_id", [
         (members, "device", {"__in_channel": None}),
         (device, "obuid", {"openname": F.max("openname")}),
     ])
+    if rules is None:
+        attributed = department(c("segment"), c("scene"), c("__in_channel"), c("openname"))
+    else:
+        attributed = decide(rules, {"segment": c("segment"), "scene": c("scene"), "in_channel": c("__in_channel"), "open_name": c("openname")})
     return x.select(*ledger.columns,
-                    department(c("segment"), c("scene"), c("__in_channel"), c("openname")).alias("department"),
+                    attributed.alias("department"),
                     province(c("obu_id")).alias("province"))
 
 
