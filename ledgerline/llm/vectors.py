@@ -9,7 +9,8 @@ cosine in double precision.
 * A neighbour list that is full of links is saturated and may have lost some: it
   is enlarged to all saturated classes of its component, and of every component that
   shares a leaf with it and is not too far by its radius, compared in blocks.
-  Components that new links join are compared in turn.
+  Components that new links join are compared in turn.  Such a comparison gives a
+  count per class and a spanning forest, never a row per link.
 * Recall is audited: a hashed, bounded set of classes is compared with all rows;
   below the target, further trees and rounds follow.  If that does not help, all
   classes of a label are compared in blocks.
@@ -172,22 +173,34 @@ def _links(graph: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return cut(_decide(cut(near), classes, threshold))
 
 
-def _enlarge(links: DataFrame, graph: DataFrame, classes: DataFrame, leaves: DataFrame, threshold: float, keep: int) -> DataFrame:
-    """The known links, and all among the saturated classes of each component and of
-    components near each other."""
+def _degrees(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(id, linked)``: the vectors in the classes that each class is linked with."""
+    both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("other")))
+    return both.join(classes.select(F.col("id").alias("other"), "size"), "other").groupBy("id").agg(F.sum("size").alias("linked"))
+
+
+def _enlarge(links: DataFrame, graph: DataFrame, classes: DataFrame, leaves: DataFrame, threshold: float, keep: int) -> tuple[DataFrame, DataFrame]:
+    """Edges ``(a, b)`` with the components of all links, and the degrees: of the known
+    links, and of all among the saturated classes of each component and of components
+    near each other."""
     full = cut(graph.where(F.col("near") >= threshold - SLACK).groupBy("id").agg(F.count("*").alias("k")).where(F.col("k") >= keep).select("id"))
     if full.isEmpty():
-        return links
+        return links, cut(_degrees(links, classes))
     part = cut(components(links).join(full, "id").select("id", F.col("component_id").alias("part")))
-    inside = cut(part.join(classes.select("id", "x"), "id"))
+    inside = cut(part.join(classes.select("id", "size", "x"), "id"))
     size = cut(part.groupBy("part").agg(F.count("*").alias("n"), F.min("id").alias("lead")))
     balls = _balls(inside, size)
     homes = cut(leaves.join(part, "id").select("leaf", "part").distinct())
     meet = homes.select("leaf", F.col("part").alias("a")).join(homes.select("leaf", F.col("part").alias("b")), "leaf").where("a < b").select("a", "b").distinct()
     own = size.select(F.col("part").alias("a"), F.col("part").alias("b"))
     pairs = done = cut(own.unionByName(_touching(cut(meet), balls, threshold)))
+    # two saturated classes are counted in the blocks, where every pair of parts meets once
+    marked = links.join(part.select(F.col("id").alias("a"), F.lit(True).alias("sa")), "a", "left").join(part.select(F.col("id").alias("b"), F.lit(True).alias("sb")), "b", "left")
+    degrees = [_degrees(marked.where("sa is null or sb is null").select("a", "b"), classes)]
     while True:
-        links = cut(links.unionByName(_blocks(pairs, inside, size, threshold)).distinct())
+        found = cut(_blocks(pairs, inside, size, threshold))
+        degrees.append(found.where("not is_edge").select(F.col("a").alias("id"), F.col("b").alias("linked")))
+        links = cut(links.unionByName(found.where("is_edge").select("a", "b")).distinct())
         # parts that are one component by now are compared with each other as well
         joined = part.select("part").distinct().join(components(links), F.col("part") == F.col("id")).select("part", "component_id")
         joined = cut(joined)
@@ -195,7 +208,10 @@ def _enlarge(links: DataFrame, graph: DataFrame, classes: DataFrame, leaves: Dat
         new = cut(both.where("a < b").select("a", "b").join(done, ["a", "b"], "left_anti"))
         pairs = cut(_touching(new, balls, threshold))
         if pairs.isEmpty():
-            return links
+            every = degrees[0]
+            for more in degrees[1:]:
+                every = every.unionByName(more)
+            return links, cut(every.groupBy("id").agg(F.sum("linked").alias("linked")))
         done = cut(done.unionByName(new))
 
 
@@ -234,51 +250,75 @@ def _touching(pairs: DataFrame, balls: DataFrame, threshold: float) -> DataFrame
 
 
 def _blocks(pairs: DataFrame, inside: DataFrame, size: DataFrame, threshold: float, block: int = 256) -> DataFrame:
-    """Links between the members ``inside(id, part, x)`` of each pair of parts ``(a, b)``,
-    compared block by block."""
+    """The members ``inside(id, part, size, x)`` of each pair of parts ``(a, b)``, compared
+    block by block.  A block gives no row per link: per member the vectors it is linked
+    with (``a``, ``b`` with ``is_edge`` false), and for each group of linked members the
+    edges from its first one (``is_edge`` true)."""
     count = size.select("part", F.ceil(F.col("n") / F.lit(block)).cast("bigint").alias("k"))
     sides = cut(pairs.join(count.select(F.col("part").alias("a"), F.col("k").alias("ka")), "a").join(count.select(F.col("part").alias("b"), F.col("k").alias("kb")), "b"))
     # a member of a meets every block of b and the other way round; a part meets
     # itself in pairs of blocks p <= q
     mine = F.pmod(F.xxhash64("id"), F.col("k"))
     every = lambda k: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(k) - 1))
-    dealt = inside.join(count, "part").select("id", "x", "part", mine.alias("mine"))
+    dealt = inside.join(count, "part").select("id", "size", "x", "part", mine.alias("mine"))
     apart = sides.where("a <> b")
-    left = dealt.join(apart, F.col("part") == F.col("a")).withColumn("q", every("kb")).select("a", "b", F.col("mine").alias("p"), "q", F.lit(True).alias("left"), F.lit(False).alias("right"), "id", "x")
-    right = dealt.join(apart, F.col("part") == F.col("b")).withColumn("p", every("ka")).select("a", "b", "p", F.col("mine").alias("q"), F.lit(False).alias("left"), F.lit(True).alias("right"), "id", "x")
+    left = dealt.join(apart, F.col("part") == F.col("a")).withColumn("q", every("kb")).select("a", "b", F.col("mine").alias("p"), "q", F.lit(True).alias("left"), F.lit(False).alias("right"), "id", "size", "x")
+    right = dealt.join(apart, F.col("part") == F.col("b")).withColumn("p", every("ka")).select("a", "b", "p", F.col("mine").alias("q"), F.lit(False).alias("left"), F.lit(True).alias("right"), "id", "size", "x")
     same = dealt.join(sides.where("a = b"), F.col("part") == F.col("a")).withColumn("other", every("ka"))
     p, q = F.least("mine", "other"), F.greatest("mine", "other")
-    same = same.select("a", "b", p.alias("p"), q.alias("q"), (F.col("mine") == p).alias("left"), (F.col("mine") == q).alias("right"), "id", "x")
+    same = same.select("a", "b", p.alias("p"), q.alias("q"), (F.col("mine") == p).alias("left"), (F.col("mine") == q).alias("right"), "id", "size", "x")
 
     def run(table: pa.Table) -> pa.Table:
         x = _unit(table.column("x").combine_chunks())
-        ids = table.column("id").to_numpy()
+        ids, weight = table.column("id").to_numpy(), table.column("size").to_numpy()
         left, right = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("left", "right"))
         r, c = np.nonzero(_cosine(x[left], x[right]) >= threshold)
-        a, b = ids[left[r]], ids[right[c]]
-        a, b = a[a != b], b[a != b]
-        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.table([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
-
-    return left.unionByName(right).unionByName(same).groupBy("a", "b", "p", "q").applyInArrow(run, "a bigint, b bigint")
-
-
-def _exact(classes: DataFrame, threshold: float) -> DataFrame:
-    """All links: every class with every other of its label and length."""
-    inside = classes.select("id", F.col("grp").alias("part"), "x")
+        r, c = left[r], right[c]
+        other = ids[r] != ids[c]
+        r, c = r[other], c[other]
+        linked = np.bincount(r, weights=weight[c], minlength=len(ids))
+        if not np.array_equal(left, right):  # else each pair is there in both orders
+            linked += np.bincount(c, weights=weight[r], minlength=len(ids))
+        group = _groups(r, c, len(ids))
+        edge, some = np.flatnonzero(group != np.arange(len(ids))), np.flatnonzero(linked)
+        a = np.concatenate((ids[group[edge]], ids[some]))
+        b = np.concatenate((ids[edge], linked[some].astype(np.int64)))
+        return pa.table([pa.array(np.arange(len(a)) < len(edge)), pa.array(a), pa.array(b)], names=["is_edge", "a", "b"])
+
+    return left.unionByName(right).unionByName(same).groupBy("a", "b", "p", "q").applyInArrow(run, "is_edge boolean, a bigint, b bigint")
+
+
+def _groups(r: np.ndarray, c: np.ndarray, n: int) -> np.ndarray:
+    """The first member of each member's connected group."""
+    group = np.arange(n)
+    while True:
+        low = group.copy()
+        np.minimum.at(low, r, group[c])
+        np.minimum.at(low, c, group[r])
+        low = low[low]
+        if np.array_equal(low, group):
+            return group
+        group = low
+
+
+def _exact(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Edges and degrees of all links: every class with every other of its label and length."""
+    inside = classes.select("id", "size", F.col("grp").alias("part"), "x")
     size = cut(inside.groupBy("part").agg(F.count("*").alias("n")))
     pairs = size.select(F.col("part").alias("a"), F.col("part").alias("b"))
-    return cut(_blocks(pairs, inside, size, threshold, BLOCK).distinct())
+    found = cut(_blocks(pairs, inside, size, threshold, BLOCK))
+    degrees = found.where("not is_edge").groupBy(F.col("a").alias("id")).agg(F.sum("b").alias("linked"))
+    return found.where("is_edge").select("a", "b").distinct(), cut(degrees)
 
 
 def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return x @ y.T
 
 
-def audit(classes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[int, int]:
-    """Links of a hashed set of at most about ``sample`` classes by comparison with all
-    rows, and how many of those the graph has.  The set reaches every task; it is a
-    documented number of rows."""
+def audit(classes: DataFrame, degrees: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[int, int]:
+    """Vectors linked with a hashed set of at most about ``sample`` classes by comparison
+    with all rows, and how many of those ``degrees`` has.  The set reaches every task; it
+    is a documented number of rows."""
     n = classes.count()
     chosen = classes.where(F.pmod(F.xxhash64("id", F.lit("audit")), F.lit(max(1, n // sample))) == 0).select("id", "grp", "x")
     rows = chosen.collect()
@@ -289,27 +329,27 @@ def audit(classes: DataFrame, links: DataFrame, threshold: float, sample: int =
         by_group.setdefault((r["grp"], len(r["x"])), []).append((r["id"], r["x"]))
 
     def run(batches):
-        units = {}
+        units, total = {}, {}
         for k, v in by_group.items():
             x = np.array([y for _, y in v], np.float64)
             units[k] = (np.array([i for i, _ in v], np.int64), x / np.sqrt((x * x).sum(axis=1, keepdims=True)))
+            total[k] = np.zeros(len(v), np.int64)
         for batch in batches:
-            grp = np.asarray(batch.column(1))
+            grp, ids, size = (np.asarray(batch.column(i)) for i in (1, 0, 3))
             dim = np.diff(np.asarray(batch.column(2).offsets))
-            ids = np.asarray(batch.column(0))
-            a, b = [], []
             for g, d in set(zip(grp.tolist(), dim.tolist(), strict=True)):
                 if (g, d) in units:
                     at = np.flatnonzero((grp == g) & (dim == d))
                     qi, qx = units[g, d]
                     r, c = np.nonzero(_cosine(_unit(batch.column(2).take(pa.array(at))), qx) >= threshold)
-                    a.append(ids[at[r]])
-                    b.append(qi[c])
-            a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[a != b]), pa.array(np.maximum(a, b)[a != b])], names=["a", "b"])
+                    apart = ids[at[r]] != qi[c]
+                    np.add.at(total[g, d], c[apart], size[at[r]][apart])
+        for k, n in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(units[k][0]), pa.array(n)], names=["id", "true"])
 
-    truth = cut(classes.select("id", "grp", "x").mapInArrow(run, "a bigint, b bigint").distinct())
-    return truth.count(), truth.join(links, ["a", "b"], "left_semi").count()
+    truth = classes.select("id", "grp", "x", "size").mapInArrow(run, "id bigint, true bigint").groupBy("id").agg(F.sum("true").alias("true"))
+    held = truth.join(degrees, "id", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("linked", F.lit(0))))).first()
+    return held[0] or 0, held[1] or 0
 
 
 def near_duplicates(
@@ -329,15 +369,12 @@ def near_duplicates(
     # a number per row stands for it, so that repeated and null ids stay apart
     numbered = cut(source.withColumn("row", F.monotonically_increasing_id()))
     sets = cut(numbered.where("good").groupBy(*prints).agg(F.min("row").alias("id"), F.count("*").alias("size"), F.min("vec_id").alias("least")))
-    classes = cut(sets.select("id").join(numbered.select(F.col("row").alias("id"), "grp", "x"), "id"))
-    links = _search(classes, threshold, neighbours, trees, recall)
-    sizes = sets.select("id", "size", "least")
-    both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("other")))
-    degree = both.join(sizes.select(F.col("id").alias("other"), "size"), "other").groupBy("id").agg(F.sum("size").alias("linked"))
+    classes = cut(sets.select("id", "size").join(numbered.select(F.col("row").alias("id"), "grp", "x"), "id"))
+    links, degree = _search(classes, threshold, neighbours, trees, recall)
     comps = cut(components(links))
-    named = comps.join(sizes, "id").groupBy("component_id").agg(F.min("least").alias("c"))
+    named = comps.join(sets.select("id", "least"), "id").groupBy("component_id").agg(F.min("least").alias("c"))
     named = comps.join(cut(named), "component_id").select("id", "c")
-    facts = sets.join(cut(degree), "id", "left").join(cut(named), "id", "left")
+    facts = sets.join(degree, "id", "left").join(cut(named), "id", "left")
     facts = cut(facts.select(*prints, (F.coalesce("linked", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("c", "least").alias("c")))
     out = numbered.select("vec_id", *prints).join(facts, prints, "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("c", "vec_id"))
@@ -347,7 +384,8 @@ def near_duplicates(
     )
 
 
-def _search(classes: DataFrame, threshold: float, keep: int, trees: int, recall: float) -> DataFrame:
+def _search(classes: DataFrame, threshold: float, keep: int, trees: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Edges with the components of all links, and every class's degree."""
     sketch = lambda batches: (
         pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i])), pa.array([_byte(_unit(b.column(1).take(pa.array([i]))))[0].tobytes()], pa.binary())], names=["id", "q"])
         for b in batches
@@ -365,8 +403,8 @@ def _search(classes: DataFrame, threshold: float, keep: int, trees: int, recall:
             graph = better
             if changed <= SETTLED * max(1, graph.select("id").distinct().count()):
                 break
-        links = _enlarge(_links(graph, classes, threshold), graph, classes, homes, threshold, keep)
-        true, found = audit(classes, links, threshold)
+        links, degrees = _enlarge(_links(graph, classes, threshold), graph, classes, homes, threshold, keep)
+        true, found = audit(classes, degrees, threshold)
         if found >= recall * true:
-            return links
+            return links, degrees
     return _exact(classes, threshold)

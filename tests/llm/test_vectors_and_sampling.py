@@ -92,9 +92,29 @@ def test_missed_recall_is_made_up_exactly(spark, monkeypatch):
 
 def test_audit_counts_losses(spark):
     x = np.eye(8)[[0, 0, 1, 1]] + 0.01 * np.arange(8)
-    classes = spark.createDataFrame([(i, 5, v.tolist()) for i, v in enumerate(x)], "id bigint, grp bigint, x array<double>")
+    classes = spark.createDataFrame([(i, 5, v.tolist(), 1 + i) for i, v in enumerate(x)], "id bigint, grp bigint, x array<double>, size bigint")
     links = spark.createDataFrame([(0, 1)], "a bigint, b bigint")
-    assert vectors.audit(classes, links, 0.98) == (2, 1)
+    degrees = vectors._degrees(links, classes)
+    assert {tuple(r) for r in degrees.collect()} == {(0, 2), (1, 1)}
+    assert vectors.audit(classes, degrees, 0.98) == (2 + 1 + 4 + 3, 3)
+
+
+def test_blocks_give_counts_and_a_forest(spark):
+    """A dense group of several blocks: rows in proportion to its members, not its links."""
+    rng = np.random.default_rng(2)
+    x = np.eye(16)[0] + 0.005 * rng.standard_normal((900, 16))
+    inside = spark.createDataFrame([(i, 3, 2, v.tolist()) for i, v in enumerate(x)], "id bigint, part bigint, size bigint, x array<double>")
+    size = spark.createDataFrame([(3, 900)], "part bigint, n bigint")
+    pairs = spark.createDataFrame([(3, 3)], "a bigint, b bigint")
+    found = vectors._blocks(pairs, inside, size, 0.98).collect()
+    degree = Counter()
+    for r in found:
+        if not r.is_edge:
+            degree[r.a] += r.b
+    assert degree == {i: 2 * 899 for i in range(900)}
+    assert len(found) < 900 * 4 * 4  # of 404,550 links
+    parent = vectors._groups(np.array([r.a for r in found if r.is_edge]), np.array([r.b for r in found if r.is_edge]), 900)
+    assert (parent == 0).all()
 
 
 PIECES = ["<unk>", "<s>", "</s>", *(f"<0x{i:02X}>" for i in range(256)), "▁a", "b", "▁", "a", "ab", "▁ab", "c", "bc", "abc", "▁▁"]
