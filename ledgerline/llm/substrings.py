@@ -45,9 +45,11 @@ from ledgerline.llm.common import CHUNK_BYTES, give_back, mix, prefix_hash, rang
 
 LENGTH = 50
 GRAM = 20
-#: text bytes of one part and of one bucket; both counts follow the input
+#: text bytes of one part and of one bucket; both counts follow the input.  A part sends a
+#: message to every bucket until it has fewer records than there are buckets, so a bucket
+#: is as large as one task holds with ease; mixed codes fill all alike
 PART_BYTES = 1 << 20
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 
 _MESSAGE = "part bigint, bucket bigint, step int, data binary"
 _NAMES = ["part", "bucket", "step", "data"]
