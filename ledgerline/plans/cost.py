@@ -125,10 +125,24 @@ def _priced(columns: list[str], b: DataFrame, s: DataFrame, product: DataFrame,
     )
 
 
+# A task of the joins sorts one bucket of each table: rows of the three tables in a bucket, together
+BUCKET_ROWS = 1_000_000
+LEAST_BUCKETS, MOST_BUCKETS = 8, 100_000  # for parallel tasks; Spark's own limit
+
+
+def statement_buckets(*tables: DataFrame) -> int:
+    """Buckets for tables that are joined by bucket, by their counted rows: what a task
+    holds stays the same as the tables grow, and there are more tasks."""
+    rows = sum(t.count() for t in tables)
+    return min(max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)), MOST_BUCKETS)
+
+
 def store_by_statement(bill: DataFrame, bill_lines: DataFrame, settlement: DataFrame, names: tuple[str, str, str],
-                       buckets: int, paths: tuple | None = None) -> None:
+                       buckets: int | None = None, paths: tuple | None = None) -> None:
     """Write the three large inputs of D12 bucketed by statement, so that its joins and
-    sums need no shuffle (``bill_cost_detail`` on these tables)."""
+    sums need no shuffle (``bill_cost_detail`` on these tables).  Without ``buckets``
+    their number follows the rows (``statement_buckets``)."""
+    buckets = buckets or statement_buckets(bill, bill_lines, settlement)
     keys = ("statement_id", "statement_id", "business_id")
     for df, name, key, path in zip((bill, bill_lines, settlement), names, keys, paths or (None,) * 3, strict=True):
         create_bucketed(df, name, [key], buckets, path=path)

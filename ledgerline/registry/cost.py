@@ -76,7 +76,7 @@ def cost_detail_colocated(spark: SparkSession, root: str) -> DataFrame:
     most frequent statements taken apart."""
     i = fixture_inputs(spark, root)
     names = tuple(f"{n}_{uuid.uuid4().hex[:8]}" for n in ("bills", "bill_lines", "settlements"))
-    C.store_by_statement(i["bill"], i["bill_lines"], i["settlement"], names, buckets=8, paths=tuple(scratch_path(spark, n) for n in names))
+    C.store_by_statement(i["bill"], i["bill_lines"], i["settlement"], names, paths=tuple(scratch_path(spark, n) for n in names))
     bill, lines, paid = (spark.table(n) for n in names)
     hot = hot_keys(bill, "statement_id")
     return for_compare(C.bill_cost_detail(bill, lines, paid, few_rows(i["product"]), hot=hot))

@@ -58,9 +58,10 @@ def create_partitioned(df: DataFrame, table: str, partition_col: str, path: str
 def create_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None,
                     fmt: str = "parquet") -> None:
     """A table bucketed and sorted by ``keys``: tables with as many buckets on their join
-    keys are joined without a shuffle.  The rebalance hint gathers a bucket's rows in few
-    tasks and splits a bucket with a hot key over several files."""
-    w = df.hint("rebalance", *keys).write.mode("overwrite").format(fmt).bucketBy(buckets, *keys).sortBy(*keys)
+    keys are joined without a shuffle.  The rebalance hint, over as many partitions as
+    buckets, gathers a bucket's rows in few tasks, so in few files, and splits a bucket
+    with a hot key over several files."""
+    w = df.hint("rebalance", buckets, *keys).write.mode("overwrite").format(fmt).bucketBy(buckets, *keys).sortBy(*keys)
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)

@@ -109,3 +109,64 @@ def test_colocated_cost_join_does_not_shuffle_the_bills(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_statement_buckets_follow_the_rows(spark, tmp_path, monkeypatch):
+    """With four times the rows there are more buckets, none fuller: no task of the joins gets
+    more rows as the tables grow.  A bucket that is not split is one file."""
+    import glob
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.plans import cost as C
+    from ledgerline.plans.inputs import fixture_inputs
+
+    monkeypatch.setattr(C, "BUCKET_ROWS", 6000, raising=False)
+    i = fixture_inputs(spark, "/root/testdata/sf0.001")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    fullest, counts = {}, {}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for copies in (4, 16):
+            shift = spark.range(copies).select((F.col("id") * 1_000_000).alias("__shift"))
+            grown = [
+                i[n].crossJoin(F.broadcast(shift)).withColumn(key, F.col(key) + F.col("__shift")).drop("__shift")
+                for n, key in (("bill", "statement_id"), ("bill_lines", "statement_id"), ("settlement", "business_id"))
+            ]
+            names = tuple(f"{n}_{uuid.uuid4().hex[:6]}" for n in ("b", "l", "s"))
+            paths = tuple(str(tmp_path / n) for n in names)
+            C.store_by_statement(*grown, names, paths=paths)
+            tables = [spark.table(n) for n in names]
+            out = C.bill_cost_detail(*tables, F.broadcast(i["product"]))
+            assert "Exchange hashpartitioning" not in plan(out)
+            counts[copies] = out.rdd.getNumPartitions()
+            # the rows of the three tables that one bucket has
+            rows = [t.groupBy(F.pmod(F.hash(k), F.lit(counts[copies])).alias("bucket")).count()
+                    for t, k in zip(tables, ("statement_id", "statement_id", "business_id"), strict=True)]
+            total = rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("bucket").agg(F.sum("count").alias("n"))
+            fullest[copies] = total.agg(F.max("n")).first()[0]
+            assert all(len(glob.glob(f"{p}/part-*")) <= counts[copies] for p in paths)
+            cost = lambda df: sorted(map(tuple, df.select("statement_id", "flow", "pay_channel", "cost_partner", "cost_channel").collect()), key=repr)
+            assert cost(out) == cost(C.bill_cost_detail(*grown, i["product"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold") if before is None else spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert counts[16] >= 3 * counts[4] > C.LEAST_BUCKETS
+    assert max(fullest.values()) <= 1.5 * C.BUCKET_ROWS
+
+
+def test_colocated_query_leaves_the_buckets_to_the_rows(spark, sf, monkeypatch):
+    from ledgerline.plans import cost as C
+
+    monkeypatch.setattr(C, "BUCKET_ROWS", 10_000, raising=False)
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")
+        buckets = QUERIES["cost_detail_colocated"](spark, sf).rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert buckets >= 2 * rows // 10_000  # lines and settlements have a row for each
