@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import giving_back, mix, prefix_hash, range_hash, small_batches, text_chunks
+from ledgerline.llm.common import giving_back, mix, powers, prefix_hash, range_hash, small_batches, text_chunks
 
 SAMPLES = 2
 ALPHA = 1.0
@@ -46,8 +46,14 @@ BLANK = "▁"
 CHUNK = 1 << 22
 #: edges of frequent words' lattices from which on a task keeps no more of them (about 40 bytes each)
 KEPT_EDGES = 3 << 20
-#: leading bits of a substring's hash that are looked up before the sorted codes
+#: bytes of words whose lattices are built at once, and words that are walked at once: what the processor's cache holds
+BUILT, WALKED = 1 << 17, 1 << 16
+#: leading bits of a substring's code that are looked up before the sorted codes
 PROBE_BITS = 18
+#: perturbed values lie at most this far above their log mass: uniform numbers have 53 bits
+NOISE_TOP = 38.0
+#: log mass below that of a row's start from which on its places are looked at only if the nearer ones leave it open
+REACH = 60.0
 _U = np.uint64
 
 
@@ -80,24 +86,47 @@ class Vocabulary:
         for size, found in sorted(by_size.items()):
             data = np.frombuffer(b"".join(raw for raw, _ in found), np.uint8)
             at = np.arange(0, len(data), size)
-            code = range_hash(prefix_hash(data, folded=False), at, at + size)
+            prefix, inverse = prefix_hash(data, folded=False), powers(len(data))[1]
+            code = (prefix[at + size] - prefix[at]) * inverse[at]
             order = np.argsort(code)
-            # most substrings are no piece: their first bits say so before the search
+            code, ids = code[order], np.array([i for _, i in found], np.int32)[order]
+            # most substrings are no piece: their first bits say so, or where to look
+            bits = (code >> _U(64 - PROBE_BITS)).view(np.int64)
             may = np.zeros(1 << PROBE_BITS, bool)
-            may[code >> _U(64 - PROBE_BITS)] = True
-            self.tables[size] = may, code[order], np.array([i for _, i in found], np.int32)[order]
-        sizes = np.array([len(b) for b in self.bytes], np.int64)
-        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
-        self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
-
-        self.kept: Lattices | None = None  # frequent words, in the order of kept_codes
-        self.kept_codes = np.zeros(0, np.uint64)
+            may[bits] = True
+            slot = np.zeros(1 << PROBE_BITS, np.int32)
+            slot[bits[::-1]] = np.arange(len(bits))[::-1]
+            most = int(np.unique(bits, return_counts=True)[1].max())
+            # the last code again, for steps beyond it
+            self.tables[size] = may, slot, np.append(code, np.repeat(code[-1:], most)), np.append(ids, np.repeat(ids[-1:], most)), most
+        self.raws = pa.array(self.bytes, pa.large_binary())
+
+        self.known = Lattices()  # of frequent words first, then those of one chunk
+        self.kept = self.known.size()
+        self.kept_codes = np.zeros(0, np.uint64)  # sorted
+        self.kept_numbers = np.zeros(0, np.int64)
+
+    def find(self, size: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which codes of substrings are those of pieces of a size, and these pieces."""
+        may, slot, codes, ids, most = self.tables[size]
+        bits = (code >> _U(64 - PROBE_BITS)).view(np.int64)
+        some = np.flatnonzero(may.take(bits))
+        code, place = code.take(some), slot.take(bits.take(some))
+        piece = np.where(codes.take(place) == code, ids.take(place), np.int32(-1))
+        for _ in range(1, most):  # codes with the same first bits
+            place += 1
+            same = np.flatnonzero((codes.take(place) == code) & (piece < 0))
+            piece[same] = ids[place[same]]
+        hit = np.flatnonzero(piece >= 0)
+        return some.take(hit), piece.take(hit)
 
     def raw(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of all pieces in a row, and where each piece ends."""
-        n = self.sizes[ids]
-        end = np.cumsum(n)
-        return self.flat[np.repeat(self.starts[ids] - (end - n), n) + np.arange(end[-1] if len(end) else 0)], end
+        """Bytes of all pieces in a row, and where each piece starts, with the end."""
+        if not len(ids):
+            return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        _, bounds, data = self.raws.take(pa.array(ids)).buffers()
+        bounds = np.frombuffer(bounds, np.int64, len(ids) + 1)
+        return np.frombuffer(data, np.uint8, bounds[-1]) if bounds[-1] else np.zeros(0, np.uint8), bounds
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of a text from its piece ids."""
@@ -105,146 +134,189 @@ class Vocabulary:
 
     def equal(self, ids: np.ndarray, at: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Whether the pieces ``at[r] .. at[r + 1]`` give the text of each row ``r``."""
-        raw, end = self.raw(ids)
-        bounds = np.concatenate(([0], end))[at]
-        size, text = np.diff(bounds), np.diff(offsets)
+        raw, bounds = self.raw(ids)
+        size, text = np.diff(bounds[at]), np.diff(offsets)
         filled = text > 0
         same = size == text + filled  # a filled text starts with a blank
+        raw = raw[bounds[at[0]] : bounds[at[-1]]]
+        if not same.all():
+            raw, data = raw[np.repeat(same, size)], data[np.repeat(same, text)]
         rows = np.flatnonzero(same & filled)
-        n = text[rows]
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        differs = raw[np.repeat(bounds[rows] + 1, n) + step] != data[np.repeat(offsets[rows], n) + step]
-        same[np.repeat(rows, n)[differs]] = False
+        end = np.cumsum(size[rows])
+        differs = np.flatnonzero(raw != np.insert(data, np.cumsum(text[rows]) - text[rows], 32))
+        same[rows[np.searchsorted(end, differs, "right")]] = False
         return same
 
     def lattices(self, code: np.ndarray, count: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple["Lattices", np.ndarray]:
         """Lattices that hold all words (distinct, given by hash) and each word's number
         in them.  Words that occur more than once are kept for later chunks, up to
-        ``KEPT_EDGES``."""
-        known = np.isin(code, self.kept_codes)
-        again = np.flatnonzero(~known & (count > 1))
-        if len(again) and (self.kept is None or len(self.kept.piece) < KEPT_EDGES):
-            more = Lattices(self, data, starts[again], ends[again])
-            self.kept = more if self.kept is None else self.kept.join(more)
-            self.kept_codes = np.concatenate((self.kept_codes, code[again]))
-            known[again] = True
-        number = np.empty(len(code), np.int64)
-        if known.any():
-            order = np.argsort(self.kept_codes)
-            number[known] = order[np.searchsorted(self.kept_codes, code[known], sorter=order)]
-        rest = np.flatnonzero(~known)
-        number[rest] = len(self.kept_codes) + np.arange(len(rest))
-        if not len(rest):
-            return self.kept, number
-        new = Lattices(self, data, starts[rest], ends[rest])
-        return (new if self.kept is None else self.kept.join(new)), number
+        ``KEPT_EDGES``; the others are there until the next call."""
+        self.known.cut(self.kept)
+        number = np.full(len(code), -1, np.int64)
+        if len(self.kept_codes):
+            place = np.minimum(np.searchsorted(self.kept_codes, code), len(self.kept_codes) - 1)
+            number = np.where(self.kept_codes[place] == code, self.kept_numbers[place], number)
+        again = np.flatnonzero((number < 0) & (count > 1))
+        if len(again) and len(self.known.piece) < KEPT_EDGES:
+            number[again] = self.known.add(self, data, starts[again], ends[again])
+            self.kept = self.known.size()
+            codes = np.concatenate((self.kept_codes, code[again]))
+            order = np.argsort(codes, kind="stable")
+            self.kept_codes, self.kept_numbers = codes[order], np.concatenate((self.kept_numbers, number[again]))[order]
+        rest = np.flatnonzero(number < 0)
+        number[rest] = self.known.add(self, data, starts[rest], ends[rest])
+        return self.known, number
 
 
 class Lattices:
     """Lattices of distinct words: states with outgoing edges, their conditional
     probabilities and the state that each leads to (-1: the word's end)."""
 
-    def __init__(self, vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    PER_EDGE = {"piece": np.int32, "log_p": np.float64, "p": np.float64, "log_rest": np.float64, "next": np.int64, "state": np.int32}
+    PER_STATE = {"first": np.int64, "end": np.int64}
+    PER_WORD = {"entry": np.int64}
+
+    def __init__(self):
+        self._room = {name: np.empty(0, kind) for name, kind in (self.PER_EDGE | self.PER_STATE | self.PER_WORD).items()}
+        self.cut((0, 0, 0))
+
+    def size(self) -> tuple[int, int, int]:
+        return len(self.piece), len(self.first), len(self.entry)
+
+    def cut(self, size: tuple[int, int, int]) -> None:
+        """Keep the words that were here at an earlier ``size``."""
+        for names, n in zip((self.PER_EDGE, self.PER_STATE, self.PER_WORD), size, strict=True):
+            for name in names:
+                setattr(self, name, self._room[name][:n])
+
+    def add(self, vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Add words, and return their numbers."""
+        known = len(self.entry)
+        total = np.cumsum(ends - starts)
+        lo = 0
+        while lo < len(starts):
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] - (ends[lo] - starts[lo]) + BUILT, "right")))
+            edges, states, _ = self.size()
+            for name, more in self._built(vocabulary, data, starts[lo:hi], ends[lo:hi]).items():
+                if name == "next":
+                    more[more >= 0] += states
+                elif name in ("state", "entry"):
+                    more += more.dtype.type(states)
+                elif name in ("first", "end"):
+                    more += edges
+                here = getattr(self, name)
+                n = len(here) + len(more)
+                if n > len(self._room[name]):
+                    room = np.empty(n + n // 2, here.dtype)
+                    room[: len(here)] = here
+                    self._room[name] = room
+                self._room[name][len(here) : n] = more
+                setattr(self, name, self._room[name][:n])
+            lo = hi
+        return np.arange(known, len(self.entry))
+
+    @staticmethod
+    def _built(vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
+        """Lattices of some words, edges, states and words numbered from 0."""
         size = ends - starts
         total = np.cumsum(size)
-        text = data[np.repeat(starts - (total - size), size) + np.arange(total[-1])]
-        stop = np.repeat(total, size)  # end of the word that each byte is in
+        step = np.arange(total[-1])
+        text = data[np.repeat(starts - (total - size), size) + step]
+        left = np.repeat(total, size) - step  # bytes to the end of the word that each byte is in
         prefix = prefix_hash(text, folded=False)
+        # places by their distance from the word's end: the sums below run over slices
+        places = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
         head = (text & 0xC0) != 0x80
-        at_head = np.flatnonzero(head)
-        left = stop[at_head] - at_head
-        char = np.diff(np.append(at_head, len(text)))
+        rank = np.flatnonzero(head.take(places))  # of characters' first bytes among the places
+        at_head = places.take(rank)
+        left_head = left.take(at_head)
+        in_text = np.flatnonzero(head)
+        char = np.zeros(len(text), np.int64)
+        char[in_text] = np.diff(in_text, append=len(text))
+        char_head = char.take(at_head)
+        before, inverse = prefix.take(at_head), powers(len(prefix))[1].take(at_head)
         has_piece = np.zeros(len(at_head), bool)
-        begin, length, piece = [], [], []
-        for n, (may, codes, ids) in reversed(vocabulary.tables.items()):  # long pieces are likely: they come first
-            fits = np.flatnonzero(left >= n)
-            if not len(fits):
+        found = []
+        for n in reversed(vocabulary.tables):  # long pieces are likely: they come first
+            fits = np.searchsorted(left_head, n)
+            if fits == len(at_head):
                 continue
-            at = at_head[fits]
-            code = range_hash(prefix, at, at + n)
-            some = np.flatnonzero(may[code >> _U(64 - PROBE_BITS)])
-            fits, at, code = fits[some], at[some], code[some]
-            place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            hit = codes[place] == code
-            begin.append(at[hit])
-            length.append(np.full(hit.sum(), n, np.int64))
-            piece.append(ids[place[hit]])
-            has_piece[fits[hit & (char[fits] == n)]] = True
-        lost = np.flatnonzero(np.repeat(~has_piece, char))  # bytes of characters without a piece
-        begin.append(lost)
-        length.append(np.ones(len(lost), np.int64))
-        piece.append(text[lost].astype(np.int32) + FIRST_BYTE)
+            code = prefix.take(at_head[fits:] + n)
+            code -= before[fits:]
+            code *= inverse[fits:]
+            some, piece = vocabulary.find(n, code)
+            some += fits
+            found.append((rank.take(some), n, piece))
+            has_piece[some[char_head.take(some) == n]] = True
+        if not has_piece.all():  # bytes of characters without a piece
+            covered = np.zeros(len(text), bool)
+            covered[at_head] = has_piece
+            lost = np.flatnonzero(~np.repeat(covered[in_text], char[in_text]))
+            where = np.empty(len(text), np.int64)
+            where[places] = step
+            found.append((where[lost], 1, text[lost].astype(np.int32) + FIRST_BYTE))
         # edges by place, at a place in the order found; a place has one of each length
         count = np.zeros(len(text), np.int64)
-        for at in begin:
+        for at, _, _ in found:
             count[at] += 1
         fill = np.cumsum(count) - count
-        found, begin = begin, np.repeat(np.arange(len(text)), count)
-        sizes, pieces = length, piece
-        length, piece = np.empty(len(begin), np.int64), np.empty(len(begin), np.int32)
-        for at, n, ids in zip(found, sizes, pieces, strict=True):
-            slot = fill[at]
+        states = np.flatnonzero(count)
+        first, width = fill[states], count[states]
+        end = first + width
+        length, piece = np.empty(end[-1], np.int64), np.empty(end[-1], np.int32)
+        for at, n, ids in found:
+            slot = fill.take(at)
             length[slot], piece[slot] = n, ids
             fill[at] += 1
-        weight = vocabulary.weight[piece]
-        target = begin + length
-        last = target == stop[begin]
-        # backward sums, by distance from the word's end
-        beta = np.zeros(len(text) + 1)
-        far = stop[begin] - begin
-        order = np.argsort(far.astype(np.uint16) if far.max() < 1 << 16 else far, kind="stable")
-        far_, begin_, target_, weight_, last_ = (x[order] for x in (far, begin, target, weight, last))
-        bounds = np.flatnonzero(np.diff(far_)) + 1
-        for lo, hi in zip(np.concatenate(([0], bounds)), np.concatenate((bounds, [len(far_)])), strict=True):
-            value = weight_[lo:hi] + np.where(last_[lo:hi], 0.0, beta[target_[lo:hi]])
-            b = begin_[lo:hi]
-            first = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
-            beta[b[first]] = np.logaddexp.reduceat(value, first)
-        self.log_p = weight + np.where(last, 0.0, beta[target]) - beta[begin]
-        self.piece = piece
-        new = np.concatenate(([True], begin[1:] != begin[:-1]))
-        self.first = np.flatnonzero(new)
-        self.end = np.append(self.first[1:], len(begin))
-        self.state = np.cumsum(new) - 1  # of each edge
+        states = places[states]
+        state = np.repeat(np.arange(len(states)), width)
+        weight = vocabulary.weight.take(piece)
         number = np.full(len(text) + 1, -1, np.int64)
-        number[begin[self.first]] = np.arange(len(self.first))
-        self.next = np.where(last, -1, number[target])
-        self.p = np.exp(self.log_p)
-        self.entry = number[total - size]  # a word's first state
-
-    def join(self, other: "Lattices") -> "Lattices":
-        """Both sets of lattices as one; ``other``'s words follow."""
-        out = object.__new__(Lattices)
-        edges, states = len(self.piece), len(self.first)
-        for name in ("piece", "log_p", "p"):
-            setattr(out, name, np.concatenate((getattr(self, name), getattr(other, name))))
-        for name in ("first", "end"):
-            setattr(out, name, np.concatenate((getattr(self, name), getattr(other, name) + edges)))
-        for name in ("state", "entry"):
-            setattr(out, name, np.concatenate((getattr(self, name), getattr(other, name) + states)))
-        out.next = np.concatenate((self.next, np.where(other.next >= 0, other.next + states, -1)))
-        return out
+        number[states] = np.arange(len(states))
+        left = left[states]
+        following = number.take(states.take(state) + length)
+        following[left.take(state) == length] = -1
+        # backward sums, by distance from the word's end; the last is that of the end itself
+        beta = np.zeros(len(states) + 1)
+        bounds = np.concatenate(([0], np.flatnonzero(np.diff(left)) + 1, [len(left)]))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            lo, hi = first[a], end[b - 1]
+            beta[a:b] = np.logaddexp.reduceat(weight[lo:hi] + beta[following[lo:hi]], first[a:b] - lo)
+        log_p = weight + beta[following] - beta.take(state)
+        p = np.exp(log_p)
+        # of all other edges of its state; a state with one edge leaves nothing, whatever rounding says
+        log_rest = np.log(np.maximum(1 - p, 1e-300))
+        log_rest[np.repeat(width == 1, width)] = -np.inf
+        return {"piece": piece, "log_p": log_p, "p": p, "log_rest": log_rest, "next": following, "state": state.astype(np.int32),
+                "first": first, "end": end, "entry": number[total - size]}
 
     def choose(self, state: np.ndarray, u: np.ndarray) -> np.ndarray:
         """An edge of each state by probability, given a uniform number."""
-        edge, last = self.first[state], self.end[state] - 1
-        open_ = np.arange(len(state))
-        left = u
+        edge = self.first.take(state)
+        p = self.p.take(edge)
+        open_ = np.flatnonzero(u >= p)
+        left, at, last = u.take(open_) - p.take(open_), edge.take(open_), self.end.take(state.take(open_)) - 1
         while True:
-            p = self.p[edge[open_]]
-            on = (left >= p) & (edge[open_] < last[open_])
-            open_ = open_[on]
+            # rounding may leave something at a state's last edge, which stays
+            go = np.flatnonzero(at < last)
+            if len(go) < len(open_):
+                open_, left, at, last = open_.take(go), left.take(go), at.take(go), last.take(go)
             if not len(open_):
                 return edge
-            left = left[on] - p[on]
-            edge[open_] += 1
+            at += 1
+            edge[open_] = at
+            p = self.p.take(at)
+            go = np.flatnonzero(left >= p)
+            open_, left, at, last = open_.take(go), left.take(go) - p.take(go), at.take(go), last.take(go)
 
 
 def _hashed(*parts, start=None) -> np.ndarray:
     """Hash of integers; ``start`` is that of the parts before them."""
     h = np.zeros(1, np.uint64) if start is None else start
     for p in parts:
-        h = mix(h * _U(0x9E3779B97F4A7C15) + np.asarray(p).astype(np.uint64) + _U(0x632BE59BD9B4E019))
+        h = h * _U(0x9E3779B97F4A7C15)
+        p = np.asarray(p).astype(np.uint64)
+        h = mix(h + (p + _U(0x632BE59BD9B4E019)))
     return h
 
 
@@ -279,63 +351,77 @@ class _Sampler:
         self.word_in_row = np.arange(len(starts)) - self.row_words[self.word_row] if len(starts) else starts
         if len(starts):
             code = range_hash(prefix_hash(text, folded=False), starts, ends)
-            code, one, kind, count = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-            self.lattice, number = vocabulary.lattices(code, count, text, starts[one], ends[one])
+            distinct = pa.array(code).dictionary_encode()
+            kind, code = np.asarray(distinct.indices), np.asarray(distinct.dictionary)
+            one = np.empty(len(code), np.int64)
+            one[kind] = np.arange(len(kind))  # any of a word's places
+            self.lattice, number = vocabulary.lattices(code, np.bincount(kind), text, starts[one], ends[one])
             self.entry = self.lattice.entry[number][kind]  # the first state of every word
 
     def walk(self, words: np.ndarray, state: np.ndarray, sample: int):
-        """Edges from a state of each word to its end: ``(index into words, step, edge)``."""
-        lat, out = self.lattice, [[], [], []]
-        active = np.flatnonzero(state >= 0)
-        state = state[active]
-        step = 0
+        """Edges from a state of each word to its end: ``(indices into words, step,
+        edges)`` several times, and the number of edges per word."""
+        lat, out = self.lattice, []
+        count = np.zeros(len(words), np.int64)
         # the parts that do not change from step to step are hashed once
-        mine = _hashed(self.word_in_row[words], start=_hashed(self.keys, sample)[self.word_row[words]])
-        while len(active):
-            edge = lat.choose(state, _uniform(step, start=mine[active]))
-            for o, v in zip(out, (active, np.full(len(active), step), edge), strict=True):
-                o.append(v)
-            state = lat.next[edge]
-            go = state >= 0
-            active, state = active[go], state[go]
-            step += 1
-        return tuple(np.concatenate(o) if o else np.zeros(0, np.int64) for o in out)
+        keys = _hashed(self.keys, sample)
+        for lo in range(0, len(words), WALKED):
+            active = lo + np.flatnonzero(state[lo : lo + WALKED] >= 0)
+            here, word = state.take(active), words.take(active)
+            mine = _hashed(self.word_in_row.take(word), start=keys.take(self.word_row.take(word)))
+            step = 0
+            while len(active):
+                edge = lat.choose(here, _uniform(step, start=mine))
+                out.append((active, step, edge))
+                here = lat.next.take(edge)
+                step += 1
+                go = np.flatnonzero(here >= 0)
+                count[active] = step  # later steps of a word overwrite it
+                active, here, mine = active.take(go), here.take(go), mine.take(go)
+        return out, count
 
     def first(self):
         words = np.arange(len(self.word_row))
-        at, step, edge = self.walk(words, self.entry, 0)
-        order = np.lexsort((step, at))
-        return edge[order], at[order]
+        found, count = self.walk(words, self.entry, 0)
+        begin = np.cumsum(count) - count
+        edges = np.empty(count.sum(), np.int64)
+        for at, step, edge in found:
+            edges[begin.take(at) + step] = edge
+        return edges, np.repeat(words, count)
 
     def following(self, parents, rows: np.ndarray, cut_at: np.ndarray, edge: np.ndarray, parent: np.ndarray, sample: int):
         """Samples that copy a parent's edges before ``cut_at``, take ``edge`` there and
-        go on freely; one for each of ``rows``."""
-        edges, words = [edge], []
-        cut_word = np.empty(len(rows), np.int64)
-        rank = []
-        for p, (pe, pw, pr) in enumerate(parents):
+        go on freely; one for each of ``rows``, which ascend."""
+        cut_word, start = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+        for p, (_, pw, pr) in enumerate(parents):
             mine = np.flatnonzero(parent == p)
-            cut_word[mine] = pw[cut_at[mine]]
-            count = cut_at[mine] - pr[rows[mine]]
-            take = np.repeat(pr[rows[mine]] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            edges.append(pe[take])
-            words.append(pw[take])
-            rank.append(np.zeros(len(take), np.int64))
-        words.insert(0, cut_word)
-        rank.insert(0, np.ones(len(edge), np.int64))
+            cut_word[mine], start[mine] = pw[cut_at[mine]], pr[rows[mine]]
+        copied = cut_at - start
         # the rest of the cut word, then all later words of the row
         later = self.row_words[rows + 1] - cut_word - 1
         more = np.repeat(cut_word + 1 - (np.cumsum(later) - later), later) + np.arange(later.sum())
         walk_words = np.concatenate((cut_word, more))
         state = np.concatenate((self.lattice.next[edge], self.entry[more]))
-        at, step, found = self.walk(walk_words, state, sample)
-        edges.append(found)
-        words.append(walk_words[at])
-        rank.append(2 + step)
-        edges, words, rank = np.concatenate(edges), np.concatenate(words), np.concatenate(rank)
-        # copied edges of the cut word keep their order, the new ones follow
-        order = np.lexsort((np.arange(len(words)), rank, words))
-        return edges[order], words[order]
+        found, count = self.walk(walk_words, state, sample)
+        # a row: what is copied, the new edge, the walk through its words
+        rest, tail = count[: len(rows)], np.concatenate(([0], np.cumsum(count[len(rows) :])))
+        first_more = np.cumsum(later) - later
+        tail_size = tail[first_more + later] - tail[first_more]
+        size = copied + 1 + rest + tail_size
+        base = np.cumsum(size) - size
+        begin = np.concatenate((base + copied + 1, tail[:-1] + np.repeat(base + copied + 1 + rest - tail[first_more], later)))
+        edges, words = np.empty(size.sum(), np.int64), np.empty(size.sum(), np.int64)
+        for p, (pe, pw, _) in enumerate(parents):
+            mine = np.flatnonzero(parent == p)
+            n = copied[mine]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            to, take = np.repeat(base[mine], n) + step, np.repeat(start[mine], n) + step
+            edges[to], words[to] = pe.take(take), pw.take(take)
+        edges[base + copied], words[base + copied] = edge, cut_word
+        for at, step, found_edge in found:
+            to = begin.take(at) + step
+            edges[to], words[to] = found_edge, walk_words.take(at)
+        return edges, words
 
     def row_ranges(self, words: np.ndarray) -> np.ndarray:
         return np.searchsorted(words, self.row_words)
@@ -371,51 +457,65 @@ def top_k(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: n
         lo = np.where(np.isin(np.arange(n), live), cut_at, at[:-1])
         size = np.zeros(n, np.int64)
         size[live] = at[live + 1] - lo[live]
-        row = np.repeat(np.arange(n), size)
-        place = lo[row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        free = 1 - np.exp(log_p[place])
-        head = place == lo[row]
+        head_edge = edges[np.minimum(lo, len(edges) - 1)]
+        free = 1 - lat.p[head_edge]
         for j in range(k):  # at the cut, what was excluded before stays so
-            ban = own_ban[row[head], j]
-            free[head] -= np.where(ban >= 0, np.exp(lat.log_p[np.maximum(ban, 0)]), 0.0)
-        # a state with one edge left leaves nothing, whatever rounding says
-        gone = np.ones(len(row), np.int64)
-        gone[head] += (own_ban >= 0).sum(axis=1)[row[head]]
-        width = lat.end - lat.first
-        free = np.where(width[lat.state[edges[place]]] > gone, np.maximum(free, 1e-300), 0.0)
-        with np.errstate(divide="ignore", over="ignore"):
-            mass = total[place] - total[at[row]] + np.log(free)
-            noise = mass + _gumbel(_uniform(place - at[row], start=_hashed(keys, 2, sample)[row]))
-            # truncated at the value of the sample they are split from
-            top = value[row] - np.logaddexp(0.0, value[row] - noise)
-        top = np.where(free > 0, top, -np.inf)
-        # every row's best parts of this sample join its open parts
-        filled = np.flatnonzero(size)
-        begin = np.cumsum(size)[filled] - size[filled]
-        for _ in range(k - sample):  # the samples still to come, and kappa
-            best = np.full(n, -np.inf)
-            if len(filled):
-                best[filled] = np.maximum.reduceat(top, begin)
-            at_best = np.flatnonzero(top == best[row])
-            at_best = at_best[np.isfinite(top[at_best])]
-            pick = np.full(n, -1, np.int64)
-            pick[row[at_best][::-1]] = at_best[::-1]
+            ban = own_ban[:, j]
+            free -= np.where(ban >= 0, lat.p[np.maximum(ban, 0)], 0.0)
+        # a state with no other edge left leaves nothing, whatever rounding says
+        head_state = lat.state[head_edge]
+        width = lat.end[head_state] - lat.first[head_state]
+        with np.errstate(divide="ignore"):
+            log_free = np.log(np.where(width > 1 + (own_ban >= 0).sum(axis=1), np.maximum(free, 1e-300), 0.0))
+        start = _hashed(keys, 2, sample)
+        # a place's mass falls along the row: places far behind the first have no chance
+        near = np.minimum(size, np.maximum(np.searchsorted(-total, REACH - total[lo], "right") - lo, 1))
+        while True:
+            row = np.repeat(np.arange(n), near)
+            filled = np.flatnonzero(near)
+            begin = (np.cumsum(near) - near)[filled]
+            place = np.repeat(lo - (np.cumsum(near) - near), near) + np.arange(len(row))
+            mass = lat.log_rest.take(edges.take(place))
+            mass[begin] = log_free[filled]
+            mass += total.take(place) - total[at].take(row)
+            noise = mass + _gumbel(_uniform(place - at.take(row), start=start.take(row)))
+            # every row's best parts of this sample: for the samples still to come, and kappa
+            picks = []
+            for _ in range(k - sample):
+                best = np.full(n, -np.inf)
+                if len(filled):
+                    best[filled] = np.maximum.reduceat(noise, begin)
+                at_best = np.flatnonzero(noise == best[row])
+                at_best = at_best[np.isfinite(noise[at_best])]
+                pick = np.full(n, -1, np.int64)
+                pick[row[at_best][::-1]] = at_best[::-1]
+                picks.append((pick, best))
+                noise[pick[pick >= 0]] = -np.inf
+            # the least of them is above all that the places left out could have
+            open_ = (near < size) & (best <= total[lo + near] - total[at[:-1]] + NOISE_TOP)
+            if not open_.any():
+                break
+            near = np.where(open_, size, near)
+        for pick, noise in picks:
             ok = pick >= 0
             pl = np.where(ok, place[np.maximum(pick, 0)] if len(place) else 0, 0)
             ban = np.full((n, k), -1, np.int64)
             if len(place):
-                at_cut = ok & head[np.maximum(pick, 0)]
+                at_cut = ok & (pl == lo)
                 ban[at_cut] = own_ban[at_cut]
                 ban[ok, sample] = edges[pl[ok]]
-            bound = np.concatenate((bound, np.where(ok, best, -np.inf)[:, None]), axis=1)
+            # truncated at the value of the sample they are split from
+            best = np.full(n, -np.inf)
+            with np.errstate(over="ignore"):
+                best[ok] = value[ok] - np.logaddexp(0.0, value[ok] - noise[ok])
+            bound = np.concatenate((bound, best[:, None]), axis=1)
             part = np.concatenate((part, np.stack((np.full(n, sample), pl), axis=1)[:, None, :]), axis=1)
             banned = np.concatenate((banned, ban[:, None, :]), axis=1)
-            top[pick[ok]] = -np.inf
         winner = bound.argmax(axis=1)
         value = bound[np.arange(n), winner]
-        if sample == k - 1:
-            break
         live = np.flatnonzero(np.isfinite(value))
+        if sample == k - 1 or not len(live):
+            break
         bound[np.arange(n), winner] = -np.inf
         chosen = part[np.arange(n), winner]
         own_ban = banned[np.arange(n), winner]
@@ -423,7 +523,7 @@ def top_k(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: n
         # the place counts within its parent; in the new sample it lies as far from the row's start
         e, w = s.following(parents, live, chosen[live, 1], edge, chosen[live, 0], sample + 1)
         new_at = s.row_ranges(w)
-        away = np.array([parents[p][2][r] for p, r in zip(chosen[live, 0], live, strict=True)], np.int64) if len(live) else np.zeros(0, np.int64)
+        away = np.array([parents[p][2][r] for p, r in zip(chosen[live, 0], live, strict=True)], np.int64)
         cut_at = new_at[:-1].copy()
         cut_at[live] += chosen[live, 1] - away
         parents.append((e, w, new_at))

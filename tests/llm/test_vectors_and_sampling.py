@@ -1,5 +1,6 @@
 """NN-descent against brute force, and sampled segmentations against enumeration."""
 
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -198,3 +199,39 @@ def test_sample_frame_round_trip_and_seed(spark, sf):
     other = {(r.doc_id, r["sample"]): r.ids for r in sampling.sample(docs, seed=1).collect()}
     assert sum(other[k] != again[k] for k in other) > len(other) / 2
     assert sampling.sample(both.limit(0)).collect() == []
+
+
+def test_split_places_that_cannot_win_are_left_out(monkeypatch):
+    """Equal samples whatever the reach and the blocks, and no noise for every place of a long text."""
+    vocabulary = sampling.Vocabulary(PIECES)
+    draw = random.Random(5)
+    texts = ["", "\n", *(" ".join("".join(draw.choice("abcé") for _ in range(draw.randint(1, 9))) for _ in range(n)) for n in (1, 3, 40, 2000))] * 3
+    keys = np.arange(len(texts), dtype=np.uint64) * np.uint64(7919)
+    drawn, gumbel = [], sampling._gumbel
+    monkeypatch.setattr(sampling, "_gumbel", lambda u: drawn.append(len(u)) or gumbel(u))
+    plain = sampled(vocabulary, texts, keys, 3)
+    places = sum(len(ids) for found in plain[0].values() for ids, _, _ in found)
+    assert places > 100_000 and sum(drawn) < places / 4
+    for reach, built, walked, kept in ((0.0, 1, 1, 0), (1e9, 1 << 20, 1 << 20, 50), (5.0, 7, 3, 1 << 20)):
+        for name, value in (("REACH", reach), ("BUILT", built), ("WALKED", walked), ("KEPT_EDGES", kept)):
+            monkeypatch.setattr(sampling, name, value)
+        for vocabulary in (vocabulary, sampling.Vocabulary(PIECES)):  # with words kept from before, and without
+            rows, kappa = sampled(vocabulary, texts, keys, 3)
+            assert rows == plain[0] and (kappa == plain[1]).all()
+
+
+def test_one_segmentation_only():
+    """No second sample in the whole chunk."""
+    rows, kappa = sampled(sampling.Vocabulary(PIECES), ["\n", "", "\n\n"], np.arange(3, dtype=np.uint64), 2)
+    assert [len(rows[r]) for r in range(3)] == [1, 1, 1] and np.isinf(kappa).all()
+
+
+def test_round_trip_finds_every_wrong_row():
+    vocabulary = sampling.Vocabulary(PIECES)
+    at_id = {b: i for i, b in enumerate(vocabulary.bytes) if b}
+    rows = [[b" a", b"b"], [], [b" a", b"c"], [b" ", b"b"], [b" a"], [b" ", b"c"]]
+    texts = ["ab", "", "ab", "b", "a c", "c"]
+    _, _, data, offsets = next(text_chunks(pa.array(texts), 1 << 20))
+    at = np.cumsum([0, *map(len, rows)])
+    ids = np.array([at_id[b] for row in rows for b in row], np.int32)
+    assert vocabulary.equal(ids, at, data, offsets).tolist() == [True, True, False, True, False, True]
